@@ -14,6 +14,7 @@ from ledgerline.operators import aggregates as A
 from ledgerline.operators import dedup as D
 from ledgerline.operators.rules import ColumnSpec, RuleSet, default_rules, greater_than, isin, less_equal
 from ledgerline.operators.validate import Validation, duplicate_warning, validate
+from ledgerline.operators import upsert as U
 from ledgerline.sources.fixtures import AS_OF, ORDER_COLS, ops
 from ledgerline.sources.tables import table
 
@@ -232,6 +233,72 @@ def q_union_all(spark, sf_dir):
     return A.union_all(o, copies).groupBy("numero_operacion").agg(F.count(F.lit(1)).alias("copies"))
 
 
+# ---- upsert ---------------------------------------------------------------------------------------
+TARGET_LOADED = "2000-06-01 00:00:00"
+
+
+def upsert_sides(spark, sf_dir):
+    """Target = key-deduped ops with even l_orderkey; batch = l_orderkey % 3 = 0 with monto + 1."""
+    base = D.keep_first(ops(spark, sf_dir).filter(F.col(S.KEY_COLUMN).isNotNull()), [S.KEY_COLUMN], ORDER_COLS)
+    norm = U.normalize_load(base)
+    tgt = (norm.filter(F.col("l_orderkey") % 2 == 0)
+           .withColumn("fecha_carga", F.lit(TARGET_LOADED).cast("timestamp"))
+           .withColumn("is_duplicate", F.lit(0)))
+    target = U.to_target(D.with_content_hash(tgt), ids=F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    batch = D.with_content_hash(norm.filter(F.col("l_orderkey") % 3 == 0).withColumn("monto", F.col("monto") + 1)
+                                .withColumn("is_duplicate", F.lit(0)))
+    return target, batch
+
+
+def merged_ops(spark, sf_dir, strategy="auto"):
+    target, batch = upsert_sides(spark, sf_dir)
+    return U.upsert_merge(target, batch, load_time=AS_OF, strategy=strategy)
+
+
+def q_upsert_merge(spark, sf_dir):
+    return merged_ops(spark, sf_dir).drop("id").withColumnRenamed(U.ACTION, "action")
+
+
+def q_upsert_merge_shuffle(spark, sf_dir):
+    return merged_ops(spark, sf_dir, "shuffle").drop("id").withColumnRenamed(U.ACTION, "action")
+
+
+def q_upsert_counts(spark, sf_dir):
+    return U.upsert_counts(merged_ops(spark, sf_dir))
+
+
+def q_load_stats(spark, sf_dir):
+    return U.load_stats(merged_ops(spark, sf_dir))
+
+
+def q_upsert_total(spark, sf_dir):
+    return merged_ops(spark, sf_dir).agg(A.money_sum(F.col("monto")).alias("total_amount"),
+                                         F.count(F.lit(1)).alias("total_rows"))
+
+
+def q_assert_unique_key(spark, sf_dir):
+    return U.duplicate_keys(merged_ops(spark, sf_dir))
+
+
+def q_append_new(spark, sf_dir):
+    target, batch = upsert_sides(spark, sf_dir)
+    return U.to_target(U.append_new(target, batch), load_time=AS_OF).drop("id")
+
+
+def q_join_semi_existing(spark, sf_dir):
+    target, batch = upsert_sides(spark, sf_dir)
+    return A.semi_existing(batch, target)
+
+
+def q_join_anti_new(spark, sf_dir):
+    target, batch = upsert_sides(spark, sf_dir)
+    return A.anti_new(batch, target)
+
+
+def q_normalize_load(spark, sf_dir):
+    return U.normalize_load(ops(spark, sf_dir))
+
+
 QUERIES = {
     "validation_summary": q_validation_summary,
     "validation_failures": q_validation_failures,
@@ -279,4 +346,14 @@ QUERIES = {
     "value_counts_share": q_value_counts_share,
     "value_counts_events": q_value_counts_events,
     "union_all": q_union_all,
+    "upsert_merge": q_upsert_merge,
+    "upsert_merge_shuffle": q_upsert_merge_shuffle,
+    "upsert_counts": q_upsert_counts,
+    "load_stats": q_load_stats,
+    "upsert_total": q_upsert_total,
+    "assert_unique_key": q_assert_unique_key,
+    "append_new": q_append_new,
+    "join_semi_existing": q_join_semi_existing,
+    "join_anti_new": q_join_anti_new,
+    "normalize_load": q_normalize_load,
 }

@@ -249,3 +249,56 @@ ORACLES["value_counts_events"] = _value_counts(["event_type"], "events", True)
 ORACLES["union_all"] = f"""WITH {OPS_CTE},
 u AS (SELECT * FROM ops UNION ALL SELECT * FROM ops WHERE l_linenumber = 1)
 SELECT numero_operacion, count(*) AS copies FROM u GROUP BY numero_operacion"""
+
+# ---- upsert --------------------------------------------------------------------------------------
+_NORM_COLS = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, "
+              "try_cast(fecha_operacion AS TIMESTAMP) AS fecha_operacion, numero_operacion, tipo_operacion, monto, "
+              "moneda, substr(cuenta_origen, 1, 50) AS cuenta_origen, "
+              "nullif(substr(cuenta_destino, 1, 50), '') AS cuenta_destino, substr(banco_origen, 1, 50) AS banco_origen, "
+              "nullif(substr(banco_destino, 1, 50), '') AS banco_destino, substr(descripcion, 1, 500) AS descripcion, "
+              "estado, canal")
+TARGET_COLS = ["fecha_operacion", "numero_operacion", "tipo_operacion", "monto", "moneda", "cuenta_origen",
+               "cuenta_destino", "banco_origen", "banco_destino", "descripcion", "estado", "canal", "content_hash",
+               "fecha_carga", "is_duplicate"]
+UPSERT_BASE = f"""WITH {OPS_CTE},
+base AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY numero_operacion ORDER BY {ORDER_SQL})
+         AS rn FROM ops WHERE numero_operacion IS NOT NULL) WHERE rn = 1),
+norm AS (SELECT {_NORM_COLS} FROM base),
+tgt AS (SELECT l_orderkey * 10 + l_linenumber AS id, * EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey,
+               l_quantity), {_hash_expr()} AS content_hash, TIMESTAMP '2000-06-01 00:00:00' AS fecha_carga,
+               CAST(0 AS INTEGER) AS is_duplicate
+        FROM norm WHERE l_orderkey % 2 = 0),
+bat0 AS (SELECT * REPLACE (monto + 1 AS monto) FROM norm WHERE l_orderkey % 3 = 0),
+bat AS (SELECT *, {_hash_expr()} AS content_hash, CAST(0 AS INTEGER) AS is_duplicate FROM bat0),
+merged AS (
+  SELECT CASE WHEN t.numero_operacion IS NOT NULL THEN t.id END AS id,
+         coalesce(t.numero_operacion, s.numero_operacion) AS numero_operacion,
+""" + ",\n".join(
+    f"         CASE WHEN s.numero_operacion IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+    for c in TARGET_COLS if c not in ("numero_operacion", "fecha_carga", "is_duplicate")) + f""",
+         CASE WHEN s.numero_operacion IS NOT NULL THEN TIMESTAMP '{AS_OF}' ELSE t.fecha_carga END AS fecha_carga,
+         CASE WHEN t.numero_operacion IS NOT NULL THEN t.is_duplicate ELSE s.is_duplicate END AS is_duplicate,
+         CASE WHEN t.numero_operacion IS NOT NULL AND s.numero_operacion IS NOT NULL THEN 'updated'
+              WHEN s.numero_operacion IS NOT NULL THEN 'inserted' ELSE 'kept' END AS action
+  FROM tgt t FULL OUTER JOIN bat s ON t.numero_operacion = s.numero_operacion)
+"""
+ORACLES["upsert_merge"] = UPSERT_BASE + "SELECT * EXCLUDE (id) FROM merged"
+ORACLES["upsert_merge_shuffle"] = ORACLES["upsert_merge"]
+ORACLES["upsert_counts"] = UPSERT_BASE + """SELECT CAST(count_if(action = 'kept') AS BIGINT) AS rows_kept,
+  CAST(count_if(action = 'inserted') AS BIGINT) AS rows_inserted,
+  CAST(count_if(action = 'updated') AS BIGINT) AS rows_updated FROM merged"""
+ORACLES["load_stats"] = UPSERT_BASE + """SELECT CAST(count_if(action = 'inserted') AS BIGINT) AS rows_inserted,
+  CAST(count_if(action = 'updated') AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_failed,
+  CAST(count_if(action <> 'kept') AS BIGINT) AS total_processed FROM merged"""
+ORACLES["upsert_total"] = UPSERT_BASE + f"""SELECT {_sum2('monto')}::DOUBLE AS total_amount, count(*) AS total_rows
+FROM merged"""
+ORACLES["assert_unique_key"] = UPSERT_BASE + """SELECT numero_operacion, count(*) AS n FROM merged
+GROUP BY numero_operacion HAVING count(*) > 1"""
+ORACLES["append_new"] = UPSERT_BASE + f"""SELECT {', '.join(c for c in TARGET_COLS if c not in ('fecha_carga',))},
+  TIMESTAMP '{AS_OF}' AS fecha_carga
+FROM bat WHERE numero_operacion NOT IN (SELECT numero_operacion FROM tgt)"""
+ORACLES["join_semi_existing"] = UPSERT_BASE + """SELECT * FROM bat
+WHERE numero_operacion IN (SELECT numero_operacion FROM tgt)"""
+ORACLES["join_anti_new"] = UPSERT_BASE + """SELECT * FROM bat
+WHERE numero_operacion NOT IN (SELECT numero_operacion FROM tgt)"""
+ORACLES["normalize_load"] = f"WITH {OPS_CTE}\nSELECT {_NORM_COLS} FROM ops"

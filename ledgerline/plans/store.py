@@ -1,0 +1,96 @@
+"""Target table as immutable snapshots plus a pointer file (K2, K3, K6, K7).
+
+A load writes the merged table to a new ``snap=<n>`` folder (Spark will not overwrite a path it is
+reading), checks the unique key on what was written, and only then replaces the small pointer
+file. A failure before that leaves the previous snapshot live: the load is all-or-nothing. All
+file operations go through the Hadoop FileSystem of the session, so the folder may be on any
+shared store.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerline import schema as S
+from ledgerline.operators.upsert import ACTION, assert_unique_key
+
+POINTER = "_CURRENT"
+
+
+class TargetStore:
+    def __init__(self, spark: SparkSession, root: str, key: str = S.KEY_COLUMN):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.key = key
+        jvm = spark._jvm
+        self._Path = jvm.org.apache.hadoop.fs.Path
+        hconf = spark._jsc.hadoopConfiguration()
+        self._fs = self._Path(self.root).getFileSystem(hconf)
+
+    # -- pointer ---------------------------------------------------------------------------------
+    def _read_pointer(self) -> str | None:
+        p = self._Path(f"{self.root}/{POINTER}")
+        if not self._fs.exists(p):
+            return None
+        stream = self._fs.open(p)
+        try:
+            reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        return line.strip() if line else None
+
+    def _write_pointer(self, name: str) -> None:
+        tmp = self._Path(f"{self.root}/.{POINTER}.{name}.tmp")
+        out = self._fs.create(tmp, True)
+        try:
+            out.write(bytearray(name.encode("utf-8")))
+        finally:
+            out.close()
+        final = self._Path(f"{self.root}/{POINTER}")
+        if self._fs.exists(final):
+            self._fs.delete(final, False)
+        if not self._fs.rename(tmp, final):
+            raise RuntimeError(f"could not publish snapshot {name}")
+
+    def _next_name(self) -> str:
+        cur = self._read_pointer()
+        n = int(cur.split("=")[1]) + 1 if cur else 1
+        while self._fs.exists(self._Path(f"{self.root}/snap={n}")):
+            n += 1
+        return f"snap={n}"
+
+    # -- table -----------------------------------------------------------------------------------
+    def exists(self) -> bool:
+        return self._read_pointer() is not None
+
+    def current(self) -> DataFrame | None:
+        """The live snapshot, or None when the table was never created."""
+        cur = self._read_pointer()
+        if cur is None:
+            return None
+        return self.spark.read.schema(S.TARGET_SCHEMA).parquet(f"{self.root}/{cur}")
+
+    def create(self) -> DataFrame:
+        """K2: create the table with the fixed target schema if it does not exist."""
+        if not self.exists():
+            self.publish(self.spark.createDataFrame([], S.TARGET_SCHEMA))
+        return self.current()
+
+    def publish(self, df: DataFrame) -> str:
+        """K6: write a new snapshot, assert the unique key on it (K3), then switch the pointer."""
+        name = self._next_name()
+        path = f"{self.root}/{name}"
+        cols = [f.name for f in S.TARGET_SCHEMA.fields]
+        out = df.drop(ACTION) if ACTION in df.columns else df
+        out.select(*cols).write.mode("errorifexists").parquet(path)
+        written = self.spark.read.schema(S.TARGET_SCHEMA).parquet(path)
+        assert_unique_key(written, self.key)
+        self._write_pointer(name)
+        return name
+
+    def drop(self) -> None:
+        """K7: drop the table (pointer and snapshots)."""
+        p = self._Path(self.root)
+        if self._fs.exists(p):
+            self._fs.delete(p, True)
