@@ -15,6 +15,7 @@ from ledgerline.operators import dedup as D
 from ledgerline.operators.rules import ColumnSpec, RuleSet, default_rules, greater_than, isin, less_equal
 from ledgerline.operators.validate import Validation, duplicate_warning, validate
 from ledgerline.operators import upsert as U
+from ledgerline.plans import runs as R
 from ledgerline.sources.fixtures import AS_OF, ORDER_COLS, ops
 from ledgerline.sources.tables import table
 
@@ -299,6 +300,70 @@ def q_normalize_load(spark, sf_dir):
     return U.normalize_load(ops(spark, sf_dir))
 
 
+# ---- run history ----------------------------------------------------------------------------------
+def runs_ops(spark, sf_dir):
+    """One run record per l_linenumber batch of the ops fixture."""
+    v = _validation(spark, sf_dir)
+    valid_hashed = D.with_content_hash(v.valid())
+    return R.runs_from_batches(v.annotated, valid_hashed, "l_linenumber", AS_OF, error_row="l_orderkey")
+
+
+def _scalars(runs):
+    return runs.select(*R.SCALAR_FIELDS, F.size("validation_errors").alias("n_errors"))
+
+
+def _written_runs(spark, sf_dir):
+    import uuid
+    from ledgerline.session import checkpoint_dir
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    R.write_records(runs_ops(spark, sf_dir), folder)
+    return folder
+
+
+def q_run_duration(spark, sf_dir):
+    return runs_ops(spark, sf_dir).select("pipeline_id", "start_time", "end_time", "processing_time_seconds")
+
+
+def q_run_summary(spark, sf_dir):
+    return R.run_summary(runs_ops(spark, sf_dir))
+
+
+def q_history_stats(spark, sf_dir):
+    return R.history_stats(runs_ops(spark, sf_dir))
+
+
+def q_run_history(spark, sf_dir):
+    return _scalars(R.run_history(spark, _written_runs(spark, sf_dir)))
+
+
+def q_write_run_record(spark, sf_dir):
+    folder = _written_runs(spark, sf_dir)
+    return _scalars(R.read_all(spark, folder).drop("_corrupt_record"))
+
+
+def q_run_by_id(spark, sf_dir):
+    return _scalars(R.run_by_id(runs_ops(spark, sf_dir), "etl_batch_3"))
+
+
+def q_report_kpis(spark, sf_dir):
+    return R.report_kpis(runs_ops(spark, sf_dir))
+
+
+def q_report_distribution(spark, sf_dir):
+    return R.report_distribution(runs_ops(spark, sf_dir))
+
+
+def q_stage_funnel(spark, sf_dir):
+    v = _validation(spark, sf_dir)
+    s = v.summary()
+    hashed = D.with_content_hash(v.valid())
+    d = D.dedup_stats(hashed, [S.HASH_COLUMN])
+    counts = [s.select(F.col("total_rows").alias("input"), F.col("valid_rows").alias("valid"),
+                       F.col("invalid_rows").alias("invalid")),
+              d.select(F.col("duplicates_removed").alias("duplicates"), F.col("final_count").alias("loaded"))]
+    return R.stage_funnel(counts)
+
+
 QUERIES = {
     "validation_summary": q_validation_summary,
     "validation_failures": q_validation_failures,
@@ -356,4 +421,13 @@ QUERIES = {
     "join_semi_existing": q_join_semi_existing,
     "join_anti_new": q_join_anti_new,
     "normalize_load": q_normalize_load,
+    "run_duration": q_run_duration,
+    "run_summary": q_run_summary,
+    "history_stats": q_history_stats,
+    "run_history": q_run_history,
+    "write_run_record": q_write_run_record,
+    "run_by_id": q_run_by_id,
+    "report_kpis": q_report_kpis,
+    "report_distribution": q_report_distribution,
+    "stage_funnel": q_stage_funnel,
 }

@@ -302,3 +302,67 @@ WHERE numero_operacion IN (SELECT numero_operacion FROM tgt)"""
 ORACLES["join_anti_new"] = UPSERT_BASE + """SELECT * FROM bat
 WHERE numero_operacion NOT IN (SELECT numero_operacion FROM tgt)"""
 ORACLES["normalize_load"] = f"WITH {OPS_CTE}\nSELECT {_NORM_COLS} FROM ops"
+
+# ---- run history ---------------------------------------------------------------------------------
+RUNS_BASE = f"""{WITH_BASE},\n{SCORED},\n{VALID},\n{HASHED},\n{fails_cte()},
+base AS (SELECT l_linenumber, count(*) AS input_rows, CAST(count_if(nfail = 0) AS BIGINT) AS validation_passed,
+                CAST(count_if(nfail > 0) AS BIGINT) AS validation_failed FROM scored GROUP BY l_linenumber),
+dup AS (SELECT l_linenumber, CAST(sum(n) - count(*) AS BIGINT) AS duplicates_found, count(*) AS rows_loaded
+        FROM (SELECT l_linenumber, content_hash, count(*) AS n FROM hashed GROUP BY ALL) GROUP BY l_linenumber),
+nerr AS (SELECT l_linenumber, CAST(least(count(*), 100) AS INTEGER) AS n_errors FROM fails GROUP BY l_linenumber),
+runs AS (
+  SELECT 'etl_batch_' || CAST(b.l_linenumber AS VARCHAR) AS pipeline_id,
+         TIMESTAMP '{AS_OF}' + to_hours(CAST(b.l_linenumber AS BIGINT)) AS start_time,
+         TIMESTAMP '{AS_OF}' + to_hours(CAST(b.l_linenumber AS BIGINT)) + to_microseconds(input_rows * 1000) AS end_time,
+         'l_linenumber=' || CAST(b.l_linenumber AS VARCHAR) AS input_file,
+         input_rows, validation_passed, validation_failed,
+         coalesce(duplicates_found, 0) AS duplicates_found, coalesce(duplicates_found, 0) AS duplicates_removed,
+         coalesce(rows_loaded, 0) AS rows_loaded, CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS load_failed,
+         (input_rows * 1000) / 1000000.0 AS processing_time_seconds,
+         CASE WHEN validation_failed > validation_passed THEN 'failed' ELSE 'success' END AS status,
+         CASE WHEN validation_failed > validation_passed THEN 'validation rejected most rows' ELSE '' END
+           AS error_message,
+         coalesce(n_errors, 0) AS n_errors
+  FROM base b LEFT JOIN dup d ON b.l_linenumber = d.l_linenumber LEFT JOIN nerr e ON b.l_linenumber = e.l_linenumber)
+"""
+_RUN_SCALARS = ("pipeline_id, start_time, end_time, input_file, input_rows, validation_passed, validation_failed, "
+                "duplicates_found, duplicates_removed, rows_loaded, rows_updated, load_failed, "
+                "processing_time_seconds, status, error_message, n_errors")
+ORACLES["run_duration"] = RUNS_BASE + "SELECT pipeline_id, start_time, end_time, processing_time_seconds FROM runs"
+ORACLES["run_summary"] = RUNS_BASE + """SELECT pipeline_id, status, input_rows AS total_input,
+  rows_loaded AS total_loaded,
+  printf('%.2f%%', CASE WHEN input_rows = 0 THEN 0.0 ELSE rows_loaded / input_rows END * 100.0) AS success_rate,
+  duplicates_removed, n_errors AS validation_errors, printf('%.2fs', processing_time_seconds) AS processing_time,
+  rows_loaded + rows_updated AS rows_written
+FROM runs"""
+ORACLES["history_stats"] = RUNS_BASE + """SELECT count(*) AS total_runs,
+  CAST(count_if(status = 'success') AS BIGINT) AS successful_runs,
+  printf('%.2f%%', count_if(status = 'success') / count(*) * 100.0) AS success_rate,
+  CAST(sum(input_rows) AS BIGINT) AS total_rows_processed, CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded,
+  printf('%.2fs', avg(processing_time_seconds)) AS avg_processing_time, max(start_time) AS last_run
+FROM runs HAVING count(*) > 0"""
+ORACLES["run_history"] = RUNS_BASE + f"SELECT {_RUN_SCALARS} FROM runs"
+ORACLES["write_run_record"] = ORACLES["run_history"]
+ORACLES["run_by_id"] = RUNS_BASE + f"SELECT {_RUN_SCALARS} FROM runs WHERE pipeline_id = 'etl_batch_3'"
+_KPI_VALUES = ["CAST(input_rows AS VARCHAR)", "CAST(validation_passed AS VARCHAR)",
+               "CAST(validation_failed AS VARCHAR)", "CAST(duplicates_removed AS VARCHAR)",
+               "CAST(rows_loaded AS VARCHAR)",
+               "printf('%.2f%%', rows_loaded / greatest(coalesce(input_rows, 1), 1) * 100.0)",
+               "printf('%.2fs', coalesce(processing_time_seconds, 0.0))"]
+ORACLES["report_kpis"] = RUNS_BASE + "\nUNION ALL ".join(
+    f"SELECT pipeline_id, {i + 1} AS position, {q(lbl)} AS label, {v} AS value FROM runs"
+    for i, (lbl, v) in enumerate(zip(S.KPI_LABELS, _KPI_VALUES)))
+ORACLES["report_distribution"] = RUNS_BASE + "\nUNION ALL ".join(
+    f"SELECT pipeline_id, {q(lbl)} AS category, CAST({v} AS BIGINT) AS count FROM runs"
+    for lbl, v in zip(S.DISTRIBUTION_LABELS, ["validation_passed", "validation_failed", "duplicates_removed",
+                                               "rows_loaded"]))
+ORACLES["stage_funnel"] = f"""{WITH_BASE},\n{SCORED},\n{VALID},\n{HASHED},
+c AS (SELECT (SELECT count(*) FROM scored) AS input, (SELECT count(*) FROM scored WHERE nfail = 0) AS valid,
+             (SELECT count(*) FROM scored WHERE nfail > 0) AS invalid,
+             (SELECT count(*) FROM hashed) - (SELECT count(DISTINCT content_hash) FROM hashed) AS duplicates,
+             (SELECT count(DISTINCT content_hash) FROM hashed) AS loaded)
+SELECT 1 AS position, 'input' AS stage, CAST(input AS BIGINT) AS rows FROM c
+UNION ALL SELECT 2, 'valid', CAST(valid AS BIGINT) FROM c
+UNION ALL SELECT 3, 'invalid', CAST(invalid AS BIGINT) FROM c
+UNION ALL SELECT 4, 'duplicates', CAST(duplicates AS BIGINT) FROM c
+UNION ALL SELECT 5, 'loaded', CAST(loaded AS BIGINT) FROM c"""
