@@ -16,6 +16,9 @@ from ledgerline.operators.rules import ColumnSpec, RuleSet, default_rules, great
 from ledgerline.operators.validate import Validation, duplicate_warning, validate
 from ledgerline.operators import upsert as U
 from ledgerline.plans import runs as R
+from ledgerline.session import scratch_path
+from ledgerline.sources import csv as C
+from ledgerline.sources import generator as G
 from ledgerline.sources.fixtures import AS_OF, ORDER_COLS, ops
 from ledgerline.sources.tables import table
 
@@ -364,6 +367,64 @@ def q_stage_funnel(spark, sf_dir):
     return R.stage_funnel(counts)
 
 
+# ---- CSV, generator, whole job ------------------------------------------------------------------
+OPS_NUMERIC = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint",
+               "l_quantity": "double", "monto": "double"}
+
+
+def _ops_csv(spark, sf_dir):
+    folder = scratch_path(spark, "ops-csv")
+    C.write_csv(ops(spark, sf_dir), folder)
+    return folder
+
+
+def q_scan_csv(spark, sf_dir):
+    return C.scan_csv(spark, _ops_csv(spark, sf_dir), row_index=False)
+
+
+def q_csv_row_index(spark, sf_dir):
+    scanned = C.scan_csv(spark, _ops_csv(spark, sf_dir))
+    return scanned.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(C.ROW).alias("distinct_rows"),
+                       F.min(C.ROW).alias("first_row"), F.max(C.ROW).alias("last_row"))
+
+
+def q_parse_dates_lenient(spark, sf_dir):
+    return C.parse_dates_lenient(ops(spark, sf_dir), S.DATE_COLUMN).select(*ORDER_COLS)
+
+
+def q_write_csv_roundtrip(spark, sf_dir):
+    folder = scratch_path(spark, "dedup-csv")
+    C.write_csv(deduped_ops(spark, sf_dir), folder)
+    back = C.scan_csv(spark, folder, row_index=False)
+    types = dict(OPS_NUMERIC, fecha_operacion="timestamp")
+    return back.select(*[(F.col(c).try_cast(types[c]) if c in types else F.col(c)).alias(c) for c in back.columns])
+
+
+def q_pipeline_final_rows(spark, sf_dir):
+    from ledgerline.plans.pipeline import ReconciliationJob
+    job = ReconciliationJob(spark, scratch_path(spark, "target"), scratch_path(spark, "runs"), as_of=AS_OF)
+    result = job.run(_ops_csv(spark, sf_dir), pipeline_id="etl_fixture")
+    return result.target.drop("id")
+
+
+def _gen_size(spark, sf_dir) -> int:
+    return table(spark, sf_dir, "lineitem").count()
+
+
+def q_gen_operations(spark, sf_dir):
+    return G.generate_operations(spark, _gen_size(spark, sf_dir), AS_OF)
+
+
+def q_gen_duplicates(spark, sf_dir):
+    n = _gen_size(spark, sf_dir)
+    return G.inject_duplicates(G.generate_operations(spark, n, AS_OF), n, 0.05)
+
+
+def q_gen_errors(spark, sf_dir):
+    n = _gen_size(spark, sf_dir)
+    return G.generate_operational_file(spark, n, AS_OF, 0.05, 0.02)
+
+
 QUERIES = {
     "validation_summary": q_validation_summary,
     "validation_failures": q_validation_failures,
@@ -430,4 +491,12 @@ QUERIES = {
     "report_kpis": q_report_kpis,
     "report_distribution": q_report_distribution,
     "stage_funnel": q_stage_funnel,
+    "scan_csv": q_scan_csv,
+    "csv_row_index": q_csv_row_index,
+    "parse_dates_lenient": q_parse_dates_lenient,
+    "write_csv_roundtrip": q_write_csv_roundtrip,
+    "pipeline_final_rows": q_pipeline_final_rows,
+    "gen_operations": q_gen_operations,
+    "gen_duplicates": q_gen_duplicates,
+    "gen_errors": q_gen_errors,
 }

@@ -366,3 +366,95 @@ UNION ALL SELECT 2, 'valid', CAST(valid AS BIGINT) FROM c
 UNION ALL SELECT 3, 'invalid', CAST(invalid AS BIGINT) FROM c
 UNION ALL SELECT 4, 'duplicates', CAST(duplicates AS BIGINT) FROM c
 UNION ALL SELECT 5, 'loaded', CAST(loaded AS BIGINT) FROM c"""
+
+# ---- CSV, generator, whole job -------------------------------------------------------------------
+_OPS_ALL = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"] + S.OPS_COLUMNS
+ORACLES["scan_csv"] = f"WITH {OPS_CTE}\nSELECT " + ", ".join(
+    f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in _OPS_ALL) + " FROM ops"
+ORACLES["csv_row_index"] = """SELECT count(*) AS rows, count(*) AS distinct_rows, CAST(0 AS BIGINT) AS first_row,
+  count(*) - 1 AS last_row FROM lineitem"""
+ORACLES["parse_dates_lenient"] = f"WITH {OPS_CTE}\nSELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {TS} AS " \
+    "fecha_operacion, monto, l_quantity FROM ops"
+ORACLES["write_csv_roundtrip"] = PIPE + "SELECT * REPLACE (nullif(banco_destino, '') AS banco_destino) FROM deduped"
+ORACLES["pipeline_final_rows"] = PIPE + f"""SELECT fecha_operacion, numero_operacion, tipo_operacion, monto, moneda,
+  substr(cuenta_origen, 1, 50) AS cuenta_origen, nullif(substr(cuenta_destino, 1, 50), '') AS cuenta_destino,
+  substr(banco_origen, 1, 50) AS banco_origen, nullif(substr(banco_destino, 1, 50), '') AS banco_destino,
+  substr(descripcion, 1, 500) AS descripcion, estado, canal, content_hash,
+  TIMESTAMP '{AS_OF}' AS fecha_carga, CAST(0 AS INTEGER) AS is_duplicate
+FROM deduped"""
+
+
+def _gen_sql() -> dict[str, str]:
+    import datetime as dt
+
+    from ledgerline.sources import generator as G
+
+    seed = 42
+
+    def u(salt, rid="id"):
+        return (f"(('0x' || substr(md5('{seed}:' || CAST({rid} AS VARCHAR) || ':{salt}'), 1, 8))::BIGINT "
+                "/ 4294967296.0)")
+
+    def ri(salt, lo, hi, rid="id"):
+        return f"({lo} + CAST(floor({u(salt, rid)} * {hi - lo}) AS BIGINT))"
+
+    def pick(salt, shares):
+        acc, parts = 0.0, []
+        for value, share in shares[:-1]:
+            acc = round(acc + share, 10)
+            parts.append(f"WHEN {u(salt)} < {acc}::DOUBLE THEN {q(value)}")
+        return "CASE " + " ".join(parts) + f" ELSE {q(shares[-1][0])} END"
+
+    def account(salt):
+        return (f"concat_ws('-', lpad(CAST({ri(salt + '1', 100, 999)} AS VARCHAR), 3, '0'), "
+                f"lpad(CAST({ri(salt + '2', 1000000, 9999999)} AS VARCHAR), 7, '0'), "
+                f"CAST({ri(salt + '3', 0, 9)} AS VARCHAR), lpad(CAST({ri(salt + '4', 10, 99)} AS VARCHAR), 2, '0'))")
+
+    start = int((dt.datetime.fromisoformat(AS_OF) - dt.datetime(1970, 1, 1)).total_seconds()) - 30 * 86400
+    words = "[" + ", ".join(q(w) for w in G.WORDS) + "]"
+    banks = "[" + ", ".join(q(b) for b in S.BANKS) + "]"
+    desc = ("concat_ws(' ', " + ", ".join(f"{words}[{ri(f'w{i}', 0, len(G.WORDS))} + 1]" for i in range(6))
+            + ") || '.'")
+    clean = f"""clean AS (SELECT id AS gen_id,
+  make_timestamp(({start} + {ri('day', 0, 31)} * 86400 + {ri('hour', 0, 24)} * 3600
+                  + {ri('minute', 0, 60)} * 60) * 1000000) AS fecha_operacion,
+  printf('OP-%08d', id + 1) AS numero_operacion,
+  {pick('tipo', G.TIPO_SHARES)} AS tipo_operacion,
+  CAST(1000 + CAST(floor({u('amount')} * 4999000) AS BIGINT) AS DOUBLE) / 100.0 AS monto,
+  {pick('moneda', G.MONEDA_SHARES)} AS moneda,
+  {account('o')} AS cuenta_origen,
+  CASE WHEN {u('dnull')} < 0.3::DOUBLE THEN NULL ELSE {account('d')} END AS cuenta_destino,
+  {banks}[{ri('bank_o', 0, 10)} + 1] AS banco_origen,
+  CASE WHEN {u('bnull')} < 0.3::DOUBLE THEN NULL ELSE {banks}[{ri('bank_d', 0, 10)} + 1] END AS banco_destino,
+  {desc} AS descripcion,
+  {pick('estado', G.ESTADO_SHARES)} AS estado,
+  {pick('canal', G.CANAL_SHARES)} AS canal
+FROM (SELECT range AS id FROM range((SELECT count(*) FROM lineitem))))"""
+    dups = f"""n AS (SELECT count(*) AS n FROM lineitem),
+picks AS (SELECT range AS copy_no, CAST(floor({u('dup', 'range')} * (SELECT n FROM n)) AS BIGINT) AS gen_id
+          FROM range(CAST(floor((SELECT n FROM n) * 0.05::DOUBLE) AS BIGINT))),
+withdups AS (SELECT *, gen_id AS source_id, false AS is_copy FROM clean
+  UNION ALL SELECT c.* REPLACE ((SELECT n FROM n) + p.copy_no AS gen_id), c.gen_id AS source_id, true AS is_copy
+  FROM picks p JOIN clean c ON p.gen_id = c.gen_id)"""
+    kinds = "[" + ", ".join(q(k) for k in G.ERROR_KINDS) + "]"
+    errs = f"""tot AS (SELECT (SELECT n FROM n) + CAST(floor((SELECT n FROM n) * 0.05::DOUBLE) AS BIGINT) AS t),
+chosen AS (SELECT (range * {G.ERROR_STRIDE} + {seed} % (SELECT t FROM tot)) % (SELECT t FROM tot) AS gen_id
+           FROM range(CAST(floor((SELECT t FROM tot) * 0.02::DOUBLE) AS BIGINT))),
+marked AS (SELECT w.*, CASE WHEN c.gen_id IS NOT NULL THEN {kinds}[{ri('err', 0, 5, 'c.gen_id')} + 1] END AS error_kind
+           FROM withdups w LEFT JOIN chosen c ON w.gen_id = c.gen_id)"""
+    out = {}
+    out["gen_operations"] = f"WITH {clean}\nSELECT * FROM clean"
+    out["gen_duplicates"] = f"WITH {clean},\n{dups}\nSELECT * FROM withdups"
+    out["gen_errors"] = f"""WITH {clean},\n{dups},\n{errs}
+SELECT * REPLACE (
+  CASE WHEN error_kind = 'invalid_date' THEN 'FECHA_INVALIDA' ELSE strftime(fecha_operacion, '%Y-%m-%d %H:%M:%S') END
+    AS fecha_operacion,
+  CASE WHEN error_kind = 'negative_amount' THEN -abs(monto) ELSE monto END AS monto,
+  CASE WHEN error_kind = 'null_operation_id' THEN NULL ELSE numero_operacion END AS numero_operacion,
+  CASE WHEN error_kind = 'invalid_state' THEN 'ESTADO_DESCONOCIDO' ELSE estado END AS estado,
+  CASE WHEN error_kind = 'missing_account' THEN NULL ELSE cuenta_origen END AS cuenta_origen)
+FROM marked"""
+    return out
+
+
+ORACLES.update(_gen_sql())

@@ -74,3 +74,9 @@ def broadcast_limit(spark: SparkSession) -> int:
             break
     value = int(float(text) * mult)
     return value if value > 0 else 0
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder (for intermediate tables)."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
