@@ -68,11 +68,15 @@ def prepare_batch(batch: DataFrame, key: str = S.KEY_COLUMN, on_duplicate: str =
         return batch.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
     if on_duplicate != "error":
         raise ValueError(f"Unknown on_duplicate: {on_duplicate}")
+    return batch
+
+
+def check_unique_batch(batch: DataFrame, key: str) -> None:
+    """Fail fast when a batch key repeats (run on the materialised batch, not its lineage)."""
     dup = duplicate_source_keys(batch, key).limit(1).collect()
     if dup:
         raise ValueError(f"batch holds key {dup[0][key]!r} {dup[0]['n']} times; "
                          "use on_duplicate='last' with order_by to keep one")
-    return batch
 
 
 def _target_columns(target: DataFrame) -> list[str]:
@@ -103,6 +107,8 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
             src_cols[c] = F.lit(None).cast(target.schema[c].dataType).alias(c)
     src = batch.select(*src_cols.values(), F.monotonically_increasing_id().alias("__seq"))
     src, _, nbytes = materialize(src)
+    if on_duplicate == "error":
+        check_unique_batch(src, key)
     max_id = target.agg(F.max("id").alias("m")).first()["m"] if "id" in cols else None
     base_id = (max_id if max_id is not None else 0) + 1
     limit = broadcast_limit(target.sparkSession)

@@ -248,7 +248,9 @@ def upsert_sides(spark, sf_dir):
     tgt = (norm.filter(F.col("l_orderkey") % 2 == 0)
            .withColumn("fecha_carga", F.lit(TARGET_LOADED).cast("timestamp"))
            .withColumn("is_duplicate", F.lit(0)))
-    target = U.to_target(D.with_content_hash(tgt), ids=F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    is_bad = F.col(S.KEY_COLUMN).startswith("BAD").cast("long")
+    target = U.to_target(D.with_content_hash(tgt),
+                         ids=(F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 2 + is_bad)
     batch = D.with_content_hash(norm.filter(F.col("l_orderkey") % 3 == 0).withColumn("monto", F.col("monto") + 1)
                                 .withColumn("is_duplicate", F.lit(0)))
     return target, batch

@@ -3,8 +3,8 @@
 Per-key facts (group size, first row of a group) are computed with a hash aggregate: partial
 aggregation on the map side shrinks a hot key to one row per input partition before the
 shuffle, so one key holding a third of all rows costs nothing extra there. The small per-key
-table is written to the shared checkpoint folder (cuts lineage, survives executor loss), its
-real byte size is measured, and only then is it broadcast. Above the limit the join is a plain
+table is written as parquet to the shared checkpoint folder (cuts lineage, survives executor
+loss), its real byte size is observed during that write, and only then is it broadcast. Above the limit the join is a plain
 shuffle join; AQE's skew-join split then cuts a hot key's row partition into pieces.
 """
 
@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.session import broadcast_limit, checkpoint_dir
+from ledgerline.session import broadcast_limit, scratch_path
 
 
 def _width(field: T.StructField) -> Column:
@@ -31,14 +31,21 @@ def _width(field: T.StructField) -> Column:
 
 
 def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
-    """Write ``df`` to the checkpoint folder and measure it: (frame, rows, bytes)."""
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Returns (frame, rows, bytes). Rows and an in-memory byte size are observed on the write job
+    itself (one pass); the written files cut the lineage, so later stages and retries read them
+    instead of recomputing the input.
+    """
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    saved = df.checkpoint(eager=True)
-    widths = [_width(f) for f in saved.schema.fields] or [F.lit(1).cast("long")]
-    row = saved.agg(F.count(F.lit(1)).alias("n"),
-                    F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0)).alias("b")).first()
-    return saved, int(row["n"]), int(row["b"])
+    path = scratch_path(spark, "keys")
+    widths = [_width(f) for f in df.schema.fields] or [F.lit(1).cast("long")]
+    obs = Observation(f"size_{path.rsplit('-', 1)[-1]}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("n"),
+                          F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0)).alias("b"))
+    observed.write.mode("errorifexists").parquet(path)
+    m = obs.get
+    return spark.read.schema(df.schema).parquet(path), int(m["n"]), int(m["b"])
 
 
 def sized_side(df: DataFrame) -> tuple[DataFrame, bool]:
