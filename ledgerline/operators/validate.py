@@ -143,7 +143,9 @@ class Validation:
             exp = F.lit(None).cast("double")
         else:
             exp = F.lit(float(expected))
-            ok = F.abs(actual.cast("double") - exp) < F.lit(S.CHECKSUM_TOLERANCE)
+            # exact decimal difference: 10.00 vs 10.01 is 0.01 (a double difference is 0.00999...)
+            exp_dec = F.lit(repr(float(expected))).cast("decimal(38,10)")
+            ok = F.abs(actual - exp_dec) < F.lit(str(S.CHECKSUM_TOLERANCE)).cast("decimal(38,10)")
         return total.select(exp.alias("expected_total"), actual.cast("double").alias("actual_total"),
                             ok.alias("checksum_ok"), actual.cast("string").alias("actual_text"))
 

@@ -130,13 +130,13 @@ ORACLES["missing_column"] = (f"{WITH_BASE},\n{fails_cte(skip_columns=('canal',))
                              f"UNION ALL SELECT 'canal', {q(S.MSG_MISSING_COLUMN)}, 1")
 ORACLES["control_total"] = f"""{WITH_BASE},\n{SCORED},\n{VALID}
 SELECT 1000000.0::DOUBLE AS expected_total, coalesce({_sum2('monto')}, 0)::DOUBLE AS actual_total,
-       abs(coalesce({_sum2('monto')}, 0)::DOUBLE - 1000000.0) < 0.01 AS checksum_ok
+       abs(coalesce({_sum2('monto')}, 0) - CAST('1000000.0' AS DECIMAL(38,10))) < 0.01 AS checksum_ok
 FROM valid"""
 ORACLES["validation_warnings"] = f"""{WITH_BASE},\n{SCORED},\n{VALID},
 tot AS (SELECT coalesce({_sum2('monto')}, 0) AS t FROM valid),
 dups AS (SELECT (SELECT count(*) FROM ops) - (SELECT count(*) FROM (SELECT DISTINCT numero_operacion FROM ops)) AS n)
 SELECT 'Checksum mismatch: expected 1000000.0, got ' || CAST(t AS VARCHAR) AS message FROM tot
-WHERE NOT abs(t::DOUBLE - 1000000.0) < 0.01
+WHERE NOT abs(t - CAST('1000000.0' AS DECIMAL(38,10))) < 0.01
 UNION ALL
 SELECT 'Found ' || CAST(n AS VARCHAR) || ' duplicate operation IDs' FROM dups WHERE n > 0"""
 ORACLES["custom_rules"] = """

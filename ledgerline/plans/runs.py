@@ -32,11 +32,16 @@ def write_records(runs: DataFrame, directory: str) -> None:
 
 
 def read_all(spark: SparkSession, directory: str, multi_line: bool = False) -> DataFrame:
-    """All records with a ``_corrupt_record`` column (null on good rows). Not cached."""
-    return (spark.read.schema(S.RUN_SCHEMA_READ)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("multiLine", multi_line)
-            .json(directory))
+    """All records with a ``_corrupt_record`` column (null on good rows).
+
+    Files are read as text (one record per line, or one per file with ``multi_line``) and parsed
+    with ``from_json`` in permissive mode: a damaged record becomes a row whose only non-null
+    field is its raw text, and any query over the result stays allowed.
+    """
+    text = spark.read.text(directory, wholetext=multi_line)
+    parsed = F.from_json(F.col("value"), S.RUN_SCHEMA_READ,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return text.filter(F.trim(F.col("value")) != "").select(parsed.alias("r")).select("r.*")
 
 
 def run_history(spark: SparkSession, directory: str, multi_line: bool = False) -> DataFrame:
