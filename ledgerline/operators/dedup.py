@@ -29,11 +29,12 @@ def _asc(cols) -> list[Column]:
 def with_content_hash(df: DataFrame, columns: list[str] | None = None, out: str = S.HASH_COLUMN,
                       hash_len: int = S.HASH_LENGTH, separator: str = "", string_null: str = "None",
                       reuse: bool = True) -> DataFrame:
-    """Add the content hash; an existing ``out`` column is reused when ``reuse``."""
-    if reuse and out in df.columns:
-        return df
+    """Add the content hash; hashes already in ``out`` are kept when ``reuse`` (nulls are filled)."""
     cols = columns or S.HASH_SOURCE_COLUMNS
-    return df.withColumn(out, content_hash_column(df.schema, cols, hash_len, separator, string_null))
+    fresh = content_hash_column(df.schema, cols, hash_len, separator, string_null)
+    if reuse and out in df.columns:
+        return df.withColumn(out, F.coalesce(F.col(out).cast("string"), fresh))
+    return df.withColumn(out, fresh)
 
 
 def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
