@@ -85,12 +85,16 @@ def _target_columns(target: DataFrame) -> list[str]:
 
 def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, load_time=None,
                  on_duplicate: str = "error", order_by: list[str] | None = None,
-                 strategy: str = "auto") -> DataFrame:
+                 strategy: str = "auto", max_id: int | None = None) -> DataFrame:
     """K5/K6: the merged target, one row per key, with ``_action`` in kept / inserted / updated.
 
     ``batch`` must carry the target's value columns (missing ones become NULL). New rows get
     ``id = max(target.id) + 1 + n`` where n is unique per new row (not dense), fixed by writing
-    the batch to the checkpoint folder first, so a retried task reproduces the same ids.
+    the batch to the checkpoint folder first, so a retried task reproduces the same ids; pass
+    ``max_id`` when it is known (the snapshot store keeps it) to skip the scan for it.
+
+    If the target has one row per key, so has the result: kept keys and batch keys are disjoint
+    by construction and the (materialised, small) batch is checked for repeated keys here.
     """
     cols = _target_columns(target)
     batch = prepare_batch(batch, key, on_duplicate, order_by)
@@ -109,7 +113,8 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
     src, _, nbytes = materialize(src)
     if on_duplicate == "error":
         check_unique_batch(src, key)
-    max_id = target.agg(F.max("id").alias("m")).first()["m"] if "id" in cols else None
+    if max_id is None and "id" in cols:
+        max_id = target.agg(F.max("id").alias("m")).first()["m"]
     base_id = (max_id if max_id is not None else 0) + 1
     limit = broadcast_limit(target.sparkSession)
     small = limit > 0 and nbytes <= limit

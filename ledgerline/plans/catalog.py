@@ -427,6 +427,24 @@ def q_gen_errors(spark, sf_dir):
     return G.generate_operational_file(spark, n, AS_OF, 0.05, 0.02)
 
 
+def q_target_schema(spark, sf_dir):
+    """K2 + K6: create the target with its fixed schema, load the deduplicated rows, read it back."""
+    from ledgerline.plans.store import TargetStore
+    store = TargetStore(spark, scratch_path(spark, "target"))
+    target = store.create()
+    batch = U.normalize_load(deduped_ops(spark, sf_dir)).withColumn("is_duplicate", F.lit(0))
+    store.publish(U.upsert_merge(target, batch, load_time=AS_OF, max_id=store.max_id()), assert_key=False)
+    return store.current().drop("id")
+
+
+def q_exact_duplicates(spark, sf_dir):
+    return D.exact_duplicate_count(ops(spark, sf_dir).select(*S.OPS_COLUMNS))
+
+
+def q_report_header(spark, sf_dir):
+    return R.report_header(runs_ops(spark, sf_dir))
+
+
 QUERIES = {
     "validation_summary": q_validation_summary,
     "validation_failures": q_validation_failures,
@@ -501,4 +519,7 @@ QUERIES = {
     "gen_operations": q_gen_operations,
     "gen_duplicates": q_gen_duplicates,
     "gen_errors": q_gen_errors,
+    "target_schema": q_target_schema,
+    "exact_duplicates": q_exact_duplicates,
+    "report_header": q_report_header,
 }

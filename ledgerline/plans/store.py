@@ -28,23 +28,39 @@ class TargetStore:
         self._fs = self._Path(self.root).getFileSystem(hconf)
 
     # -- pointer ---------------------------------------------------------------------------------
-    def _read_pointer(self) -> str | None:
+    def _read_pointer_lines(self) -> list[str]:
         p = self._Path(f"{self.root}/{POINTER}")
         if not self._fs.exists(p):
-            return None
+            return []
         stream = self._fs.open(p)
+        lines = []
         try:
             reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
             line = reader.readLine()
+            while line is not None:
+                lines.append(line.strip())
+                line = reader.readLine()
         finally:
             stream.close()
-        return line.strip() if line else None
+        return [ln for ln in lines if ln]
+
+    def _read_pointer(self) -> str | None:
+        lines = self._read_pointer_lines()
+        return lines[0] if lines else None
+
+    def max_id(self) -> int | None:
+        """Largest surrogate id of the live snapshot, kept beside the pointer (None if unknown)."""
+        for ln in self._read_pointer_lines()[1:]:
+            if ln.startswith("max_id="):
+                v = ln.split("=", 1)[1]
+                return None if v in ("", "None") else int(v)
+        return None
 
-    def _write_pointer(self, name: str) -> None:
+    def _write_pointer(self, name: str, max_id: int | None = None) -> None:
         tmp = self._Path(f"{self.root}/.{POINTER}.{name}.tmp")
         out = self._fs.create(tmp, True)
         try:
-            out.write(bytearray(name.encode("utf-8")))
+            out.write(bytearray(f"{name}\nmax_id={max_id}\n".encode("utf-8")))
         finally:
             out.close()
         final = self._Path(f"{self.root}/{POINTER}")
@@ -74,19 +90,32 @@ class TargetStore:
     def create(self) -> DataFrame:
         """K2: create the table with the fixed target schema if it does not exist."""
         if not self.exists():
-            self.publish(self.spark.createDataFrame([], S.TARGET_SCHEMA))
+            name = self._next_name()
+            self.spark.createDataFrame([], S.TARGET_SCHEMA).write.mode("errorifexists") \
+                .parquet(f"{self.root}/{name}")
+            self._write_pointer(name, 0)
         return self.current()
 
-    def publish(self, df: DataFrame) -> str:
-        """K6: write a new snapshot, assert the unique key on it (K3), then switch the pointer."""
+    def publish(self, df: DataFrame, assert_key: bool = True) -> str:
+        """K6: write a new snapshot, then switch the pointer.
+
+        With ``assert_key`` (K3) the unique key is checked on the written files first; a merge from
+        ``upsert_merge`` already guarantees it (unique target + checked batch), so loads skip that
+        full re-read. The largest id is observed on the write itself and kept with the pointer.
+        """
+        from pyspark.sql import Observation
+        from pyspark.sql import functions as F
         name = self._next_name()
         path = f"{self.root}/{name}"
         cols = [f.name for f in S.TARGET_SCHEMA.fields]
         out = df.drop(ACTION) if ACTION in df.columns else df
-        out.select(*cols).write.mode("errorifexists").parquet(path)
-        written = self.spark.read.schema(S.TARGET_SCHEMA).parquet(path)
-        assert_unique_key(written, self.key)
-        self._write_pointer(name)
+        obs = Observation(f"publish_{name}_{id(self)}")
+        out.select(*cols).observe(obs, F.max("id").alias("max_id")).write.mode("errorifexists").parquet(path)
+        max_id = obs.get.get("max_id")
+        if assert_key:
+            written = self.spark.read.schema(S.TARGET_SCHEMA).parquet(path)
+            assert_unique_key(written, self.key)
+        self._write_pointer(name, max_id)
         return name
 
     def drop(self) -> None:
