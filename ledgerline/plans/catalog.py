@@ -16,6 +16,7 @@ from ledgerline.operators.rules import ColumnSpec, RuleSet, default_rules, great
 from ledgerline.operators.validate import Validation, duplicate_warning, validate
 from ledgerline.operators import upsert as U
 from ledgerline.plans import runs as R
+from ledgerline.plans.keyjoin import materialize
 from ledgerline.session import scratch_path
 from ledgerline.sources import csv as C
 from ledgerline.sources import generator as G
@@ -253,6 +254,9 @@ def upsert_sides(spark, sf_dir):
                          ids=(F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 2 + is_bad)
     batch = D.with_content_hash(norm.filter(F.col("l_orderkey") % 3 == 0).withColumn("monto", F.col("monto") + 1)
                                 .withColumn("is_duplicate", F.lit(0)))
+    # both sides are stored tables in practice: write them once instead of recomputing the lineage
+    target, _, _ = materialize(target)
+    batch, _, _ = materialize(batch)
     return target, batch
 
 
@@ -308,9 +312,7 @@ def q_normalize_load(spark, sf_dir):
 # ---- run history ----------------------------------------------------------------------------------
 def runs_ops(spark, sf_dir):
     """One run record per l_linenumber batch of the ops fixture."""
-    v = _validation(spark, sf_dir)
-    valid_hashed = D.with_content_hash(v.valid())
-    return R.runs_from_batches(v.annotated, valid_hashed, "l_linenumber", AS_OF, error_row="l_orderkey")
+    return R.runs_from_batches(_validation(spark, sf_dir), "l_linenumber", AS_OF, error_row="l_orderkey")
 
 
 def _scalars(runs):
@@ -419,7 +421,7 @@ def q_gen_operations(spark, sf_dir):
 
 def q_gen_duplicates(spark, sf_dir):
     n = _gen_size(spark, sf_dir)
-    return G.inject_duplicates(G.generate_operations(spark, n, AS_OF), n, 0.05)
+    return G.inject_duplicates(G.generate_operations(spark, n, AS_OF), n, 0.05, as_of=AS_OF)
 
 
 def q_gen_errors(spark, sf_dir):

@@ -158,21 +158,30 @@ def stage_funnel(counts: list[DataFrame] | dict[str, int], spark: SparkSession |
     return out
 
 
-def runs_from_batches(annotated: DataFrame, valid_hashed: DataFrame, batch_col: str, started,
-                      errors_per_run: int = 100, error_row: str | None = None) -> DataFrame:
-    """One run record per value of ``batch_col`` (e.g. one input file per run), in one job.
-
-    ``annotated`` carries ``_failures`` (validation output), ``valid_hashed`` the valid rows with
-    their content hash. Per run: counts, hash duplicates, and the first ``errors_per_run`` failures
-    ordered by (row, column, error) -- a bounded top-k per run, never a whole group.
+def runs_from_batches(validation, batch_col: str, started, errors_per_run: int = 100,
+                      error_row: str | None = None) -> DataFrame:
+    """One run record per value of ``batch_col`` (e.g. one input file per run).
+
+    Two scans of the validated rows: one aggregate for every counter (rows grouped by run and by
+    the content hash of the valid ones: input, passed, loaded = distinct hashes, duplicates), and
+    the first ``errors_per_run`` failures per run ordered by (row, column, error) -- a bounded
+    top-k per run (partial ``WindowGroupLimit``), never a whole group.
     """
-    base = annotated.groupBy(batch_col).agg(
-        F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(F.size(FAILURES) == 0).alias("validation_passed"),
-        F.count_if(F.size(FAILURES) > 0).alias("validation_failed"))
-    per_hash = valid_hashed.groupBy(batch_col, S.HASH_COLUMN).agg(F.count(F.lit(1)).alias("__n"))
-    dup = per_hash.groupBy(batch_col).agg((F.sum("__n") - F.count(F.lit(1))).cast("long").alias("duplicates_found"),
-                                          F.count(F.lit(1)).alias("rows_loaded"))
+    from ledgerline.functions.hashing import content_hash_column
+    annotated = validation.annotated
+    typed_all = validation._typed_select(annotated)
+    valid = F.size(FAILURES) == 0
+    h = F.when(valid, content_hash_column(typed_all.schema, S.HASH_SOURCE_COLUMNS))
+    per_hash = (typed_all.select(batch_col, valid.alias("__v"), h.alias("__h"))
+                .groupBy(batch_col, "__h").agg(F.count(F.lit(1)).alias("__n"), F.count_if("__v").alias("__nv")))
+    counts = per_hash.groupBy(batch_col).agg(
+        F.sum("__n").cast("long").alias("input_rows"),
+        F.sum("__nv").cast("long").alias("validation_passed"),
+        F.count_if(F.col("__h").isNotNull()).alias("rows_loaded"))
+    base = counts.select(batch_col, "input_rows", "validation_passed",
+                         (F.col("input_rows") - F.col("validation_passed")).alias("validation_failed"),
+                         (F.col("validation_passed") - F.col("rows_loaded")).alias("duplicates_found"),
+                         "rows_loaded")
     row_id = F.col(error_row).cast("long") if error_row else F.lit(None).cast("long")
     fails = (annotated.select(batch_col, row_id.alias("row"), F.explode(FAILURES).alias("_f"))
              .select(batch_col, "row", F.col("_f.column").alias("column"), F.col("_f.error").alias("error")))
@@ -186,7 +195,7 @@ def runs_from_batches(annotated: DataFrame, valid_hashed: DataFrame, batch_col:
                       .alias("validation_errors"))
     start = (F.lit(str(started)).cast("timestamp") if not isinstance(started, Column) else started) \
         + F.make_dt_interval(F.lit(0), F.col(batch_col).cast("int"))
-    runs = (base.join(dup, batch_col, "left").join(errs, batch_col, "left")
+    runs = (base.join(errs, batch_col, "left")
             .withColumn("start_time", start)
             .withColumn("end_time", F.timestamp_micros(F.unix_micros(F.col("start_time"))
                                                        + F.col("input_rows") * F.lit(1000))))

@@ -57,11 +57,8 @@ def _account(seed: int, rid: Column, salt: str) -> Column:
     return F.concat_ws("-", *parts)
 
 
-def generate_operations(spark: SparkSession, n_rows: int, as_of: str, seed: int = 42,
-                        num_partitions: int | None = None) -> DataFrame:
-    """``n_rows`` clean operations with ids OP-00000001.., dates in the 30 days before ``as_of``."""
-    base = spark.range(0, n_rows, 1, num_partitions) if num_partitions else spark.range(n_rows)
-    rid = F.col("id")
+def _rows(base: DataFrame, rid: Column, as_of: str, seed: int) -> list[Column]:
+    """The columns of the operation with id ``rid`` (a pure function of the id)."""
     start = F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.lit(30 * 86400)
     secs = (start + randint(draw(seed, rid, "day"), 0, 31) * 86400 + randint(draw(seed, rid, "hour"), 0, 24) * 3600
             + randint(draw(seed, rid, "minute"), 0, 60) * 60)
@@ -72,8 +69,7 @@ def generate_operations(spark: SparkSession, n_rows: int, as_of: str, seed: int
     bank_o = F.element_at(banks, (randint(draw(seed, rid, "bank_o"), 0, len(S.BANKS)) + 1).cast("int"))
     bank_d = F.element_at(banks, (randint(draw(seed, rid, "bank_d"), 0, len(S.BANKS)) + 1).cast("int"))
     cents = F.lit(AMOUNT_MIN_CENTS) + F.floor(draw(seed, rid, "amount") * F.lit(AMOUNT_SPAN_CENTS)).cast("long")
-    return base.select(
-        rid.alias("gen_id"),
+    return [
         F.timestamp_seconds(secs).alias("fecha_operacion"),
         F.format_string("OP-%08d", rid + 1).alias("numero_operacion"),
         pick(draw(seed, rid, "tipo"), TIPO_SHARES).alias("tipo_operacion"),
@@ -88,14 +84,22 @@ def generate_operations(spark: SparkSession, n_rows: int, as_of: str, seed: int
         desc.alias("descripcion"),
         pick(draw(seed, rid, "estado"), ESTADO_SHARES).alias("estado"),
         pick(draw(seed, rid, "canal"), CANAL_SHARES).alias("canal"),
-    )
+    ]
 
 
-def inject_duplicates(df: DataFrame, n_rows: int, rate: float, seed: int = 42) -> DataFrame:
-    """Append ``int(n * rate)`` exact copies of rows drawn with replacement (equi-join on gen_id).
+def generate_operations(spark: SparkSession, n_rows: int, as_of: str, seed: int = 42,
+                        num_partitions: int | None = None) -> DataFrame:
+    """``n_rows`` clean operations with ids OP-00000001.., dates in the 30 days before ``as_of``."""
+    base = spark.range(0, n_rows, 1, num_partitions) if num_partitions else spark.range(n_rows)
+    return base.select(F.col("id").alias("gen_id"), *_rows(base, F.col("id"), as_of, seed))
+
 
-    The copies are keyed by a draw per copy number; the join is a plain equi-join (the copy list is
-    as large as the rate makes it, so it is not broadcast blindly).
+def inject_duplicates(df: DataFrame, n_rows: int, rate: float, seed: int = 42, as_of: str | None = None) -> DataFrame:
+    """Append ``int(n * rate)`` exact copies of rows drawn with replacement.
+
+    Copy ``j`` repeats row ``floor(u(j) * n)``. Rows are a pure function of their id, so with
+    ``as_of`` the copies are generated straight from the drawn ids (no join, no second pass over
+    the originals); without it they are fetched from ``df`` by an equi-join on ``gen_id``.
     """
     k = int(n_rows * rate)
     originals = df.withColumn("source_id", F.col("gen_id")).withColumn("is_copy", F.lit(False))
@@ -103,10 +107,15 @@ def inject_duplicates(df: DataFrame, n_rows: int, rate: float, seed: int = 42) -
         return originals
     spark = df.sparkSession
     picks = spark.range(k).select(F.col("id").alias("copy_no"),
-                                  randint(draw(seed, F.col("id"), "dup"), 0, n_rows).alias("gen_id"))
-    copies = (picks.join(df, "gen_id", "inner").withColumn("source_id", F.col("gen_id"))
-              .withColumn("gen_id", F.lit(n_rows) + F.col("copy_no")).drop("copy_no")
-              .withColumn("is_copy", F.lit(True)))
+                                  randint(draw(seed, F.col("id"), "dup"), 0, n_rows).alias("source_id"))
+    if as_of is not None:
+        copies = picks.select((F.lit(n_rows) + F.col("copy_no")).alias("gen_id"),
+                              *_rows(picks, F.col("source_id"), as_of, seed), "source_id",
+                              F.lit(True).alias("is_copy"))
+    else:
+        copies = (picks.join(df.withColumnRenamed("gen_id", "source_id"), "source_id", "inner")
+                  .withColumn("gen_id", F.lit(n_rows) + F.col("copy_no")).drop("copy_no")
+                  .withColumn("is_copy", F.lit(True)))
     return originals.unionByName(copies)
 
 
@@ -120,21 +129,21 @@ def _stride(n: int) -> int:
 def inject_errors(df: DataFrame, n_rows: int, rate: float, seed: int = 42) -> DataFrame:
     """``int(n * rate)`` distinct rows get one of five errors.
 
-    Rows are chosen as ``(stride * j + offset) mod n`` for j < k with stride coprime to n: k distinct
-    rows, no sort, no driver-side list. The error kind is a draw per chosen row.
+    The chosen rows are ``(stride * j + offset) mod n`` for j < k, stride coprime to n. Each row
+    finds its own j with the modular inverse of the stride (j = (id - offset) * inv mod n) and is
+    chosen iff j < k: exact count, distinct rows, no join, no sort, no list on the driver.
     """
     k = int(n_rows * rate)
     if k == 0:
         return df.withColumn("error_kind", F.lit(None).cast("string"))
-    spark = df.sparkSession
     stride = _stride(n_rows)
+    inv = pow(stride, -1, n_rows)
     offset = seed % n_rows
-    chosen = spark.range(k).select(
-        ((F.col("id") * F.lit(stride) + F.lit(offset)) % F.lit(n_rows)).alias("gen_id"))
+    dec = "decimal(38,0)"
+    j = F.pmod((F.col("gen_id") - F.lit(offset)).cast(dec) * F.lit(inv).cast(dec), F.lit(n_rows).cast(dec))
     kinds = F.array(*[F.lit(e) for e in ERROR_KINDS])
-    chosen = chosen.withColumn("error_kind", F.element_at(
-        kinds, (randint(draw(seed, F.col("gen_id"), "err"), 0, len(ERROR_KINDS)) + 1).cast("int")))
-    marked = df.join(chosen, "gen_id", "left")
+    kind = F.element_at(kinds, (randint(draw(seed, F.col("gen_id"), "err"), 0, len(ERROR_KINDS)) + 1).cast("int"))
+    marked = df.withColumn("error_kind", F.when(j < F.lit(k), kind))
     e = F.col("error_kind")
     return marked.select(
         *[c for c in df.columns if c not in ("fecha_operacion", "monto", "numero_operacion", "estado",
@@ -154,6 +163,6 @@ def generate_operational_file(spark: SparkSession, n_rows: int, as_of: str, dupl
                               error_rate: float = 0.02, seed: int = 42) -> DataFrame:
     """S7 + S8 + S9: clean rows, then copies, then errors over all ``n + copies`` rows."""
     clean = generate_operations(spark, n_rows, as_of, seed)
-    with_dups = inject_duplicates(clean, n_rows, duplicate_rate, seed)
+    with_dups = inject_duplicates(clean, n_rows, duplicate_rate, seed, as_of=as_of)
     total = n_rows + int(n_rows * duplicate_rate)
     return inject_errors(with_dups, total, error_rate, seed)
