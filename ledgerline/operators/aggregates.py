@@ -79,17 +79,18 @@ def profile_totals(df: DataFrame, amount_col: str = S.AMOUNT_COLUMN) -> DataFram
 def value_counts(df: DataFrame, columns: list[str] | None = None, with_share: bool = False) -> DataFrame:
     """A3: (column, value, count[, share]) for several columns in one pass; null values not listed.
 
-    The columns are unpivoted and grouped once (partial aggregation first). The share divides by all
-    rows, nulls included: the null group is counted too and dropped only after a window sum over
-    the tiny count table (a handful of rows per column), so no second scan and no cross join.
+    The columns are unpivoted and grouped once (partial aggregation first). The share divides by
+    all rows, nulls included: per-column totals are summed from the count table itself (one row
+    per profiled column, so the broadcast side has a proven bound) and joined back on ``column``.
+    No window over a column's values, however many distinct values it has, and no second scan.
     """
-    from pyspark.sql import Window
     cols = columns or ["tipo_operacion", "estado", "moneda"]
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
     if with_share:
-        total = F.sum("count").over(Window.partitionBy("column"))
-        counts = counts.withColumn("share", F.col("count") / total)
+        totals = counts.groupBy("column").agg(F.sum("count").alias("__total"))
+        counts = (counts.join(F.broadcast(totals), "column", "inner")
+                  .withColumn("share", F.col("count") / F.col("__total")).drop("__total"))
     return counts.filter(F.col("value").isNotNull())
 
 

@@ -25,6 +25,7 @@ from ledgerline.operators.rules import RuleSet, default_rules
 from ledgerline.operators.validate import validate
 from ledgerline.plans import runs as R
 from ledgerline.plans.store import TargetStore
+from ledgerline.session import release_scratch, scratch_mark
 from ledgerline.sources.csv import ROW, scan_csv, write_csv
 
 
@@ -66,6 +67,7 @@ class ReconciliationJob:
                    duplicates_found=0, duplicates_removed=0, rows_loaded=0, rows_updated=0, load_failed=0,
                    processing_time_seconds=0.0, status="running", error_message="")
         annotated = None
+        mark = scratch_mark()
         try:
             raw = self._extract(source)
             order_by = self.order_by or ([ROW] if ROW in raw.columns else None)
@@ -110,6 +112,7 @@ class ReconciliationJob:
         finally:
             if annotated is not None:
                 annotated.unpersist()
+            release_scratch(self.spark, mark)    # this run's intermediate tables
         self._finish(rec)
         return RunResult(rec, self.store.current())
 

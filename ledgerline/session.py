@@ -77,7 +77,32 @@ def broadcast_limit(spark: SparkSession) -> int:
     return value if value > 0 else 0
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder (for intermediate tables)."""
     import uuid
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """Position in the list of scratch folders handed out so far."""
+    return len(_SCRATCH)
+
+
+def release_scratch(spark: SparkSession, since: int) -> int:
+    """Delete the scratch folders handed out after ``since`` (a job's own intermediates)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    removed = 0
+    for path in _SCRATCH[since:]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed += 1
+    del _SCRATCH[since:]
+    return removed
