@@ -101,12 +101,12 @@ def report_sample(df: DataFrame, order_by: list[str], n: int = 100) -> DataFrame
 
 def semi_existing(batch: DataFrame, target: DataFrame, key: str = S.KEY_COLUMN) -> DataFrame:
     """Rows of ``batch`` whose key exists in ``target`` (left semi join)."""
-    return batch.join(target.select(key), key, "left_semi")
+    return batch.join(target.select(key), key, "left_semi").select(*batch.columns)
 
 
 def anti_new(batch: DataFrame, target: DataFrame, key: str = S.KEY_COLUMN) -> DataFrame:
     """Rows of ``batch`` whose key does not exist in ``target`` (left anti join)."""
-    return batch.join(target.select(key), key, "left_anti")
+    return batch.join(target.select(key), key, "left_anti").select(*batch.columns)
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 A merge is a pure ``DataFrame`` function: existing keys take the batch's values (all columns but
 id, key and is_duplicate), new keys are inserted, the rest is kept; ``_action`` says which.
-Two plans give the same rows:
+Three plans give the same rows:
 
 * ``broadcast`` -- the batch is measured and proven small: the target is streamed once through
   a broadcast anti join (kept rows) and a broadcast inner join on its key/id columns (matched
   keys); the target is never shuffled, whatever its size.
+* ``keyed`` -- the batch is large but the keys it shares with the target are few: only the
+  target's (key, id, is_duplicate) columns are shuffled to find them; the other target rows pass
+  through a broadcast anti join unshuffled.
 * ``shuffle`` -- a full outer equi-join on the key with presence markers on both sides.
 
 Presence comes from literal markers, never from a value column being null.
@@ -85,7 +88,8 @@ def _target_columns(target: DataFrame) -> list[str]:
 
 def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, load_time=None,
                  on_duplicate: str = "error", order_by: list[str] | None = None,
-                 strategy: str = "auto", max_id: int | None = None) -> DataFrame:
+                 strategy: str = "auto", max_id: int | None = None,
+                 broadcast_bytes: int | None = None) -> DataFrame:
     """K5/K6: the merged target, one row per key, with ``_action`` in kept / inserted / updated.
 
     ``batch`` must carry the target's value columns (missing ones become NULL). New rows get
@@ -95,6 +99,9 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
 
     If the target has one row per key, so has the result: kept keys and batch keys are disjoint
     by construction and the (materialised, small) batch is checked for repeated keys here.
+
+    ``strategy``: ``auto`` picks ``broadcast`` when the batch is measured small, else ``keyed``
+    when the matched keys are, else ``shuffle``; each can also be forced.
     """
     cols = _target_columns(target)
     batch = prepare_batch(batch, key, on_duplicate, order_by)
@@ -116,10 +123,16 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
     if max_id is None and "id" in cols:
         max_id = target.agg(F.max("id").alias("m")).first()["m"]
     base_id = (max_id if max_id is not None else 0) + 1
-    limit = broadcast_limit(target.sparkSession)
+    limit = broadcast_limit(target.sparkSession) if broadcast_bytes is None else broadcast_bytes
     small = limit > 0 and nbytes <= limit
     if strategy == "broadcast" or (strategy == "auto" and small):
         return _merge_broadcast(target, src, key, cols, base_id)
+    if strategy in ("auto", "keyed"):
+        merged = _merge_keyed(target, src, key, cols, base_id, limit)
+        if merged is not None:
+            return merged
+    if strategy not in ("auto", "keyed", "shuffle"):
+        raise ValueError(f"Unknown upsert strategy: {strategy}")
     return _merge_shuffle(target, src, key, cols, base_id)
 
 
@@ -151,7 +164,7 @@ def _merge_shuffle(target: DataFrame, src: DataFrame, key: str, cols: list[str],
 
 def _merge_broadcast(target: DataFrame, src: DataFrame, key: str, cols: list[str], base_id: int) -> DataFrame:
     keys = F.broadcast(src.select(key))
-    kept = target.select(*cols).join(keys, key, "left_anti").withColumn(ACTION, F.lit("kept"))
+    kept = target.select(*cols).join(keys, key, "left_anti").select(*cols).withColumn(ACTION, F.lit("kept"))
     keep_cols = [c for c in ("id", "is_duplicate") if c in cols]
     matched = target.select(key, *keep_cols).join(keys, key, "inner").withColumn("__t", F.lit(True)).alias("t")
     s = src.withColumn("__s", F.lit(True)).alias("s")
@@ -172,6 +185,38 @@ def _merge_broadcast(target: DataFrame, src: DataFrame, key: str, cols: list[str
     return kept.unionByName(touched)
 
 
+def _merge_keyed(target: DataFrame, src: DataFrame, key: str, cols: list[str], base_id: int,
+                 limit: int) -> DataFrame | None:
+    """Large batch: find the matched keys with a key-only join, then keep the target's other rows
+    through a broadcast anti join, so no full target row is shuffled.
+
+    Only (key, id, is_duplicate) of the target meet the batch keys in a shuffle join; the matched
+    set (never larger than the batch) is written and measured. Returns None when it is too large
+    to broadcast, and the caller falls back to the full outer join.
+    """
+    keep_cols = [c for c in ("id", "is_duplicate") if c in cols]
+    matched = target.select(key, *keep_cols).join(src.select(key), key, "inner")
+    matched, _, mbytes = materialize(matched)
+    if not (limit > 0 and mbytes <= limit):
+        return None
+    kept = (target.select(*cols).join(F.broadcast(matched.select(key)), key, "left_anti").select(*cols)
+            .withColumn(ACTION, F.lit("kept")))
+    t = matched.withColumn("__t", F.lit(True)).alias("t")
+    s = src.alias("s")
+    j = s.join(F.broadcast(t), F.col(f"t.{key}") == F.col(f"s.{key}"), "left")
+    t_present = F.col("t.__t").isNotNull()
+    rows = []
+    for c in cols:
+        if c == "id":
+            rows.append(F.when(t_present, F.col("t.id")).otherwise(F.lit(base_id) + F.col("s.__seq")).alias("id"))
+        elif c == "is_duplicate":
+            rows.append(F.when(t_present, F.col("t.is_duplicate")).otherwise(F.col("s.is_duplicate")).alias(c))
+        else:
+            rows.append(F.col(f"s.{c}").alias(c))
+    touched = j.select(*rows, F.when(t_present, F.lit("updated")).otherwise(F.lit("inserted")).alias(ACTION))
+    return kept.unionByName(touched)
+
+
 def upsert_counts(merged: DataFrame) -> DataFrame:
     """Rows kept / inserted / updated by a merge, one row (a single aggregation)."""
     return merged.agg(F.count_if(F.col(ACTION) == "kept").alias("rows_kept"),
@@ -195,7 +240,7 @@ def load_stats(merged: DataFrame, failed: bool = False) -> DataFrame:
 
 def append_new(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN) -> DataFrame:
     """K4: batch rows whose key is not in the target (what an append adds)."""
-    return batch.join(target.select(key), key, "left_anti")
+    return batch.join(target.select(key), key, "left_anti").select(*batch.columns)
 
 
 def duplicate_keys(df: DataFrame, key: str = S.KEY_COLUMN) -> DataFrame:

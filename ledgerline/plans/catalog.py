@@ -269,6 +269,12 @@ def q_upsert_merge(spark, sf_dir):
     return merged_ops(spark, sf_dir).drop("id").withColumnRenamed(U.ACTION, "action")
 
 
+def q_upsert_merge_keyed(spark, sf_dir):
+    target, batch = upsert_sides(spark, sf_dir)
+    merged = U.upsert_merge(target, batch, load_time=AS_OF, strategy="keyed")
+    return merged.drop("id").withColumnRenamed(U.ACTION, "action")
+
+
 def q_upsert_merge_shuffle(spark, sf_dir):
     return merged_ops(spark, sf_dir, "shuffle").drop("id").withColumnRenamed(U.ACTION, "action")
 
@@ -496,6 +502,7 @@ QUERIES = {
     "union_all": q_union_all,
     "upsert_merge": q_upsert_merge,
     "upsert_merge_shuffle": q_upsert_merge_shuffle,
+    "upsert_merge_keyed": q_upsert_merge_keyed,
     "upsert_counts": q_upsert_counts,
     "load_stats": q_load_stats,
     "upsert_total": q_upsert_total,

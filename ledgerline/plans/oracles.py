@@ -284,6 +284,7 @@ merged AS (
 """
 ORACLES["upsert_merge"] = UPSERT_BASE + "SELECT * EXCLUDE (id) FROM merged"
 ORACLES["upsert_merge_shuffle"] = ORACLES["upsert_merge"]
+ORACLES["upsert_merge_keyed"] = ORACLES["upsert_merge"]
 ORACLES["upsert_counts"] = UPSERT_BASE + """SELECT CAST(count_if(action = 'kept') AS BIGINT) AS rows_kept,
   CAST(count_if(action = 'inserted') AS BIGINT) AS rows_inserted,
   CAST(count_if(action = 'updated') AS BIGINT) AS rows_updated FROM merged"""

@@ -79,7 +79,7 @@ def test_priority_and_merge(spark, sf):
 
 
 @pytest.mark.parametrize("sf", [SF001, SF01])
-@pytest.mark.parametrize("strategy", ["auto", "shuffle", "broadcast"])
+@pytest.mark.parametrize("strategy", ["auto", "shuffle", "broadcast", "keyed"])
 def test_upsert_counts(spark, sf, strategy):
     g = GOLD[sf]
     merged = C.merged_ops(spark, sf, strategy)
