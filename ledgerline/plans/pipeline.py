@@ -67,9 +67,12 @@ class ReconciliationJob:
                    duplicates_found=0, duplicates_removed=0, rows_loaded=0, rows_updated=0, load_failed=0,
                    processing_time_seconds=0.0, status="running", error_message="")
         annotated = None
+        deduped = None
+        stage = "extract"
         mark = scratch_mark()
         try:
             raw = self._extract(source)
+            stage = "validate"
             order_by = self.order_by or ([ROW] if ROW in raw.columns else None)
             id_cols = [ROW] if ROW in raw.columns else (order_by or [])
             v = validate(raw, self.rules, id_cols=id_cols)
@@ -87,12 +90,14 @@ class ReconciliationJob:
                 rec["checksum_ok"] = bool(ct["checksum_ok"])
             if not order_by:
                 raise ValueError("an explicit row order is needed for keep-first dedup")
+            stage = "dedup"
             deduped, _ = D.deduplicate(v.valid(), self.dedup_strategy, order_by, self.key_columns)
             deduped = deduped.withColumn("is_duplicate", F.lit(0))
             kept_obs = Observation(f"dedup_{pid}")
             deduped = deduped.observe(kept_obs, F.count(F.lit(1)).alias("kept"))
             if output_dir:
                 write_csv(deduped, output_dir)
+            stage = "load"
             loaded = self._load(deduped, pid)
             kept = int(kept_obs.get["kept"]) if output_dir else None
             if kept is None:
@@ -104,9 +109,14 @@ class ReconciliationJob:
             rec["status"] = "success"
         except Exception as exc:  # noqa: BLE001 -- P2: record the failure, then re-raise
             rec["status"] = "failed"
-            rec["error_message"] = f"{type(exc).__name__}: {exc}"[:2000]
-            if rec["rows_loaded"] == 0 and rec["validation_passed"]:
-                rec["load_failed"] = rec["validation_passed"]
+            prefix = "Failed to load data: " if stage == "load" else ""
+            rec["error_message"] = f"{prefix}{type(exc).__name__}: {exc}"[:2000]
+            if stage == "load":
+                # all-or-nothing load: every row of the batch counts as failed (K9)
+                try:
+                    rec["load_failed"] = int(deduped.count())
+                except Exception:  # noqa: BLE001
+                    rec["load_failed"] = rec["validation_passed"]
             self._finish(rec)
             raise
         finally:

@@ -87,6 +87,13 @@ class TargetStore:
             return None
         return self.spark.read.schema(S.TARGET_SCHEMA).parquet(f"{self.root}/{cur}")
 
+    def keys(self) -> DataFrame:
+        """The key column of the live snapshot; an empty frame when the table does not exist."""
+        cur = self.current()
+        if cur is None:
+            return self.spark.createDataFrame([], S.TARGET_SCHEMA).select(self.key)
+        return cur.select(self.key)
+
     def create(self) -> DataFrame:
         """K2: create the table with the fixed target schema if it does not exist."""
         if not self.exists():

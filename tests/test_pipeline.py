@@ -110,3 +110,31 @@ def test_incremental_stream(spark, scratch):
     q.awaitTermination(300)
     assert TargetStore(spark, target).current().count() == 300
     assert R.run_history(spark, runs).count() == 1
+
+
+def test_store_create_keys_publish_drop(spark, scratch):
+    from ledgerline import schema as S
+    store = TargetStore(spark, scratch("store"))
+    assert store.current() is None and store.keys().count() == 0
+    t = store.create()
+    assert [(f.name, f.dataType) for f in t.schema] == [(f.name, f.dataType) for f in S.TARGET_SCHEMA]
+    assert t.count() == 0 and store.max_id() == 0
+    store.drop()
+    assert not store.exists()
+
+
+def test_load_failure_counts_batch_rows(spark, scratch):
+    src = _generated_csv(spark, scratch, 300)
+    target, runs = scratch("target"), scratch("runs")
+    job = ReconciliationJob(spark, target, runs, as_of="2001-02-01 00:00:00")
+    orig = job._load
+
+    def boom(deduped, pid):
+        raise RuntimeError("disk full")
+    job._load = boom
+    with pytest.raises(RuntimeError):
+        job.run(src, pipeline_id="loadfail")
+    job._load = orig
+    rec = R.run_by_id(R.run_history(spark, runs), "loadfail").first()
+    assert rec["error_message"].startswith("Failed to load data: ")
+    assert rec["load_failed"] == rec["validation_passed"] - rec["duplicates_found"] > 0
