@@ -89,7 +89,7 @@ def _target_columns(target: DataFrame) -> list[str]:
 def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, load_time=None,
                  on_duplicate: str = "error", order_by: list[str] | None = None,
                  strategy: str = "auto", max_id: int | None = None,
-                 broadcast_bytes: int | None = None) -> DataFrame:
+                 broadcast_bytes: int | None = None, check_keys: bool = True) -> DataFrame:
     """K5/K6: the merged target, one row per key, with ``_action`` in kept / inserted / updated.
 
     ``batch`` must carry the target's value columns (missing ones become NULL). New rows get
@@ -100,6 +100,9 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
     If the target has one row per key, so has the result: kept keys and batch keys are disjoint
     by construction and the (materialised, small) batch is checked for repeated keys here.
 
+    ``check_keys=False`` skips the repeated-key check when the caller has proof the batch keys are
+    unique (e.g. validation enforced a non-null unique key on them).
+
     ``strategy``: ``auto`` picks ``broadcast`` when the batch is measured small, else ``keyed``
     when the matched keys are, else ``shuffle``; each can also be forced.
     """
@@ -118,7 +121,7 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
             src_cols[c] = F.lit(None).cast(target.schema[c].dataType).alias(c)
     src = batch.select(*src_cols.values(), F.monotonically_increasing_id().alias("__seq"))
     src, _, nbytes = materialize(src)
-    if on_duplicate == "error":
+    if on_duplicate == "error" and check_keys:
         check_unique_batch(src, key)
     if max_id is None and "id" in cols:
         max_id = target.agg(F.max("id").alias("m")).first()["m"]

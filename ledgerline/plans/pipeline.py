@@ -22,7 +22,7 @@ from ledgerline import schema as S
 from ledgerline.operators import dedup as D
 from ledgerline.operators import upsert as U
 from ledgerline.operators.rules import RuleSet, default_rules
-from ledgerline.operators.validate import validate
+from ledgerline.operators.validate import FAILURES, validate
 from ledgerline.plans import runs as R
 from ledgerline.plans.store import TargetStore
 from ledgerline.session import release_scratch, scratch_mark
@@ -77,14 +77,19 @@ class ReconciliationJob:
             id_cols = [ROW] if ROW in raw.columns else (order_by or [])
             v = validate(raw, self.rules, id_cols=id_cols)
             annotated = v.annotated.persist(StorageLevel.MEMORY_AND_DISK)
-            v.annotated = annotated
-            summ = v.summary().first()
-            rec["input_rows"] = int(summ["total_rows"])
-            rec["validation_passed"] = int(summ["valid_rows"])
-            rec["validation_failed"] = int(summ["invalid_rows"])
+            # validation counts ride on the first job that reads the whole validated frame
+            counts = Observation(f"validate_{pid}")
+            v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"),
+                                            F.count_if(F.size(FAILURES) == 0).alias("valid"))
             if ROW in id_cols:
                 top = v.failures_top(self.max_errors).collect()
                 rec["validation_errors"] = [{"row": r[ROW], "column": r["column"], "error": r["error"]} for r in top]
+            else:
+                v.summary().first()
+            m = counts.get
+            rec["input_rows"] = int(m["total"])
+            rec["validation_passed"] = int(m["valid"])
+            rec["validation_failed"] = rec["input_rows"] - rec["validation_passed"]
             if expected_checksum is not None:
                 ct = v.control_total(expected_checksum).first()
                 rec["checksum_ok"] = bool(ct["checksum_ok"])
@@ -127,9 +132,17 @@ class ReconciliationJob:
         return RunResult(rec, self.store.current())
 
     def _load(self, deduped: DataFrame, pid: str) -> dict:
-        target = self.store.create()
+        # a first load merges into an empty frame; the store is created by publishing its result
+        target = self.store.current()
+        if target is None:
+            target = self.spark.createDataFrame([], S.TARGET_SCHEMA)
         batch = U.normalize_load(deduped)
-        merged = U.upsert_merge(target, batch, load_time=self.as_of, max_id=self.store.max_id())
+        spec = self.rules.spec(self.store.key)
+        # validation already leaves at most one valid row per key when it enforces a non-null unique key
+        proven_unique = (spec is not None and spec.unique and not spec.nullable and self.rules.wants("unique")
+                         and self.rules.wants("not_null"))
+        merged = U.upsert_merge(target, batch, load_time=self.as_of, max_id=self.store.max_id(),
+                                check_keys=not proven_unique)
         obs = Observation(f"load_{pid}")
         merged = merged.observe(obs, F.count_if(F.col(U.ACTION) == "inserted").alias("inserted"),
                                 F.count_if(F.col(U.ACTION) == "updated").alias("updated"))

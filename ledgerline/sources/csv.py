@@ -34,6 +34,9 @@ def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = Non
     cols = [null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
     if not row_index:
         return raw.select(*cols)
+    if len(raw.inputFiles()) == 1 and raw.rdd.getNumPartitions() == 1:
+        # one file read by one task: the scan's own row counter is the file position
+        return raw.select(*cols, F.monotonically_increasing_id().alias(ROW))
     tagged = raw.select(*cols, F.col("_metadata.file_path").alias("__file"),
                         F.col("_metadata.file_block_start").alias("__blk"),
                         F.monotonically_increasing_id().alias("__mid"))
