@@ -24,6 +24,15 @@ def _reader(spark: SparkSession):
         .option("multiLine", False).option("escape", '"')
 
 
+def _single_file(raw: DataFrame) -> bool:
+    """True when the scan reads exactly one file. The file list stays in the JVM (already listed
+    by the scan); only its length crosses to Python."""
+    try:
+        return len(raw._jdf.inputFiles()) == 1
+    except Exception:  # noqa: BLE001 -- unknown: take the general path
+        return False
+
+
 def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = None,
              row_index: bool = True) -> DataFrame:
     """All columns as strings, missing tokens as NULL, plus the 0-based file position ``row``.
@@ -34,7 +43,7 @@ def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = Non
     cols = [null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
     if not row_index:
         return raw.select(*cols)
-    if len(raw.inputFiles()) == 1 and raw.rdd.getNumPartitions() == 1:
+    if _single_file(raw) and raw.rdd.getNumPartitions() == 1:
         # one file read by one task: the scan's own row counter is the file position
         return raw.select(*cols, F.monotonically_increasing_id().alias(ROW))
     tagged = raw.select(*cols, F.col("_metadata.file_path").alias("__file"),

@@ -138,3 +138,14 @@ def test_load_failure_counts_batch_rows(spark, scratch):
     rec = R.run_by_id(R.run_history(spark, runs), "loadfail").first()
     assert rec["error_message"].startswith("Failed to load data: ")
     assert rec["load_failed"] == rec["validation_passed"] - rec["duplicates_found"] > 0
+
+
+def test_row_index_single_file_fast_path(spark, scratch):
+    folder = scratch("one")
+    spark.range(1000).select(F.col("id").cast("string").alias("v")).coalesce(1).write.option("header", True) \
+        .csv(folder)
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    part = [f for f in os.listdir(local) if f.endswith(".csv")][0]
+    back = C.scan_csv(spark, f"{folder}/{part}")
+    assert "_metadata" not in back._jdf.queryExecution().optimizedPlan().toString()
+    assert all(int(r["v"]) == r[C.ROW] for r in back.collect())
