@@ -392,9 +392,10 @@ def _gen_sql() -> dict[str, str]:
 
     seed = 42
 
-    def u(salt, rid="id"):
-        return (f"(('0x' || substr(md5('{seed}:' || CAST({rid} AS VARCHAR) || ':{salt}'), 1, 8))::BIGINT "
-                "/ 4294967296.0)")
+    def u(name, rid="id"):
+        group, slot = G.DRAW_SLOTS[name]
+        return (f"(('0x' || substr(md5('{seed}:' || CAST({rid} AS VARCHAR) || ':{group}'), {8 * slot + 1}, 8))"
+                "::BIGINT / 4294967296.0)")
 
     def ri(salt, lo, hi, rid="id"):
         return f"({lo} + CAST(floor({u(salt, rid)} * {hi - lo}) AS BIGINT))"

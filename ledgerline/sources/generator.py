@@ -1,7 +1,7 @@
 """Synthetic operation records.
 
-Every random draw is a hash of (seed, row id, salt): ``md5`` -> first 8 hex digits -> uniform in
-[0, 1). Rows are independent, so any partitioning of ``spark.range`` gives the same data and the
+Every random draw is a hash of (seed, row id, group): ``md5`` -> 8 hex digits -> uniform in
+[0, 1); one md5 serves four draws. Rows are independent, so any partitioning of ``spark.range`` gives the same data and the
 same text runs in any SQL engine with ``md5``. Categorical shares, ranges and null rates follow
 the operational file model.
 """
@@ -28,10 +28,24 @@ ERROR_KINDS = ["invalid_date", "negative_amount", "null_operation_id", "invalid_
 ERROR_STRIDE = 1_000_003       # prime; picks distinct rows as (stride * j + offset) mod n
 
 
-def draw(seed: int, rid: Column, salt: str) -> Column:
-    """Uniform double in [0, 1) from md5(seed:id:salt)."""
-    h = F.md5(F.concat(F.lit(f"{seed}:"), rid.cast("string"), F.lit(f":{salt}")))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
+# Each md5 gives four independent 32-bit draws (hex digits 1-8, 9-16, 17-24, 25-32); every named
+# draw is a (group, slot) of one md5(seed:id:group). Spark computes each distinct md5 once per row.
+DRAW_SLOTS = {
+    "day": ("a", 0), "hour": ("a", 1), "minute": ("a", 2), "amount": ("a", 3),
+    "tipo": ("b", 0), "moneda": ("b", 1), "estado": ("b", 2), "canal": ("b", 3),
+    "o1": ("c", 0), "o2": ("c", 1), "o3": ("c", 2), "o4": ("c", 3),
+    "d1": ("d", 0), "d2": ("d", 1), "d3": ("d", 2), "d4": ("d", 3),
+    "dnull": ("e", 0), "bnull": ("e", 1), "bank_o": ("e", 2), "bank_d": ("e", 3),
+    "w0": ("f", 0), "w1": ("f", 1), "w2": ("f", 2), "w3": ("f", 3),
+    "w4": ("g", 0), "w5": ("g", 1), "dup": ("g", 2), "err": ("g", 3),
+}
+
+
+def draw(seed: int, rid: Column, name: str) -> Column:
+    """Uniform double in [0, 1): 32 bits of md5(seed:id:group) at the draw's slot."""
+    group, slot = DRAW_SLOTS[name]
+    h = F.md5(F.concat(F.lit(f"{seed}:"), rid.cast("string"), F.lit(f":{group}")))
+    return F.conv(F.substring(h, 8 * slot + 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
 def pick(u: Column, shares: list[tuple[str, float]]) -> Column:
@@ -49,11 +63,11 @@ def randint(u: Column, lo: int, hi: int) -> Column:
     return F.lit(lo) + F.floor(u * F.lit(hi - lo)).cast("long")
 
 
-def _account(seed: int, rid: Column, salt: str) -> Column:
-    parts = [F.lpad(randint(draw(seed, rid, f"{salt}1"), 100, 999).cast("string"), 3, "0"),
-             F.lpad(randint(draw(seed, rid, f"{salt}2"), 1_000_000, 9_999_999).cast("string"), 7, "0"),
-             randint(draw(seed, rid, f"{salt}3"), 0, 9).cast("string"),
-             F.lpad(randint(draw(seed, rid, f"{salt}4"), 10, 99).cast("string"), 2, "0")]
+def _account(seed: int, rid: Column, prefix: str) -> Column:
+    parts = [F.lpad(randint(draw(seed, rid, f"{prefix}1"), 100, 999).cast("string"), 3, "0"),
+             F.lpad(randint(draw(seed, rid, f"{prefix}2"), 1_000_000, 9_999_999).cast("string"), 7, "0"),
+             randint(draw(seed, rid, f"{prefix}3"), 0, 9).cast("string"),
+             F.lpad(randint(draw(seed, rid, f"{prefix}4"), 10, 99).cast("string"), 2, "0")]
     return F.concat_ws("-", *parts)
 
 
