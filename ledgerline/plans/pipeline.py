@@ -77,19 +77,24 @@ class ReconciliationJob:
             id_cols = [ROW] if ROW in raw.columns else (order_by or [])
             v = validate(raw, self.rules, id_cols=id_cols)
             annotated = v.annotated.persist(StorageLevel.MEMORY_AND_DISK)
-            # validation counts ride on the first job that reads the whole validated frame
-            counts = Observation(f"validate_{pid}")
-            v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"),
-                                            F.count_if(F.size(FAILURES) == 0).alias("valid"))
+            v.annotated = annotated
             if ROW in id_cols:
+                # the counts ride on the top-failures job: a single result stage, where an observed
+                # metric is applied exactly once even when tasks are retried
+                counts = Observation(f"validate_{pid}")
+                v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"),
+                                                F.count_if(F.size(FAILURES) == 0).alias("valid"))
                 top = v.failures_top(self.max_errors).collect()
                 rec["validation_errors"] = [{"row": r[ROW], "column": r["column"], "error": r["error"]} for r in top]
+                m = counts.get
+                total, valid = int(m["total"]), int(m["valid"])
+                v.annotated = annotated
             else:
-                v.summary().first()
-            m = counts.get
-            rec["input_rows"] = int(m["total"])
-            rec["validation_passed"] = int(m["valid"])
-            rec["validation_failed"] = rec["input_rows"] - rec["validation_passed"]
+                summ = v.summary().first()
+                total, valid = int(summ["total_rows"]), int(summ["valid_rows"])
+            rec["input_rows"] = total
+            rec["validation_passed"] = valid
+            rec["validation_failed"] = total - valid
             if expected_checksum is not None:
                 ct = v.control_total(expected_checksum).first()
                 rec["checksum_ok"] = bool(ct["checksum_ok"])
