@@ -1,5 +1,7 @@
 """Golden counts of the ops fixture (FIXTURES §2), at two scale factors."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,10 @@ from ledgerline.sources.fixtures import ops
 from ledgerline.sources.tables import table
 from tests.conftest import SF001, SF01
 
+SF1 = "/root/testdata/sf0.1"
+# sf0.1 (600,000 rows) runs when LEDGERLINE_FULL=1; the default suite uses the two smaller factors
+SFS = [SF001, SF01] + ([SF1] if os.environ.get("LEDGERLINE_FULL") == "1" else [])
+
 GOLD = {
     SF001: dict(rows=6000, coerce=20, future=728, id_null=16, id_bad=23, unique=2534, amount=19, account_null=8,
                 state=84, invalid=3049, valid=2951, valid_sum=156651964.32, distinct_ids=4598, key_dedup=4599,
@@ -22,6 +28,12 @@ GOLD = {
                li_keys=45832, prio_desc=2429672493.73, prio_asc=2432310344.38, merge_first=2433869375.50,
                merge_last=2427330985.58, merge_qty=1524135, upsert=(15245, 7551, 7704), upsert_sum=1606988005.39,
                docs=(1000, 927)),
+    SF1: dict(rows=600000, coerce=1737, future=73332, id_null=1734, id_bad=1711, unique=258660, amount=1825,
+              account_null=1668, state=7460, invalid=309699, valid=290301, valid_sum=15384129186.74,
+              distinct_ids=456630, key_dedup=456631, key_dedup_sum=24035205571.75, keep_first=390938,
+              keep_first_sum=20713705347.85, li_keys=456861, prio_desc=24198183587.54, prio_asc=24200215168.08,
+              merge_first=24192380766.49, merge_last=24203242434.93, merge_qty=15300431,
+              upsert=(152430, 76201, 76255), upsert_sum=16057380853.42, docs=(10000, 9296)),
 }
 
 
@@ -29,7 +41,7 @@ def amt(df, col):
     return df.agg(A.money_sum(F.col(col)).alias("s")).first()["s"]
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
+@pytest.mark.parametrize("sf", SFS)
 def test_validation_counts(spark, sf):
     g = GOLD[sf]
     by_rule = {(r["column"], r["error"]): r["failures"]
@@ -48,7 +60,7 @@ def test_validation_counts(spark, sf):
     assert amt(C.valid_ops(spark, sf), "monto") == pytest.approx(g["valid_sum"], abs=1e-6)
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
+@pytest.mark.parametrize("sf", SFS)
 def test_dedup_counts(spark, sf):
     g = GOLD[sf]
     o = ops(spark, sf)
@@ -64,7 +76,7 @@ def test_dedup_counts(spark, sf):
     assert D.with_content_hash(o).select("content_hash").distinct().count() == g["rows"]
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
+@pytest.mark.parametrize("sf", SFS)
 def test_priority_and_merge(spark, sf):
     g = GOLD[sf]
     desc = C.q_dedup_priority_desc(spark, sf)
@@ -78,7 +90,7 @@ def test_priority_and_merge(spark, sf):
     assert m.agg(F.sum("l_quantity")).first()[0] == g["merge_qty"]
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
+@pytest.mark.parametrize("sf", SFS)
 @pytest.mark.parametrize("strategy", ["auto", "shuffle", "broadcast", "keyed"])
 def test_upsert_counts(spark, sf, strategy):
     g = GOLD[sf]
@@ -89,7 +101,7 @@ def test_upsert_counts(spark, sf, strategy):
     assert merged.select("id").distinct().count() == merged.count()
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
+@pytest.mark.parametrize("sf", SFS)
 def test_documents_text(spark, sf):
     docs = table(spark, sf, "documents")
     assert (docs.count(), docs.select("text").distinct().count()) == GOLD[sf]["docs"]
