@@ -398,6 +398,27 @@ def q_csv_row_index(spark, sf_dir):
                        F.min(C.ROW).alias("first_row"), F.max(C.ROW).alias("last_row"))
 
 
+def _ops_parquet(spark, sf_dir):
+    folder = scratch_path(spark, "ops-parquet")
+    ops(spark, sf_dir).write.parquet(folder)
+    return folder
+
+
+def q_parquet_row_index(spark, sf_dir):
+    from ledgerline.sources.parquet import scan_parquet
+    scanned = scan_parquet(spark, _ops_parquet(spark, sf_dir))
+    return scanned.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(C.ROW).alias("distinct_rows"),
+                       F.min(C.ROW).alias("first_row"), F.max(C.ROW).alias("last_row"))
+
+
+def q_pipeline_parquet_rows(spark, sf_dir):
+    """P1 on Parquet input (typed columns, exact row positions)."""
+    from ledgerline.plans.pipeline import ReconciliationJob
+    job = ReconciliationJob(spark, scratch_path(spark, "target"), scratch_path(spark, "runs"), as_of=AS_OF,
+                            input_format="parquet")
+    return job.run(_ops_parquet(spark, sf_dir), pipeline_id="etl_parquet").target.drop("id")
+
+
 def q_parse_dates_lenient(spark, sf_dir):
     return C.parse_dates_lenient(ops(spark, sf_dir), S.DATE_COLUMN).select(*ORDER_COLS)
 
@@ -522,6 +543,8 @@ QUERIES = {
     "stage_funnel": q_stage_funnel,
     "scan_csv": q_scan_csv,
     "csv_row_index": q_csv_row_index,
+    "parquet_row_index": q_parquet_row_index,
+    "pipeline_parquet_rows": q_pipeline_parquet_rows,
     "parse_dates_lenient": q_parse_dates_lenient,
     "write_csv_roundtrip": q_write_csv_roundtrip,
     "pipeline_final_rows": q_pipeline_final_rows,

@@ -464,3 +464,5 @@ ORACLES["target_schema"] = ORACLES["pipeline_final_rows"]
 ORACLES["exact_duplicates"] = f"""WITH {OPS_CTE}
 SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(S.OPS_COLUMNS)} FROM ops)) AS duplicates FROM ops"""
 ORACLES["report_header"] = RUNS_BASE + "SELECT pipeline_id, start_time, upper(status) AS status FROM runs"
+ORACLES["parquet_row_index"] = ORACLES["csv_row_index"]
+ORACLES["pipeline_parquet_rows"] = ORACLES["pipeline_final_rows"]

@@ -27,6 +27,7 @@ from ledgerline.plans import runs as R
 from ledgerline.plans.store import TargetStore
 from ledgerline.session import release_scratch, scratch_mark
 from ledgerline.sources.csv import ROW, scan_csv, write_csv
+from ledgerline.sources.parquet import scan_parquet
 
 
 @dataclass
@@ -41,7 +42,8 @@ class ReconciliationJob:
 
     def __init__(self, spark: SparkSession, target_root: str, runs_dir: str, rules: RuleSet | None = None,
                  as_of=None, order_by: list[str] | None = None, max_errors: int = 100,
-                 dedup_strategy: str = "hash", key_columns: list[str] | None = None):
+                 dedup_strategy: str = "hash", key_columns: list[str] | None = None,
+                 input_format: str | None = None):
         self.spark = spark
         self.store = TargetStore(spark, target_root)
         self.runs_dir = runs_dir
@@ -51,10 +53,15 @@ class ReconciliationJob:
         self.max_errors = max_errors
         self.dedup_strategy = dedup_strategy
         self.key_columns = key_columns
+        self.input_format = input_format
 
     def _extract(self, source) -> DataFrame:
+        """A frame as given; a path is read as Parquet when it says so, else as CSV text."""
         if isinstance(source, DataFrame):
             return source
+        fmt = self.input_format or ("parquet" if str(source).rstrip("/").endswith(".parquet") else "csv")
+        if fmt == "parquet":
+            return scan_parquet(self.spark, source)
         return scan_csv(self.spark, source)
 
     def run(self, source, output_dir: str | None = None, pipeline_id: str | None = None,

@@ -149,3 +149,21 @@ def test_row_index_single_file_fast_path(spark, scratch):
     back = C.scan_csv(spark, f"{folder}/{part}")
     assert "_metadata" not in back._jdf.queryExecution().optimizedPlan().toString()
     assert all(int(r["v"]) == r[C.ROW] for r in back.collect())
+
+
+def test_parquet_row_index_across_files(spark, scratch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ledgerline.sources.parquet import ROW as PROW
+    from ledgerline.sources.parquet import scan_parquet
+    folder = scratch("pq")
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    os.makedirs(local)
+    start = 0
+    for i, n in enumerate([700, 1, 1300]):
+        pq.write_table(pa.table({"v": list(range(start, start + n))}), f"{local}/part-{i:05d}.parquet",
+                       row_group_size=256)
+        start += n
+    rows = scan_parquet(spark, folder).collect()
+    assert len(rows) == 2001 and all(r["v"] == r[PROW] for r in rows)
