@@ -245,7 +245,7 @@ TARGET_LOADED = "2000-06-01 00:00:00"
 def upsert_sides(spark, sf_dir):
     """Target = key-deduped ops with even l_orderkey; batch = l_orderkey % 3 = 0 with monto + 1."""
     base = D.keep_first(ops(spark, sf_dir).filter(F.col(S.KEY_COLUMN).isNotNull()), [S.KEY_COLUMN], ORDER_COLS)
-    norm = U.normalize_load(base)
+    norm, _, _ = materialize(U.normalize_load(base))      # shared by both sides: computed once
     tgt = (norm.filter(F.col("l_orderkey") % 2 == 0)
            .withColumn("fecha_carga", F.lit(TARGET_LOADED).cast("timestamp"))
            .withColumn("is_duplicate", F.lit(0)))

@@ -167,3 +167,27 @@ def test_parquet_row_index_across_files(spark, scratch):
         start += n
     rows = scan_parquet(spark, folder).collect()
     assert len(rows) == 2001 and all(r["v"] == r[PROW] for r in rows)
+
+
+def test_loading_flow_like_the_reference_script(spark, scratch):
+    """create -> upsert all -> stats -> 5-row sample -> re-load 100 rows: updates only, same size."""
+    from ledgerline.operators import aggregates as A
+    from ledgerline.operators import upsert as U
+    from ledgerline.plans.catalog import AS_OF, deduped_ops
+    from tests.conftest import SF001
+    store = TargetStore(spark, scratch("target"))
+    batch = U.normalize_load(deduped_ops(spark, SF001)).withColumn("is_duplicate", F.lit(0))
+    target = store.create()
+    first = U.upsert_merge(target, batch, load_time=AS_OF, max_id=store.max_id())
+    c1 = U.upsert_counts(first).first()
+    store.publish(first)
+    assert (c1["rows_inserted"], c1["rows_updated"]) == (2951, 0)
+    stats = A.table_stats(store.current()).first()
+    assert stats["total_rows"] == 2951 and abs(stats["total_amount"] - 156651964.32) < 1e-6
+    assert A.query_filtered(store.current(), None, limit=5, order_by=["id"]).count() == 5
+    hundred = A.report_sample(batch, ["numero_operacion"], 100)
+    second = U.upsert_merge(store.current(), hundred, load_time=AS_OF, max_id=store.max_id())
+    c2 = U.upsert_counts(second).first()
+    assert (c2["rows_inserted"], c2["rows_updated"], c2["rows_kept"]) == (0, 100, 2851)
+    store.publish(second)
+    assert store.current().count() == 2951
