@@ -82,7 +82,8 @@ class Validation:
     id_cols: list[str]
     missing: list[str] = field(default_factory=list)
 
-    def _typed_select(self, df: DataFrame) -> DataFrame:
+    def typed_view(self, df: DataFrame) -> DataFrame:
+        """``df`` with every declared column coerced to its type (NULL where it does not convert)."""
         types = {f.name: f.dataType for f in df.schema.fields}
         cols = []
         for name in df.columns:
@@ -95,7 +96,7 @@ class Validation:
 
     def valid(self) -> DataFrame:
         """Rows with no failure, declared columns coerced to their types."""
-        return self._typed_select(self.annotated.filter(F.size(FAILURES) == 0).drop(FAILURES))
+        return self.typed_view(self.annotated.filter(F.size(FAILURES) == 0).drop(FAILURES))
 
     def rejected(self) -> DataFrame:
         """Rows with at least one failure, raw values kept, failures attached."""

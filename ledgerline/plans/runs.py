@@ -169,7 +169,7 @@ def runs_from_batches(validation, batch_col: str, started, errors_per_run: int =
     """
     from ledgerline.functions.hashing import content_hash_column
     annotated = validation.annotated
-    typed_all = validation._typed_select(annotated)
+    typed_all = validation.typed_view(annotated)
     valid = F.size(FAILURES) == 0
     h = F.when(valid, content_hash_column(typed_all.schema, S.HASH_SOURCE_COLUMNS))
     per_hash = (typed_all.select(batch_col, valid.alias("__v"), h.alias("__h"))
