@@ -447,15 +447,18 @@ marked AS (SELECT w.*, CASE WHEN c.gen_id IS NOT NULL THEN {kinds}[{ri('err', 0,
     out = {}
     out["gen_operations"] = f"WITH {clean}\nSELECT * FROM clean"
     out["gen_duplicates"] = f"WITH {clean},\n{dups}\nSELECT * FROM withdups"
-    out["gen_errors"] = f"""WITH {clean},\n{dups},\n{errs}
-SELECT * REPLACE (
+    out["gen_errors"] = f"""WITH {clean},\n{dups},\n{errs},
+final AS (SELECT * REPLACE (
   CASE WHEN error_kind = 'invalid_date' THEN 'FECHA_INVALIDA' ELSE strftime(fecha_operacion, '%Y-%m-%d %H:%M:%S') END
     AS fecha_operacion,
   CASE WHEN error_kind = 'negative_amount' THEN -abs(monto) ELSE monto END AS monto,
   CASE WHEN error_kind = 'null_operation_id' THEN NULL ELSE numero_operacion END AS numero_operacion,
   CASE WHEN error_kind = 'invalid_state' THEN 'ESTADO_DESCONOCIDO' ELSE estado END AS estado,
   CASE WHEN error_kind = 'missing_account' THEN NULL ELSE cuenta_origen END AS cuenta_origen)
-FROM marked"""
+FROM marked)
+SELECT *, substr(sha256(coalesce(numero_operacion, 'None') || coalesce(CAST(monto AS VARCHAR), 'nan')
+                        || coalesce(fecha_operacion, 'None') || coalesce(cuenta_origen, 'None')), 1, 16) AS content_hash
+FROM final"""
     return out
 
 

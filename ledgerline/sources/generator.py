@@ -175,8 +175,10 @@ def inject_errors(df: DataFrame, n_rows: int, rate: float, seed: int = 42) -> Da
 
 def generate_operational_file(spark: SparkSession, n_rows: int, as_of: str, duplicate_rate: float = 0.05,
                               error_rate: float = 0.02, seed: int = 42) -> DataFrame:
-    """S7 + S8 + S9: clean rows, then copies, then errors over all ``n + copies`` rows."""
+    """S7 + S8 + S9: clean rows, then copies, then errors over all ``n + copies`` rows, then the
+    content hash of the final values (a missing id hashes as ``None``, a bad date as its text)."""
+    from ledgerline.operators.dedup import with_content_hash
     clean = generate_operations(spark, n_rows, as_of, seed)
     with_dups = inject_duplicates(clean, n_rows, duplicate_rate, seed, as_of=as_of)
     total = n_rows + int(n_rows * duplicate_rate)
-    return inject_errors(with_dups, total, error_rate, seed)
+    return with_content_hash(inject_errors(with_dups, total, error_rate, seed), reuse=False)
