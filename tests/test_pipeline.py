@@ -191,3 +191,16 @@ def test_loading_flow_like_the_reference_script(spark, scratch):
     assert (c2["rows_inserted"], c2["rows_updated"], c2["rows_kept"]) == (0, 100, 2851)
     store.publish(second)
     assert store.current().count() == 2951
+
+
+def test_command_line(spark, scratch):
+    from ledgerline.cli import main
+    src, target, runs, rep = scratch("cli-csv"), scratch("cli-target"), scratch("cli-runs"), scratch("cli-rep")
+    main(["generate", src, "--rows", "400", "--as-of", AS_OF], spark=spark)
+    out = main(["run", src, "--target", target, "--runs", runs, "--as-of", "2001-02-01 00:00:00",
+                "--pipeline-id", "cli1"], spark=spark)
+    assert out["status"] == "success" and out["input_rows"] == 420
+    main(["report", "--runs", runs, "--target", target, "--output", rep], spark=spark)
+    assert spark.read.option("header", True).csv(f"{rep}/kpis").count() == 7
+    main(["reset", "--target", target], spark=spark)
+    assert not TargetStore(spark, target).exists()
