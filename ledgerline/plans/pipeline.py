@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from functools import reduce
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -26,7 +27,8 @@ from ledgerline.operators.validate import FAILURES, validate
 from ledgerline.plans import runs as R
 from ledgerline.plans.store import TargetStore
 from ledgerline.session import release_scratch, scratch_mark
-from ledgerline.sources.csv import ROW, scan_csv, write_csv
+from ledgerline.sources.csv import (ORDER_TAGS, ROW, _reader, _single_file, scan_csv, scan_csv_tagged,
+                                    split_offsets, write_csv)
 from ledgerline.sources.parquet import scan_parquet
 
 
@@ -55,14 +57,35 @@ class ReconciliationJob:
         self.key_columns = key_columns
         self.input_format = input_format
 
-    def _extract(self, source) -> DataFrame:
-        """A frame as given; a path is read as Parquet when it says so, else as CSV text."""
+    def _extract(self, source) -> tuple[DataFrame, list[str]]:
+        """(rows, row-order columns). A frame is taken as given (``row`` if it has one); a path is
+        read as Parquet when it says so, else as CSV text. A CSV read by several tasks keeps the
+        file-order tags instead of a dense ``row``: the input is read once, and only the reported
+        failures get row numbers."""
         if isinstance(source, DataFrame):
-            return source
+            return source, ([ROW] if ROW in source.columns else [])
         fmt = self.input_format or ("parquet" if str(source).rstrip("/").endswith(".parquet") else "csv")
         if fmt == "parquet":
-            return scan_parquet(self.spark, source)
-        return scan_csv(self.spark, source)
+            return scan_parquet(self.spark, source), [ROW]
+        raw = _reader(self.spark).csv(source)
+        if _single_file(raw) and raw.rdd.getNumPartitions() == 1:
+            return scan_csv(self.spark, source), [ROW]
+        return scan_csv_tagged(self.spark, source), list(ORDER_TAGS)
+
+    def _report_rows(self, annotated: DataFrame, top: list) -> list[dict]:
+        """Failure dicts with 0-based file rows; from tags, only the splits of these rows are read."""
+        if not top or "_file" not in top[0].asDict():
+            return [{"row": r[ROW] if ROW in r.asDict() else None, "column": r["column"], "error": r["error"]}
+                    for r in top]
+        pairs = sorted({(r["_file"], r["_block"]) for r in top})
+        wanted = reduce(lambda a, b: a | b, [(F.col("_file") == f) & (F.col("_block") == b) for f, b in pairs])
+        offs = {(o["_file"], o["_block"]): (o["__off"], o["__first"])
+                for o in split_offsets(annotated.select(*ORDER_TAGS)).filter(wanted).collect()}
+        out = []
+        for r in top:
+            off, first = offs[(r["_file"], r["_block"])]
+            out.append({"row": int(off + r["_pos"] - first), "column": r["column"], "error": r["error"]})
+        return out
 
     def run(self, source, output_dir: str | None = None, pipeline_id: str | None = None,
             expected_checksum: float | None = None) -> RunResult:
@@ -78,21 +101,21 @@ class ReconciliationJob:
         stage = "extract"
         mark = scratch_mark()
         try:
-            raw = self._extract(source)
+            raw, order_cols = self._extract(source)
             stage = "validate"
-            order_by = self.order_by or ([ROW] if ROW in raw.columns else None)
-            id_cols = [ROW] if ROW in raw.columns else (order_by or [])
+            order_by = self.order_by or order_cols or None
+            id_cols = order_cols or (order_by or [])
             v = validate(raw, self.rules, id_cols=id_cols)
             annotated = v.annotated.persist(StorageLevel.MEMORY_AND_DISK)
             v.annotated = annotated
-            if ROW in id_cols:
+            if order_cols:
                 # the counts ride on the top-failures job: a single result stage, where an observed
                 # metric is applied exactly once even when tasks are retried
                 counts = Observation(f"validate_{pid}")
                 v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"),
                                                 F.count_if(F.size(FAILURES) == 0).alias("valid"))
                 top = v.failures_top(self.max_errors).collect()
-                rec["validation_errors"] = [{"row": r[ROW], "column": r["column"], "error": r["error"]} for r in top]
+                rec["validation_errors"] = self._report_rows(annotated, top)
                 m = counts.get
                 total, valid = int(m["total"]), int(m["valid"])
                 v.annotated = annotated
@@ -113,7 +136,7 @@ class ReconciliationJob:
             kept_obs = Observation(f"dedup_{pid}")
             deduped = deduped.observe(kept_obs, F.count(F.lit(1)).alias("kept"))
             if output_dir:
-                write_csv(deduped, output_dir)
+                write_csv(deduped.drop(ROW, *ORDER_TAGS), output_dir)
             stage = "load"
             loaded = self._load(deduped, pid)
             kept = int(kept_obs.get["kept"]) if output_dir else None

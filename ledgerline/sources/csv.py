@@ -33,11 +33,43 @@ def _single_file(raw: DataFrame) -> bool:
         return False
 
 
+ORDER_TAGS = ["_file", "_block", "_pos"]
+
+
+def scan_csv_tagged(spark: SparkSession, path: str, null_tokens: list[str] | None = None) -> DataFrame:
+    """One pass: all columns as text plus the file-order tags (file path, split start, position in
+    the scan). Ordering by the tags is file order; ``row_numbers`` turns them into 0-based rows."""
+    raw = _reader(spark).csv(path)
+    cols = [null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
+    return raw.select(*cols, F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_pos"))
+
+
+def split_offsets(tagged: DataFrame) -> DataFrame:
+    """Per file split: first scan position and first row number (one row per split).
+
+    The running sum is a window over this small table only: its size is the number of file splits
+    (input bytes / split size), not the number of rows.
+    """
+    splits = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("__n"), F.min("_pos").alias("__first"))
+    order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("_file", "_block", "__first", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__off"))
+
+
+def row_numbers(tagged: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (carrying the tags of ``tagged``) with the 0-based file position ``row`` added."""
+    joined = join_on_keys(rows, split_offsets(tagged), ["_file", "_block"], how="inner")
+    return joined.withColumn(ROW, F.col("__off") + F.col("_pos") - F.col("__first")).drop("__off", "__first")
+
+
 def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = None,
              row_index: bool = True) -> DataFrame:
     """All columns as strings, missing tokens as NULL, plus the 0-based file position ``row``.
 
-    Several files are numbered in (path, offset) order, as if concatenated.
+    Several files are numbered in (path, offset) order, as if concatenated. The general case reads
+    the file twice (split counts, then rows); the whole job instead keeps the tags and numbers only
+    the rows it reports (see ``plans.pipeline``).
     """
     raw = _reader(spark).csv(path)
     cols = [null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
@@ -46,16 +78,8 @@ def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = Non
     if _single_file(raw) and raw.rdd.getNumPartitions() == 1:
         # one file read by one task: the scan's own row counter is the file position
         return raw.select(*cols, F.monotonically_increasing_id().alias(ROW))
-    tagged = raw.select(*cols, F.col("_metadata.file_path").alias("__file"),
-                        F.col("_metadata.file_block_start").alias("__blk"),
-                        F.monotonically_increasing_id().alias("__mid"))
-    splits = tagged.groupBy("__file", "__blk").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
-    # one row per file split: a few thousand rows even for very large inputs
-    order = Window.orderBy("__file", "__blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("__file", "__blk", "__first",
-                            F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__off"))
-    joined = join_on_keys(tagged, offsets, ["__file", "__blk"], how="inner")
-    return joined.select(*raw.columns, (F.col("__off") + F.col("__mid") - F.col("__first")).alias(ROW))
+    tagged = scan_csv_tagged(spark, path, null_tokens)
+    return row_numbers(tagged, tagged).drop(*ORDER_TAGS)
 
 
 def parse_dates_lenient(df: DataFrame, column: str, formats: list[str] | None = None) -> DataFrame:

@@ -41,6 +41,7 @@ def _brute_force(csv_dir):
     bad |= acct.notna() & ~acct.fillna("").str.fullmatch(r"[0-9]{3}-[0-9]{7}-[0-9]-[0-9]{2}")
     bad |= df["estado"].notna() & ~df["estado"].isin(S.ESTADO_VALUES)
     bad |= df["canal"].notna() & ~df["canal"].isin(S.CANAL_VALUES)
+    _brute_force.invalid_rows = sorted(int(i) for i in df.index[bad])
     valid = df[~bad]
     hashes = set()
     for _, r in valid.iterrows():
@@ -60,6 +61,10 @@ def test_ten_thousand_five_hundred_rows(spark, scratch):
     assert rows == 10_500 == rec["input_rows"]
     assert (rec["validation_failed"], rec["validation_passed"]) == (invalid, valid)
     assert rec["rows_loaded"] == distinct
+    # the run record's first failures carry the rows' positions in the concatenated files
+    reported = sorted({e["row"] for e in rec["validation_errors"]})
+    assert len(rec["validation_errors"]) == 100
+    assert reported == _brute_force.invalid_rows[:len(reported)]
     # copies of the same row share an id, so every copy group is rejected whole (reject-all):
     # the expected share of invalid rows is close to the reference's recorded 11.2 %
     assert 0.08 < invalid / rows < 0.14
