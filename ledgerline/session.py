@@ -20,6 +20,23 @@ BASE_CONF = {
 }
 
 
+# Starting point for a large cluster (1000 executors, ~100 TB input). AQE sizes the shuffle
+# partitions at run time from the advisory size; the broadcast limit bounds every measured
+# broadcast (per-key tables, upsert batches and matched keys); skewed partitions are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 20),
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.execution.sortBeforeRepartition": "true",
+    "spark.sql.sources.commitProtocolClass":
+        "org.apache.spark.sql.execution.datasources.SQLHadoopMapReduceCommitProtocol",
+}
+
+
 def get_spark(master: str | None = None, app: str = "ledgerline",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators rely on."""

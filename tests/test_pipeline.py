@@ -204,3 +204,16 @@ def test_command_line(spark, scratch):
     assert spark.read.option("header", True).csv(f"{rep}/kpis").count() == 7
     main(["reset", "--target", target], spark=spark)
     assert not TargetStore(spark, target).exists()
+
+
+def test_header_only_input(spark, scratch):
+    from ledgerline import schema as S
+    folder = scratch("empty")
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    os.makedirs(local)
+    with open(f"{local}/part-0.csv", "w") as fh:
+        fh.write(",".join(S.OPS_COLUMNS) + "\n")
+    job = ReconciliationJob(spark, scratch("target"), scratch("runs"), as_of=AS_OF)
+    rec = job.run(folder, pipeline_id="empty").record
+    assert (rec["status"], rec["input_rows"], rec["rows_loaded"], rec["validation_errors"]) == ("success", 0, 0, [])
+    assert TargetStore(spark, job.store.root).current().count() == 0
