@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -127,4 +127,4 @@ def row_rules(spec: ColumnSpec, raw: Column, raw_type, rules: RuleSet) -> list[t
 
 
 __all__ = ["Check", "ColumnSpec", "RuleSet", "default_rules", "less_equal", "greater_than", "matches", "isin",
-           "not_before", "typed", "row_rules", "field"]
+           "not_before", "typed", "row_rules"]

@@ -32,8 +32,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
     "spark.sql.execution.sortBeforeRepartition": "true",
-    "spark.sql.sources.commitProtocolClass":
-        "org.apache.spark.sql.execution.datasources.SQLHadoopMapReduceCommitProtocol",
 }
 
 
