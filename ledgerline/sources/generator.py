@@ -38,6 +38,7 @@ DRAW_SLOTS = {
     "dnull": ("e", 0), "bnull": ("e", 1), "bank_o": ("e", 2), "bank_d": ("e", 3),
     "w0": ("f", 0), "w1": ("f", 1), "w2": ("f", 2), "w3": ("f", 3),
     "w4": ("g", 0), "w5": ("g", 1), "dup": ("g", 2), "err": ("g", 3),
+    "order": ("h", 0),
 }
 
 
@@ -174,11 +175,18 @@ def inject_errors(df: DataFrame, n_rows: int, rate: float, seed: int = 42) -> Da
 
 
 def generate_operational_file(spark: SparkSession, n_rows: int, as_of: str, duplicate_rate: float = 0.05,
-                              error_rate: float = 0.02, seed: int = 42) -> DataFrame:
+                              error_rate: float = 0.02, seed: int = 42, shuffle: bool = False) -> DataFrame:
     """S7 + S8 + S9: clean rows, then copies, then errors over all ``n + copies`` rows, then the
-    content hash of the final values (a missing id hashes as ``None``, a bad date as its text)."""
+    content hash of the final values (a missing id hashes as ``None``, a bad date as its text).
+
+    ``shuffle`` mixes the copies in among the rows (the file order a keep-first dedup sees): rows are
+    sorted by a hash draw of their id, a range-partitioned sort, never one task.
+    """
     from ledgerline.operators.dedup import with_content_hash
     clean = generate_operations(spark, n_rows, as_of, seed)
     with_dups = inject_duplicates(clean, n_rows, duplicate_rate, seed, as_of=as_of)
     total = n_rows + int(n_rows * duplicate_rate)
-    return with_content_hash(inject_errors(with_dups, total, error_rate, seed), reuse=False)
+    out = with_content_hash(inject_errors(with_dups, total, error_rate, seed), reuse=False)
+    if shuffle:
+        out = out.orderBy(draw(seed, F.col("gen_id"), "order"), F.col("gen_id"))
+    return out

@@ -45,3 +45,10 @@ def test_replayed_micro_batch_leaves_same_table(spark, scratch):
     assert table.count() == 200 and table.select("id").distinct().count() == 200
     hist = R.run_history(spark, runs).collect()           # newest first
     assert [(r["rows_loaded"], r["rows_updated"]) for r in hist] == [(0, 200), (200, 0)]
+
+
+def test_generator_shuffle_keeps_rows(spark):
+    plain = G.generate_operational_file(spark, 500, "2001-01-01 00:00:00")
+    mixed = G.generate_operational_file(spark, 500, "2001-01-01 00:00:00", shuffle=True)
+    a, b = [r["gen_id"] for r in plain.collect()], [r["gen_id"] for r in mixed.collect()]
+    assert sorted(a) == sorted(b) and a != b and len(b) == 525
