@@ -2,7 +2,8 @@
 
 Keep-first is ``row_number() = 1`` over (keys, row order): Catalyst adds a partial
 ``WindowGroupLimit`` below the shuffle, so each input partition ships at most one row per key and a
-hot key does not land whole in one task. Operators that must keep *every* row of a group (flag,
+hot key does not land whole in one task. When the row order is unique (a file position), keep-first
+needs no row shuffle at all: it drops the later copies found by the flag operator below. Operators that must keep *every* row of a group (flag,
 find) never window over the group: they aggregate per key (partial aggregation) and join the small
 per-key facts back (``plans.keyjoin``). Counts come from key aggregates, not from windows.
 """
@@ -37,16 +38,25 @@ def with_content_hash(df: DataFrame, columns: list[str] | None = None, out: str
     return df.withColumn(out, fresh)
 
 
-def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """First row of every key group in row order; null keys form one group."""
+def keep_first(df: DataFrame, keys: list[str], order_by: list[str], unique_order: bool = False) -> DataFrame:
+    """First row of every key group in row order; null keys form one group.
+
+    With ``unique_order`` (no two rows share an order tuple, e.g. a file position) the rows are not
+    shuffled: only (key, order) goes through a partially aggregated group-by that finds, for keys
+    with copies, the first order tuple; that table (duplicated keys only) is measured and joined
+    back, and every later copy is dropped. Otherwise ``row_number() = 1`` over the key.
+    """
+    if unique_order:
+        flagged = flag_duplicates(df, order_by, keys, out="__later")
+        return flagged.filter(~F.col("__later")).drop("__later")
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_asc(order_by))
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def dedup_hash(df: DataFrame, order_by: list[str], **hash_opts) -> DataFrame:
+def dedup_hash(df: DataFrame, order_by: list[str], unique_order: bool = False, **hash_opts) -> DataFrame:
     """D3: content-hash dedup, keep first."""
     hashed = with_content_hash(df, **hash_opts)
-    return keep_first(hashed, [hash_opts.get("out", S.HASH_COLUMN)], order_by)
+    return keep_first(hashed, [hash_opts.get("out", S.HASH_COLUMN)], order_by, unique_order)
 
 
 def dedup_key(df: DataFrame, order_by: list[str], keys: list[str] | None = None) -> DataFrame:
@@ -161,7 +171,8 @@ def exact_duplicate_count(df: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, strategy: str = "hash", order_by: list[str] | None = None,
-                key_columns: list[str] | None = None, **hash_opts) -> tuple[DataFrame, DataFrame]:
+                key_columns: list[str] | None = None, unique_order: bool = False,
+                **hash_opts) -> tuple[DataFrame, DataFrame]:
     """Dispatch by strategy; returns (deduplicated rows, one-row stats). D10: unknown strategy raises."""
     if strategy not in STRATEGIES:
         raise ValueError(f"Unknown strategy: {strategy}")
@@ -170,6 +181,6 @@ def deduplicate(df: DataFrame, strategy: str = "hash", order_by: list[str] | Non
     if strategy == "hash":
         hashed = with_content_hash(df, **hash_opts)
         keys = [hash_opts.get("out", S.HASH_COLUMN)]
-        return keep_first(hashed, keys, order_by), dedup_stats(hashed, keys)
+        return keep_first(hashed, keys, order_by, unique_order), dedup_stats(hashed, keys)
     keys = list(key_columns or [S.KEY_COLUMN])
-    return keep_first(df, keys, order_by), dedup_stats(df, keys)
+    return keep_first(df, keys, order_by, unique_order), dedup_stats(df, keys)

@@ -131,7 +131,10 @@ class ReconciliationJob:
             if not order_by:
                 raise ValueError("an explicit row order is needed for keep-first dedup")
             stage = "dedup"
-            deduped, _ = D.deduplicate(v.valid(), self.dedup_strategy, order_by, self.key_columns)
+            # file positions (or tags) are unique per row: keep-first needs no shuffle of the rows
+            unique_order = self.order_by is None and bool(order_cols)
+            deduped, _ = D.deduplicate(v.valid(), self.dedup_strategy, order_by, self.key_columns,
+                                       unique_order=unique_order)
             deduped = deduped.withColumn("is_duplicate", F.lit(0))
             kept_obs = Observation(f"dedup_{pid}")
             deduped = deduped.observe(kept_obs, F.count(F.lit(1)).alias("kept"))

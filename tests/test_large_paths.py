@@ -79,3 +79,20 @@ def test_keyed_upsert_never_shuffles_target_rows(spark):
     want = U.upsert_merge(target, batch, load_time=C.AS_OF, strategy="shuffle")
     cols = [c for c in want.columns if c != "id"]
     assert _rows(merged.select(cols)) == _rows(want.select(cols))
+
+
+@pytest.mark.parametrize("key", ["dedup_key", "dedup_hash", "dedup_key_multi"])
+def test_keep_first_without_row_shuffle_equals_window(spark, key):
+    """Unique row order: the flag-and-drop keep-first gives the window's rows."""
+    from ledgerline.sources.fixtures import ORDER_COLS, ops
+    from ledgerline.sources.tables import table
+    if key == "dedup_key_multi":
+        df, keys, order = table(spark, SF001, "lineitem"), ["l_orderkey", "l_linenumber"], C.LI_TIE
+    elif key == "dedup_hash":
+        df, keys, order = D.with_content_hash(ops(spark, SF001)), ["content_hash"], ORDER_COLS
+    else:
+        df, keys, order = ops(spark, SF001), ["numero_operacion"], ORDER_COLS
+    a = D.keep_first(df, keys, order)
+    b = D.keep_first(df, keys, order, unique_order=True)
+    assert "Window" not in b._jdf.queryExecution().executedPlan().toString()
+    assert _rows(a) == _rows(b.select(a.columns))
