@@ -45,7 +45,7 @@ class ReconciliationJob:
     def __init__(self, spark: SparkSession, target_root: str, runs_dir: str, rules: RuleSet | None = None,
                  as_of=None, order_by: list[str] | None = None, max_errors: int = 100,
                  dedup_strategy: str = "hash", key_columns: list[str] | None = None,
-                 input_format: str | None = None):
+                 input_format: str | None = None, shuffle_free_dedup_rows: int = 2_000_000):
         self.spark = spark
         self.store = TargetStore(spark, target_root)
         self.runs_dir = runs_dir
@@ -56,6 +56,9 @@ class ReconciliationJob:
         self.dedup_strategy = dedup_strategy
         self.key_columns = key_columns
         self.input_format = input_format
+        # above this many valid rows keep-first drops later copies found by a narrow key aggregate
+        # instead of shuffling and sorting every row (fewer jobs win below it)
+        self.shuffle_free_dedup_rows = shuffle_free_dedup_rows
 
     def _extract(self, source) -> tuple[DataFrame, list[str]]:
         """(rows, row-order columns). A frame is taken as given (``row`` if it has one); a path is
@@ -131,8 +134,10 @@ class ReconciliationJob:
             if not order_by:
                 raise ValueError("an explicit row order is needed for keep-first dedup")
             stage = "dedup"
-            # file positions (or tags) are unique per row: keep-first needs no shuffle of the rows
-            unique_order = self.order_by is None and bool(order_cols)
+            # file positions (or tags) are unique per row, so keep-first needs no shuffle of the rows;
+            # chosen from the measured row count, as the broadcast choices are
+            unique_order = (self.order_by is None and bool(order_cols)
+                            and valid >= self.shuffle_free_dedup_rows)
             deduped, _ = D.deduplicate(v.valid(), self.dedup_strategy, order_by, self.key_columns,
                                        unique_order=unique_order)
             deduped = deduped.withColumn("is_duplicate", F.lit(0))

@@ -217,3 +217,16 @@ def test_header_only_input(spark, scratch):
     rec = job.run(folder, pipeline_id="empty").record
     assert (rec["status"], rec["input_rows"], rec["rows_loaded"], rec["validation_errors"]) == ("success", 0, 0, [])
     assert TargetStore(spark, job.store.root).current().count() == 0
+
+
+def test_job_with_shuffle_free_keep_first(spark, scratch):
+    src = _generated_csv(spark, scratch, 1500)
+    a = ReconciliationJob(spark, scratch("t1"), scratch("r1"), as_of="2001-02-01 00:00:00")
+    b = ReconciliationJob(spark, scratch("t2"), scratch("r2"), as_of="2001-02-01 00:00:00",
+                          shuffle_free_dedup_rows=0)
+    ra, rb = a.run(src, pipeline_id="w").record, b.run(src, pipeline_id="f").record
+    keys = ["input_rows", "validation_passed", "duplicates_found", "rows_loaded"]
+    assert [ra[k] for k in keys] == [rb[k] for k in keys]
+    cols = [c for c in a.store.current().columns if c not in ("id", "fecha_carga")]
+    assert sorted(map(tuple, a.store.current().select(cols).collect()), key=repr) == \
+        sorted(map(tuple, b.store.current().select(cols).collect()), key=repr)
