@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--as-of", help="timestamp for the future-date rule and the load stamp (default: now)")
     r.add_argument("--checksum", type=float, help="expected control total of the amounts")
     r.add_argument("--pipeline-id")
+    r.add_argument("--buckets", type=int, help="keep the target bucketed by its key into this many buckets")
     g = sub.add_parser("generate", help="write a synthetic operations CSV")
     g.add_argument("output")
     g.add_argument("--rows", type=int, default=10_000)
@@ -49,7 +50,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     spark = spark or get_spark(app=f"ledgerline-{args.command}")
     if args.command == "run":
         from ledgerline.plans.pipeline import ReconciliationJob
-        job = ReconciliationJob(spark, args.target, args.runs, as_of=args.as_of, input_format=args.format)
+        job = ReconciliationJob(spark, args.target, args.runs, as_of=args.as_of, input_format=args.format,
+                                target_buckets=args.buckets)
         res = job.run(args.input, output_dir=args.output, pipeline_id=args.pipeline_id,
                       expected_checksum=args.checksum)
         out = {k: v for k, v in res.record.items() if k != "validation_errors"}

@@ -45,9 +45,11 @@ class ReconciliationJob:
     def __init__(self, spark: SparkSession, target_root: str, runs_dir: str, rules: RuleSet | None = None,
                  as_of=None, order_by: list[str] | None = None, max_errors: int = 100,
                  dedup_strategy: str = "hash", key_columns: list[str] | None = None,
-                 input_format: str | None = None, shuffle_free_dedup_rows: int = 2_000_000):
+                 input_format: str | None = None, shuffle_free_dedup_rows: int = 2_000_000,
+                 target_buckets: int | None = None):
         self.spark = spark
-        self.store = TargetStore(spark, target_root)
+        # target_buckets: keep the target bucketed by its key so each load shuffles only the batch
+        self.store = TargetStore(spark, target_root, buckets=target_buckets)
         self.runs_dir = runs_dir
         self.as_of = as_of
         self.rules = rules or default_rules(as_of)

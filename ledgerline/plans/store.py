@@ -18,10 +18,16 @@ POINTER = "_CURRENT"
 
 
 class TargetStore:
-    def __init__(self, spark: SparkSession, root: str, key: str = S.KEY_COLUMN):
+    """``buckets``: write snapshots bucketed by the key (a parquet table with a bucket spec, its
+    location the snapshot folder). A later merge on the key then finds the target already hash
+    partitioned by the key and shuffles only the batch. The bucket count is kept with the pointer;
+    any session re-registers the snapshot as a catalog table from it, so no metastore is needed."""
+
+    def __init__(self, spark: SparkSession, root: str, key: str = S.KEY_COLUMN, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
+        self.buckets = buckets
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         hconf = spark._jsc.hadoopConfiguration()
@@ -48,6 +54,28 @@ class TargetStore:
         lines = self._read_pointer_lines()
         return lines[0] if lines else None
 
+    def bucket_count(self) -> int | None:
+        """Buckets of the live snapshot (None: not bucketed)."""
+        for ln in self._read_pointer_lines()[1:]:
+            if ln.startswith("buckets="):
+                v = ln.split("=", 1)[1]
+                return None if v in ("", "None", "0") else int(v)
+        return None
+
+    def _table_name(self, snap: str) -> str:
+        import hashlib
+        return f"ledgerline_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_{snap.replace('=', '')}"
+
+    def _register(self, snap: str, buckets: int) -> str:
+        """Catalog entry for a bucketed snapshot (metadata only; the files stay where they are)."""
+        name = self._table_name(snap)
+        if not self.spark.catalog.tableExists(name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.TARGET_SCHEMA.fields)
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{self.key}`) "
+                           f"SORTED BY (`{self.key}`) INTO {int(buckets)} BUCKETS "
+                           f"LOCATION '{self.root}/{snap}'")
+        return name
+
     def max_id(self) -> int | None:
         """Largest surrogate id of the live snapshot, kept beside the pointer (None if unknown)."""
         for ln in self._read_pointer_lines()[1:]:
@@ -56,11 +84,11 @@ class TargetStore:
                 return None if v in ("", "None") else int(v)
         return None
 
-    def _write_pointer(self, name: str, max_id: int | None = None) -> None:
+    def _write_pointer(self, name: str, max_id: int | None = None, buckets: int | None = None) -> None:
         tmp = self._Path(f"{self.root}/.{POINTER}.{name}.tmp")
         out = self._fs.create(tmp, True)
         try:
-            out.write(bytearray(f"{name}\nmax_id={max_id}\n".encode("utf-8")))
+            out.write(bytearray(f"{name}\nmax_id={max_id}\nbuckets={buckets or 0}\n".encode("utf-8")))
         finally:
             out.close()
         final = self._Path(f"{self.root}/{POINTER}")
@@ -85,6 +113,9 @@ class TargetStore:
         cur = self._read_pointer()
         if cur is None:
             return None
+        buckets = self.bucket_count()
+        if buckets:
+            return self.spark.table(self._register(cur, buckets))
         return self.spark.read.schema(S.TARGET_SCHEMA).parquet(f"{self.root}/{cur}")
 
     def keys(self) -> DataFrame:
@@ -98,11 +129,18 @@ class TargetStore:
         """K2: create the table with the fixed target schema if it does not exist."""
         if not self.exists():
             name = self._next_name()
-            self.spark.createDataFrame([], S.TARGET_SCHEMA).write.mode("errorifexists") \
-                .parquet(f"{self.root}/{name}")
-            self._write_pointer(name, 0)
+            self._write(self.spark.createDataFrame([], S.TARGET_SCHEMA), name)
+            self._write_pointer(name, 0, self.buckets)
         return self.current()
 
+    def _write(self, df: DataFrame, name: str) -> None:
+        path = f"{self.root}/{name}"
+        if self.buckets:
+            (df.write.mode("errorifexists").format("parquet").bucketBy(int(self.buckets), self.key)
+             .sortBy(self.key).option("path", path).saveAsTable(self._table_name(name)))
+        else:
+            df.write.mode("errorifexists").parquet(path)
+
     def publish(self, df: DataFrame, assert_key: bool = True) -> str:
         """K6: write a new snapshot, then switch the pointer.
 
@@ -117,12 +155,12 @@ class TargetStore:
         cols = [f.name for f in S.TARGET_SCHEMA.fields]
         out = df.drop(ACTION) if ACTION in df.columns else df
         obs = Observation(f"publish_{name}_{id(self)}")
-        out.select(*cols).observe(obs, F.max("id").alias("max_id")).write.mode("errorifexists").parquet(path)
+        self._write(out.select(*cols).observe(obs, F.max("id").alias("max_id")), name)
         max_id = obs.get.get("max_id")
         if assert_key:
             written = self.spark.read.schema(S.TARGET_SCHEMA).parquet(path)
             assert_unique_key(written, self.key)
-        self._write_pointer(name, max_id)
+        self._write_pointer(name, max_id, self.buckets)
         return name
 
     def drop(self) -> None:

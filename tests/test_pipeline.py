@@ -230,3 +230,12 @@ def test_job_with_shuffle_free_keep_first(spark, scratch):
     cols = [c for c in a.store.current().columns if c not in ("id", "fecha_carga")]
     assert sorted(map(tuple, a.store.current().select(cols).collect()), key=repr) == \
         sorted(map(tuple, b.store.current().select(cols).collect()), key=repr)
+
+
+def test_job_with_bucketed_target(spark, scratch):
+    src = _generated_csv(spark, scratch, 800)
+    job = ReconciliationJob(spark, scratch("bt"), scratch("br"), as_of="2001-02-01 00:00:00", target_buckets=4)
+    first = job.run(src, pipeline_id="b1").record
+    second = job.run(src, pipeline_id="b2").record
+    assert (second["rows_loaded"], second["rows_updated"]) == (0, first["rows_loaded"])
+    assert job.store.bucket_count() == 4 and job.store.current().count() == first["rows_loaded"]
