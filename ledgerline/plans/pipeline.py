@@ -16,7 +16,7 @@ from functools import reduce
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline import schema as S
@@ -25,6 +25,7 @@ from ledgerline.operators import upsert as U
 from ledgerline.operators.rules import RuleSet, default_rules
 from ledgerline.operators.validate import FAILURES, validate
 from ledgerline.plans import runs as R
+from ledgerline.plans.keyjoin import materialize
 from ledgerline.plans.store import TargetStore
 from ledgerline.session import release_scratch, scratch_mark
 from ledgerline.sources.csv import (ORDER_TAGS, ROW, _reader, _single_file, scan_csv, scan_csv_tagged,
@@ -77,6 +78,39 @@ class ReconciliationJob:
             return scan_csv(self.spark, source), [ROW]
         return scan_csv_tagged(self.spark, source), list(ORDER_TAGS)
 
+    def _first_failures_by_file_order(self, annotated: DataFrame) -> tuple[int, int, list[dict]]:
+        """Totals and the first ``max_errors`` failures in file order, without a global top-k.
+
+        One aggregate per file split (rows, valid rows, failures, first position) gives the exact
+        totals and, through a running sum over that per-split table, the few splits that hold the
+        first failures; only those splits are read for the top-k, and their rows get file numbers.
+        The per-split table is the only thing a single task sees (one row per split).
+        """
+        k = self.max_errors
+        per = (annotated.groupBy("_file", "_block")
+               .agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.size(FAILURES) == 0).alias("__valid"),
+                    F.sum(F.size(FAILURES)).cast("long").alias("__fails"), F.min("_pos").alias("__first")))
+        per, _, _ = materialize(per)
+        tot = per.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("t"), F.coalesce(F.sum("__valid"), F.lit(0)).alias("v"))
+        t = tot.first()
+        before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = per.select("_file", "_block", "__first", "__fails",
+                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+                            F.coalesce(F.sum("__fails").over(before), F.lit(0)).alias("__fails_before"))
+        chosen = ranked.filter((F.col("__fails") > 0) & (F.col("__fails_before") < k)).collect()
+        if not chosen:
+            return int(t["t"]), int(t["v"]), []
+        offs = {(c["_file"], c["_block"]): (c["__off"], c["__first"]) for c in chosen}
+        wanted = reduce(lambda a, b: a | b, [(F.col("_file") == f) & (F.col("_block") == b) for f, b in offs])
+        fails = (annotated.filter(wanted).select(*ORDER_TAGS, F.explode(FAILURES).alias("_f"))
+                 .select(*ORDER_TAGS, F.col("_f.column").alias("column"), F.col("_f.error").alias("error")))
+        top = fails.orderBy(*[F.col(c) for c in ORDER_TAGS], "column", "error").limit(k).collect()
+        out = []
+        for r in top:
+            off, first = offs[(r["_file"], r["_block"])]
+            out.append({"row": int(off + r["_pos"] - first), "column": r["column"], "error": r["error"]})
+        return int(t["t"]), int(t["v"]), out
+
     def _report_rows(self, annotated: DataFrame, top: list) -> list[dict]:
         """Failure dicts with 0-based file rows; from tags, only the splits of these rows are read."""
         if not top or "_file" not in top[0].asDict():
@@ -113,7 +147,9 @@ class ReconciliationJob:
             v = validate(raw, self.rules, id_cols=id_cols)
             annotated = v.annotated.persist(StorageLevel.MEMORY_AND_DISK)
             v.annotated = annotated
-            if order_cols:
+            if order_cols == list(ORDER_TAGS):
+                total, valid, rec["validation_errors"] = self._first_failures_by_file_order(annotated)
+            elif order_cols:
                 # the counts ride on the top-failures job: a single result stage, where an observed
                 # metric is applied exactly once even when tasks are retried
                 counts = Observation(f"validate_{pid}")
