@@ -89,7 +89,8 @@ def _target_columns(target: DataFrame) -> list[str]:
 def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, load_time=None,
                  on_duplicate: str = "error", order_by: list[str] | None = None,
                  strategy: str = "auto", max_id: int | None = None,
-                 broadcast_bytes: int | None = None, check_keys: bool = True) -> DataFrame:
+                 broadcast_bytes: int | None = None, check_keys: bool = True,
+                 target_empty: bool = False) -> DataFrame:
     """K5/K6: the merged target, one row per key, with ``_action`` in kept / inserted / updated.
 
     ``batch`` must carry the target's value columns (missing ones become NULL). New rows get
@@ -100,6 +101,9 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
     If the target has one row per key, so has the result: kept keys and batch keys are disjoint
     by construction and the (materialised, small) batch is checked for repeated keys here.
 
+    ``target_empty=True`` (the caller knows the target has no rows, e.g. a new store) makes every
+    batch row an insert without any join.
+
     ``check_keys=False`` skips the repeated-key check when the caller has proof the batch keys are
     unique (e.g. validation enforced a non-null unique key on them).
 
@@ -120,6 +124,14 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
         else:
             src_cols[c] = F.lit(None).cast(target.schema[c].dataType).alias(c)
     src = batch.select(*src_cols.values(), F.monotonically_increasing_id().alias("__seq"))
+    if target_empty:
+        # first load: every row is an insert; no join. The ids are written by this one write job,
+        # which commits one attempt per partition, so they stay unique without writing the batch first
+        if on_duplicate == "error" and check_keys:
+            check_unique_batch(src, key)
+        base_id = (max_id if max_id is not None else 0) + 1
+        ids = (F.lit(base_id) + F.col("__seq")).alias("id")
+        return src.select(*[ids if c == "id" else F.col(c) for c in cols], F.lit("inserted").alias(ACTION))
     src, _, nbytes = materialize(src)
     if on_duplicate == "error" and check_keys:
         check_unique_batch(src, key)

@@ -215,7 +215,8 @@ class ReconciliationJob:
     def _load(self, deduped: DataFrame, pid: str) -> dict:
         # a first load merges into an empty frame; the store is created by publishing its result
         target = self.store.current()
-        if target is None:
+        new_store = target is None
+        if new_store:
             target = self.spark.createDataFrame([], S.TARGET_SCHEMA)
         batch = U.normalize_load(deduped)
         spec = self.rules.spec(self.store.key)
@@ -223,7 +224,7 @@ class ReconciliationJob:
         proven_unique = (spec is not None and spec.unique and not spec.nullable and self.rules.wants("unique")
                          and self.rules.wants("not_null"))
         merged = U.upsert_merge(target, batch, load_time=self.as_of, max_id=self.store.max_id(),
-                                check_keys=not proven_unique)
+                                check_keys=not proven_unique, target_empty=new_store)
         obs = Observation(f"load_{pid}")
         merged = merged.observe(obs, F.count_if(F.col(U.ACTION) == "inserted").alias("inserted"),
                                 F.count_if(F.col(U.ACTION) == "updated").alias("updated"))

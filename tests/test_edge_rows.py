@@ -220,3 +220,16 @@ def test_run_with_no_input(spark):
 def test_unknown_dedup_strategy(spark):
     with pytest.raises(ValueError):
         D.deduplicate(frame(spark, {}), "fuzzy", ["row"])
+
+
+def test_upsert_into_empty_target_fast_path(spark):
+    target = _target(spark)
+    batch = target.drop("id", "fecha_carga")
+    empty = target.limit(0)
+    a = U.upsert_merge(empty, batch, load_time=AS_OF)
+    b = U.upsert_merge(empty, batch, load_time=AS_OF, target_empty=True)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan and "FullOuter" not in plan
+    cols = [c for c in a.columns if c != "id"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    assert b.select("id").distinct().count() == b.count() == 2
