@@ -239,3 +239,17 @@ def test_job_with_bucketed_target(spark, scratch):
     second = job.run(src, pipeline_id="b2").record
     assert (second["rows_loaded"], second["rows_updated"]) == (0, first["rows_loaded"])
     assert job.store.bucket_count() == 4 and job.store.current().count() == first["rows_loaded"]
+
+
+@pytest.mark.parametrize("k", [1, 7, 60])
+def test_first_failures_match_global_top_k(spark, scratch, k):
+    from ledgerline.operators.rules import default_rules
+    from ledgerline.operators.validate import validate
+    src = scratch("multi")
+    gen = G.generate_operational_file(spark, 900, AS_OF, 0.05, 0.08)
+    C.write_csv(gen.drop("gen_id", "source_id", "is_copy", "error_kind").repartition(5), src)
+    job = ReconciliationJob(spark, scratch("t"), scratch("r"), as_of="2001-02-01 00:00:00", max_errors=k)
+    got = job.run(src, pipeline_id=f"k{k}").record["validation_errors"]
+    v = validate(C.scan_csv(spark, src), default_rules("2001-02-01 00:00:00"), id_cols=[C.ROW])
+    want = [{"row": r[C.ROW], "column": r["column"], "error": r["error"]} for r in v.failures_top(k).collect()]
+    assert got == want and len(got) == k
