@@ -28,8 +28,7 @@ from ledgerline.plans import runs as R
 from ledgerline.plans.keyjoin import materialize
 from ledgerline.plans.store import TargetStore
 from ledgerline.session import release_scratch, scratch_mark
-from ledgerline.sources.csv import (ORDER_TAGS, ROW, _reader, _single_file, scan_csv, scan_csv_tagged,
-                                    split_offsets, write_csv)
+from ledgerline.sources.csv import ORDER_TAGS, ROW, _reader, _single_file, scan_csv, scan_csv_tagged, write_csv
 from ledgerline.sources.parquet import scan_parquet
 
 
@@ -111,20 +110,11 @@ class ReconciliationJob:
             out.append({"row": int(off + r["_pos"] - first), "column": r["column"], "error": r["error"]})
         return int(t["t"]), int(t["v"]), out
 
-    def _report_rows(self, annotated: DataFrame, top: list) -> list[dict]:
-        """Failure dicts with 0-based file rows; from tags, only the splits of these rows are read."""
-        if not top or "_file" not in top[0].asDict():
-            return [{"row": r[ROW] if ROW in r.asDict() else None, "column": r["column"], "error": r["error"]}
-                    for r in top]
-        pairs = sorted({(r["_file"], r["_block"]) for r in top})
-        wanted = reduce(lambda a, b: a | b, [(F.col("_file") == f) & (F.col("_block") == b) for f, b in pairs])
-        offs = {(o["_file"], o["_block"]): (o["__off"], o["__first"])
-                for o in split_offsets(annotated.select(*ORDER_TAGS)).filter(wanted).collect()}
-        out = []
-        for r in top:
-            off, first = offs[(r["_file"], r["_block"])]
-            out.append({"row": int(off + r["_pos"] - first), "column": r["column"], "error": r["error"]})
-        return out
+    @staticmethod
+    def _report_rows(top: list) -> list[dict]:
+        """Failure dicts of the run record from top-failure rows carrying ``row``."""
+        return [{"row": r[ROW] if ROW in r.asDict() else None, "column": r["column"], "error": r["error"]}
+                for r in top]
 
     def run(self, source, output_dir: str | None = None, pipeline_id: str | None = None,
             expected_checksum: float | None = None) -> RunResult:
@@ -156,7 +146,7 @@ class ReconciliationJob:
                 v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"),
                                                 F.count_if(F.size(FAILURES) == 0).alias("valid"))
                 top = v.failures_top(self.max_errors).collect()
-                rec["validation_errors"] = self._report_rows(annotated, top)
+                rec["validation_errors"] = self._report_rows(top)
                 m = counts.get
                 total, valid = int(m["total"]), int(m["valid"])
                 v.annotated = annotated
