@@ -115,3 +115,26 @@ def test_bucketed_target_shuffles_only_the_batch(spark, scratch, no_broadcast):
     # a fresh registration (another session would do this) reads the same rows
     spark.sql(f"DROP TABLE IF EXISTS {store._table_name(store._read_pointer())}")
     assert store.current().count() == target.count()
+
+
+def test_hot_null_key_through_shuffle_join(spark, no_broadcast):
+    from ledgerline.operators.rules import ColumnSpec, RuleSet
+    from ledgerline.operators.validate import validate
+    no_broadcast()
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        df = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None).cast("string"))
+            .otherwise((F.col("id") % 700).cast("string")).alias("k"), F.col("id").alias("o"))
+        flagged = D.flag_duplicates(df, ["o"], ["k"])
+        n_keys = df.filter("k IS NOT NULL").select("k").distinct().count()
+        # every row but the first of its group (the NULL group included) is a later copy
+        assert flagged.filter("is_duplicate").count() == 3000 - (n_keys + 1)
+        rules = RuleSet((ColumnSpec("k", "string", True, unique=True),))
+        failures = validate(df, rules, id_cols=["o"]).failures()
+        dup_rows = df.filter("k IS NOT NULL").groupBy("k").count().filter("count > 1").agg(F.sum("count")).first()[0]
+        assert failures.count() == dup_rows            # NULL keys never break uniqueness
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
