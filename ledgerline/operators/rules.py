@@ -32,6 +32,7 @@ class ColumnSpec:
     nullable: bool = True
     unique: bool = False
     checks: tuple[Check, ...] = ()
+    formats: tuple[str, ...] = ()   # extra text layouts tried before the plain cast (timestamps)
 
 
 @dataclass(frozen=True)
@@ -104,18 +105,23 @@ def default_rules(as_of=None, unique_mode: str = "reject_all", order_by: list[st
     return RuleSet(cols, unique_mode, tuple(order_by or ()))
 
 
-def typed(c: Column, raw_type, dtype: str) -> Column:
-    """Lenient coercion: a value that does not convert becomes NULL (ANSI-safe ``try_cast``)."""
+def typed(c: Column, raw_type, dtype: str, formats: tuple[str, ...] = ()) -> Column:
+    """Lenient coercion: a value that does not convert becomes NULL (ANSI-safe ``try_cast``).
+
+    For timestamps, ``formats`` are tried first (``try_to_timestamp``), then the plain cast.
+    """
     target = S.SPARK_TYPES[dtype]
     if raw_type == target:
         return c
+    if formats and dtype == "timestamp":
+        return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], c.try_cast(target))
     return c.try_cast(target)
 
 
 def row_rules(spec: ColumnSpec, raw: Column, raw_type, rules: RuleSet) -> list[tuple[Column, str, str]]:
     """(failed?, column, error) triples of the row-local rules of one column."""
     out: list[tuple[Column, str, str]] = []
-    val = typed(raw, raw_type, spec.dtype)
+    val = typed(raw, raw_type, spec.dtype, spec.formats)
     if rules.wants("coerce") and S.SPARK_TYPES[spec.dtype] != raw_type:
         out.append((raw.isNotNull() & val.isNull(), spec.name, S.coerce_message(spec.dtype)))
     if not spec.nullable and rules.wants("not_null"):

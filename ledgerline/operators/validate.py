@@ -23,7 +23,7 @@ FAILURES = "_failures"
 def _unique_flag(df: DataFrame, spec, raw_type, rules: RuleSet, flag: str) -> DataFrame:
     """Add boolean ``flag``: the row breaks uniqueness of ``spec.name`` (null keys never do)."""
     key = f"__ukey_{spec.name}"
-    keyed = df.withColumn(key, typed(F.col(spec.name), raw_type, spec.dtype))
+    keyed = df.withColumn(key, typed(F.col(spec.name), raw_type, spec.dtype, spec.formats))
     present = keyed.filter(F.col(key).isNotNull())
     if rules.unique_mode == "keep_first":
         if not rules.order_by:
@@ -89,7 +89,7 @@ class Validation:
         for name in df.columns:
             spec = self.rules.spec(name)
             if spec is not None:
-                cols.append(typed(F.col(name), types[name], spec.dtype).alias(name))
+                cols.append(typed(F.col(name), types[name], spec.dtype, spec.formats).alias(name))
             else:
                 cols.append(F.col(name))
         return df.select(*cols)

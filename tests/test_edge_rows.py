@@ -233,3 +233,16 @@ def test_upsert_into_empty_target_fast_path(spark):
     cols = [c for c in a.columns if c != "id"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
     assert b.select("id").distinct().count() == b.count() == 2
+
+
+def test_extra_date_layouts(spark):
+    from dataclasses import replace
+    rules = default_rules(AS_OF)
+    cols = tuple(replace(c, formats=("dd/MM/yyyy HH:mm",)) if c.name == "fecha_operacion" else c
+                 for c in rules.columns)
+    v = validate(frame(spark, {"fecha_operacion": "01/12/2000 10:30"}, {"fecha_operacion": "2000-12-01 10:30:00"}),
+                 replace(rules, columns=cols))
+    got = sorted(r["fecha_operacion"] for r in v.valid().collect())
+    assert got == [dt.datetime(2000, 12, 1, 10, 30)] * 2
+    _, f = failures(spark, {"fecha_operacion": "01/12/2000 10:30"})
+    assert f == [(0, "fecha_operacion", "coerce_dtype('datetime64[ns]')")]
