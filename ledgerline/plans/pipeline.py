@@ -1,7 +1,7 @@
 """The reconciliation job (P1-P4): extract -> validate -> dedup -> CSV copy -> upsert -> run record.
 
-The whole job is one lazy plan per write. The validated frame is persisted once because three
-outputs read it (failure report, dedup, load); counts come from ``Observation``s attached to the
+The whole job is one lazy plan per write. The input rows are persisted once (the file is parsed
+once) because several steps read them (duplicated ids, failure report, dedup, load); counts come from ``Observation``s attached to the
 writes and one small summary aggregate, never from extra passes over the data. The target is
 published only after the merged snapshot is fully written (the merge checks the batch keys, which
 with a unique target keeps the key unique), so a failure anywhere leaves the previous table live;
@@ -125,7 +125,7 @@ class ReconciliationJob:
                    input_rows=0, validation_passed=0, validation_failed=0, validation_errors=[],
                    duplicates_found=0, duplicates_removed=0, rows_loaded=0, rows_updated=0, load_failed=0,
                    processing_time_seconds=0.0, status="running", error_message="")
-        annotated = None
+        cached = None
         deduped = None
         stage = "extract"
         mark = scratch_mark()
@@ -134,9 +134,11 @@ class ReconciliationJob:
             stage = "validate"
             order_by = self.order_by or order_cols or None
             id_cols = order_cols or (order_by or [])
-            v = validate(raw, self.rules, id_cols=id_cols)
-            annotated = v.annotated.persist(StorageLevel.MEMORY_AND_DISK)
-            v.annotated = annotated
+            # the input is read once: the first job (duplicated ids) fills this cache, and every later
+            # step re-derives the cheap rule columns from it instead of parsing the file again
+            cached = raw.persist(StorageLevel.MEMORY_AND_DISK)
+            v = validate(cached, self.rules, id_cols=id_cols)
+            annotated = v.annotated
             if order_cols == list(ORDER_TAGS):
                 total, valid, rec["validation_errors"] = self._first_failures_by_file_order(annotated)
             elif order_cols:
@@ -196,8 +198,8 @@ class ReconciliationJob:
             self._finish(rec)
             raise
         finally:
-            if annotated is not None:
-                annotated.unpersist()
+            if cached is not None:
+                cached.unpersist()
             release_scratch(self.spark, mark)    # this run's intermediate tables
         self._finish(rec)
         return RunResult(rec, self.store.current())
