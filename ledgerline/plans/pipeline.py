@@ -126,6 +126,7 @@ class ReconciliationJob:
                    duplicates_found=0, duplicates_removed=0, rows_loaded=0, rows_updated=0, load_failed=0,
                    processing_time_seconds=0.0, status="running", error_message="")
         cached = None
+        annotated = None
         deduped = None
         stage = "extract"
         mark = scratch_mark()
@@ -134,11 +135,12 @@ class ReconciliationJob:
             stage = "validate"
             order_by = self.order_by or order_cols or None
             id_cols = order_cols or (order_by or [])
-            # the input is read once: the first job (duplicated ids) fills this cache, and every later
-            # step re-derives the cheap rule columns from it instead of parsing the file again
+            # the input is parsed once: the first job (duplicated ids) fills the scan's cache; the next
+            # job fills the validated frame's cache from it, and then the scan's cache is released
             cached = raw.persist(StorageLevel.MEMORY_AND_DISK)
             v = validate(cached, self.rules, id_cols=id_cols)
-            annotated = v.annotated
+            annotated = v.annotated.persist(StorageLevel.MEMORY_AND_DISK)
+            v.annotated = annotated
             if order_cols == list(ORDER_TAGS):
                 total, valid, rec["validation_errors"] = self._first_failures_by_file_order(annotated)
             elif order_cols:
@@ -155,6 +157,7 @@ class ReconciliationJob:
             else:
                 summ = v.summary().first()
                 total, valid = int(summ["total_rows"]), int(summ["valid_rows"])
+            cached.unpersist()         # the validated frame is cached now
             rec["input_rows"] = total
             rec["validation_passed"] = valid
             rec["validation_failed"] = total - valid
@@ -200,6 +203,8 @@ class ReconciliationJob:
         finally:
             if cached is not None:
                 cached.unpersist()
+            if annotated is not None:
+                annotated.unpersist()
             release_scratch(self.spark, mark)    # this run's intermediate tables
         self._finish(rec)
         return RunResult(rec, self.store.current())
