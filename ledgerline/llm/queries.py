@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.ship import ship
+from ledgerline.llm.suffix_dedup import remove_repeats
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,12 +15,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of each document once 50-byte windows of earlier documents are removed."""
+    out = remove_repeats(read(spark, sf_dir, "documents"), depth=50)
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents with 5-word shingle Jaccard of 0.8 or more."""
     return similar_classes(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
