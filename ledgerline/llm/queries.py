@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm import bpe
 from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.ship import ship
 from ledgerline.llm.suffix_dedup import remove_repeats
@@ -22,6 +23,15 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of each document, and of the bytes they decode to."""
+    import public_tokenizers as vocabularies
+    out = bpe.encode(read(spark, sf_dir, "documents"), vocabularies.path("byte_bpe_multi_50k.tiktoken"),
+                     vocabularies.PATTERN, decoded=True)
+    return out.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents with 5-word shingle Jaccard of 0.8 or more."""
     return similar_classes(read(spark, sf_dir, "documents"))
@@ -29,6 +39,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
