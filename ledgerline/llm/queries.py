@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe
+from ledgerline.llm import bpe, oracles
 from ledgerline.llm.jaccard_join import similar_classes
+from ledgerline.llm.mixing import mix
 from ledgerline.llm.ship import ship
 from ledgerline.llm.suffix_dedup import remove_repeats
 
@@ -23,6 +24,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150% of all words, weighted 3, 1, 2 by source, takes of each document."""
+    return mix(read(spark, sf_dir, "documents"), [3, 1, 2]).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of each document, and of the bytes they decode to."""
     import public_tokenizers as vocabularies
@@ -39,8 +45,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_mix_sources": op6_mix_sources,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_mix_sources": oracles.MIX,
+}
