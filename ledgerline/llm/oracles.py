@@ -32,3 +32,18 @@ SELECT doc_id, size, source_size, target,
        epochs * size + least(greatest(budget - epochs * source_size - before, 0), size) AS taken
 FROM cuts
 """
+
+TOP_K = """
+WITH vecs AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE))::BIGINT for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum([coalesce(p[1], 0) * coalesce(p[2], 0) for p in list_zip(q.v, c.v)])::BIGINT AS score
+  FROM vecs q JOIN vecs c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""

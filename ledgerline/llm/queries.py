@@ -10,6 +10,7 @@ from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.mixing import mix
 from ledgerline.llm.ship import ship
 from ledgerline.llm.suffix_dedup import remove_repeats
+from ledgerline.llm.topk_search import top_k
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every vector whose id is divisible by 20, by integer inner product."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of each document once 50-byte windows of earlier documents are removed."""
     out = remove_repeats(read(spark, sf_dir, "documents"), depth=50)
@@ -44,6 +51,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op9_byte_bpe": op9_byte_bpe,
@@ -51,5 +59,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_topk_search": oracles.TOP_K,
     "op6_mix_sources": oracles.MIX,
 }
