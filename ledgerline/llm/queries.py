@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, oracles
+from ledgerline.llm.fingerprint import edited_fingerprints
 from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.mixing import mix
 from ledgerline.llm.ship import ship
@@ -36,6 +37,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"), [3, 1, 2]).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold-scaled fingerprints of each document and its edited version, and their likeness."""
+    return edited_fingerprints(read(spark, sf_dir, "documents"), with_text=False)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of each document, and of the bytes they decode to."""
     import public_tokenizers as vocabularies
@@ -54,6 +60,7 @@ QUERIES = {
     "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op7_fingerprints": op7_fingerprints,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
