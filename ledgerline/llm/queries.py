@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, oracles
+from ledgerline.llm import bpe, oracles, toxicity
 from ledgerline.llm.fingerprint import edited_fingerprints
 from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.mixing import mix
@@ -19,6 +19,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Learned from the rows that are not held out."""
+    return toxicity.fit(docs.filter(~held_out("doc_id")), labels)
+
+
+def held_out(column: str) -> Column:
+    """The third of ids that labels are not learned from."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a third of the ids is held out from learning."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxic_model(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best other vectors of every vector whose id is divisible by 20, by integer inner product."""
     vectors = read(spark, sf_dir, "embeddings")
@@ -57,6 +75,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
