@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, oracles, toxicity
+from ledgerline.llm import bpe, oracles, quality, toxicity
 from ledgerline.llm.fingerprint import edited_fingerprints
 from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.mixing import mix
 from ledgerline.llm.ship import ship
 from ledgerline.llm.suffix_dedup import remove_repeats
 from ledgerline.llm.topk_search import top_k
+from ledgerline.llm.unit_dedup import remove_repeated_units
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of each document once units that an earlier place of the corpus has are removed."""
+    out = remove_repeated_units(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_units", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Learned from the rows that are not held out."""
     return toxicity.fit(docs.filter(~held_out("doc_id")), labels)
@@ -60,6 +68,13 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read(spark, sf_dir, "documents"), with_text=False)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from heuristic labellers alone."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs)).select(
+        "doc_id", "posterior", "score", (F.col("score") >= 0.5).cast("int").alias("keep"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of each document, and of the bytes they decode to."""
     import public_tokenizers as vocabularies
@@ -75,11 +90,13 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
     "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_fingerprints": op7_fingerprints,
+    "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
