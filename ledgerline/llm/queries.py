@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, oracles, quality, toxicity
+from ledgerline.llm import bpe, html_extract, oracles, quality, toxicity
 from ledgerline.llm.fingerprint import edited_fingerprints
 from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.mixing import mix
@@ -45,6 +45,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, and its length in code points."""
+    pages = read(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best other vectors of every vector whose id is divisible by 20, by integer inner product."""
     vectors = read(spark, sf_dir, "embeddings")
@@ -92,6 +99,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_html_extract": op3_html_extract,
     "op4_topk_search": op4_topk_search,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
