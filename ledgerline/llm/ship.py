@@ -8,11 +8,13 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+TEXTS_PER_BATCH = 1000          # whole texts in one Arrow batch; the default of 10,000 is hundreds of MB
 _SENT: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Add the package as a zip to the session's Python files, once for each application."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
     sc = spark.sparkContext
     if sc.applicationId in _SENT:
         return

@@ -8,6 +8,7 @@ hash in every task, run and process.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:                      # another C library: nothing to trim
+    _LIBC = None
 SLAB_BYTES = 1 << 20          # working set of one kernel call; a longer text is a slab of its own
 
 
@@ -61,6 +66,26 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
+def joined(column, kind) -> np.ndarray:
+    """All values of an Arrow binary column, end to end, as one array (no copy of a single chunk)."""
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    parts = []
+    for c in chunks:
+        _, offs, data = c.buffers()
+        if len(c) and data is not None:
+            o = np.frombuffer(offs, np.int32, count=len(c) + 1 + c.offset)[c.offset:]
+            parts.append(np.frombuffer(data, np.uint8)[o[0]:o[-1]])
+    whole = parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+    return whole.view(kind)
+
+
+def trim() -> None:
+    """Give freed memory back to the system between the steps of a long-lived worker."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def slabs(offsets: np.ndarray, limit: int = SLAB_BYTES) -> Iterator[tuple[int, int]]:
     """Runs [i, j) of documents with at most ``limit`` bytes, or one longer document."""
     i, n = 0, len(offsets) - 1
