@@ -47,8 +47,10 @@ from ledgerline.llm import textkernel as K
 from ledgerline.llm.scratch import Scratch, rename_clear
 
 U64 = np.uint64
-BUCKET_BYTES = 16 << 20          # text bytes behind one bucket or document group
-FLUSH_BYTES = 12 << 20           # text bytes a map task packs before it sends them
+BUCKET_BYTES = 8 << 20          # text bytes behind one bucket or document group
+FLUSH_BYTES = 6 << 20           # text bytes a map task packs before it sends them
+SLAB_BYTES = 1 << 18             # text bytes hashed at once
+WINDOWS_AT_ONCE = 200_000        # windows that one later pass sorts together
 PLACE_BITS = U64(28)
 
 
@@ -145,8 +147,10 @@ def _cuts(sorted_keys: np.ndarray):
 def _entries(depth: int, n_buckets: int):
     def flush(parts) -> pa.RecordBatch:
         docs, gram, run, first, place, count = (np.concatenate([p[c] for p in parts]) for c in range(6))
+        # mixed anew, as the smallest hashes of windows are far from uniform; the other half of the
+        # bits tells grams of a bucket apart
+        gram = K.mix64(gram)
         bucket = (((gram >> U64(32)) * U64(n_buckets)) >> U64(32)).astype(np.int64)
-        gram = K.mix64(gram)          # bits independent of those that chose the bucket
         order = np.argsort(bucket, kind="stable")
         rows = {c: [] for c in ENTRY.names}
         bucket = bucket[order]
@@ -167,15 +171,18 @@ def _entries(depth: int, n_buckets: int):
         parts, held = [], 0
         for b in batches:
             docs, valid, raw, offsets, _ = _batch_docs(b)
-            for i, j in K.slabs(offsets):
+            for i, j in K.slabs(offsets, SLAB_BYTES):
                 off = offsets[i:j + 1] - offsets[i]
                 d, *rest = runs_of(raw[offsets[i]:offsets[j]], off, depth)
                 keep = valid[i:j][d]
-                parts.append([docs[i:j][d][keep], *(x[keep] for x in rest)])
+                gram, whole, first, place, count = (x[keep] for x in rest)
+                parts.append([docs[i:j][d][keep], gram, whole, first.astype(np.uint32), place.astype(np.uint8),
+                              count.astype(np.uint8)])
                 held += int(off[-1])
                 if held >= FLUSH_BYTES:
                     yield flush(parts)
                     parts, held = [], 0
+                    K.trim()
         if parts:
             yield flush(parts)
     return run
@@ -199,10 +206,9 @@ def _first_pass(n_groups: int):
     """One bucket: settle the runs of grams of one document and the runs equal to an earlier one."""
     def run(key, table):
         bucket = key[0].as_py()
-        col = {c: table.column(c).to_pylist() for c in ENTRY.names[1:]}
 
         def join(name, kind):
-            return np.frombuffer(b"".join(col[name]), kind)
+            return K.joined(table.column(name), kind)
         docs = np.repeat(join("docs", DOC), join("counts", np.uint32))
         gram, first, shape = join("gram", np.uint32), join("first", np.uint32), join("shape", SHAPE)
         whole = join("run_low", np.uint32).astype(U64) | (join("run_high", np.uint16).astype(U64) << U64(32))
@@ -231,6 +237,7 @@ def _first_pass(n_groups: int):
             _found_rows(rows, SETTLED, docs[settled], first[settled], shape[settled], None, n_groups)
             wide = (np.uint64(bucket) << U64(32)) | gram[is_open].astype(U64)
             _found_rows(rows, OPEN, docs[is_open], first[is_open], shape[is_open], wide, n_groups)
+        K.trim()
         return pa.Table.from_pydict(rows, schema=FOUND)
     return run
 
@@ -265,6 +272,7 @@ def _texts(n_groups: int):
                 if held >= FLUSH_BYTES:
                     yield flush(parts)
                     parts, held = [], 0
+                    K.trim()
         if parts:
             yield flush(parts)
     return run
@@ -288,7 +296,7 @@ def _read_found(table, kind: int):
     mine = table.filter(pc.equal(table.column("kind"), kind))
 
     def join(name, t):
-        return np.frombuffer(b"".join(x or b"" for x in mine.column(name).to_pylist()), t)
+        return K.joined(mine.column(name), t)
     docs, first, shape, gram = join("docs", DOC), join("first", np.uint32), join("shape", SHAPE), join("gram", U64)
     order = np.lexsort((docs["variant"], docs["id"]))
     return docs[order], first[order].astype(np.int64), shape[order], gram[order] if len(gram) else gram
@@ -319,6 +327,7 @@ def _fetch(depth: int, n_buckets: int):
             for c, x in zip(WINDOW.names, (key, docs[o].tobytes(), gram[o].tobytes(), first[o].astype(np.uint32).tobytes(),
                                            shape[o].tobytes(), body), strict=True):
                 rows[c].append(x)
+        K.trim()
         return pa.Table.from_pydict(rows, schema=WINDOW)
     return run
 
@@ -349,46 +358,74 @@ def radix_groups(group: np.ndarray, digits, ids: np.ndarray):
         group, j = np.cumsum(head) - 1, j + 1
 
 
+def _slices(gram: np.ndarray, count: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """Runs of whole grams with about ``limit`` windows at most, or of one gram that has more (True)."""
+    order = np.argsort(gram, kind="stable")
+    heads = [(s, e) for _, s, e in _cuts(gram[order])]
+    windows = np.concatenate([[0], np.cumsum(count[order])])
+    start = 0
+    for k, (s, e) in enumerate(heads):
+        if k + 1 == len(heads) or windows[heads[k + 1][1]] - windows[start] > limit:
+            yield order[start:e], start == s and windows[e] - windows[s] > limit
+            start = e
+
+
+def _repeated(docs, gram, shape, span, base, raw, runs, place, depth: int):
+    """Windows of some runs (at one place of the gram only, if given) that an earlier document has: (run, step)."""
+    count, first_place = shape["count"].astype(np.int64), shape["place"].astype(np.int64)
+    if place is None:
+        entry = np.repeat(runs, count[runs])
+        step = np.arange(len(entry)) - np.repeat(np.cumsum(count[runs]) - count[runs], count[runs])
+    else:
+        step = first_place[runs] - place
+        entry, step = runs[(step >= 0) & (step < count[runs])], step[(step >= 0) & (step < count[runs])]
+    start = base[entry] + step
+    ids = docs["id"][entry]
+
+    def digits(j, index):
+        if j * 8 >= depth:
+            return None
+        at = start[index] + min(8 * j, depth - 8)
+        word = np.zeros(len(index), U64)
+        for k in range(8):
+            word = (word << U64(8)) | raw[at + k].astype(U64)
+        return word
+    index, number = radix_groups(np.unique(gram[entry], return_inverse=True)[1].reshape(-1) * 256 + first_place[entry] - step,
+                                 digits, ids)
+    if not len(index):
+        return entry[:0], step[:0]
+    head = np.concatenate([[True], number[1:] != number[:-1]])
+    low = np.minimum.reduceat(ids[index], np.flatnonzero(head))[np.cumsum(head) - 1]
+    again = np.sort(index[ids[index] > low])
+    return entry[again], step[again]
+
+
 def _later_passes(depth: int, n_groups: int):
-    """One bucket of open runs: sort their windows digit by digit; repeated windows are settled runs."""
+    """One bucket of open runs: sort their windows digit by digit; repeated windows are settled runs.
+
+    Grams don't meet, and neither do different places of a gram in the window: the bucket is worked off
+    in slices of them, so that the memory follows the runs, not their windows.
+    """
     def run(table):
         def join(name, t):
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), t)
+            return K.joined(table.column(name), t)
         docs, gram, first, shape, raw = (join("docs", DOC), join("gram", U64), join("first", np.uint32),
                                          join("shape", SHAPE), join("body", np.uint8))
-        count = shape["count"].astype(np.int64)
-        span = count + depth - 1
+        span = shape["count"].astype(np.int64) + depth - 1
         base = np.cumsum(span) - span
-        entry = np.repeat(np.arange(len(docs)), count)
-        step = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
-        start = base[entry] + step
-        place = shape["place"].astype(np.int64)[entry] - step
-        word = np.zeros(len(raw) + 8, U64)
-        padded = np.concatenate([raw, np.zeros(16, np.uint8)])
-        for k in range(8):
-            word |= padded[k:k + len(word)].astype(U64) << U64(8 * (7 - k))
-
-        def digits(j, index):
-            if j * 8 >= depth:
-                return None
-            return word[start[index] + min(8 * j, depth - 8)]
-        group = np.unique(gram, return_inverse=True)[1].reshape(-1)[entry] * 256 + place
-        ids = docs["id"][entry]
-        index, number = radix_groups(group, digits, ids)
         rows = {c: [] for c in FOUND.names}
-        if len(index):
-            at = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-            low = np.minimum.reduceat(ids[index], at)[np.cumsum(np.concatenate([[True], number[1:] != number[:-1]])) - 1]
-            again = np.sort(index[ids[index] > low])
-            # neighbouring windows of one run become one settled run
-            head = np.ones(len(again), bool)
-            head[1:] = (again[1:] != again[:-1] + 1) | (entry[again[1:]] != entry[again[:-1]])
-            at = np.flatnonzero(head)
-            if len(at):
-                out = np.empty(len(at), SHAPE)
-                out["place"], out["count"] = 0, np.diff(np.append(at, len(again)))
-                e = entry[again[at]]
-                _found_rows(rows, SETTLED, docs[e], first[e] + step[again[at]], out, None, n_groups)
+        for runs, alone in _slices(gram, shape["count"].astype(np.int64), WINDOWS_AT_ONCE):
+            for place in np.unique(np.concatenate([np.arange(p - c + 1, p + 1) for p, c in set(shape[runs].tolist())])) if alone else [None]:
+                entry, step = _repeated(docs, gram, shape, span, base, raw, runs, place, depth)
+                # neighbouring windows of one run become one settled run
+                head = np.ones(len(entry), bool)
+                head[1:] = (entry[1:] != entry[:-1]) | (step[1:] != step[:-1] + 1)
+                at = np.flatnonzero(head)
+                if len(at):
+                    out = np.empty(len(at), SHAPE)
+                    out["place"], out["count"] = 0, np.diff(np.append(at, len(entry)))
+                    _found_rows(rows, SETTLED, docs[entry[at]], first[entry[at]] + step[at], out, None, n_groups)
+        K.trim()
         return pa.Table.from_pydict(rows, schema=FOUND)
     return run
 
@@ -425,6 +462,7 @@ def _cut(depth: int):
             for c, x in zip(KEPT.names, (d[0] if valid else None, len(body), b"".join(kept),
                                          [{"start": a, "end": b} for a, b in spans]), strict=True):
                 rows[c].append(x)
+        K.trim()
         return pa.Table.from_pydict(rows, schema=KEPT)
     return run
 
@@ -441,7 +479,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.mapInArrow(_texts(n), FOUND_DDL)
     first = scratch.store(docs.mapInArrow(_entries(depth, n), ENTRY_DDL).groupBy("bucket")
                           .applyInArrow(_first_pass(n), FOUND_DDL), "first-pass")
-    windows = texts.unionByName(first.filter(F.col("kind") == OPEN)).groupBy("grp").applyInArrow(_fetch(depth, n), WINDOW_DDL)
+    windows = texts.unionByName(first.filter(F.col("kind") == OPEN)).groupBy("grp").applyInArrow(_fetch(depth, 4 * n), WINDOW_DDL)
     later = scratch.store(windows.groupBy("bucket").applyInArrow(_later_passes(depth, n), FOUND_DDL), "later-passes")
     settled = first.filter(F.col("kind") == SETTLED).unionByName(later)
     return texts.unionByName(settled).groupBy("grp").applyInArrow(_cut(depth), KEPT_DDL)
