@@ -55,7 +55,10 @@ def targets(scratch: Scratch, sizes: DataFrame, weights: list[float], share: flo
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row; see the module text for all cases."""
+    """(doc_id, source, digest, size, source_size, target, taken) of every row; see the module text for all cases.
+
+    ``digest`` is the MD5 of the text.
+    """
     if not weights or min(weights) <= 0 or share < 0 or most <= 0:
         raise ValueError("weights and most must be above 0, share at least 0")
     scratch = Scratch(docs.sparkSession, "mixing")
@@ -69,9 +72,9 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
     placed = running_sums(range_sorted(scratch, sized, order), order, "size", within=["source"], name="before")
     budget = F.round("target").cast("long")
     joined = placed.alias("d").join(per.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
-        "d.doc_id", "d.source", "d.size", "d.before", "s.source_size", "s.target", budget.alias("budget"))
+        "d.doc_id", "d.source", "d.digest", "d.size", "d.before", "s.source_size", "s.target", budget.alias("budget"))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("budget") - F.col("epochs") * F.col("source_size")
     part = F.least(F.greatest(rest - F.col("before"), F.lit(0)), F.col("size"))
     return joined.withColumn("epochs", epochs).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"))
+        "doc_id", "source", "digest", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"))

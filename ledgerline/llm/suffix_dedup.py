@@ -113,8 +113,8 @@ ENTRY = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.
 ENTRY_DDL = "bucket int, docs binary, counts binary, gram binary, run_low binary, run_high binary, first binary, shape binary"
 # found runs, and texts, by group of documents
 FOUND = pa.schema([("grp", pa.int32()), ("kind", pa.int8()), ("docs", pa.binary()), ("first", pa.binary()),
-                   ("shape", pa.binary()), ("gram", pa.binary()), ("body", pa.binary())])
-FOUND_DDL = "grp int, kind byte, docs binary, first binary, shape binary, gram binary, body binary"
+                   ("shape", pa.binary()), ("gram", pa.binary()), ("body", pa.binary()), ("carried", pa.binary())])
+FOUND_DDL = "grp int, kind byte, docs binary, first binary, shape binary, gram binary, body binary, carried binary"
 SETTLED, OPEN, TEXT = 0, 1, 2
 DOC = np.dtype([("id", "<i8"), ("variant", "<u2")])        # a row: its id and 16 bits of its text
 SHAPE = np.dtype([("place", "u1"), ("count", "u1")])
@@ -200,6 +200,7 @@ def _found_rows(rows: dict, kind: int, docs, first, shape, gram, n_groups: int,
         rows["shape"].append(shape[o].tobytes())
         rows["gram"].append(gram[o].tobytes() if gram is not None else None)
         rows["body"].append(None)
+        rows["carried"].append(None)
 
 
 def _first_pass(n_groups: int):
@@ -242,13 +243,14 @@ def _first_pass(n_groups: int):
     return run
 
 
-def _texts(n_groups: int):
-    """Whole texts, compressed together by group of documents."""
+def _texts(n_groups: int, carry: list[str] | None = None):
+    """Whole texts, compressed together by group of documents; columns to carry go along as Arrow streams."""
     def flush(parts) -> pa.RecordBatch:
         docs = np.concatenate([p[0] for p in parts])
         group = np.concatenate([p[1] for p in parts])
         bodies = [x for p in parts for x in p[2]]
         valid = np.concatenate([p[3] for p in parts])
+        extra = pa.Table.from_batches([p[4] for p in parts]) if carry else None
         order = np.argsort(group, kind="stable")
         zip_ = zstandard.ZstdCompressor(level=3)
         rows = {c: [] for c in FOUND.names}
@@ -256,7 +258,8 @@ def _texts(n_groups: int):
             o = order[s:e]
             own = [bodies[x] for x in o.tolist()]
             for c, x in zip(FOUND.names, (key, TEXT, docs[o].tobytes(), np.array([len(t) for t in own], np.uint32).tobytes(),
-                                          valid[o].tobytes(), None, zip_.compress(b"".join(own))), strict=True):
+                                          valid[o].tobytes(), None, zip_.compress(b"".join(own)),
+                                          zip_.compress(_stream(extra.take(o))) if carry else None), strict=True):
                 rows[c].append(x)
         return pa.RecordBatch.from_pydict(rows, schema=FOUND)
 
@@ -267,7 +270,7 @@ def _texts(n_groups: int):
             group = np.where(valid, _groups(docs, n_groups), variant % n_groups)
             for i, j in K.slabs(offsets, FLUSH_BYTES):
                 bodies = [raw[s:e].tobytes() for s, e in zip(offsets[i:j].tolist(), offsets[i + 1:j + 1].tolist(), strict=True)]
-                parts.append((docs[i:j], group[i:j], bodies, valid[i:j]))
+                parts.append((docs[i:j], group[i:j], bodies, valid[i:j], b.select(carry).slice(i, j - i) if carry else None))
                 held += int(offsets[j] - offsets[i])
                 if held >= FLUSH_BYTES:
                     yield flush(parts)
@@ -278,6 +281,20 @@ def _texts(n_groups: int):
     return run
 
 
+def _stream(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _carried(table) -> pa.Table:
+    """Carried columns of a group of documents, in the order of ``_read_group``."""
+    unzip = zstandard.ZstdDecompressor()
+    return pa.concat_tables([pa.ipc.open_stream(unzip.decompress(x)).read_all() for kind, x in zip(
+        table.column("kind").to_pylist(), table.column("carried").to_pylist(), strict=True) if kind == TEXT])
+
+
 def _read_group(table):
     """Texts of a group of documents: [(doc, valid, bytes)]."""
     out, unzip = [], zstandard.ZstdDecompressor()
@@ -435,7 +452,7 @@ KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.b
 KEPT_DDL = "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>"
 
 
-def _cut(depth: int):
+def _cut(depth: int, carry: list[str]):
     """One group of documents: remove the union of the settled runs from each text."""
     def run(table):
         docs, first, shape, _ = _read_found(table, SETTLED)
@@ -443,7 +460,8 @@ def _cut(depth: int):
         for key, s, e in _cuts(docs):
             at[key] = (s, e)
         rows = {c: [] for c in KEPT.names}
-        for d, valid, body in _read_group(table):
+        read = _read_group(table)
+        for d, valid, body in read:
             spans = []
             if valid and d in at:
                 s, e = at[d]
@@ -463,23 +481,44 @@ def _cut(depth: int):
                                          [{"start": a, "end": b} for a, b in spans]), strict=True):
                 rows[c].append(x)
         K.trim()
-        return pa.Table.from_pydict(rows, schema=KEPT)
+        out = pa.Table.from_pydict(rows, schema=KEPT)
+        if carry and read:
+            out = out.append_column("kept_text", pa.array([x.decode("utf-8", "ignore") for x in rows["kept"]], pa.string()))
+            extra = _carried(table)
+            for c in carry:
+                out = out.append_column(f"carried_{c}", extra.column(f"carried_{c}"))
+        elif carry:
+            raise ValueError("a group of documents without texts")
+        return out
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 50) -> DataFrame:
-    """Each row without its repeated windows: (doc_id, n_bytes, kept, spans); see the module text for all cases."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 50,
+                   carry: list[str] | None = None) -> DataFrame:
+    """Each row without its repeated windows: (doc_id, n_bytes, kept, spans); see the module text for all cases.
+
+    ``kept`` are the bytes left, and may cut a character. Columns named in ``carry`` come along under
+    their names, together with ``kept_text``: the bytes left as text, without the bytes of cut characters.
+    """
     if not 16 <= depth <= 128:
         raise ValueError("depth must be 16 to 128 bytes")
-    spark = docs.sparkSession
-    docs = rename_clear(docs, {"doc_id": id_col, "text": text_col}).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scratch = Scratch(spark, "suffix")
-    total = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    carry = list(carry or [])
+    wanted = rename_clear(docs, {"doc_id": id_col, "text": text_col, **{f"carried_{c}": c for c in carry}})
+    docs = wanted.withColumn("doc_id", F.col("doc_id").cast("long"))
+    bare = docs.select("doc_id", "text")
+    scratch = Scratch(docs.sparkSession, "suffix")
+    total = int(bare.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = max(1, math.ceil(total / BUCKET_BYTES))
-    texts = docs.mapInArrow(_texts(n), FOUND_DDL)
-    first = scratch.store(docs.mapInArrow(_entries(depth, n), ENTRY_DDL).groupBy("bucket")
+    texts = bare.mapInArrow(_texts(n), FOUND_DDL)
+    first = scratch.store(bare.mapInArrow(_entries(depth, n), ENTRY_DDL).groupBy("bucket")
                           .applyInArrow(_first_pass(n), FOUND_DDL), "first-pass")
     windows = texts.unionByName(first.filter(F.col("kind") == OPEN)).groupBy("grp").applyInArrow(_fetch(depth, 4 * n), WINDOW_DDL)
     later = scratch.store(windows.groupBy("bucket").applyInArrow(_later_passes(depth, n), FOUND_DDL), "later-passes")
     settled = first.filter(F.col("kind") == SETTLED).unionByName(later)
-    return texts.unionByName(settled).groupBy("grp").applyInArrow(_cut(depth), KEPT_DDL)
+    named = [f"carried_{c}" for c in carry]
+    whole = docs.mapInArrow(_texts(n, named), FOUND_DDL) if carry else texts
+    ddl = KEPT_DDL + ", kept_text string" * bool(carry) + "".join(f", `carried_{c}` {docs.schema[f'carried_{c}'].dataType.simpleString()}" for c in carry)
+    out = whole.unionByName(settled).groupBy("grp").applyInArrow(_cut(depth, carry), ddl)
+    if not carry:
+        return out
+    return out.select("doc_id", "n_bytes", "kept", "spans", "kept_text", *[F.col(f"`carried_{c}`").alias(c) for c in carry])

@@ -110,6 +110,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(np.array([r["index"] for r in kept[1:]], np.int64), m.weights(z, n_), m.bias())
 
 
+def _scores(column, w: np.ndarray, bias: float) -> np.ndarray:
+    total = np.full(len(column), bias)
+    raw, offsets = K.text_bytes(column)
+    for i, j in K.slabs(offsets):
+        off = offsets[i:j + 1]
+        f, doc = word_features(raw[off[0]:off[-1]], off - off[0], BITS)
+        hit = w[f] != 0
+        key = np.unique((doc[hit] << BITS) | f[hit])
+        total[i:j] += np.bincount(key >> BITS, weights=w[key & ((1 << BITS) - 1)], minlength=j - i)
+    return 1.0 / (1.0 + np.exp(-np.clip(total, -50, 50)))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row, 0 to 1: how likely label 1 is."""
     docs = rename_clear(docs, {"doc_id": id_col, "text": text_col})
@@ -118,14 +130,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, bias = sent.value.dense(), sent.value.bias
         for b in batches:
-            total = np.full(b.num_rows, bias)
-            raw, offsets = K.text_bytes(b.column("text"))
-            for i, j in K.slabs(offsets):
-                off = offsets[i:j + 1]
-                f, doc = word_features(raw[off[0]:off[-1]], off - off[0], BITS)
-                hit = w[f] != 0
-                key = np.unique((doc[hit] << BITS) | f[hit])
-                total[i:j] += np.bincount(key >> BITS, weights=w[key & ((1 << BITS) - 1)], minlength=j - i)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -50, 50))))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(_scores(b.column("text"), w, bias))],
+                                             names=["doc_id", "score"])
     return docs.mapInArrow(run, "doc_id {}, score double".format(docs.schema["doc_id"].dataType.simpleString()))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below the threshold."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, bias = sent.value.dense(), sent.value.bias
+        for b in batches:
+            yield b.filter(pa.array(_scores(b.column(at), w, bias) < threshold))
+    return docs.mapInArrow(run, docs.schema)
