@@ -81,7 +81,7 @@ def runs_of(raw: np.ndarray, offsets: np.ndarray, depth: int):
     """Runs of windows that share a gram: (doc, gram hash, run hash, first window, place of the gram, windows)."""
     k = max(8, depth * 2 // 5)
     w = depth - k + 1
-    none = [np.zeros(0, np.int64)] * 6
+    none = [np.zeros(0, t) for t in (np.int64, U64, U64, np.int64, np.int64, np.int64)]
     if len(raw) < depth:
         return none
     g = _gram_hash(raw, k)
