@@ -47,8 +47,9 @@ def targets(scratch: Scratch, sizes: DataFrame, weights: list[float], share: flo
                          ["full_at", "source"], "weight", name="weight_before")
     level = swept.crossJoin(F.broadcast(totals)).withColumn(  # totals: one row
         "level", (F.col("total") - F.col("cap_before")) / (F.col("weights") - F.col("weight_before")))
-    # a source stays open when filling it would need more than the level
-    best = level.filter(F.col("full_at") >= F.col("level")).agg(F.min_by("level", F.struct("full_at", "level")).alias("level"))
+    # the first source that stays open at its level sets it; of sources that fill up together, that is the highest level
+    first = F.struct("full_at", (-F.col("level")).alias("level"))
+    best = level.filter(F.col("full_at") >= F.col("level")).agg(F.min_by("level", first).alias("level"))
     target = F.least(F.col("cap"), F.coalesce(F.col("weight") * F.col("level"), F.col("cap")))
     return per.crossJoin(F.broadcast(best)).select("source", "source_size", target.alias("target"))  # best: one row
 

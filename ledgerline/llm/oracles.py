@@ -17,7 +17,7 @@ swept AS (
   FROM full_at
   WINDOW w AS (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 levels AS (SELECT *, (total - cap_before) / (weights - weight_before) AS level FROM swept),
-best AS (SELECT level FROM levels WHERE full_at >= level ORDER BY full_at, level LIMIT 1),
+best AS (SELECT level FROM levels WHERE full_at >= level ORDER BY full_at, level DESC LIMIT 1),
 targets AS (
   SELECT source, source_size, least(cap, coalesce(weight * (SELECT level FROM best), cap)) AS target FROM weighed),
 placed AS (
