@@ -47,3 +47,39 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+SUFFIX_DEDUP = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 49, 0))) AS k FROM d),
+windows AS (SELECT doc_id, k, substr(h, 2 * k + 1, 100) AS win FROM w),
+firsts AS (SELECT win, min(doc_id) AS first_doc FROM windows GROUP BY win),
+gone AS (SELECT doc_id, k FROM windows JOIN firsts USING (win) WHERE first_doc < doc_id),
+heads AS (SELECT doc_id, k, CASE WHEN k > lag(k, 1, -100) OVER (PARTITION BY doc_id ORDER BY k) + 50 THEN 1 ELSE 0 END AS head FROM gone),
+numbered AS (SELECT doc_id, k, sum(head) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM heads),
+runs AS (SELECT doc_id, run, min(k) AS s, max(k) + 50 AS e FROM numbered GROUP BY doc_id, run),
+placed AS (SELECT *, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS last_e FROM runs),
+cut AS (
+  SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, last_e * 2 + 1, (s - last_e) * 2), '' ORDER BY s) || substr(any_value(h), max(e) * 2 + 1) AS kept
+  FROM placed JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+places AS (SELECT doc_id, words, unnest(range(greatest(len(words) - 4, least(len(words), 1)))) AS k FROM w),
+grams AS (SELECT DISTINCT doc_id, array_to_string(words[k + 1:k + 5], ' ') AS gram FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+           FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT u, v FROM common JOIN sizes a ON u = a.doc_id JOIN sizes b ON v = b.doc_id WHERE 100 * c >= 80 * (a.n + b.n - c)),
+edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, edges.v FROM reach JOIN edges ON reach.other = edges.u)
+SELECT w.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM w LEFT JOIN sizes USING (doc_id) JOIN reach USING (doc_id) GROUP BY w.doc_id
+"""

@@ -111,5 +111,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op4_topk_search": oracles.TOP_K,
+    "op5_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op6_mix_sources": oracles.MIX,
+    "op10_ngram_jaccard": oracles.JACCARD,
 }
