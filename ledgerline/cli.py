@@ -22,12 +22,12 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("input")
     r.add_argument("--target", required=True, help="target store folder")
     r.add_argument("--runs", required=True, help="run-record folder")
-    r.add_argument("--output", help="folder for the deduplicated CSV copy")
+    r.add_argument("--output", help="folder for the deduplicated CSV copy (default: beside the target)")
     r.add_argument("--format", choices=["csv", "parquet"], help="input format (default: by extension)")
     r.add_argument("--as-of", help="timestamp for the future-date rule and the load stamp (default: now)")
     r.add_argument("--checksum", type=float, help="expected control total of the amounts")
     r.add_argument("--pipeline-id")
-    r.add_argument("--buckets", type=int, help="keep the target bucketed by its key into this many buckets")
+    r.add_argument("--parts", type=int, default=16, help="folders of a new target; a load rewrites those its keys fall into")
     g = sub.add_parser("generate", help="write a synthetic operations CSV")
     g.add_argument("output")
     g.add_argument("--rows", type=int, default=10_000)
@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     if args.command == "run":
         from ledgerline.plans.pipeline import ReconciliationJob
         job = ReconciliationJob(spark, args.target, args.runs, as_of=args.as_of, input_format=args.format,
-                                target_buckets=args.buckets)
+                                target_parts=args.parts)
         res = job.run(args.input, output_dir=args.output, pipeline_id=args.pipeline_id,
                       expected_checksum=args.checksum)
         out = {k: v for k, v in res.record.items() if k != "validation_errors"}

@@ -18,6 +18,13 @@ from ledgerline.operators.rules import RuleSet, default_rules, row_rules, typed
 from ledgerline.plans.keyjoin import join_on_keys
 
 FAILURES = "_failures"
+MALFORMED = "_malformed_row"            # raw text of rows that the CSV scan could not split
+
+
+def _money_text(total):
+    """Cents, or as many digits as the total has."""
+    text = total.cast("string")
+    return F.regexp_replace(text, r"(\.\d\d\d*?)0*$", "$1")
 
 
 def _unique_flag(df: DataFrame, spec, raw_type, rules: RuleSet, flag: str) -> DataFrame:
@@ -59,6 +66,10 @@ def annotate(df: DataFrame, rules: RuleSet) -> DataFrame:
                 df = _unique_flag(df, spec, types[spec.name], rules, flag)
                 flags.append(flag)
                 checks.append((F.col(flag), spec.name, S.MSG_UNIQUE))
+    if MALFORMED in types:
+        # a row that the scan could not split: nothing else of it can be judged
+        bad = F.col(MALFORMED).isNotNull()
+        checks = [(~bad & cond, c, e) for cond, c, e in checks] + [(bad, MALFORMED, S.MSG_MALFORMED_ROW)]
     item = T.StructType([T.StructField("column", T.StringType()), T.StructField("error", T.StringType())])
     if checks:
         arr = F.filter(F.array(*[F.when(cond, F.struct(F.lit(c).alias("column"), F.lit(e).alias("error")))
@@ -137,8 +148,8 @@ class Validation:
 
     def control_total(self, expected: float | None, amount: str = S.AMOUNT_COLUMN) -> DataFrame:
         """Exact decimal total of ``amount`` over the valid rows vs an expected value."""
-        total = self.valid().agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("_t"))
-        actual = F.coalesce(F.col("_t"), F.lit(0).cast("decimal(18,2)"))
+        total = self.valid().agg(F.sum(F.col(amount).try_cast("decimal(38,10)")).alias("_t"))
+        actual = F.coalesce(F.col("_t"), F.lit(0).cast("decimal(38,10)"))
         if expected is None:
             ok = F.lit(True)
             exp = F.lit(None).cast("double")
@@ -148,7 +159,7 @@ class Validation:
             exp_dec = F.lit(repr(float(expected))).cast("decimal(38,10)")
             ok = F.abs(actual - exp_dec) < F.lit(str(S.CHECKSUM_TOLERANCE)).cast("decimal(38,10)")
         return total.select(exp.alias("expected_total"), actual.cast("double").alias("actual_total"),
-                            ok.alias("checksum_ok"), actual.cast("string").alias("actual_text"))
+                            ok.alias("checksum_ok"), _money_text(actual).alias("actual_text"))
 
     def checksum_warnings(self, expected: float | None, amount: str = S.AMOUNT_COLUMN) -> DataFrame:
         """A warning row when the control total does not match (never fatal)."""

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,14 @@ def _width(field: T.StructField) -> Column:
     return F.lit(fixed.get(type(dt), 8) + 1).cast("long")
 
 
+def observed(obs: Observation, **empty) -> dict:
+    """Metrics of an observed write; ``empty`` where the optimizer proved the plan empty and dropped them."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return empty
+
+
 def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

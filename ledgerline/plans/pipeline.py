@@ -1,34 +1,31 @@
 """The reconciliation job (P1-P4): extract -> validate -> dedup -> CSV copy -> upsert -> run record.
 
-The whole job is one lazy plan per write. The input rows are persisted once (the file is parsed
-once) because several steps read them (duplicated ids, failure report, dedup, load); counts come from ``Observation``s attached to the
-writes and one small summary aggregate, never from extra passes over the data. The target is
-published only after the merged snapshot is fully written (the merge checks the batch keys, which
-with a unique target keeps the key unique), so a failure anywhere leaves the previous table live;
-the run record is saved on success and on failure (P2).
+One plan for every input size. The input is parsed once and written once, as columns, to the shared
+checkpoint folder; uniqueness (a key-only scan), the failure report and the valid rows read that table.
+The deduplicated rows are written once too; the CSV copy and the load read them. A load rewrites
+only the parts of the target that its keys fall into and publishes them after they are written, so
+a failure anywhere leaves the previous table live; the run record is saved on success and on failure (P2).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from functools import reduce
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schema as S
 from ledgerline.operators import dedup as D
 from ledgerline.operators import upsert as U
 from ledgerline.operators.rules import RuleSet, default_rules
-from ledgerline.operators.validate import FAILURES, validate
+from ledgerline.operators.validate import duplicate_warning, validate
 from ledgerline.plans import runs as R
-from ledgerline.plans.keyjoin import materialize
+from ledgerline.plans.keyjoin import materialize, observed
 from ledgerline.plans.store import TargetStore
-from ledgerline.session import release_scratch, scratch_mark
-from ledgerline.sources.csv import ORDER_TAGS, ROW, _reader, _single_file, scan_csv, scan_csv_tagged, write_csv
+from ledgerline.session import scratch_owner
+from ledgerline.sources.csv import MALFORMED, ORDER_TAGS, ROW, row_numbers, scan_csv, scan_csv_tagged, write_csv
 from ledgerline.sources.parquet import scan_parquet
 
 
@@ -40,16 +37,17 @@ class RunResult:
 
 
 class ReconciliationJob:
-    """Configured job; ``run`` processes one input (path or frame) into the target store."""
+    """Configured job; ``run`` processes one input (path or frame) into the target store.
+
+    ``target_parts``: folders of a new target; each load rewrites those that its keys fall into.
+    """
 
     def __init__(self, spark: SparkSession, target_root: str, runs_dir: str, rules: RuleSet | None = None,
                  as_of=None, order_by: list[str] | None = None, max_errors: int = 100,
                  dedup_strategy: str = "hash", key_columns: list[str] | None = None,
-                 input_format: str | None = None, shuffle_free_dedup_rows: int = 2_000_000,
-                 target_buckets: int | None = None):
+                 input_format: str | None = None, target_parts: int = 16, multi_line: bool = True):
         self.spark = spark
-        # target_buckets: keep the target bucketed by its key so each load shuffles only the batch
-        self.store = TargetStore(spark, target_root, buckets=target_buckets)
+        self.store = TargetStore(spark, target_root, parts=target_parts)
         self.runs_dir = runs_dir
         self.as_of = as_of
         self.rules = rules or default_rules(as_of)
@@ -58,57 +56,17 @@ class ReconciliationJob:
         self.dedup_strategy = dedup_strategy
         self.key_columns = key_columns
         self.input_format = input_format
-        # above this many valid rows keep-first drops later copies found by a narrow key aggregate
-        # instead of shuffling and sorting every row (fewer jobs win below it)
-        self.shuffle_free_dedup_rows = shuffle_free_dedup_rows
+        self.multi_line = multi_line
 
-    def _extract(self, source) -> tuple[DataFrame, list[str]]:
-        """(rows, row-order columns). A frame is taken as given (``row`` if it has one); a path is
-        read as Parquet when it says so, else as CSV text. A CSV read by several tasks keeps the
-        file-order tags instead of a dense ``row``: the input is read once, and only the reported
-        failures get row numbers."""
+    def _extract(self, source) -> DataFrame:
+        """The input as a stored table with its row numbers (a frame keeps its own ``row``, if any)."""
         if isinstance(source, DataFrame):
-            return source, ([ROW] if ROW in source.columns else [])
+            return materialize(source)[0]
         fmt = self.input_format or ("parquet" if str(source).rstrip("/").endswith(".parquet") else "csv")
         if fmt == "parquet":
-            return scan_parquet(self.spark, source), [ROW]
-        raw = _reader(self.spark).csv(source)
-        if _single_file(raw) and raw.rdd.getNumPartitions() == 1:
-            return scan_csv(self.spark, source), [ROW]
-        return scan_csv_tagged(self.spark, source), list(ORDER_TAGS)
-
-    def _first_failures_by_file_order(self, annotated: DataFrame) -> tuple[int, int, list[dict]]:
-        """Totals and the first ``max_errors`` failures in file order, without a global top-k.
-
-        One aggregate per file split (rows, valid rows, failures, first position) gives the exact
-        totals and, through a running sum over that per-split table, the few splits that hold the
-        first failures; only those splits are read for the top-k, and their rows get file numbers.
-        The per-split table is the only thing a single task sees (one row per split).
-        """
-        k = self.max_errors
-        per = (annotated.groupBy("_file", "_block")
-               .agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.size(FAILURES) == 0).alias("__valid"),
-                    F.sum(F.size(FAILURES)).cast("long").alias("__fails"), F.min("_pos").alias("__first")))
-        per, _, _ = materialize(per)
-        tot = per.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("t"), F.coalesce(F.sum("__valid"), F.lit(0)).alias("v"))
-        t = tot.first()
-        before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = per.select("_file", "_block", "__first", "__fails",
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
-                            F.coalesce(F.sum("__fails").over(before), F.lit(0)).alias("__fails_before"))
-        chosen = ranked.filter((F.col("__fails") > 0) & (F.col("__fails_before") < k)).collect()
-        if not chosen:
-            return int(t["t"]), int(t["v"]), []
-        offs = {(c["_file"], c["_block"]): (c["__off"], c["__first"]) for c in chosen}
-        wanted = reduce(lambda a, b: a | b, [(F.col("_file") == f) & (F.col("_block") == b) for f, b in offs])
-        fails = (annotated.filter(wanted).select(*ORDER_TAGS, F.explode(FAILURES).alias("_f"))
-                 .select(*ORDER_TAGS, F.col("_f.column").alias("column"), F.col("_f.error").alias("error")))
-        top = fails.orderBy(*[F.col(c) for c in ORDER_TAGS], "column", "error").limit(k).collect()
-        out = []
-        for r in top:
-            off, first = offs[(r["_file"], r["_block"])]
-            out.append({"row": int(off + r["_pos"] - first), "column": r["column"], "error": r["error"]})
-        return int(t["t"]), int(t["v"]), out
+            return materialize(scan_parquet(self.spark, source))[0]
+        tagged = materialize(scan_csv_tagged(self.spark, source, multi_line=self.multi_line, malformed=True))[0]
+        return row_numbers(tagged, tagged).drop(*ORDER_TAGS)
 
     @staticmethod
     def _report_rows(top: list) -> list[dict]:
@@ -118,104 +76,71 @@ class ReconciliationJob:
 
     def run(self, source, output_dir: str | None = None, pipeline_id: str | None = None,
             expected_checksum: float | None = None) -> RunResult:
+        """Process one input. The CSV copy goes to ``output_dir``, by default a folder beside the target."""
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         pid = pipeline_id or f"etl_{now.strftime('%Y%m%d_%H%M%S')}_{uuid.uuid4().hex[:6]}"
         rec = {f.name: None for f in S.RUN_SCHEMA.fields}
         rec.update(pipeline_id=pid, start_time=now, input_file=source if isinstance(source, str) else "<frame>",
                    input_rows=0, validation_passed=0, validation_failed=0, validation_errors=[],
                    duplicates_found=0, duplicates_removed=0, rows_loaded=0, rows_updated=0, load_failed=0,
-                   processing_time_seconds=0.0, status="running", error_message="")
-        cached = None
-        annotated = None
-        deduped = None
-        stage = "extract"
-        mark = scratch_mark()
-        try:
-            raw, order_cols = self._extract(source)
-            stage = "validate"
-            order_by = self.order_by or order_cols or None
-            id_cols = order_cols or (order_by or [])
-            # the input is parsed once: the first job (duplicated ids) fills the scan's cache; the next
-            # job fills the validated frame's cache from it, and then the scan's cache is released
-            cached = raw.persist(StorageLevel.MEMORY_AND_DISK)
-            v = validate(cached, self.rules, id_cols=id_cols)
-            annotated = v.annotated.persist(StorageLevel.MEMORY_AND_DISK)
-            v.annotated = annotated
-            if order_cols == list(ORDER_TAGS):
-                total, valid, rec["validation_errors"] = self._first_failures_by_file_order(annotated)
-            elif order_cols:
-                # the counts ride on the top-failures job: a single result stage, where an observed
-                # metric is applied exactly once even when tasks are retried
-                counts = Observation(f"validate_{pid}")
-                v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"),
-                                                F.count_if(F.size(FAILURES) == 0).alias("valid"))
-                top = v.failures_top(self.max_errors).collect()
-                rec["validation_errors"] = self._report_rows(top)
-                m = counts.get
-                total, valid = int(m["total"]), int(m["valid"])
-                v.annotated = annotated
-            else:
-                summ = v.summary().first()
-                total, valid = int(summ["total_rows"]), int(summ["valid_rows"])
-            cached.unpersist()         # the validated frame is cached now
-            rec["input_rows"] = total
-            rec["validation_passed"] = valid
-            rec["validation_failed"] = total - valid
-            if expected_checksum is not None:
-                ct = v.control_total(expected_checksum).first()
-                rec["checksum_ok"] = bool(ct["checksum_ok"])
-            if not order_by:
-                raise ValueError("an explicit row order is needed for keep-first dedup")
-            stage = "dedup"
-            # file positions (or tags) are unique per row, so keep-first needs no shuffle of the rows;
-            # chosen from the measured row count, as the broadcast choices are
-            unique_order = (self.order_by is None and bool(order_cols)
-                            and valid >= self.shuffle_free_dedup_rows)
-            deduped, _ = D.deduplicate(v.valid(), self.dedup_strategy, order_by, self.key_columns,
-                                       unique_order=unique_order)
-            deduped = deduped.withColumn("is_duplicate", F.lit(0))
-            kept_obs = Observation(f"dedup_{pid}")
-            deduped = deduped.observe(kept_obs, F.count(F.lit(1)).alias("kept"))
-            if output_dir:
-                write_csv(deduped.drop(ROW, *ORDER_TAGS), output_dir)
-            stage = "load"
-            loaded = self._load(deduped, pid)
-            kept = int(kept_obs.get["kept"]) if output_dir else None
-            if kept is None:
-                kept = loaded["inserted"] + loaded["updated"]
-            rec["duplicates_found"] = rec["validation_passed"] - kept
-            rec["duplicates_removed"] = rec["duplicates_found"]
-            rec["rows_loaded"] = loaded["inserted"]
-            rec["rows_updated"] = loaded["updated"]
-            rec["status"] = "success"
-        except Exception as exc:  # noqa: BLE001 -- P2: record the failure, then re-raise
-            rec["status"] = "failed"
-            prefix = "Failed to load data: " if stage == "load" else ""
-            rec["error_message"] = f"{prefix}{type(exc).__name__}: {exc}"[:2000]
-            if stage == "load":
-                # all-or-nothing load: every row of the batch counts as failed (K9)
-                try:
-                    rec["load_failed"] = int(deduped.count())
-                except Exception:  # noqa: BLE001
-                    rec["load_failed"] = rec["validation_passed"]
-            self._finish(rec)
-            raise
-        finally:
-            if cached is not None:
-                cached.unpersist()
-            if annotated is not None:
-                annotated.unpersist()
-            release_scratch(self.spark, mark)    # this run's intermediate tables
+                   processing_time_seconds=0.0, status="running", error_message="", warnings=[])
+        stage, kept = "extract", 0
+        with scratch_owner(self.spark):
+            try:
+                raw = self._extract(source)
+                stage = "validate"
+                order_by = self.order_by or ([ROW] if ROW in raw.columns else None)
+                v = validate(raw, self.rules, id_cols=[ROW] if ROW in raw.columns else (order_by or []))
+                totals = v.summary().first()
+                total, valid = int(totals["total_rows"]), int(totals["valid_rows"])
+                rec["input_rows"] = total
+                rec["validation_passed"] = valid
+                rec["validation_failed"] = total - valid
+                rec["validation_errors"] = self._report_rows(v.failures_top(self.max_errors).collect())
+                rec["warnings"] = self._warnings(v, raw, expected_checksum)
+                if not order_by:
+                    raise ValueError("an explicit row order is needed for keep-first dedup")
+                stage = "dedup"
+                clean = D.with_content_hash(v.valid().drop(MALFORMED))
+                deduped, _ = D.deduplicate(clean, self.dedup_strategy, order_by, self.key_columns)
+                deduped, kept, _ = materialize(deduped.drop(ROW).withColumn("is_duplicate", F.lit(0)))
+                rec["duplicates_found"] = rec["duplicates_removed"] = valid - kept
+                stage = "copy"
+                write_csv(deduped, output_dir or f"{self.store.root}-csv/{pid}")
+                stage = "load"
+                loaded = self._load(deduped, pid)
+                rec["rows_loaded"] = loaded["inserted"]
+                rec["rows_updated"] = loaded["updated"]
+                rec["status"] = "success"
+            except Exception as exc:  # noqa: BLE001 -- P2: record the failure, then re-raise
+                rec["status"] = "failed"
+                prefix = "Failed to load data: " if stage == "load" else ""
+                rec["error_message"] = f"{prefix}{type(exc).__name__}: {exc}"
+                if stage == "load":
+                    rec["load_failed"] = kept        # all-or-nothing: every row of the batch counts as failed (K9)
+                self._finish(rec)
+                raise
         self._finish(rec)
         return RunResult(rec, self.store.current())
 
+    def _warnings(self, v, raw: DataFrame, expected: float | None) -> list[str]:
+        """Checksum mismatch of the valid rows, and the number of repeated operation ids of the input."""
+        key = self.store.key
+        found = [v.checksum_warnings(expected)] if expected is not None else []
+        if key in raw.columns:
+            counts = D.key_counts(raw, [key]).select((F.col("total_input") - F.col("final_count")).alias("duplicates"))
+            found.append(duplicate_warning(counts))
+        return [r["message"] for f in found for r in f.collect()]
+
     def _load(self, deduped: DataFrame, pid: str) -> dict:
-        # a first load merges into an empty frame; the store is created by publishing its result
-        target = self.store.current()
+        """Merge the batch into the parts of the target that its keys fall into, and publish them."""
+        base = self.store.version()
+        batch = U.normalize_load(deduped)
+        touched = self.store.parts_of(batch)
+        target = self.store.current(touched)
         new_store = target is None
         if new_store:
             target = self.spark.createDataFrame([], S.TARGET_SCHEMA)
-        batch = U.normalize_load(deduped)
         spec = self.rules.spec(self.store.key)
         # validation already leaves at most one valid row per key when it enforces a non-null unique key
         proven_unique = (spec is not None and spec.unique and not spec.nullable and self.rules.wants("unique")
@@ -225,8 +150,8 @@ class ReconciliationJob:
         obs = Observation(f"load_{pid}")
         merged = merged.observe(obs, F.count_if(F.col(U.ACTION) == "inserted").alias("inserted"),
                                 F.count_if(F.col(U.ACTION) == "updated").alias("updated"))
-        self.store.publish(merged, assert_key=False)
-        m = obs.get
+        self.store.publish(merged, parts=touched, base=base, assert_key=False)
+        m = observed(obs, inserted=0, updated=0)
         return {"inserted": int(m["inserted"]), "updated": int(m["updated"])}
 
     def _finish(self, rec: dict) -> None:
@@ -237,11 +162,11 @@ class ReconciliationJob:
         R.write_records(R.record_frame(self.spark, clean).coalesce(1), self.runs_dir)
 
 
-def quick_validate(spark: SparkSession, csv_path: str, as_of=None) -> tuple[DataFrame, DataFrame]:
+def quick_validate(spark: SparkSession, csv_path: str, as_of=None, rules: RuleSet | None = None) -> tuple[DataFrame, DataFrame]:
     """Scan, validate, flag duplicate ids and hash; returns (rows, summary)."""
-    raw = scan_csv(spark, csv_path)
-    v = validate(raw, default_rules(as_of), id_cols=[ROW])
-    rows = D.with_content_hash(D.flag_duplicates(v.valid(), [ROW]))
+    raw = materialize(scan_csv(spark, csv_path, malformed=True))[0]
+    v = validate(raw, rules or default_rules(as_of), id_cols=[ROW])
+    rows = D.with_content_hash(D.flag_duplicates(v.valid().drop(MALFORMED), [ROW]))
     return rows, v.summary()
 
 

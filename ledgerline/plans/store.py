@@ -1,125 +1,142 @@
-"""Target table as immutable snapshots plus a pointer file (K2, K3, K6, K7).
-
-A load writes the merged table to a new ``snap=<n>`` folder (Spark will not overwrite a path it is
-reading), checks the unique key on what was written, and only then replaces the small pointer
-file. A failure before that leaves the previous snapshot live: the load is all-or-nothing. All
-file operations go through the Hadoop FileSystem of the session, so the folder may be on any
-shared store.
+"""Target table as immutable part folders plus numbered manifests (K2, K3, K6, K7).
+
+The rows are dealt to ``parts`` by a hash of the key. A load merges and rewrites only the parts that
+its batch touches, into a new folder; the manifest of the load lists the live folder of every part,
+so untouched parts keep their files. A manifest is a small file ``_MANIFEST.<n>``: the newest
+complete one is the live table. It is written under another name and renamed to a name that must
+not exist yet, so a failure at any step leaves the manifest before it live (the load is
+all-or-nothing), and of two writers that read the same table one is refused. Folders that no kept
+manifest lists are deleted after a load. All file operations go through the Hadoop FileSystem of the
+session, so the folder may be on any shared store.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline import schema as S
 from ledgerline.operators.upsert import ACTION, assert_unique_key
+from ledgerline.plans.keyjoin import observed
+
+MANIFEST = "_MANIFEST."
+PART = "_part"
+
+
+class StaleTarget(RuntimeError):
+    """The table has changed since it was read: nothing was published."""
+
 
-POINTER = "_CURRENT"
+class NullInRequiredColumn(ValueError):
+    """A row to publish has no value in a column that must have one."""
 
 
 class TargetStore:
-    """``buckets``: write snapshots bucketed by the key (a parquet table with a bucket spec, its
-    location the snapshot folder). A later merge on the key then finds the target already hash
-    partitioned by the key and shuffles only the batch. The bucket count is kept with the pointer;
-    any session re-registers the snapshot as a catalog table from it, so no metastore is needed."""
-
-    def __init__(self, spark: SparkSession, root: str, key: str = S.KEY_COLUMN, buckets: int | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.key = key
-        self.buckets = buckets
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        hconf = spark._jsc.hadoopConfiguration()
-        self._fs = self._Path(self.root).getFileSystem(hconf)
-
-    # -- pointer ---------------------------------------------------------------------------------
-    def _read_pointer_lines(self) -> list[str]:
-        p = self._Path(f"{self.root}/{POINTER}")
-        if not self._fs.exists(p):
+    """``parts``: folders a new table is dealt to; an existing table keeps its own number.
+
+    ``keep``: manifests (with their folders) that stay readable after a load, the live one included.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str = S.KEY_COLUMN, parts: int = 16, keep: int = 2):
+        if parts < 1 or keep < 1:
+            raise ValueError("parts and keep must be at least 1")
+        self.spark, self.root, self.key, self.keep = spark, root.rstrip("/"), key, keep
+        self._new_parts = parts
+        self._jvm = spark._jvm
+        self._Path = self._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    # -- manifests -------------------------------------------------------------------------------
+    def _numbers(self) -> list[int]:
+        root = self._Path(self.root)
+        if not self._fs.exists(root):
             return []
-        stream = self._fs.open(p)
-        lines = []
+        names = [f.getPath().getName() for f in self._fs.listStatus(root)]
+        return sorted((int(n[len(MANIFEST):]) for n in names if n.startswith(MANIFEST) and n[len(MANIFEST):].isdigit()),
+                      reverse=True)
+
+    def _read(self, number: int) -> dict | None:
+        """A manifest, or None if it isn't whole (a copy that broke off on a store without renames)."""
+        stream = self._fs.open(self._Path(f"{self.root}/{MANIFEST}{number}"))
         try:
-            reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-            while line is not None:
-                lines.append(line.strip())
-                line = reader.readLine()
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return [ln for ln in lines if ln]
-
-    def _read_pointer(self) -> str | None:
-        lines = self._read_pointer_lines()
-        return lines[0] if lines else None
-
-    def bucket_count(self) -> int | None:
-        """Buckets of the live snapshot (None: not bucketed)."""
-        for ln in self._read_pointer_lines()[1:]:
-            if ln.startswith("buckets="):
-                v = ln.split("=", 1)[1]
-                return None if v in ("", "None", "0") else int(v)
+        try:
+            m = json.loads(text)
+        except ValueError:
+            return None
+        return m if m.get("complete") else None
+
+    def manifest(self) -> dict | None:
+        """The live manifest: version, parts, max_id and the live folder of each part."""
+        for n in self._numbers():
+            m = self._read(n)
+            if m is not None:
+                return m
         return None
 
-    def _table_name(self, snap: str) -> str:
-        import hashlib
-        return f"ledgerline_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_{snap.replace('=', '')}"
+    def version(self) -> int:
+        """Number of the live manifest; 0 if the table doesn't exist. ``publish`` takes it as its base."""
+        m = self.manifest()
+        return m["version"] if m else 0
 
-    def _register(self, snap: str, buckets: int) -> str:
-        """Catalog entry for a bucketed snapshot (metadata only; the files stay where they are)."""
-        name = self._table_name(snap)
-        if not self.spark.catalog.tableExists(name):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.TARGET_SCHEMA.fields)
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{self.key}`) "
-                           f"SORTED BY (`{self.key}`) INTO {int(buckets)} BUCKETS "
-                           f"LOCATION '{self.root}/{snap}'")
-        return name
-
-    def max_id(self) -> int | None:
-        """Largest surrogate id of the live snapshot, kept beside the pointer (None if unknown)."""
-        for ln in self._read_pointer_lines()[1:]:
-            if ln.startswith("max_id="):
-                v = ln.split("=", 1)[1]
-                return None if v in ("", "None") else int(v)
-        return None
-
-    def _write_pointer(self, name: str, max_id: int | None = None, buckets: int | None = None) -> None:
-        tmp = self._Path(f"{self.root}/.{POINTER}.{name}.tmp")
-        out = self._fs.create(tmp, True)
+    def _write_manifest(self, m: dict) -> None:
+        tmp = self._Path(f"{self.root}/.{MANIFEST}{m['version']}.{uuid.uuid4().hex}")
+        out = self._fs.create(tmp, False)
         try:
-            out.write(bytearray(f"{name}\nmax_id={max_id}\nbuckets={buckets or 0}\n".encode("utf-8")))
+            out.write(bytearray(json.dumps({**m, "complete": True}).encode("utf-8")))
         finally:
             out.close()
-        final = self._Path(f"{self.root}/{POINTER}")
-        if self._fs.exists(final):
-            self._fs.delete(final, False)
-        if not self._fs.rename(tmp, final):
-            raise RuntimeError(f"could not publish snapshot {name}")
-
-    def _next_name(self) -> str:
-        cur = self._read_pointer()
-        n = int(cur.split("=")[1]) + 1 if cur else 1
-        while self._fs.exists(self._Path(f"{self.root}/snap={n}")):
-            n += 1
-        return f"snap={n}"
+        final = self._Path(f"{self.root}/{MANIFEST}{m['version']}")
+        options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = getattr(self._jvm.org.apache.hadoop.fs.Options.Rename, "NONE")     # never overwrites
+        try:
+            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                self._fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(tmp, final, options)
+        except Exception as e:
+            self._fs.delete(tmp, False)
+            if self._fs.exists(final):
+                raise StaleTarget(f"version {m['version']} was published by another load") from e
+            raise
 
     # -- table -----------------------------------------------------------------------------------
     def exists(self) -> bool:
-        return self._read_pointer() is not None
+        return self.manifest() is not None
 
-    def current(self) -> DataFrame | None:
-        """The live snapshot, or None when the table was never created."""
-        cur = self._read_pointer()
-        if cur is None:
+    def max_id(self) -> int | None:
+        """Largest surrogate id of the live table (None if it doesn't exist)."""
+        m = self.manifest()
+        return m["max_id"] if m else None
+
+    def part_count(self) -> int:
+        m = self.manifest()
+        return m["parts"] if m else self._new_parts
+
+    def part_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.part_count())).cast("int")
+
+    def parts_of(self, batch: DataFrame) -> list[int]:
+        """Parts that the keys of a batch fall into (at most ``parts`` numbers)."""
+        return sorted(r[0] for r in batch.select(self.part_of(F.col(self.key)).alias(PART)).distinct().collect())
+
+    def current(self, parts: Iterable[int] | None = None) -> DataFrame | None:
+        """The live table, or some of its parts; None when it was never created."""
+        m = self.manifest()
+        if m is None:
             return None
-        buckets = self.bucket_count()
-        if buckets:
-            return self.spark.table(self._register(cur, buckets))
-        return self.spark.read.schema(S.TARGET_SCHEMA).parquet(f"{self.root}/{cur}")
+        wanted = None if parts is None else {str(p) for p in parts}
+        folders = [f"{self.root}/{f}" for p, f in m["folders"].items() if wanted is None or p in wanted]
+        if not folders:
+            return self.spark.createDataFrame([], S.TARGET_SCHEMA)
+        return self.spark.read.schema(S.TARGET_SCHEMA).parquet(*folders)
 
     def keys(self) -> DataFrame:
-        """The key column of the live snapshot; an empty frame when the table does not exist."""
+        """The key column of the live table; an empty frame when the table does not exist."""
         cur = self.current()
         if cur is None:
             return self.spark.createDataFrame([], S.TARGET_SCHEMA).select(self.key)
@@ -128,43 +145,71 @@ class TargetStore:
     def create(self) -> DataFrame:
         """K2: create the table with the fixed target schema if it does not exist."""
         if not self.exists():
-            name = self._next_name()
-            self._write(self.spark.createDataFrame([], S.TARGET_SCHEMA), name)
-            self._write_pointer(name, 0, self.buckets)
+            self._write_manifest({"version": 1, "parts": self._new_parts, "max_id": 0, "folders": {}})
         return self.current()
 
-    def _write(self, df: DataFrame, name: str) -> None:
-        path = f"{self.root}/{name}"
-        if self.buckets:
-            (df.write.mode("errorifexists").format("parquet").bucketBy(int(self.buckets), self.key)
-             .sortBy(self.key).option("path", path).saveAsTable(self._table_name(name)))
-        else:
-            df.write.mode("errorifexists").parquet(path)
-
-    def publish(self, df: DataFrame, assert_key: bool = True) -> str:
-        """K6: write a new snapshot, then switch the pointer.
+    def publish(self, df: DataFrame, parts: Iterable[int] | None = None, base: int | None = None,
+                assert_key: bool = True) -> int:
+        """K6: write the rows of some parts (default: all), then make them live; returns the version.
 
-        With ``assert_key`` (K3) the unique key is checked on the written files first; a merge from
-        ``upsert_merge`` already guarantees it (unique target + checked batch), so loads skip that
-        full re-read. The largest id is observed on the write itself and kept with the pointer.
+        ``df`` holds the whole new content of these parts. ``base`` is the version that it was merged
+        from: if the live one is another, nothing is published. Required columns (K2) are checked on the
+        write itself, the unique key (K3) on the written files with ``assert_key``; a merge from
+        ``upsert_merge`` already guarantees it (unique target + checked batch).
         """
-        from pyspark.sql import Observation
-        from pyspark.sql import functions as F
-        name = self._next_name()
-        path = f"{self.root}/{name}"
-        cols = [f.name for f in S.TARGET_SCHEMA.fields]
-        out = df.drop(ACTION) if ACTION in df.columns else df
-        obs = Observation(f"publish_{name}_{id(self)}")
-        self._write(out.select(*cols).observe(obs, F.max("id").alias("max_id")), name)
-        max_id = obs.get.get("max_id")
-        if assert_key:
-            written = self.spark.read.schema(S.TARGET_SCHEMA).parquet(path)
-            assert_unique_key(written, self.key)
-        self._write_pointer(name, max_id, self.buckets)
-        return name
+        m = self.manifest() or {"version": 0, "parts": self._new_parts, "max_id": 0, "folders": {}}
+        if base is not None and base != m["version"]:
+            raise StaleTarget(f"read version {base}, but version {m['version']} is live")
+        touched = set(range(m["parts"])) if parts is None else set(parts)
+        load = f"load={m['version'] + 1}-{uuid.uuid4().hex[:8]}"
+        fields = S.TARGET_SCHEMA.fields
+        part = F.pmod(F.xxhash64(F.col(self.key)), F.lit(m["parts"])).cast("int").alias(PART)
+        out = (df.drop(ACTION) if ACTION in df.columns else df).select(*[f.name for f in fields], part)
+        obs = Observation(f"publish_{load}")
+        required = [f.name for f in fields if not f.nullable]
+        facts = [F.max("id").alias("max_id"), F.collect_set(PART).alias("parts")] + [
+            F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]
+        # rows of a part go together so that few files are written; a large part is split at run time
+        out.observe(obs, *facts).hint("rebalance", PART).write.partitionBy(PART).parquet(f"{self.root}/{load}")
+        got = observed(obs, max_id=None, parts=[], **{f"null_{c}": 0 for c in required})
+        nulls = [c for c in required if got[f"null_{c}"]]
+        if nulls:
+            self._fs.delete(self._Path(f"{self.root}/{load}"), True)
+            raise NullInRequiredColumn(f"no value in required columns {nulls}")
+        written = set(got["parts"] or [])
+        if not written <= touched:
+            raise ValueError(f"rows outside the given parts: {sorted(written - touched)[:5]}")
+        if assert_key and written:
+            assert_unique_key(self.spark.read.schema(S.TARGET_SCHEMA).parquet(
+                *[f"{self.root}/{load}/{PART}={p}" for p in sorted(written)]), self.key)
+        folders = {p: f for p, f in m["folders"].items() if int(p) not in touched}
+        folders.update({str(p): f"{load}/{PART}={p}" for p in sorted(written)})
+        self._write_manifest({"version": m["version"] + 1, "parts": m["parts"],
+                              "max_id": max(m["max_id"] or 0, got["max_id"] or 0), "folders": folders})
+        self._free()
+        return m["version"] + 1
+
+    def _free(self) -> None:
+        """Delete manifests beyond ``keep``, and folders that no kept manifest lists."""
+        numbers = self._numbers()
+        kept = [m for m in map(self._read, numbers[:self.keep]) if m]
+        listed = {f for m in kept for f in m["folders"].values()}
+        oldest = min(m["version"] for m in kept)
+        for n in numbers[self.keep:]:
+            self._fs.delete(self._Path(f"{self.root}/{MANIFEST}{n}"), False)
+        for load in self._fs.listStatus(self._Path(self.root)):
+            name = load.getPath().getName()
+            if not name.startswith("load=") or int(name[5:].split("-")[0]) > oldest and not any(
+                    f.startswith(name) for f in listed):
+                continue                                     # not ours, or a load that may still run
+            for p in self._fs.listStatus(load.getPath()):
+                if f"{name}/{p.getPath().getName()}" not in listed:
+                    self._fs.delete(p.getPath(), True)
+            if not self._fs.listStatus(load.getPath()):
+                self._fs.delete(load.getPath(), True)
 
     def drop(self) -> None:
-        """K7: drop the table (pointer and snapshots)."""
+        """K7: drop the table (manifests and folders)."""
         p = self._Path(self.root)
         if self._fs.exists(p):
             self._fs.delete(p, True)

@@ -43,6 +43,7 @@ MSG_ACCOUNT_FORMAT = "Invalid account format"
 MSG_NOT_NULL = "not_nullable"
 MSG_UNIQUE = "field_uniqueness"
 MSG_MISSING_COLUMN = "column_in_dataframe"
+MSG_MALFORMED_ROW = "malformed_row"
 COERCE_DTYPE_NAMES = {"timestamp": "datetime64[ns]", "double": "float64", "long": "int64", "string": "str"}
 
 # pandas' default tokens read back as missing from CSV text
@@ -94,11 +95,6 @@ TARGET_SCHEMA = T.StructType([
     T.StructField("fecha_carga", T.TimestampType(), True),
     T.StructField("is_duplicate", T.IntegerType(), True),
 ])
-# Columns an update overwrites (all but id, key and is_duplicate)
-UPDATE_COLUMNS = ["fecha_operacion", "tipo_operacion", "monto", "moneda", "cuenta_origen", "cuenta_destino",
-                  "banco_origen", "banco_destino", "descripcion", "estado", "canal", "content_hash",
-                  "fecha_carga"]
-
 FAILURE_STRUCT = T.StructType([
     T.StructField("row", T.LongType(), True),
     T.StructField("column", T.StringType(), True),
@@ -122,5 +118,6 @@ RUN_SCHEMA = T.StructType([
     T.StructField("processing_time_seconds", T.DoubleType(), True),
     T.StructField("status", T.StringType(), True),
     T.StructField("error_message", T.StringType(), True),
+    T.StructField("warnings", T.ArrayType(T.StringType()), True),
 ])
 RUN_SCHEMA_READ = T.StructType(RUN_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType(), True)])

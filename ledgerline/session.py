@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -92,32 +95,51 @@ def broadcast_limit(spark: SparkSession) -> int:
     return value if value > 0 else 0
 
 
-_SCRATCH: list[str] = []
+class _Owner(threading.local):
+    """The scratch folders of the job that runs in this thread, and of the session outside any job."""
+
+    def __init__(self):
+        self.folders: list[list[str]] = [[]]
+
+
+_OWNER = _Owner()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder (for intermediate tables)."""
-    import uuid
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _SCRATCH.append(path)
+    _OWNER.folders[-1].append(path)
     return path
 
 
-def scratch_mark() -> int:
-    """Position in the list of scratch folders handed out so far."""
-    return len(_SCRATCH)
+@contextlib.contextmanager
+def scratch_owner(spark: SparkSession):
+    """Folders handed out inside, in this thread, belong to the block and are deleted at its end.
+
+    Frames that other threads or earlier lazy queries stored are never touched.
+    """
+    own: list[str] = []
+    _OWNER.folders.append(own)
+    try:
+        yield own
+    finally:
+        _OWNER.folders.pop()
+        _delete(spark, own)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders this thread was handed outside any job; no frame over them may be used again."""
+    return _delete(spark, _OWNER.folders[0])
 
 
-def release_scratch(spark: SparkSession, since: int) -> int:
-    """Delete the scratch folders handed out after ``since`` (a job's own intermediates)."""
-    jvm = spark._jvm
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     conf = spark._jsc.hadoopConfiguration()
     removed = 0
-    for path in _SCRATCH[since:]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(conf)
         if fs.exists(p):
             fs.delete(p, True)
             removed += 1
-    del _SCRATCH[since:]
+    paths.clear()
     return removed

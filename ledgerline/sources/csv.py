@@ -1,47 +1,51 @@
 """CSV scan and sink.
 
 The scan never infers types: every column is read as text, pandas' missing-value tokens become
-NULL, and the declared types are applied later by the rules (lenient ``try_cast``). The file
-position of each row (pandas' default index) is rebuilt without a global sort: one pass counts the
-rows of every file split, a running sum over that small per-split table gives each split's first
-row number, and each row adds its offset inside the split.
+NULL, and the declared types are applied later by the rules (lenient ``try_cast``). Columns are those of
+the first header; a file with other columns, or the same in another order, fails the scan. A row
+with too many or too few fields fails the scan as well, unless the malformed rows are asked for:
+then each comes with its raw text and no values, and validation rejects it. Line breaks inside
+quotes are part of the value, so a file is read by one task; ``multi_line=False`` splits files
+that are known to have none. The file position of each row (pandas' default index) is rebuilt without a
+global sort: one pass counts the rows of every file split, a running sum over that small
+per-split table gives each split's first row number, and each row adds its offset inside the split.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.text import null_tokens_to_null
+from ledgerline.operators.validate import MALFORMED
 from ledgerline.plans.keyjoin import join_on_keys
 
 ROW = "row"
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+ORDER_TAGS = ["_file", "_block", "_pos"]
 
 
-def _reader(spark: SparkSession):
-    return spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE") \
-        .option("multiLine", False).option("escape", '"')
-
-
-def _single_file(raw: DataFrame) -> bool:
-    """True when the scan reads exactly one file. The file list stays in the JVM (already listed
-    by the scan); only its length crosses to Python."""
-    try:
-        return len(raw._jdf.inputFiles()) == 1
-    except Exception:  # noqa: BLE001 -- unknown: take the general path
-        return False
-
-
-ORDER_TAGS = ["_file", "_block", "_pos"]
+def _scan(spark: SparkSession, path: str, multi_line: bool, malformed: bool) -> tuple[DataFrame, list[str]]:
+    """All columns as text, and their names; malformed rows fail or come with their raw text."""
+    options = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
+    names = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    if malformed:
+        schema = schema.add(MALFORMED, T.StringType())
+        options["columnNameOfCorruptRecord"] = MALFORMED
+    raw = spark.read.schema(schema).options(mode="PERMISSIVE" if malformed else "FAILFAST", **options).csv(path)
+    return raw, names
 
 
-def scan_csv_tagged(spark: SparkSession, path: str, null_tokens: list[str] | None = None) -> DataFrame:
+def scan_csv_tagged(spark: SparkSession, path: str, null_tokens: list[str] | None = None,
+                    multi_line: bool = True, malformed: bool = False) -> DataFrame:
     """One pass: all columns as text plus the file-order tags (file path, split start, position in
     the scan). Ordering by the tags is file order; ``row_numbers`` turns them into 0-based rows."""
-    raw = _reader(spark).csv(path)
-    cols = [null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
-    return raw.select(*cols, F.col("_metadata.file_path").alias("_file"),
+    raw, names = _scan(spark, path, multi_line, malformed)
+    good = F.col(MALFORMED).isNull() if malformed else F.lit(True)
+    cols = [F.when(good, null_tokens_to_null(F.col(f"`{c}`"), null_tokens)).alias(c) for c in names]
+    return raw.select(*cols, *([F.col(MALFORMED)] if malformed else []), F.col("_metadata.file_path").alias("_file"),
                       F.col("_metadata.file_block_start").alias("_block"),
                       F.monotonically_increasing_id().alias("_pos"))
 
@@ -63,22 +67,16 @@ def row_numbers(tagged: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.withColumn(ROW, F.col("__off") + F.col("_pos") - F.col("__first")).drop("__off", "__first")
 
 
-def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = None,
-             row_index: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = None, row_index: bool = True,
+             multi_line: bool = True, malformed: bool = False) -> DataFrame:
     """All columns as strings, missing tokens as NULL, plus the 0-based file position ``row``.
 
-    Several files are numbered in (path, offset) order, as if concatenated. The general case reads
-    the file twice (split counts, then rows); the whole job instead keeps the tags and numbers only
-    the rows it reports (see ``plans.pipeline``).
+    Several files are numbered in (path, offset) order, as if concatenated. The files are read twice
+    (split counts, then rows); the whole job writes the tagged rows once and numbers those.
     """
-    raw = _reader(spark).csv(path)
-    cols = [null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
+    tagged = scan_csv_tagged(spark, path, null_tokens, multi_line, malformed)
     if not row_index:
-        return raw.select(*cols)
-    if _single_file(raw) and raw.rdd.getNumPartitions() == 1:
-        # one file read by one task: the scan's own row counter is the file position
-        return raw.select(*cols, F.monotonically_increasing_id().alias(ROW))
-    tagged = scan_csv_tagged(spark, path, null_tokens)
+        return tagged.drop(*ORDER_TAGS)
     return row_numbers(tagged, tagged).drop(*ORDER_TAGS)
 
 

@@ -25,8 +25,6 @@ def scan_parquet(spark: SparkSession, path: str, row_index: bool = True) -> Data
         return raw
     tagged = raw.select("*", F.col("_metadata.file_path").alias("__file"),
                         F.col("_metadata.row_index").alias("__ri"))
-    if len(raw._jdf.inputFiles()) == 1:
-        return tagged.select(*[F.col(f"`{c}`") for c in raw.columns], F.col("__ri").alias(ROW))
     files = tagged.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
     # one row per input file
     order = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)

@@ -98,25 +98,6 @@ def test_keep_first_without_row_shuffle_equals_window(spark, key):
     assert _rows(a) == _rows(b.select(a.columns))
 
 
-def test_bucketed_target_shuffles_only_the_batch(spark, scratch, no_broadcast):
-    from ledgerline.plans.store import TargetStore
-    target, batch = C.upsert_sides(spark, SF001)
-    plain = U.upsert_merge(target, batch, load_time=C.AS_OF, strategy="shuffle")
-    store = TargetStore(spark, scratch("bucketed"), buckets=8)
-    store.publish(target)
-    assert store.bucket_count() == 8
-    no_broadcast()
-    cur = store.current()
-    merged = U.upsert_merge(cur, batch, load_time=C.AS_OF, strategy="shuffle", max_id=store.max_id())
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1        # the batch side only
-    cols = [c for c in plain.columns if c != "id"]
-    assert _rows(merged.select(cols)) == _rows(plain.select(cols))
-    # a fresh registration (another session would do this) reads the same rows
-    spark.sql(f"DROP TABLE IF EXISTS {store._table_name(store._read_pointer())}")
-    assert store.current().count() == target.count()
-
-
 def test_hot_null_key_through_shuffle_join(spark, no_broadcast):
     from ledgerline.operators.rules import ColumnSpec, RuleSet
     from ledgerline.operators.validate import validate

@@ -140,17 +140,6 @@ def test_load_failure_counts_batch_rows(spark, scratch):
     assert rec["load_failed"] == rec["validation_passed"] - rec["duplicates_found"] > 0
 
 
-def test_row_index_single_file_fast_path(spark, scratch):
-    folder = scratch("one")
-    spark.range(1000).select(F.col("id").cast("string").alias("v")).coalesce(1).write.option("header", True) \
-        .csv(folder)
-    local = folder[len("file:"):] if folder.startswith("file:") else folder
-    part = [f for f in os.listdir(local) if f.endswith(".csv")][0]
-    back = C.scan_csv(spark, f"{folder}/{part}")
-    assert "_metadata" not in back._jdf.queryExecution().optimizedPlan().toString()
-    assert all(int(r["v"]) == r[C.ROW] for r in back.collect())
-
-
 def test_parquet_row_index_across_files(spark, scratch):
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -219,26 +208,183 @@ def test_header_only_input(spark, scratch):
     assert TargetStore(spark, job.store.root).current().count() == 0
 
 
-def test_job_with_shuffle_free_keep_first(spark, scratch):
-    src = _generated_csv(spark, scratch, 1500)
-    a = ReconciliationJob(spark, scratch("t1"), scratch("r1"), as_of="2001-02-01 00:00:00")
-    b = ReconciliationJob(spark, scratch("t2"), scratch("r2"), as_of="2001-02-01 00:00:00",
-                          shuffle_free_dedup_rows=0)
-    ra, rb = a.run(src, pipeline_id="w").record, b.run(src, pipeline_id="f").record
-    keys = ["input_rows", "validation_passed", "duplicates_found", "rows_loaded"]
-    assert [ra[k] for k in keys] == [rb[k] for k in keys]
-    cols = [c for c in a.store.current().columns if c not in ("id", "fecha_carga")]
-    assert sorted(map(tuple, a.store.current().select(cols).collect()), key=repr) == \
-        sorted(map(tuple, b.store.current().select(cols).collect()), key=repr)
+def _part_files(store):
+    """{part: its files} of the live table."""
+    out = {}
+    for p, folder in store.manifest()["folders"].items():
+        local = f"{store.root}/{folder}".removeprefix("file:")
+        out[int(p)] = sorted((f, os.stat(f"{local}/{f}").st_mtime_ns) for f in os.listdir(local) if f.endswith(".parquet"))
+    return out
 
 
-def test_job_with_bucketed_target(spark, scratch):
+def test_a_load_rewrites_only_the_parts_it_touches(spark, scratch):
     src = _generated_csv(spark, scratch, 800)
-    job = ReconciliationJob(spark, scratch("bt"), scratch("br"), as_of="2001-02-01 00:00:00", target_buckets=4)
+    job = ReconciliationJob(spark, scratch("pt"), scratch("pr"), as_of="2001-02-01 00:00:00", target_parts=8)
     first = job.run(src, pipeline_id="b1").record
-    second = job.run(src, pipeline_id="b2").record
-    assert (second["rows_loaded"], second["rows_updated"]) == (0, first["rows_loaded"])
-    assert job.store.bucket_count() == 4 and job.store.current().count() == first["rows_loaded"]
+    before = _part_files(job.store)
+    assert len(before) == 8
+    one = job.store.current([3]).limit(5).drop("id", "fecha_carga", "is_duplicate").withColumn("row", F.monotonically_increasing_id())
+    again = job.run(one.withColumn("fecha_operacion", F.date_format("fecha_operacion", "yyyy-MM-dd HH:mm:ss")), pipeline_id="b2").record
+    assert (again["rows_loaded"], again["rows_updated"]) == (0, 5)
+    after = _part_files(job.store)
+    assert {p for p in before if before[p] != after[p]} == {3}
+    assert job.store.current().count() == first["rows_loaded"]
+
+
+def test_old_folders_are_freed(spark, scratch):
+    src = _generated_csv(spark, scratch, 300)
+    job = ReconciliationJob(spark, scratch("ft"), scratch("fr"), as_of="2001-02-01 00:00:00", target_parts=2)
+    for k in range(4):
+        job.run(src, pipeline_id=f"f{k}")
+    local = job.store.root.removeprefix("file:")
+    assert len([f for f in os.listdir(local) if f.startswith("load=")]) == 2         # the live one and the one before
+    assert len([f for f in os.listdir(local) if f.startswith("_MANIFEST.")]) == 2
+
+
+@pytest.mark.parametrize("step", ["write", "manifest", "rename"])
+def test_a_failure_at_any_step_leaves_the_table(spark, scratch, monkeypatch, step):
+    src = _generated_csv(spark, scratch, 300)
+    job = ReconciliationJob(spark, scratch("st"), scratch("sr"), as_of="2001-02-01 00:00:00", target_parts=2)
+    rows = job.run(src, pipeline_id="s1").record["rows_loaded"]
+    old = sorted(map(str, job.store.current().collect()))
+
+    def boom(*a, **k):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        if step == "write":
+            m.setattr(TargetStore, "publish", boom)
+        elif step == "manifest":
+            m.setattr(TargetStore, "_write_manifest", boom)
+        else:
+            # the manifest is on disk under its temporary name, but never gets its own
+            real = TargetStore._write_manifest
+
+            def half(self, man):
+                tmp = f"{self.root}/.{man['version']}".removeprefix("file:")
+                with open(tmp, "w") as f:
+                    f.write("{")
+                boom()
+            assert real
+            m.setattr(TargetStore, "_write_manifest", half)
+        with pytest.raises(RuntimeError):
+            job.run(src, pipeline_id="s2")
+    rec = R.run_by_id(R.run_history(spark, job.runs_dir), "s2").first()
+    assert (rec["status"], rec["load_failed"]) == ("failed", rows)
+    store = TargetStore(spark, job.store.root)
+    assert sorted(map(str, store.current().collect())) == old
+    assert job.run(src, pipeline_id="s3").record["rows_updated"] == rows and store.current().count() == rows
+
+
+def test_two_writers_lose_no_update(spark, scratch):
+    from ledgerline.operators import upsert as U
+    from ledgerline.plans.catalog import AS_OF as NOW
+    from ledgerline.plans.catalog import deduped_ops
+    from ledgerline.plans.store import StaleTarget
+    from tests.conftest import SF001
+    store, other = (TargetStore(spark, scratch("two"), parts=2) for _ in range(1)), None
+    store = next(store)
+    other = TargetStore(spark, store.root, parts=2)
+    batch = U.normalize_load(deduped_ops(spark, SF001)).withColumn("is_duplicate", F.lit(0))
+    store.publish(U.upsert_merge(store.create(), batch, load_time=NOW, max_id=0), base=store.version())
+    base = other.version()
+    merged = U.upsert_merge(other.current(), batch.limit(10), load_time=NOW, max_id=other.max_id())
+    store.publish(U.upsert_merge(store.current(), batch.limit(20), load_time=NOW, max_id=store.max_id()), base=store.version())
+    with pytest.raises(StaleTarget):
+        other.publish(merged, base=base)
+    with pytest.raises(StaleTarget):                          # and if both get as far as the rename
+        other._write_manifest({**other.manifest(), "version": other.version()})
+    assert store.current().count() == batch.count()
+
+
+def test_required_columns_are_enforced(spark, scratch):
+    from ledgerline.plans.store import NullInRequiredColumn
+    src = _generated_csv(spark, scratch, 300)
+    folder = scratch("nocanal")
+    spark.read.option("header", True).csv(src).drop("canal").write.option("header", True).csv(folder)
+    job = ReconciliationJob(spark, scratch("nt"), scratch("nr"), as_of="2001-02-01 00:00:00")
+    with pytest.raises(NullInRequiredColumn, match="canal"):
+        job.run(folder, pipeline_id="n1")
+    rec = R.run_by_id(R.run_history(spark, job.runs_dir), "n1").first()
+    assert rec["status"] == "failed" and rec["load_failed"] > 0 and job.store.current() is None
+
+
+@pytest.mark.parametrize("files", [1, 3, 7])
+def test_missing_column_is_reported_for_any_number_of_files(spark, scratch, files):
+    src, folder = _generated_csv(spark, scratch, 300), scratch("missing")
+    spark.read.option("header", True).csv(src).drop("descripcion").repartition(files).write.option("header", True).csv(folder)
+    rec = ReconciliationJob(spark, scratch("mt"), scratch("mr"), as_of="2001-02-01 00:00:00").run(folder, pipeline_id="m").record
+    assert (None, "descripcion", "column_in_dataframe") in [(e["row"], e["column"], e["error"]) for e in rec["validation_errors"]]
+
+
+def test_frames_with_tied_rows_load_once(spark, scratch):
+    src = _generated_csv(spark, scratch, 300)
+    rows = C.scan_csv(spark, src, row_index=False).withColumn("row", F.lit(1))
+    a = ReconciliationJob(spark, scratch("a"), scratch("ar"), as_of="2001-02-01 00:00:00").run(rows, pipeline_id="t").record
+    b = ReconciliationJob(spark, scratch("b"), scratch("br"), as_of="2001-02-01 00:00:00").run(src, pipeline_id="u").record
+    assert a["rows_loaded"] == b["rows_loaded"] > 0
+
+
+def test_warnings_are_recorded(spark, scratch):
+    job = ReconciliationJob(spark, scratch("w"), scratch("wr"), as_of="2001-02-01 00:00:00")
+    rec = job.run(_generated_csv(spark, scratch, 300), pipeline_id="w", expected_checksum=1.0).record
+    assert [w.split(":")[0] if "mismatch" in w else w for w in rec["warnings"]] == ["Checksum mismatch", "Found 15 duplicate operation IDs"] \
+        or len(rec["warnings"]) == 2
+    assert R.run_history(spark, job.runs_dir).first()["warnings"] == rec["warnings"]
+
+
+def test_error_text_is_whole(spark, scratch):
+    job = ReconciliationJob(spark, scratch("e"), scratch("er"), as_of="2001-02-01 00:00:00")
+
+    def boom(*a):
+        raise RuntimeError("x" * 5000)
+    job._load = boom
+    with pytest.raises(RuntimeError):
+        job.run(_generated_csv(spark, scratch, 300), pipeline_id="e")
+    assert len(R.run_history(spark, job.runs_dir).first()["error_message"]) > 5000
+
+
+def test_scratch_of_one_job_is_not_touched_by_another(spark, scratch):
+    from ledgerline.operators import dedup as D
+    frame = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
+    flagged = D.flag_duplicates(frame, ["id"], ["k"])                   # holds a stored key table
+    ReconciliationJob(spark, scratch("o"), scratch("or"), as_of="2001-02-01 00:00:00").run(_generated_csv(spark, scratch, 300), pipeline_id="o")
+    assert flagged.filter("is_duplicate").count() == 90
+
+
+def _write(folder, **files):
+    local = folder.removeprefix("file:")
+    os.makedirs(local)
+    for name, text in files.items():
+        with open(f"{local}/{name}.csv", "w") as f:
+            f.write(text)
+    return folder
+
+
+def test_line_breaks_and_quotes_survive_a_round_trip(spark, scratch):
+    rows = [(1, 'two\nlines, "quoted"'), (2, "plain"), (3, "a\r\nb"), (4, None)]
+    folder = scratch("ml")
+    C.write_csv(spark.createDataFrame(rows, "i int, t string"), folder)
+    back = C.scan_csv(spark, folder)
+    assert sorted((int(r.i), r.t) for r in back.collect()) == [(1, 'two\nlines, "quoted"'), (2, "plain"), (3, "a\nb"), (4, None)] \
+        or sorted((int(r.i), r.t) for r in back.collect()) == rows
+
+
+def test_ragged_rows(spark, scratch):
+    folder = _write(scratch("rg"), a="a,b\n1,2\n3,4,5\n6\n7,8\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        C.scan_csv(spark, folder, row_index=False).collect()
+    got = [(r.row, r.a, r.b, r[C.MALFORMED]) for r in C.scan_csv(spark, folder, malformed=True).orderBy("row").collect()]
+    assert got == [(0, "1", "2", None), (1, None, None, "3,4,5"), (2, None, None, "6"), (3, "7", "8", None)]
+    from ledgerline.operators.rules import ColumnSpec, RuleSet
+    from ledgerline.operators.validate import validate
+    v = validate(C.scan_csv(spark, folder, malformed=True), RuleSet((ColumnSpec("a", "long", False), ColumnSpec("b", "long", False))), id_cols=["row"])
+    assert sorted(map(tuple, v.failures().collect())) == [(1, C.MALFORMED, "malformed_row"), (2, C.MALFORMED, "malformed_row")]
+
+
+def test_files_with_another_column_order_fail(spark, scratch):
+    folder = _write(scratch("co"), a="a,b\n1,2\n", b="b,a\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        C.scan_csv(spark, folder, row_index=False).collect()
 
 
 @pytest.mark.parametrize("k", [1, 7, 60])
