@@ -1,8 +1,9 @@
 """Content hash: SHA-256 over the Python ``str()`` text of a few fields, hex prefix.
 
 The text encoding is byte-exact with Python's ``str`` for the types in use:
-strings as is, doubles in shortest repr (``100.0``), timestamps as ``YYYY-MM-DD HH:MM:SS``
-with exactly six fraction digits when the microseconds are not zero.
+strings as is, doubles in shortest repr (``100.0``; plain digits from 1e-4 up to 1e16, an exponent of
+two digits or more outside), timestamps as ``YYYY-MM-DD HH:MM:SS`` with exactly six fraction digits
+when the microseconds are not zero.
 """
 
 from __future__ import annotations
@@ -16,6 +17,32 @@ DOUBLE_NULL_TEXT = "nan"
 TIMESTAMP_NULL_TEXT = "NaT"
 
 
+def double_text(c: Column) -> Column:
+    """Text of a double as Python's ``str`` prints it.
+
+    Spark prints the same shortest digits, but as ``1.23456789E7`` outside 1e-3..1e7. The digits and the
+    exponent are taken from its scientific form and put together in Python's layout.
+    """
+    spark_text = F.abs(c).cast("string")
+    # digits without the point, and the exponent of the first digit
+    scientific = spark_text.contains("E")
+    mantissa = F.substring_index(spark_text, "E", 1)
+    exponent = F.substring_index(spark_text, "E", -1).try_cast("int")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
+    n = F.length(digits)
+    point = exponent + 1                                    # digits before the point
+    plain = (F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+             .when(point >= n, F.concat(digits, F.repeat(F.lit("0"), point - n), F.lit(".0")))
+             .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, n))))
+    power = F.concat(F.when(n > 1, F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), n)))
+                     .otherwise(digits), F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                     F.lpad(F.abs(exponent).cast("string"), F.greatest(F.length(F.abs(exponent).cast("string")), F.lit(2)), F.lit("0")))
+    text = F.when(scientific & (exponent >= -4) & (exponent < 16), plain).when(scientific, power).otherwise(spark_text)
+    negative = (c < 0) | (c.cast("string").startswith("-"))
+    return (F.when(F.isnan(c), F.lit("nan")).when(spark_text == "Infinity", F.when(negative, F.lit("-inf")).otherwise(F.lit("inf")))
+            .otherwise(F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), text)))
+
+
 def python_text(c: Column, dtype: T.DataType, string_null: str = STRING_NULL_TEXT) -> Column:
     """Text of a value as Python's ``str`` prints it (nulls as pandas prints them)."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -24,7 +51,7 @@ def python_text(c: Column, dtype: T.DataType, string_null: str = STRING_NULL_TEX
                 .otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
         return F.coalesce(text, F.lit(TIMESTAMP_NULL_TEXT))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.coalesce(c.cast("string"), F.lit(DOUBLE_NULL_TEXT))
+        return F.coalesce(double_text(c.cast("double")), F.lit(DOUBLE_NULL_TEXT))
     if isinstance(dtype, T.DateType):
         return F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit(TIMESTAMP_NULL_TEXT))
     if isinstance(dtype, T.BooleanType):

@@ -1,7 +1,7 @@
 """Table queries, stats and profiles (S3, S4, A1-A3, A9) and the set/join helpers.
 
 Every aggregate here is a single ``agg`` (one scan, partial aggregation before the shuffle);
-money is summed as ``decimal(18,2)`` so totals are exact and independent of row order.
+money is summed as wide decimals so totals are exact and independent of row order.
 """
 
 from __future__ import annotations
@@ -14,9 +14,18 @@ from pyspark.sql import functions as F
 from ledgerline import schema as S
 
 
-def money_sum(c: Column) -> Column:
-    """Exact total of a money column: decimal sum, returned as double."""
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
+def money(c: Column, scale: int = 10) -> Column:
+    """A money value as a decimal wide enough for its total: 38 digits, ``scale`` of them after the point.
+
+    A double has 15 to 17 digits, so its value is kept to that scale; one too large for the decimal becomes
+    NULL rather than an error.
+    """
+    return c.try_cast(f"decimal(38,{scale})")
+
+
+def money_sum(c: Column, scale: int = 10) -> Column:
+    """Exact total of a money column whatever the order of rows: decimal sum, returned as double."""
+    return F.sum(money(c, scale)).cast("double")
 
 
 def query_filtered(df: DataFrame, filters: dict | None = None, limit: int | None = None,
@@ -46,7 +55,7 @@ def table_stats(df: DataFrame, date_col: str = S.DATE_COLUMN, amount_col: str =
     """A1: count, min/max date, total and mean amount in one aggregation (nulls on empty input)."""
     agg = df.agg(F.count(F.lit(1)).alias("total_rows"),
                  F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"),
-                 F.sum(F.col(amount_col).cast("decimal(18,2)")).alias("_sum"),
+                 F.sum(money(F.col(amount_col))).alias("_sum"),
                  F.count(amount_col).alias("_n"))
     return agg.select("total_rows", "min_date", "max_date",
                       F.col("_sum").cast("double").alias("total_amount"),
@@ -66,7 +75,7 @@ def profile_totals(df: DataFrame, amount_col: str = S.AMOUNT_COLUMN) -> DataFram
     Duplicates come from a full-row group-by (partial aggregation before the shuffle).
     """
     per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"),
-                                          F.sum(F.col(amount_col).cast("decimal(18,2)")).alias("__s"),
+                                          F.sum(money(F.col(amount_col))).alias("__s"),
                                           F.count(amount_col).alias("__c"))
     agg = per_row.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total_rows"),
                       F.count(F.lit(1)).alias("_distinct"),

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import schema as S
 from ledgerline.functions.hashing import content_hash_column
@@ -129,7 +130,10 @@ def merge_duplicates(df: DataFrame, keys: list[str], strategy: dict[str, str] |
         elif how == "min":
             agg = F.min(c)
         else:
-            agg = F.coalesce(F.sum(c), F.lit(0).cast(df.schema[name].dataType))
+            kind = df.schema[name].dataType
+            # doubles are added as decimals: the same total whatever the order of rows
+            total = F.sum(c.try_cast("decimal(38,10)")).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.sum(c)
+            agg = F.coalesce(total, F.lit(0).cast(kind))
         aggs.append(agg.alias(name))
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     merged = df.filter(not_null).groupBy(*keys).agg(*aggs) if aggs else df.filter(not_null).select(*keys).distinct()

@@ -13,10 +13,17 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import schema as S
 
 
+# text that counts as a number (Spark's own cast also takes suffixes such as 12.5d)
+NUMBER = {"double": r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$",
+          "long": r"^\s*[+-]?\d+\s*$"}
+DATED = r"^\s*[+-]?\d{4,}"
+
+
 @dataclass(frozen=True)
 class Check:
     """A value check: ``test(typed_column)`` is true when the value passes."""
@@ -113,8 +120,13 @@ def typed(c: Column, raw_type, dtype: str, formats: tuple[str, ...] = ()) -> Col
     target = S.SPARK_TYPES[dtype]
     if raw_type == target:
         return c
-    if formats and dtype == "timestamp":
-        return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], c.try_cast(target))
+    text = raw_type == T.StringType()
+    if dtype == "timestamp" and text:
+        # a bare time of day would become a time of the day the job runs
+        dated = F.when(c.rlike(DATED), c.try_cast(target))
+        return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], dated) if formats else dated
+    if text and dtype in NUMBER:
+        return F.when(c.rlike(NUMBER[dtype]), F.trim(c).try_cast(target))
     return c.try_cast(target)
 
 

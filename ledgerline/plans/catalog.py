@@ -6,6 +6,8 @@ the data. Oracles in SQL live in ``plans.oracles`` under the same keys.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,7 @@ from ledgerline.plans import runs as R
 from ledgerline.plans.keyjoin import materialize
 from ledgerline.session import scratch_path
 from ledgerline.sources import csv as C
-from ledgerline.sources import generator as G
-from ledgerline.sources.fixtures import AS_OF, ORDER_COLS, ops
+from ledgerline.sources.fixtures import AS_OF, ORDER_COLS, ops, ops_planted
 from ledgerline.sources.tables import table
 
 # Priority / merge on lineitem: key and tie order (also the first/last order of the merge)
@@ -29,13 +30,22 @@ LI_TIE = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate
 CHECKSUM_EXPECTED = 1_000_000.0
 
 
+# every rule but uniqueness: repeated operations stay, for the dedup after it to find
+NOT_UNIQUE = ("coerce", "not_null", "max_date", "positive", "max_amount", "regex_id", "regex_account", "isin")
+
+
+def planted_valid(spark: SparkSession, sf_dir: str) -> Validation:
+    """The planted operations, validated by all rules but uniqueness."""
+    return validate(ops_planted(spark, sf_dir), default_rules(AS_OF).only(*NOT_UNIQUE), id_cols=ORDER_COLS)
+
+
 def _validation(spark: SparkSession, sf_dir: str, rules: RuleSet | None = None) -> Validation:
     return validate(ops(spark, sf_dir), rules or default_rules(AS_OF), id_cols=ORDER_COLS)
 
 
-def _rule_only(*kinds):
+def _rule_only(*kinds, source=ops):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _validation(spark, sf_dir, default_rules(AS_OF).only(*kinds)).failures()
+        return validate(source(spark, sf_dir), default_rules(AS_OF).only(*kinds), id_cols=ORDER_COLS).failures()
     return q
 
 
@@ -128,7 +138,8 @@ def q_flag_duplicates(spark, sf_dir):
 
 
 def q_dedup_hash(spark, sf_dir):
-    return deduped_ops(spark, sf_dir)
+    """The planted operations: copies and rows with the same hash go, the first by row order stays."""
+    return D.dedup_hash(planted_valid(spark, sf_dir).valid(), ORDER_COLS)
 
 
 def q_dedup_key(spark, sf_dir):
@@ -152,6 +163,15 @@ def q_dedup_priority_asc(spark, sf_dir):
     return D.dedup_priority(table(spark, sf_dir, "lineitem"), LI_KEYS, "l_shipdate", "asc", LI_TIE)
 
 
+def q_find_duplicates_sorted(spark, sf_dir):
+    """D5 in key order, nulls last."""
+    return D.find_duplicates(ops_planted(spark, sf_dir), sort=True)
+
+
+def q_dedup_priority_sorted(spark, sf_dir):
+    return D.dedup_priority(table(spark, sf_dir, "lineitem"), LI_KEYS, "l_shipdate", "desc", LI_TIE, sort=True)
+
+
 def q_merge_duplicates(spark, sf_dir):
     li = (table(spark, sf_dir, "lineitem")
           .select(*LI_KEYS, "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
@@ -171,19 +191,28 @@ def q_dedup_report(spark, sf_dir):
 
 
 def q_dedup_documents_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return D.keep_first(docs, ["text"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
+    # the text itself stays out of the exchange: its digest and length stand for it
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("digest"), F.length("text").alias("length"))
+    return D.keep_first(docs, ["digest", "length"], ["doc_id"]).drop("digest", "length")
 
 
 def q_distinct_rows(spark, sf_dir):
-    return D.distinct_rows(ops(spark, sf_dir).select(*S.OPS_COLUMNS))
+    return D.distinct_rows(ops_planted(spark, sf_dir).select(*S.OPS_COLUMNS))
 
 
 def q_quick_validate(spark, sf_dir):
-    """Validate, flag duplicates and hash in one call, on the valid rows."""
-    v = valid_ops(spark, sf_dir)
-    flagged = D.flag_duplicates(v, ORDER_COLS)
-    return D.with_content_hash(flagged).select(*ORDER_COLS, "numero_operacion", "is_duplicate", "content_hash")
+    """P3 on a CSV: validate, flag duplicates and hash in one call; by id, as file order decides which row is first."""
+    from ledgerline.plans.pipeline import quick_validate
+    rows, _ = quick_validate(spark, _ops_csv(spark, sf_dir, ops_planted), AS_OF, default_rules(AS_OF).only(*NOT_UNIQUE))
+    return rows.groupBy("numero_operacion").agg(
+        F.count_if(F.col("is_duplicate")).alias("duplicates"), F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("content_hash").alias("hashes"))
+
+
+def q_quick_validate_summary(spark, sf_dir):
+    from ledgerline.plans.pipeline import quick_validate
+    return quick_validate(spark, _ops_csv(spark, sf_dir, ops_planted), AS_OF, default_rules(AS_OF).only(*NOT_UNIQUE))[1]
 
 
 # ---- queries and aggregates -------------------------------------------------------------------
@@ -217,7 +246,7 @@ def q_profile_nulls(spark, sf_dir):
 
 
 def q_profile_totals(spark, sf_dir):
-    return A.profile_totals(ops(spark, sf_dir).select(*S.OPS_COLUMNS))
+    return A.profile_totals(ops_planted(spark, sf_dir).select(*S.OPS_COLUMNS))
 
 
 def q_value_counts(spark, sf_dir):
@@ -243,16 +272,16 @@ TARGET_LOADED = "2000-06-01 00:00:00"
 
 
 def upsert_sides(spark, sf_dir):
-    """Target = key-deduped ops with even l_orderkey; batch = l_orderkey % 3 = 0 with monto + 1."""
+    """Key-deduped ops, each in the target (l_orderkey % 3 <> 0), the batch (% 3 <> 1, with monto + 1) or both."""
     base = D.keep_first(ops(spark, sf_dir).filter(F.col(S.KEY_COLUMN).isNotNull()), [S.KEY_COLUMN], ORDER_COLS)
     norm, _, _ = materialize(U.normalize_load(base))      # shared by both sides: computed once
-    tgt = (norm.filter(F.col("l_orderkey") % 2 == 0)
+    tgt = (norm.filter(F.col("l_orderkey") % 3 != 0)
            .withColumn("fecha_carga", F.lit(TARGET_LOADED).cast("timestamp"))
            .withColumn("is_duplicate", F.lit(0)))
     is_bad = F.col(S.KEY_COLUMN).startswith("BAD").cast("long")
     target = U.to_target(D.with_content_hash(tgt),
                          ids=(F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 2 + is_bad)
-    batch = D.with_content_hash(norm.filter(F.col("l_orderkey") % 3 == 0).withColumn("monto", F.col("monto") + 1)
+    batch = D.with_content_hash(norm.filter(F.col("l_orderkey") % 3 != 1).withColumn("monto", F.col("monto") + 1)
                                 .withColumn("is_duplicate", F.lit(0)))
     # both sides are stored tables in practice: write them once instead of recomputing the lineage
     target, _, _ = materialize(target)
@@ -293,7 +322,8 @@ def q_upsert_total(spark, sf_dir):
 
 
 def q_assert_unique_key(spark, sf_dir):
-    return U.duplicate_keys(merged_ops(spark, sf_dir))
+    """Keys that break the target's uniqueness: repeated operations of the planted input."""
+    return U.duplicate_keys(ops_planted(spark, sf_dir).select(S.KEY_COLUMN))
 
 
 def q_append_new(spark, sf_dir):
@@ -321,6 +351,11 @@ def runs_ops(spark, sf_dir):
     return R.runs_from_batches(_validation(spark, sf_dir), "l_linenumber", AS_OF, error_row="l_orderkey")
 
 
+def _run_counts(spark, sf_dir):
+    """The runs without their failure rows: one scan of the validation."""
+    return R.runs_from_batches(_validation(spark, sf_dir), "l_linenumber", AS_OF, with_errors=False)
+
+
 def _scalars(runs):
     return runs.select(*R.SCALAR_FIELDS, F.size("validation_errors").alias("n_errors"))
 
@@ -338,11 +373,11 @@ def q_run_duration(spark, sf_dir):
 
 
 def q_run_summary(spark, sf_dir):
-    return R.run_summary(runs_ops(spark, sf_dir))
+    return R.run_summary(_run_counts(spark, sf_dir))
 
 
 def q_history_stats(spark, sf_dir):
-    return R.history_stats(runs_ops(spark, sf_dir))
+    return R.history_stats(_run_counts(spark, sf_dir))
 
 
 def q_run_history(spark, sf_dir):
@@ -359,15 +394,15 @@ def q_run_by_id(spark, sf_dir):
 
 
 def q_report_kpis(spark, sf_dir):
-    return R.report_kpis(runs_ops(spark, sf_dir))
+    return R.report_kpis(_run_counts(spark, sf_dir))
 
 
 def q_report_distribution(spark, sf_dir):
-    return R.report_distribution(runs_ops(spark, sf_dir))
+    return R.report_distribution(_run_counts(spark, sf_dir))
 
 
 def q_stage_funnel(spark, sf_dir):
-    v = _validation(spark, sf_dir)
+    v = planted_valid(spark, sf_dir)
     s = v.summary()
     hashed = D.with_content_hash(v.valid())
     d = D.dedup_stats(hashed, [S.HASH_COLUMN])
@@ -382,9 +417,9 @@ OPS_NUMERIC = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigi
                "l_quantity": "double", "monto": "double"}
 
 
-def _ops_csv(spark, sf_dir):
+def _ops_csv(spark, sf_dir, source=ops):
     folder = scratch_path(spark, "ops-csv")
-    C.write_csv(ops(spark, sf_dir), folder)
+    C.write_csv(source(spark, sf_dir), folder)
     return folder
 
 
@@ -398,12 +433,21 @@ def q_csv_row_index(spark, sf_dir):
                        F.min(C.ROW).alias("first_row"), F.max(C.ROW).alias("last_row"))
 
 
-def _ops_parquet(spark, sf_dir):
+def _ops_parquet(spark, sf_dir, source=ops):
     folder = scratch_path(spark, "ops-parquet")
-    ops(spark, sf_dir).write.parquet(folder)
+    source(spark, sf_dir).write.parquet(folder)
     return folder
 
 
+def _job(spark, **options):
+    from ledgerline.plans.pipeline import ReconciliationJob
+    rules = default_rules(AS_OF).only(*NOT_UNIQUE)
+    # the row order is by value, also where a CSV holds it as text
+    typed = tuple(ColumnSpec(c, "double" if c == "l_quantity" else "long") for c in ORDER_COLS if rules.spec(c) is None)
+    return ReconciliationJob(spark, scratch_path(spark, "target"), scratch_path(spark, "runs"), as_of=AS_OF,
+                             rules=replace(rules, columns=rules.columns + typed), order_by=ORDER_COLS, dedup_strategy="key", **options)
+
+
 def q_parquet_row_index(spark, sf_dir):
     from ledgerline.sources.parquet import scan_parquet
     scanned = scan_parquet(spark, _ops_parquet(spark, sf_dir))
@@ -412,11 +456,9 @@ def q_parquet_row_index(spark, sf_dir):
 
 
 def q_pipeline_parquet_rows(spark, sf_dir):
-    """P1 on Parquet input (typed columns, exact row positions)."""
-    from ledgerline.plans.pipeline import ReconciliationJob
-    job = ReconciliationJob(spark, scratch_path(spark, "target"), scratch_path(spark, "runs"), as_of=AS_OF,
-                            input_format="parquet")
-    return job.run(_ops_parquet(spark, sf_dir), pipeline_id="etl_parquet").target.drop("id")
+    """P1 on Parquet input (typed columns, exact row positions): the planted copies go."""
+    job = _job(spark, input_format="parquet")
+    return job.run(_ops_parquet(spark, sf_dir, ops_planted), pipeline_id="etl_parquet").target.drop("id")
 
 
 def q_parse_dates_lenient(spark, sf_dir):
@@ -432,28 +474,54 @@ def q_write_csv_roundtrip(spark, sf_dir):
 
 
 def q_pipeline_final_rows(spark, sf_dir):
-    from ledgerline.plans.pipeline import ReconciliationJob
-    job = ReconciliationJob(spark, scratch_path(spark, "target"), scratch_path(spark, "runs"), as_of=AS_OF)
-    result = job.run(_ops_csv(spark, sf_dir), pipeline_id="etl_fixture")
-    return result.target.drop("id")
+    """P1 on a CSV, its deduplicated copy included: the planted copies go."""
+    return _job(spark).run(_ops_csv(spark, sf_dir, ops_planted), pipeline_id="etl_fixture").target.drop("id")
 
 
-def _gen_size(spark, sf_dir) -> int:
-    return table(spark, sf_dir, "lineitem").count()
-
-
-def q_gen_operations(spark, sf_dir):
-    return G.generate_operations(spark, _gen_size(spark, sf_dir), AS_OF)
+def q_pipeline_csv_copy(spark, sf_dir):
+    """The CSV copy that the job leaves, read back."""
+    folder = scratch_path(spark, "copy")
+    _job(spark).run(_ops_csv(spark, sf_dir, ops_planted), output_dir=folder, pipeline_id="etl_copy")
+    back = C.scan_csv(spark, folder, row_index=False)
+    types = dict(OPS_NUMERIC, fecha_operacion="timestamp")
+    return back.select(*[(F.col(c).try_cast(types[c]) if c in types else F.col(c)).alias(c)
+                         for c in S.OPS_COLUMNS + [S.HASH_COLUMN]])
 
 
-def q_gen_duplicates(spark, sf_dir):
-    n = _gen_size(spark, sf_dir)
-    return G.inject_duplicates(G.generate_operations(spark, n, AS_OF), n, 0.05, as_of=AS_OF)
+def q_pipeline_warnings(spark, sf_dir):
+    """V17 in the job: the warnings of the run record."""
+    rec = _job(spark).run(_ops_csv(spark, sf_dir, ops_planted), pipeline_id="etl_warn", expected_checksum=CHECKSUM_EXPECTED).record
+    return spark.createDataFrame([(w,) for w in rec["warnings"]], "message string")
 
 
-def q_gen_errors(spark, sf_dir):
-    n = _gen_size(spark, sf_dir)
-    return G.generate_operational_file(spark, n, AS_OF, 0.05, 0.02)
+def q_target_keys(spark, sf_dir):
+    """S4 on the store: the keys of a target that was loaded twice."""
+    from ledgerline.plans.store import TargetStore
+    whole = F.col("fecha_operacion").isNotNull() & F.col("cuenta_origen").isNotNull()      # required columns
+    target, batch = (side.filter(whole) for side in upsert_sides(spark, sf_dir))
+    store = TargetStore(spark, scratch_path(spark, "target"))
+    store.publish(target)
+    base, touched = store.version(), store.parts_of(batch)
+    store.publish(U.upsert_merge(store.current(touched), batch, load_time=AS_OF, max_id=store.max_id()), parts=touched, base=base)
+    return store.keys()
+
+
+def q_value_edges(spark, sf_dir):
+    """D1, V1 and A1 outside cents: hash text of small and large amounts, strict numbers, totals of small values."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") * 1e4).alias("large"),
+        (F.col("l_linenumber") / F.lit(8192.0)).alias("small"),
+        F.when(F.col("l_partkey") % 3 == 0, F.concat(F.col("l_quantity").cast("string"), F.lit("d")))
+        .otherwise(F.col("l_quantity").cast("string")).alias("number"))
+    from ledgerline.functions.hashing import double_text
+    from ledgerline.operators.rules import typed
+    from pyspark.sql import types as T
+    return li.groupBy("l_linenumber").agg(
+        F.min(F.length(double_text(F.col("large")))).alias("shortest_text"),
+        F.count_if(double_text(F.col("large")).contains("e")).alias("with_exponent"),
+        F.max(double_text(F.col("small"))).alias("small_text"),
+        F.count(typed(F.col("number"), T.StringType(), "double")).alias("numbers"),
+        A.money_sum(F.col("small")).alias("small_total"))
 
 
 def q_target_schema(spark, sf_dir):
@@ -462,12 +530,16 @@ def q_target_schema(spark, sf_dir):
     store = TargetStore(spark, scratch_path(spark, "target"))
     target = store.create()
     batch = U.normalize_load(deduped_ops(spark, sf_dir)).withColumn("is_duplicate", F.lit(0))
-    store.publish(U.upsert_merge(target, batch, load_time=AS_OF, max_id=store.max_id()), assert_key=False)
+    store.publish(U.upsert_merge(target, batch, load_time=AS_OF, max_id=store.max_id()), base=store.version(), assert_key=False)
+    # a second load of a part of the rows changes nothing but their stamp
+    again = batch.filter("l_orderkey % 5 = 0")
+    touched = store.parts_of(again)
+    store.publish(U.upsert_merge(store.current(touched), again, load_time=AS_OF, max_id=store.max_id()), parts=touched, base=store.version())
     return store.current().drop("id")
 
 
 def q_exact_duplicates(spark, sf_dir):
-    return D.exact_duplicate_count(ops(spark, sf_dir).select(*S.OPS_COLUMNS))
+    return D.exact_duplicate_count(ops_planted(spark, sf_dir).select(*S.OPS_COLUMNS))
 
 
 def q_report_header(spark, sf_dir):
@@ -485,9 +557,9 @@ QUERIES = {
     "rule_not_null": _rule_only("not_null"),
     "rule_max_date": _rule_only("max_date"),
     "rule_positive": _rule_only("positive"),
-    "rule_max_amount": _rule_only("max_amount"),
+    "rule_max_amount": _rule_only("max_amount", source=ops_planted),
     "rule_regex_id": _rule_only("regex_id"),
-    "rule_regex_account": _rule_only("regex_account"),
+    "rule_regex_account": _rule_only("regex_account", source=ops_planted),
     "rule_isin": _rule_only("isin"),
     "rule_unique": _rule_only("unique"),
     "missing_column": q_missing_column,
@@ -548,9 +620,13 @@ QUERIES = {
     "parse_dates_lenient": q_parse_dates_lenient,
     "write_csv_roundtrip": q_write_csv_roundtrip,
     "pipeline_final_rows": q_pipeline_final_rows,
-    "gen_operations": q_gen_operations,
-    "gen_duplicates": q_gen_duplicates,
-    "gen_errors": q_gen_errors,
+    "pipeline_csv_copy": q_pipeline_csv_copy,
+    "pipeline_warnings": q_pipeline_warnings,
+    "target_keys": q_target_keys,
+    "value_edges": q_value_edges,
+    "quick_validate_summary": q_quick_validate_summary,
+    "find_duplicates_sorted": q_find_duplicates_sorted,
+    "dedup_priority_sorted": q_dedup_priority_sorted,
     "target_schema": q_target_schema,
     "exact_duplicates": q_exact_duplicates,
     "report_header": q_report_header,

@@ -7,7 +7,7 @@ restated here as a plain WHERE clause, so the oracle shares no Spark code path.
 from __future__ import annotations
 
 from ledgerline import schema as S
-from ledgerline.sources.fixtures import AS_OF, OPS_CTE
+from ledgerline.sources.fixtures import AS_OF, OPS_CTE, PLANTED_CTE
 
 
 def q(text: str) -> str:
@@ -267,8 +267,8 @@ norm AS (SELECT {_NORM_COLS} FROM base),
 tgt AS (SELECT l_orderkey * 10 + l_linenumber AS id, * EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey,
                l_quantity), {_hash_expr()} AS content_hash, TIMESTAMP '2000-06-01 00:00:00' AS fecha_carga,
                CAST(0 AS INTEGER) AS is_duplicate
-        FROM norm WHERE l_orderkey % 2 = 0),
-bat0 AS (SELECT * REPLACE (monto + 1 AS monto) FROM norm WHERE l_orderkey % 3 = 0),
+        FROM norm WHERE l_orderkey % 3 <> 0),
+bat0 AS (SELECT * REPLACE (monto + 1 AS monto) FROM norm WHERE l_orderkey % 3 <> 1),
 bat AS (SELECT *, {_hash_expr()} AS content_hash, CAST(0 AS INTEGER) AS is_duplicate FROM bat0),
 merged AS (
   SELECT CASE WHEN t.numero_operacion IS NOT NULL THEN t.id END AS id,
@@ -385,87 +385,50 @@ ORACLES["pipeline_final_rows"] = PIPE + f"""SELECT fecha_operacion, numero_opera
 FROM deduped"""
 
 
-def _gen_sql() -> dict[str, str]:
-    import datetime as dt
-
-    from ledgerline.sources import generator as G
-
-    seed = 42
-
-    def u(name, rid="id"):
-        group, slot = G.DRAW_SLOTS[name]
-        return (f"(('0x' || substr(md5('{seed}:' || CAST({rid} AS VARCHAR) || ':{group}'), {8 * slot + 1}, 8))"
-                "::BIGINT / 4294967296.0)")
-
-    def ri(salt, lo, hi, rid="id"):
-        return f"({lo} + CAST(floor({u(salt, rid)} * {hi - lo}) AS BIGINT))"
-
-    def pick(salt, shares):
-        acc, parts = 0.0, []
-        for value, share in shares[:-1]:
-            acc = round(acc + share, 10)
-            parts.append(f"WHEN {u(salt)} < {acc}::DOUBLE THEN {q(value)}")
-        return "CASE " + " ".join(parts) + f" ELSE {q(shares[-1][0])} END"
-
-    def account(salt):
-        return (f"concat_ws('-', lpad(CAST({ri(salt + '1', 100, 999)} AS VARCHAR), 3, '0'), "
-                f"lpad(CAST({ri(salt + '2', 1000000, 9999999)} AS VARCHAR), 7, '0'), "
-                f"CAST({ri(salt + '3', 0, 9)} AS VARCHAR), lpad(CAST({ri(salt + '4', 10, 99)} AS VARCHAR), 2, '0'))")
-
-    start = int((dt.datetime.fromisoformat(AS_OF) - dt.datetime(1970, 1, 1)).total_seconds()) - 30 * 86400
-    words = "[" + ", ".join(q(w) for w in G.WORDS) + "]"
-    banks = "[" + ", ".join(q(b) for b in S.BANKS) + "]"
-    desc = ("concat_ws(' ', " + ", ".join(f"{words}[{ri(f'w{i}', 0, len(G.WORDS))} + 1]" for i in range(6))
-            + ") || '.'")
-    clean = f"""clean AS (SELECT id AS gen_id,
-  make_timestamp(({start} + {ri('day', 0, 31)} * 86400 + {ri('hour', 0, 24)} * 3600
-                  + {ri('minute', 0, 60)} * 60) * 1000000) AS fecha_operacion,
-  printf('OP-%08d', id + 1) AS numero_operacion,
-  {pick('tipo', G.TIPO_SHARES)} AS tipo_operacion,
-  CAST(1000 + CAST(floor({u('amount')} * 4999000) AS BIGINT) AS DOUBLE) / 100.0 AS monto,
-  {pick('moneda', G.MONEDA_SHARES)} AS moneda,
-  {account('o')} AS cuenta_origen,
-  CASE WHEN {u('dnull')} < 0.3::DOUBLE THEN NULL ELSE {account('d')} END AS cuenta_destino,
-  {banks}[{ri('bank_o', 0, 10)} + 1] AS banco_origen,
-  CASE WHEN {u('bnull')} < 0.3::DOUBLE THEN NULL ELSE {banks}[{ri('bank_d', 0, 10)} + 1] END AS banco_destino,
-  {desc} AS descripcion,
-  {pick('estado', G.ESTADO_SHARES)} AS estado,
-  {pick('canal', G.CANAL_SHARES)} AS canal
-FROM (SELECT range AS id FROM range((SELECT count(*) FROM lineitem))))"""
-    dups = f"""n AS (SELECT count(*) AS n FROM lineitem),
-picks AS (SELECT range AS copy_no, CAST(floor({u('dup', 'range')} * (SELECT n FROM n)) AS BIGINT) AS gen_id
-          FROM range(CAST(floor((SELECT n FROM n) * 0.05::DOUBLE) AS BIGINT))),
-withdups AS (SELECT *, gen_id AS source_id, false AS is_copy FROM clean
-  UNION ALL SELECT c.* REPLACE ((SELECT n FROM n) + p.copy_no AS gen_id), c.gen_id AS source_id, true AS is_copy
-  FROM picks p JOIN clean c ON p.gen_id = c.gen_id)"""
-    kinds = "[" + ", ".join(q(k) for k in G.ERROR_KINDS) + "]"
-    errs = f"""tot AS (SELECT (SELECT n FROM n) + CAST(floor((SELECT n FROM n) * 0.05::DOUBLE) AS BIGINT) AS t),
-chosen AS (SELECT (range * {G.ERROR_STRIDE} + {seed} % (SELECT t FROM tot)) % (SELECT t FROM tot) AS gen_id
-           FROM range(CAST(floor((SELECT t FROM tot) * 0.02::DOUBLE) AS BIGINT))),
-marked AS (SELECT w.*, CASE WHEN c.gen_id IS NOT NULL THEN {kinds}[{ri('err', 0, 5, 'c.gen_id')} + 1] END AS error_kind
-           FROM withdups w LEFT JOIN chosen c ON w.gen_id = c.gen_id)"""
-    out = {}
-    out["gen_operations"] = f"WITH {clean}\nSELECT * FROM clean"
-    out["gen_duplicates"] = f"WITH {clean},\n{dups}\nSELECT * FROM withdups"
-    out["gen_errors"] = f"""WITH {clean},\n{dups},\n{errs},
-final AS (SELECT * REPLACE (
-  CASE WHEN error_kind = 'invalid_date' THEN 'FECHA_INVALIDA' ELSE strftime(fecha_operacion, '%Y-%m-%d %H:%M:%S') END
-    AS fecha_operacion,
-  CASE WHEN error_kind = 'negative_amount' THEN -abs(monto) ELSE monto END AS monto,
-  CASE WHEN error_kind = 'null_operation_id' THEN NULL ELSE numero_operacion END AS numero_operacion,
-  CASE WHEN error_kind = 'invalid_state' THEN 'ESTADO_DESCONOCIDO' ELSE estado END AS estado,
-  CASE WHEN error_kind = 'missing_account' THEN NULL ELSE cuenta_origen END AS cuenta_origen)
-FROM marked)
-SELECT *, substr(sha256(coalesce(numero_operacion, 'None') || coalesce(CAST(monto AS VARCHAR), 'nan')
-                        || coalesce(fecha_operacion, 'None') || coalesce(cuenta_origen, 'None')), 1, 16) AS content_hash
-FROM final"""
-    return out
-
-
-ORACLES.update(_gen_sql())
 ORACLES["target_schema"] = ORACLES["pipeline_final_rows"]
 ORACLES["exact_duplicates"] = f"""WITH {OPS_CTE}
 SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(S.OPS_COLUMNS)} FROM ops)) AS duplicates FROM ops"""
 ORACLES["report_header"] = RUNS_BASE + "SELECT pipeline_id, start_time, upper(status) AS status FROM runs"
 ORACLES["parquet_row_index"] = ORACLES["csv_row_index"]
 ORACLES["pipeline_parquet_rows"] = ORACLES["pipeline_final_rows"]
+
+# ---- planted rows: copies, rows with the same hash, malformed accounts, amounts over the cap --------------
+_PLANTED_SCORED = f"scored AS (SELECT *, {nfail_expr('FALSE')} AS nfail FROM ops)"
+
+
+def _planted(sql: str) -> str:
+    """The same SQL over the planted operations, without the uniqueness rule."""
+    return sql.replace(OPS_CTE, PLANTED_CTE).replace(SCORED, _PLANTED_SCORED)
+
+
+for _k in ["rule_max_amount", "rule_regex_account", "dedup_hash", "distinct_rows", "profile_totals", "exact_duplicates",
+           "stage_funnel"]:
+    ORACLES[_k] = _planted(ORACLES[_k])
+
+
+def _by_key(sql: str) -> str:
+    """The job over the planted operations: the first row of each operation id stays."""
+    return _planted(sql).replace("PARTITION BY content_hash", "PARTITION BY numero_operacion")
+
+
+ORACLES["pipeline_final_rows"] = ORACLES["pipeline_parquet_rows"] = _by_key(ORACLES["pipeline_final_rows"])
+ORACLES["quick_validate"] = _planted(f"""{WITH_BASE},\n{SCORED},\n{VALID},\n{HASHED}
+SELECT numero_operacion, count(*) - 1 AS duplicates, count(*) AS rows, count(DISTINCT content_hash) AS hashes
+FROM hashed GROUP BY numero_operacion""")
+ORACLES["quick_validate_summary"] = _planted(ORACLES["validation_summary"])
+ORACLES["find_duplicates_sorted"] = _planted(ORACLES["find_duplicates"])
+ORACLES["dedup_priority_sorted"] = ORACLES["dedup_priority_desc"]
+ORACLES["assert_unique_key"] = f"""WITH {PLANTED_CTE}
+SELECT numero_operacion, count(*) AS n FROM ops GROUP BY numero_operacion HAVING count(*) > 1"""
+ORACLES["pipeline_csv_copy"] = _by_key(PIPE) + f"""SELECT {', '.join(
+    "nullif(banco_destino, '') AS banco_destino" if c == 'banco_destino' else c for c in S.OPS_COLUMNS)}, content_hash FROM deduped"""
+ORACLES["pipeline_warnings"] = _planted(ORACLES["validation_warnings"])
+ORACLES["target_keys"] = UPSERT_BASE + """SELECT numero_operacion FROM merged
+WHERE fecha_operacion IS NOT NULL AND cuenta_origen IS NOT NULL"""
+ORACLES["value_edges"] = """
+WITH v AS (SELECT l_linenumber, CAST(l_extendedprice * 1e4 AS VARCHAR) AS large, l_linenumber / 8192.0::DOUBLE AS small,
+                  l_partkey % 3 = 0 AS suffixed FROM lineitem)
+SELECT l_linenumber, CAST(min(length(large)) AS INTEGER) AS shortest_text, CAST(count_if(large LIKE '%e%') AS BIGINT) AS with_exponent,
+       max(CAST(small AS VARCHAR)) AS small_text, CAST(count_if(NOT suffixed) AS BIGINT) AS numbers,
+       sum(CAST(small AS DECIMAL(38,10)))::DOUBLE AS small_total
+FROM v GROUP BY l_linenumber"""

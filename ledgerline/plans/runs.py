@@ -14,14 +14,15 @@ from ledgerline import schema as S
 from ledgerline.functions.text import percent_text, seconds_text
 from ledgerline.operators.validate import FAILURES
 
-SCALAR_FIELDS = [f.name for f in S.RUN_SCHEMA.fields if f.name != "validation_errors"]
+SCALAR_FIELDS = [f.name for f in S.RUN_SCHEMA.fields if f.name not in ("validation_errors", "warnings")]
 
 
 def record_frame(spark: SparkSession, record: dict) -> DataFrame:
     """One run record (a dict of RUN_SCHEMA fields) as a one-row frame."""
     row = {f.name: record.get(f.name) for f in S.RUN_SCHEMA.fields}
-    if row.get("validation_errors") is None:
-        row["validation_errors"] = []
+    for name in ("validation_errors", "warnings"):
+        if row.get(name) is None:
+            row[name] = []
     return spark.createDataFrame([row], S.RUN_SCHEMA)
 
 
@@ -89,7 +90,8 @@ def run_summary(runs: DataFrame) -> DataFrame:
         F.col("input_rows").alias("total_input"), F.col("rows_loaded").alias("total_loaded"),
         percent_text(rate).alias("success_rate"),
         "duplicates_removed",
-        F.coalesce(F.size("validation_errors"), F.lit(0)).alias("validation_errors"),
+        (F.col("n_errors") if "n_errors" in runs.columns else F.coalesce(F.size("validation_errors"), F.lit(0)))
+        .alias("validation_errors"),
         seconds_text(F.col("processing_time_seconds")).alias("processing_time"),
         (F.col("rows_loaded") + F.col("rows_updated")).alias("rows_written"))
 
@@ -159,29 +161,32 @@ def stage_funnel(counts: list[DataFrame] | dict[str, int], spark: SparkSession |
 
 
 def runs_from_batches(validation, batch_col: str, started, errors_per_run: int = 100,
-                      error_row: str | None = None) -> DataFrame:
-    """One run record per value of ``batch_col`` (e.g. one input file per run).
-
-    Two scans of the validated rows: one aggregate for every counter (rows grouped by run and by
-    the content hash of the valid ones: input, passed, loaded = distinct hashes, duplicates), and
-    the first ``errors_per_run`` failures per run ordered by (row, column, error) -- a bounded
-    top-k per run (partial ``WindowGroupLimit``), never a whole group.
+                      error_row: str | None = None, with_errors: bool = True) -> DataFrame:
+    """One run record per value of ``batch_col`` (e.g. one input file per run), plus ``n_errors``.
+
+    One aggregate of the validated rows gives every counter (rows grouped by run and by the content
+    hash of the valid ones: input, passed, loaded = distinct hashes, duplicates, failures that the
+    record holds). Only ``with_errors`` scans them again, for the first ``errors_per_run`` failures
+    per run ordered by (row, column, error) -- a bounded top-k per run (partial
+    ``WindowGroupLimit``), never a whole group.
     """
     from ledgerline.functions.hashing import content_hash_column
     annotated = validation.annotated
     typed_all = validation.typed_view(annotated)
     valid = F.size(FAILURES) == 0
     h = F.when(valid, content_hash_column(typed_all.schema, S.HASH_SOURCE_COLUMNS))
-    per_hash = (typed_all.select(batch_col, valid.alias("__v"), h.alias("__h"))
-                .groupBy(batch_col, "__h").agg(F.count(F.lit(1)).alias("__n"), F.count_if("__v").alias("__nv")))
+    per_hash = (typed_all.select(batch_col, valid.alias("__v"), h.alias("__h"), F.size(FAILURES).alias("__f"))
+                .groupBy(batch_col, "__h").agg(F.count(F.lit(1)).alias("__n"), F.count_if("__v").alias("__nv"),
+                                               F.sum("__f").alias("__nf")))
     counts = per_hash.groupBy(batch_col).agg(
+        F.least(F.sum("__nf"), F.lit(errors_per_run)).cast("int").alias("n_errors"),
         F.sum("__n").cast("long").alias("input_rows"),
         F.sum("__nv").cast("long").alias("validation_passed"),
         F.count_if(F.col("__h").isNotNull()).alias("rows_loaded"))
     base = counts.select(batch_col, "input_rows", "validation_passed",
                          (F.col("input_rows") - F.col("validation_passed")).alias("validation_failed"),
                          (F.col("validation_passed") - F.col("rows_loaded")).alias("duplicates_found"),
-                         "rows_loaded")
+                         "rows_loaded", "n_errors")
     row_id = F.col(error_row).cast("long") if error_row else F.lit(None).cast("long")
     fails = (annotated.select(batch_col, row_id.alias("row"), F.explode(FAILURES).alias("_f"))
              .select(batch_col, "row", F.col("_f.column").alias("column"), F.col("_f.error").alias("error")))
@@ -195,11 +200,13 @@ def runs_from_batches(validation, batch_col: str, started, errors_per_run: int =
                       .alias("validation_errors"))
     start = (F.lit(str(started)).cast("timestamp") if not isinstance(started, Column) else started) \
         + F.make_dt_interval(F.lit(0), F.col(batch_col).cast("int"))
-    runs = (base.join(errs, batch_col, "left")
-            .withColumn("start_time", start)
+    runs = base.join(errs, batch_col, "left") if with_errors else base.withColumn(
+        "validation_errors", F.lit(None).cast(S.RUN_SCHEMA["validation_errors"].dataType))
+    runs = (runs.withColumn("start_time", start)
             .withColumn("end_time", F.timestamp_micros(F.unix_micros(F.col("start_time"))
                                                        + F.col("input_rows") * F.lit(1000))))
     failed = F.col("validation_failed") > F.col("validation_passed")
+    extra = [F.coalesce("n_errors", F.lit(0)).alias("n_errors")]
     out = runs.select(
         F.concat(F.lit("etl_batch_"), F.col(batch_col).cast("string")).alias("pipeline_id"),
         "start_time", "end_time",
@@ -213,5 +220,6 @@ def runs_from_batches(validation, batch_col: str, started, errors_per_run: int =
         F.lit(0).cast("long").alias("rows_updated"), F.lit(0).cast("long").alias("load_failed"),
         F.lit(None).cast("double").alias("processing_time_seconds"),
         F.when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
-        F.when(failed, F.lit("validation rejected most rows")).otherwise(F.lit("")).alias("error_message"))
+        F.when(failed, F.lit("validation rejected most rows")).otherwise(F.lit("")).alias("error_message"),
+        F.array().cast(S.RUN_SCHEMA["warnings"].dataType).alias("warnings"), *extra)
     return with_duration(out)

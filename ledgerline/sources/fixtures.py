@@ -50,6 +50,31 @@ OPS_SELECT = "SELECT\n  " + ",\n  ".join(f"{e} AS {n}" for e, n in OPS_EXPRS) +
 OPS_CTE = f"ops AS (\n{OPS_SELECT}\n)"
 
 
+# Planted rows: added copies and faults, so that dedup, caps and formats have something to find.
+# (rows of ops to take, columns to replace)
+PLANTS = [
+    ("l_orderkey % 40 = 7", {}),                                                         # exact copies
+    ("l_orderkey % 40 = 9", {"l_quantity": "l_quantity + 1000", "descripcion": "'copia'", "canal": "'ATM'"}),   # same hash
+    ("l_orderkey % 40 = 11", {"numero_operacion": "'OP-' || lpad(cast(l_orderkey * 10 + l_linenumber + 50000000 as string), 8, '0')",
+                              "cuenta_origen": "'12-34'"}),
+    ("l_orderkey % 40 = 13", {"numero_operacion": "'OP-' || lpad(cast(l_orderkey * 10 + l_linenumber + 60000000 as string), 8, '0')",
+                              "monto": "abs(monto) + 1000000"}),
+]
+_COLUMNS = [n for _, n in OPS_EXPRS]
+PLANTED_CTE = OPS_CTE.replace("ops AS (", "ops0 AS (", 1) + ",\nops AS (\nSELECT * FROM ops0\n" + "\n".join(
+    f"UNION ALL SELECT {', '.join(f'{new[c]} AS {c}' if c in new else c for c in _COLUMNS)} FROM ops0 WHERE {where}"
+    for where, new in PLANTS) + ")"
+
+
+def ops_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ops`` with the planted rows."""
+    base = ops(spark, sf_dir)
+    out = base
+    for where, new in PLANTS:
+        out = out.unionByName(base.filter(where).selectExpr(*[f"{new[c]} AS {c}" if c in new else c for c in _COLUMNS]))
+    return out
+
+
 def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw (untyped date) operation records, one per lineitem row."""
     return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for e, n in OPS_EXPRS])

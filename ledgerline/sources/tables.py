@@ -7,34 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-# An input smaller than this, stored in fewer files than there are cores, is spread over the
-# cores right after the scan (a single row group is otherwise read and processed by one task).
-# Large inputs keep their native file splits: no extra shuffle at scale.
-SMALL_INPUT_BYTES = 256 << 20
-
-
-def input_size(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(bytes, files) of a path, from file-system metadata only."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    summary = fs.getContentSummary(p)
-    return int(summary.getLength()), int(summary.getFileCount())
-
-
-def spread_small(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Round-robin a small few-file input over the cores; leave large inputs untouched."""
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        nbytes, nfiles = input_size(spark, path)
-    except Exception:  # noqa: BLE001 -- metadata unavailable: keep the plain scan
-        return df
-    if nbytes < SMALL_INPUT_BYTES and nfiles < cores:
-        return df.repartition(cores)
-    return df
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table; Catalyst prunes columns and pushes filters into this scan."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread_small(spark, spark.read.parquet(path), path)
+    """Scan one table; Catalyst prunes columns and pushes filters into this scan.
+
+    The session's split size decides the partitions, for small and large inputs alike.
+    """
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

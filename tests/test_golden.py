@@ -21,19 +21,19 @@ GOLD = {
                 state=84, invalid=3049, valid=2951, valid_sum=156651964.32, distinct_ids=4598, key_dedup=4599,
                 key_dedup_sum=241997286.39, keep_first=3924, keep_first_sum=208352082.59, li_keys=4599,
                 prio_desc=243403726.02, prio_asc=242308933.08, merge_first=243105980.63, merge_last=242954410.46,
-                merge_qty=152257, upsert=(1518, 719, 762), upsert_sum=156497721.22, docs=(200, 189)),
+                merge_qty=152257, upsert=(1587, 1481, 1530), upsert_sum=241909125.33, docs=(200, 189)),
     SF01: dict(rows=60000, coerce=195, future=7217, id_null=155, id_bad=170, unique=25719, amount=196,
                account_null=199, state=725, invalid=30775, valid=29225, valid_sum=1548274235.98, distinct_ids=45809,
                key_dedup=45810, key_dedup_sum=2418252270.14, keep_first=39244, keep_first_sum=2082811355.05,
                li_keys=45832, prio_desc=2429672493.73, prio_asc=2432310344.38, merge_first=2433869375.50,
-               merge_last=2427330985.58, merge_qty=1524135, upsert=(15245, 7551, 7704), upsert_sum=1606988005.39,
+               merge_last=2427330985.58, merge_qty=1524135, upsert=(15323, 15255, 15231), upsert_sum=2418218501.17,
                docs=(1000, 927)),
     SF1: dict(rows=600000, coerce=1737, future=73332, id_null=1734, id_bad=1711, unique=258660, amount=1825,
               account_null=1668, state=7460, invalid=309699, valid=290301, valid_sum=15384129186.74,
               distinct_ids=456630, key_dedup=456631, key_dedup_sum=24035205571.75, keep_first=390938,
               keep_first_sum=20713705347.85, li_keys=456861, prio_desc=24198183587.54, prio_asc=24200215168.08,
               merge_first=24192380766.49, merge_last=24203242434.93, merge_qty=15300431,
-              upsert=(152430, 76201, 76255), upsert_sum=16057380853.42, docs=(10000, 9296)),
+              upsert=(151854, 152456, 152320), upsert_sum=24035469390.82, docs=(10000, 9296)),
 }
 
 
