@@ -27,6 +27,11 @@ def percent_text(ratio: Column) -> Column:
     return F.format_string("%.2f%%", ratio * F.lit(100.0))
 
 
+def thousands_text(n: Column) -> Column:
+    """``10500`` -> ``10,500`` (as Python's ``:,`` prints whole numbers)."""
+    return F.format_number(n, 0)
+
+
 def seconds_text(sec: Column) -> Column:
     """``3.106952`` -> ``3.11s``."""
     return F.format_string("%.2fs", sec)

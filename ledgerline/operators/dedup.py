@@ -65,11 +65,18 @@ def dedup_key(df: DataFrame, order_by: list[str], keys: list[str] | None = None)
     return keep_first(df, list(keys or [S.KEY_COLUMN]), order_by)
 
 
+def order_value(df: DataFrame, order_by: list[str]) -> Column:
+    """Row order as one value: a long row number stays a long (hash aggregates), else a struct; nulls first."""
+    if len(order_by) == 1 and isinstance(df.schema[order_by[0]].dataType, T.LongType):
+        return F.coalesce(F.col(order_by[0]), F.lit(-(1 << 63)))
+    return F.struct(*[F.col(c) for c in order_by])
+
+
 def flag_duplicates(df: DataFrame, order_by: list[str], keys: list[str] | None = None,
                     out: str = "is_duplicate") -> DataFrame:
     """``is_duplicate`` true for every row but the first of its key group (null keys group)."""
     keys = list(keys or [S.KEY_COLUMN])
-    order = F.struct(*[F.col(c) for c in order_by])
+    order = order_value(df, order_by)
     stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__first"))
              .filter(F.col("__n") > 1).drop("__n"))
     joined = join_on_keys(df, stats, keys, null_safe=True)

@@ -140,6 +140,8 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
     base_id = (max_id if max_id is not None else 0) + 1
     limit = broadcast_limit(target.sparkSession) if broadcast_bytes is None else broadcast_bytes
     small = limit > 0 and nbytes <= limit
+    if strategy == "broadcast" and not small:
+        raise ValueError(f"the batch has {nbytes} bytes; a broadcast takes at most {limit}")
     if strategy == "broadcast" or (strategy == "auto" and small):
         return _merge_broadcast(target, src, key, cols, base_id)
     if strategy in ("auto", "keyed"):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schema as S
+from ledgerline.operators.dedup import order_value
 from ledgerline.operators.rules import RuleSet, default_rules, row_rules, typed
 from ledgerline.plans.keyjoin import join_on_keys
 
@@ -35,7 +36,7 @@ def _unique_flag(df: DataFrame, spec, raw_type, rules: RuleSet, flag: str) -> Da
     if rules.unique_mode == "keep_first":
         if not rules.order_by:
             raise ValueError("unique_mode='keep_first' needs order_by")
-        order = F.struct(*[F.col(c) for c in rules.order_by])
+        order = order_value(keyed, list(rules.order_by))
         stats = (present.groupBy(key)
                  .agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__first"))
                  .filter(F.col("__n") > 1).select(key, "__first"))

@@ -397,6 +397,10 @@ def q_report_kpis(spark, sf_dir):
     return R.report_kpis(_run_counts(spark, sf_dir))
 
 
+def q_report_kpis_text(spark, sf_dir):
+    return R.report_kpis(_run_counts(spark, sf_dir), thousands=True)
+
+
 def q_report_distribution(spark, sf_dir):
     return R.report_distribution(_run_counts(spark, sf_dir))
 
@@ -611,6 +615,7 @@ QUERIES = {
     "write_run_record": q_write_run_record,
     "run_by_id": q_run_by_id,
     "report_kpis": q_report_kpis,
+    "report_kpis_text": q_report_kpis_text,
     "report_distribution": q_report_distribution,
     "stage_funnel": q_stage_funnel,
     "scan_csv": q_scan_csv,

@@ -353,6 +353,10 @@ _KPI_VALUES = ["CAST(input_rows AS VARCHAR)", "CAST(validation_passed AS VARCHAR
 ORACLES["report_kpis"] = RUNS_BASE + "\nUNION ALL ".join(
     f"SELECT pipeline_id, {i + 1} AS position, {q(lbl)} AS label, {v} AS value FROM runs"
     for i, (lbl, v) in enumerate(zip(S.KPI_LABELS, _KPI_VALUES)))
+ORACLES["report_kpis_text"] = RUNS_BASE + "\nUNION ALL ".join(
+    f"SELECT pipeline_id, {i + 1} AS position, {q(lbl)} AS label, "
+    + (v.replace("CAST(", "format('{:,}', ").replace(" AS VARCHAR)", ")") if v.startswith("CAST(") else v) + " AS value FROM runs"
+    for i, (lbl, v) in enumerate(zip(S.KPI_LABELS, _KPI_VALUES)))
 ORACLES["report_distribution"] = RUNS_BASE + "\nUNION ALL ".join(
     f"SELECT pipeline_id, {q(lbl)} AS category, CAST({v} AS BIGINT) AS count FROM runs"
     for lbl, v in zip(S.DISTRIBUTION_LABELS, ["validation_passed", "validation_failed", "duplicates_removed",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline import schema as S
-from ledgerline.functions.text import percent_text, seconds_text
+from ledgerline.functions.text import percent_text, seconds_text, thousands_text
 from ledgerline.operators.validate import FAILURES
 
 SCALAR_FIELDS = [f.name for f in S.RUN_SCHEMA.fields if f.name not in ("validation_errors", "warnings")]
@@ -111,12 +111,12 @@ def history_stats(runs: DataFrame) -> DataFrame:
         seconds_text(F.col("_avg")).alias("avg_processing_time"), "last_run")
 
 
-def report_kpis(runs: DataFrame) -> DataFrame:
-    """The seven KPI rows (label, value) of each run."""
+def report_kpis(runs: DataFrame, thousands: bool = False) -> DataFrame:
+    """The seven KPI rows (label, value) of each run; counts with thousands marks if asked for."""
+    count = thousands_text if thousands else lambda c: c.cast("string")
     rate = F.col("rows_loaded") / F.greatest(F.coalesce(F.col("input_rows"), F.lit(1)), F.lit(1))
-    values = [F.col("input_rows").cast("string"), F.col("validation_passed").cast("string"),
-              F.col("validation_failed").cast("string"), F.col("duplicates_removed").cast("string"),
-              F.col("rows_loaded").cast("string"), percent_text(rate),
+    values = [*[count(F.col(c)) for c in ("input_rows", "validation_passed", "validation_failed", "duplicates_removed", "rows_loaded")],
+              percent_text(rate),
               seconds_text(F.coalesce(F.col("processing_time_seconds"), F.lit(0.0)))]
     pairs = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(lbl).alias("label"), v.alias("value"))
                       for i, (lbl, v) in enumerate(zip(S.KPI_LABELS, values))])

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline import schema as S
-
 # Column types for CREATE TABLE on the database side (lengths are the target's column limits)
 TARGET_DDL_TYPES = ("numero_operacion VARCHAR(20), tipo_operacion VARCHAR(20), moneda VARCHAR(3), "
                     "cuenta_origen VARCHAR(50), cuenta_destino VARCHAR(50), banco_origen VARCHAR(50), "
@@ -19,14 +17,25 @@ TARGET_DDL_TYPES = ("numero_operacion VARCHAR(20), tipo_operacion VARCHAR(20), m
 
 def read_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-               num_partitions: int | None = None) -> DataFrame:
-    """Read a database table; with a numeric partition column the read is split into ranges."""
+               num_partitions: int | None = None, predicates: list[str] | None = None,
+               single_task: bool = False) -> DataFrame:
+    """Read a database table in several tasks: by ranges of a numeric column, or by given predicates.
+
+    The ranges need bounds and a number of partitions, or the whole table would come through one
+    task; that must be asked for with ``single_task``.
+    """
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties or {}))
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
-    if partition_column:
+    if partition_column is not None:
+        if lower is None or upper is None or not num_partitions:
+            raise ValueError("a partition column needs lower, upper and num_partitions")
         reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower)
-                  .option("upperBound", upper).option("numPartitions", num_partitions or 1))
+                  .option("upperBound", upper).option("numPartitions", num_partitions))
+    elif not single_task:
+        raise ValueError("give a partition column with bounds, predicates, or single_task=True")
     return reader.load()
 
 
@@ -42,7 +51,3 @@ def write_table(df: DataFrame, url: str, table: str, mode: str = "append", prope
     for k, v in (properties or {}).items():
         writer = writer.option(k, v)
     writer.mode(mode).save()
-
-
-def target_columns() -> list[str]:
-    return [f.name for f in S.TARGET_SCHEMA.fields]

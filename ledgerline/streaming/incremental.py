@@ -16,9 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline import schema as S
 from ledgerline.functions.text import null_tokens_to_null
+from ledgerline.plans.keyjoin import materialize
 from ledgerline.plans.pipeline import ReconciliationJob
-
-ROW = "row"
+from ledgerline.plans.runs import run_by_id, run_history
+from ledgerline.session import scratch_owner
+from ledgerline.sources.csv import ORDER_TAGS, row_numbers
 
 
 def text_schema(columns: list[str] | None = None) -> T.StructType:
@@ -27,9 +29,20 @@ def text_schema(columns: list[str] | None = None) -> T.StructType:
 
 
 def _with_row_order(df: DataFrame) -> DataFrame:
-    """Row order inside a micro-batch: scan order (partition, position); decides keep-first."""
-    mid = F.monotonically_increasing_id()
-    return df.withColumn(ROW, mid)
+    """Row order inside a micro-batch: by file path, then position in the file; decides keep-first.
+
+    Files are dealt to tasks by size, so the scan position alone is not file order.
+    """
+    tagged = materialize(df.withColumn("_pos", F.monotonically_increasing_id()))[0]
+    return row_numbers(tagged, tagged).drop(*ORDER_TAGS)
+
+
+def _done(spark: SparkSession, runs_dir: str, pipeline_id: str) -> bool:
+    """Whether a replayed micro-batch already has its record of success (one record for each batch)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(runs_dir)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return False
+    return not run_by_id(run_history(spark, runs_dir), pipeline_id).filter("status = 'success'").isEmpty()
 
 
 def start_incremental_load(spark: SparkSession, input_dir: str, job: ReconciliationJob, checkpoint: str,
@@ -41,13 +54,14 @@ def start_incremental_load(spark: SparkSession, input_dir: str, job: Reconciliat
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(input_dir)
-    stream = stream.select(*[null_tokens_to_null(F.col(c)).alias(c) for c in stream.columns])
+    stream = stream.select(*[null_tokens_to_null(F.col(c)).alias(c) for c in stream.columns],
+                           F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
+        if batch.isEmpty() or _done(spark, job.runs_dir, f"stream_{epoch_id}"):
             return
-        ordered = _with_row_order(batch)
-        job.run(ordered, pipeline_id=f"stream_{epoch_id}")
+        with scratch_owner(spark):
+            job.run(_with_row_order(batch), pipeline_id=f"stream_{epoch_id}")
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_once else writer

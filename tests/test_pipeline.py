@@ -89,7 +89,11 @@ def test_jdbc_roundtrip_with_pushdown(spark, scratch):
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     df = G.generate_operations(spark, 200, AS_OF).drop("gen_id")
     write_table(df, url, "OPERACIONES", mode="overwrite", properties=props, column_types=None)
-    back = read_table(spark, url, "OPERACIONES", props)
+    with pytest.raises(ValueError, match="single_task"):
+        read_table(spark, url, "OPERACIONES", props)
+    halves = read_table(spark, url, "OPERACIONES", props, predicates=['"monto" < 25000', '"monto" >= 25000'])
+    assert halves.count() == 200 and halves.rdd.getNumPartitions() == 2
+    back = read_table(spark, url, "OPERACIONES", props, single_task=True)
     assert back.count() == 200
     amount = [c for c in back.columns if c.lower() == "monto"][0]
     q = back.filter(F.col(amount) > 25000.0).select(amount)
