@@ -21,6 +21,12 @@ run, document, place).
    but those of the smallest document are repeated.
 3. Each document cuts the union of its repeated windows.
 
+A gram in very many different contexts (the end of a line that a third of all documents share) is *hot*: its
+runs don't meet in one bucket. Packs that find it hot send a notice, and all its runs, wherever they
+are, are taken apart into single windows, which go to buckets by a hash of the whole window. Equal runs
+and equal windows of one pack or group of documents are settled there, so what travels of a common
+run or window is one entry for each pack.
+
 Hashes only choose buckets and settle whole runs (80 or more bits); windows are compared by
 their bytes. Texts are taken whole; every gram group of a bucket is arrays in bounded memory,
 as the number of buckets follows the bytes of the corpus.
@@ -33,17 +39,17 @@ neither id is smaller. Extra columns are ignored. An empty table gives an empty
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textkernel as K
+from ledgerline.llm.docgroups import (BUCKET_BYTES, DOC, FLUSH_BYTES, FOUND, FOUND_DDL, TEXT, batch_docs, carried_columns, cuts,
+                                      groups_of, pack_texts, read_group)
 from ledgerline.llm.scratch import Scratch, rename_clear
 
 U64 = np.uint64
@@ -51,6 +57,9 @@ BUCKET_BYTES = 8 << 20          # text bytes behind one bucket or document group
 FLUSH_BYTES = 6 << 20           # text bytes a map task packs before it sends them
 SLAB_BYTES = 1 << 18             # text bytes hashed at once
 WINDOWS_AT_ONCE = 200_000        # windows that one later pass sorts together
+RUNS_AT_ONCE = 10_000            # hot runs that are taken apart together
+HOT_RUNS = 64                    # different runs of a gram in one pack that make it hot
+HOT_IN_BUCKET = 5_000            # the same in a bucket
 PLACE_BITS = U64(28)
 
 
@@ -108,69 +117,71 @@ def runs_of(raw: np.ndarray, offsets: np.ndarray, depth: int):
     return d, g[at], whole, first - offsets[d], at - first, count
 
 
-ENTRY = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("gram", pa.binary()),
+ENTRY = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("docs", pa.binary()), ("counts", pa.binary()), ("gram", pa.binary()),
                    ("run_low", pa.binary()), ("run_high", pa.binary()), ("first", pa.binary()), ("shape", pa.binary())])
-ENTRY_DDL = "bucket int, docs binary, counts binary, gram binary, run_low binary, run_high binary, first binary, shape binary"
-# found runs, and texts, by group of documents
-FOUND = pa.schema([("grp", pa.int32()), ("kind", pa.int8()), ("docs", pa.binary()), ("first", pa.binary()),
-                   ("shape", pa.binary()), ("gram", pa.binary()), ("body", pa.binary()), ("carried", pa.binary())])
-FOUND_DDL = "grp int, kind byte, docs binary, first binary, shape binary, gram binary, body binary, carried binary"
-SETTLED, OPEN, TEXT = 0, 1, 2
-DOC = np.dtype([("id", "<i8"), ("variant", "<u2")])        # a row: its id and 16 bits of its text
+ENTRY_DDL = ("bucket int, kind byte, docs binary, counts binary, gram binary, run_low binary, run_high binary, "
+             "first binary, shape binary")
+ENTRIES, NOTICE = 8, 9           # runs to compare; grams that are hot in a pack. Other kinds pass through their bucket
+SETTLED, OPEN, HOT = 0, 1, 3        # kinds of found runs, beside TEXT
 SHAPE = np.dtype([("place", "u1"), ("count", "u1")])
 
 
-def _batch_docs(b: pa.RecordBatch):
-    ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-    valid = b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-    raw, offsets = K.text_bytes(b.column("text"))
-    view = memoryview(raw)
-    variant = np.array([zlib.crc32(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)],
-                       np.uint32)
-    docs = np.zeros(len(ids), DOC)
-    docs["id"], docs["variant"] = np.where(valid, ids, 0), variant & 0xFFFF
-    return docs, valid, raw, offsets, variant
-
-
-def _groups(docs: np.ndarray, n_groups: int) -> np.ndarray:
-    return (K.mix64(docs["id"].astype(np.int64).view(U64) + U64(7)) % U64(n_groups)).astype(np.int64)
+def _equal_runs(gram: np.ndarray, whole: np.ndarray, ids: np.ndarray):
+    """(order by gram, run and id; which gram each is of; whether it is later than an equal run)."""
+    order = np.lexsort((ids, whole, gram))
+    g, w, i = gram[order], whole[order], ids[order]
+    new_gram = np.ones(len(g), bool)
+    new_gram[1:] = g[1:] != g[:-1]
+    new_run = new_gram.copy()
+    new_run[1:] |= w[1:] != w[:-1]
+    earliest = i[np.flatnonzero(new_run)][np.cumsum(new_run) - 1] if len(i) else i
+    return order, np.cumsum(new_gram) - 1, i > earliest
 
 
-def _cuts(sorted_keys: np.ndarray):
-    """(key, start, end) of the runs of equal keys."""
-    if not len(sorted_keys):
-        return
-    cut = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
-    yield from zip(sorted_keys[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(sorted_keys)], strict=True)
+def _bucket(gram: np.ndarray, n_buckets: int) -> np.ndarray:
+    return (((gram >> U64(32)) * U64(n_buckets)) >> U64(32)).astype(np.int64)
 
 
 def _entries(depth: int, n_buckets: int):
+    def send(rows: dict, bucket: int, kind: int, **arrays) -> None:
+        for c in ENTRY.names:
+            rows[c].append({"bucket": bucket, "kind": kind}.get(c, arrays.get(c)))
+
     def flush(parts) -> pa.RecordBatch:
-        docs, gram, run, first, place, count = (np.concatenate([p[c] for p in parts]) for c in range(6))
+        docs, gram, whole, first, place, count = (np.concatenate([p[c] for p in parts]) for c in range(6))
+        shape = np.empty(len(docs), SHAPE)
+        shape["place"], shape["count"] = place, count
         # mixed anew, as the smallest hashes of windows are far from uniform; the other half of the
         # bits tells grams of a bucket apart
         gram = K.mix64(gram)
-        bucket = (((gram >> U64(32)) * U64(n_buckets)) >> U64(32)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
         rows = {c: [] for c in ENTRY.names}
-        bucket = bucket[order]
-        for key, s, e in _cuts(bucket):
-            o = order[s:e]
+        order, number, later = _equal_runs(gram, whole, docs["id"])
+        # equal runs of one pack: all but the first are settled here; grams with many other runs are hot
+        hot = (np.bincount(number[~later], minlength=len(number)) >= HOT_RUNS)[number] & ~later
+        for kind, o in ((SETTLED, order[later]), (HOT, order[hot])):
+            if len(o):
+                send(rows, int(gram[o[0]] % U64(n_buckets)), kind, docs=docs[o].tobytes(), first=first[o].astype(np.uint32).tobytes(),
+                     shape=shape[o].tobytes())
+        noticed = np.unique(gram[order[hot]])
+        for key, s, e in cuts(_bucket(noticed, n_buckets)):
+            send(rows, key, NOTICE, gram=noticed[s:e].astype(np.uint32).tobytes())
+        rest = np.sort(order[~later & ~hot])
+        bucket = _bucket(gram[rest], n_buckets)
+        by = np.argsort(bucket, kind="stable")
+        for key, s, e in cuts(bucket[by]):
+            o = rest[by[s:e]]
             d = docs[o]
             head = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-            shape = np.empty(len(o), SHAPE)
-            shape["place"], shape["count"] = place[o], count[o]
-            for c, x in zip(ENTRY.names, (key, d[head].tobytes(), np.diff(np.append(head, len(o))).astype(np.uint32).tobytes(),
-                                          gram[o].astype(np.uint32).tobytes(), run[o].astype(np.uint32).tobytes(),
-                                          (run[o] >> U64(48)).astype(np.uint16).tobytes(),
-                                          first[o].astype(np.uint32).tobytes(), shape.tobytes()), strict=True):
-                rows[c].append(x)
+            send(rows, key, ENTRIES, docs=d[head].tobytes(), counts=np.diff(np.append(head, len(o))).astype(np.uint32).tobytes(),
+                 gram=gram[o].astype(np.uint32).tobytes(), run_low=whole[o].astype(np.uint32).tobytes(),
+                 run_high=(whole[o] >> U64(48)).astype(np.uint16).tobytes(), first=first[o].astype(np.uint32).tobytes(),
+                 shape=shape[o].tobytes())
         return pa.RecordBatch.from_pydict(rows, schema=ENTRY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for b in batches:
-            docs, valid, raw, offsets, _ = _batch_docs(b)
+            docs, valid, raw, offsets, _ = batch_docs(b)
             for i, j in K.slabs(offsets, SLAB_BYTES):
                 off = offsets[i:j + 1] - offsets[i]
                 d, *rest = runs_of(raw[offsets[i]:offsets[j]], off, depth)
@@ -189,9 +200,9 @@ def _entries(depth: int, n_buckets: int):
 
 
 def _found_rows(rows: dict, kind: int, docs, first, shape, gram, n_groups: int, body=None) -> None:
-    group = _groups(docs, n_groups)
+    group = groups_of(docs, n_groups)
     order = np.argsort(group, kind="stable")
-    for key, s, e in _cuts(group[order]):
+    for key, s, e in cuts(group[order]):
         o = order[s:e]
         rows["grp"].append(key)
         rows["kind"].append(kind)
@@ -207,35 +218,41 @@ def _first_pass(n_groups: int):
     """One bucket: settle the runs of grams of one document and the runs equal to an earlier one."""
     def run(key, table):
         bucket = key[0].as_py()
+        rows = {c: [] for c in FOUND.names}
 
-        def join(name, kind):
-            return K.joined(table.column(name), kind)
+        def of(kind):
+            part = table.filter(pc.equal(table.column("kind"), kind))
+            return lambda name, t: K.joined(part.column(name), t)
+        for kind in (SETTLED, HOT):                           # passing through
+            join = of(kind)
+            _found_rows(rows, kind, join("docs", DOC), join("first", np.uint32), join("shape", SHAPE), None, n_groups)
+        noticed = np.unique(of(NOTICE)("gram", np.uint32))
+        join = of(ENTRIES)
         docs = np.repeat(join("docs", DOC), join("counts", np.uint32))
         gram, first, shape = join("gram", np.uint32), join("first", np.uint32), join("shape", SHAPE)
         whole = join("run_low", np.uint32).astype(U64) | (join("run_high", np.uint16).astype(U64) << U64(32))
-        order = np.argsort(gram, kind="stable")
+        known = np.isin(gram, noticed)
+        _found_rows(rows, HOT, docs[known], first[known], shape[known], None, n_groups)
+        order = np.flatnonzero(~known)
+        order = order[np.argsort(gram[order], kind="stable")]
         g = gram[order]
         single = np.ones(len(g), bool)
         single[1:] &= g[1:] != g[:-1]
         single[:-1] &= g[1:] != g[:-1]
         order = order[~single]
-        order = order[np.lexsort((docs["id"][order], whole[order], gram[order]))]
-        docs, gram, whole, first, shape = docs[order], gram[order], whole[order], first[order], shape[order]
-        rows = {c: [] for c in FOUND.names}
         if len(order):
-            new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
-            new_run = new_gram.copy()
-            new_run[1:] |= whole[1:] != whole[:-1]
-            ids = docs["id"]
-            run_at, gram_at = np.flatnonzero(new_run), np.flatnonzero(new_gram)
-            run_no, gram_no = np.cumsum(new_run) - 1, np.cumsum(new_gram) - 1
-            earliest = ids[run_at][run_no]
-            settled = ids > earliest
+            by, gram_no, settled = _equal_runs(gram[order], whole[order], docs["id"][order])
+            order = order[by]
+            docs, gram, first, shape = docs[order], gram[order], first[order], shape[order]
+            ids, gram_at = docs["id"], np.flatnonzero(np.concatenate([[True], gram_no[1:] != gram_no[:-1]]))
             # open: first documents of the runs of a gram that has runs first seen in different documents
             low = np.minimum.reduceat(ids, gram_at)[gram_no]
             high = np.maximum.reduceat(np.where(settled, np.iinfo(np.int64).min, ids), gram_at)[gram_no]
             is_open = ~settled & (high > low)
+            hot = (np.bincount(gram_no, weights=is_open) >= HOT_IN_BUCKET)[gram_no] & is_open
+            is_open &= ~hot
             _found_rows(rows, SETTLED, docs[settled], first[settled], shape[settled], None, n_groups)
+            _found_rows(rows, HOT, docs[hot], first[hot], shape[hot], None, n_groups)
             wide = (np.uint64(bucket) << U64(32)) | gram[is_open].astype(U64)
             _found_rows(rows, OPEN, docs[is_open], first[is_open], shape[is_open], wide, n_groups)
         K.trim()
@@ -243,71 +260,6 @@ def _first_pass(n_groups: int):
     return run
 
 
-def _texts(n_groups: int, carry: list[str] | None = None):
-    """Whole texts, compressed together by group of documents; columns to carry go along as Arrow streams."""
-    def flush(parts) -> pa.RecordBatch:
-        docs = np.concatenate([p[0] for p in parts])
-        group = np.concatenate([p[1] for p in parts])
-        bodies = [x for p in parts for x in p[2]]
-        valid = np.concatenate([p[3] for p in parts])
-        extra = pa.Table.from_batches([p[4] for p in parts]) if carry else None
-        order = np.argsort(group, kind="stable")
-        zip_ = zstandard.ZstdCompressor(level=3)
-        rows = {c: [] for c in FOUND.names}
-        for key, s, e in _cuts(group[order]):
-            o = order[s:e]
-            own = [bodies[x] for x in o.tolist()]
-            for c, x in zip(FOUND.names, (key, TEXT, docs[o].tobytes(), np.array([len(t) for t in own], np.uint32).tobytes(),
-                                          valid[o].tobytes(), None, zip_.compress(b"".join(own)),
-                                          zip_.compress(_stream(extra.take(o))) if carry else None), strict=True):
-                rows[c].append(x)
-        return pa.RecordBatch.from_pydict(rows, schema=FOUND)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
-        for b in batches:
-            docs, valid, raw, offsets, variant = _batch_docs(b)
-            group = np.where(valid, _groups(docs, n_groups), variant % n_groups)
-            for i, j in K.slabs(offsets, FLUSH_BYTES):
-                bodies = [raw[s:e].tobytes() for s, e in zip(offsets[i:j].tolist(), offsets[i + 1:j + 1].tolist(), strict=True)]
-                parts.append((docs[i:j], group[i:j], bodies, valid[i:j], b.select(carry).slice(i, j - i) if carry else None))
-                held += int(offsets[j] - offsets[i])
-                if held >= FLUSH_BYTES:
-                    yield flush(parts)
-                    parts, held = [], 0
-                    K.trim()
-        if parts:
-            yield flush(parts)
-    return run
-
-
-def _stream(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _carried(table) -> pa.Table:
-    """Carried columns of a group of documents, in the order of ``_read_group``."""
-    unzip = zstandard.ZstdDecompressor()
-    return pa.concat_tables([pa.ipc.open_stream(unzip.decompress(x)).read_all() for kind, x in zip(
-        table.column("kind").to_pylist(), table.column("carried").to_pylist(), strict=True) if kind == TEXT])
-
-
-def _read_group(table):
-    """Texts of a group of documents: [(doc, valid, bytes)]."""
-    out, unzip = [], zstandard.ZstdDecompressor()
-    for kind, docs, sizes, valid, body in zip(*(table.column(c).to_pylist() for c in ("kind", "docs", "first", "shape", "body")), strict=True):
-        if kind != TEXT:
-            continue
-        blob, at = unzip.decompress(body) if body else b"", 0
-        for d, n, v in zip(np.frombuffer(docs, DOC).tolist(), np.frombuffer(sizes, np.uint32).tolist(), valid, strict=True):
-            out.append((d, bool(v), blob[at:at + n]))
-            at += n
-    return out
-
-
 def _read_found(table, kind: int):
     """Runs of one kind, sorted by document: (docs, first, shape, gram)."""
     mine = table.filter(pc.equal(table.column("kind"), kind))
@@ -319,31 +271,82 @@ def _read_found(table, kind: int):
     return docs[order], first[order].astype(np.int64), shape[order], gram[order] if len(gram) else gram
 
 
-WINDOW = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("gram", pa.binary()), ("first", pa.binary()),
+WINDOW = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("docs", pa.binary()), ("gram", pa.binary()), ("first", pa.binary()),
                     ("shape", pa.binary()), ("body", pa.binary())])
-WINDOW_DDL = "bucket int, docs binary, gram binary, first binary, shape binary, body binary"
+WINDOW_DDL = "bucket int, kind byte, docs binary, gram binary, first binary, shape binary, body binary"
+
+
+def _word(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on, as one number."""
+    word = np.zeros(len(at), U64)
+    for k in range(8):
+        word = (word << U64(8)) | raw[at + k].astype(U64)
+    return word
+
+
+def _single_windows(docs, first, shape, body: bytes, depth: int):
+    """Windows of hot runs, each an entry of its own: (entries to send, entries equal to one of an earlier document), bytes.
+
+    Entries are [docs, gram, first, shape, starts in the bytes]; the gram is a hash of the whole window.
+    """
+    raw = np.frombuffer(body, np.uint8)
+    count = shape["count"].astype(np.int64)
+    span = count + depth - 1
+    run = np.repeat(np.arange(len(docs)), count)
+    step = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    start = (np.cumsum(span) - span)[run] + step
+    one = np.empty(len(run), SHAPE)
+    one["place"], one["count"] = shape["place"][run] - step, 1
+    gram = _gram_hash(raw, depth)[start]
+    d, f = docs[run], (first[run] + step).astype(np.uint32)
+    order = np.lexsort((d["id"], gram))
+    d, f, one, gram, start = d[order], f[order], one[order], gram[order], start[order]
+    head = np.ones(len(d), bool)
+    head[1:] = gram[1:] != gram[:-1]
+    top = np.flatnonzero(head)[np.cumsum(head) - 1]
+    same = np.ones(len(d), bool)                              # equal hash and equal bytes
+    for at in range(0, depth, 8):
+        at = min(at, depth - 8)
+        same &= _word(raw, start + at) == _word(raw, start[top] + at)
+    later = same & (d["id"] > d["id"][top])
+    return [[x[m] for x in (d, gram, f, one, start)] for m in (~later, later)], raw
 
 
 def _fetch(depth: int, n_buckets: int):
     """One group of documents: the bytes of its open runs, sent to the buckets of their grams."""
     def run(table):
         texts: dict = {}
-        for d, valid, body in _read_group(table):
+        for d, valid, body in read_group(table):
             if valid:
                 texts.setdefault(d, body)
-        docs, first, shape, gram = _read_found(table, OPEN)
         rows = {c: [] for c in WINDOW.names}
+
+        def send(bucket, kind, docs, gram, first, shape, body):
+            for c, x in zip(WINDOW.names, (bucket, kind, docs.tobytes(), gram.tobytes(), first.astype(np.uint32).tobytes(),
+                                           shape.tobytes(), body), strict=True):
+                rows[c].append(x)
+
+        def bytes_of(docs, first, shape):
+            return b"".join([texts[d][p:p + c + depth - 1]
+                             for d, p, c in zip(docs.tolist(), first.tolist(), shape["count"].tolist(), strict=True)])
+        docs, first, shape, gram = _read_found(table, OPEN)
         bucket = (K.mix64(gram.copy()) % U64(n_buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        names = docs.tolist()
-        counts = shape["count"].tolist()
-        places = first.tolist()
-        for key, s, e in _cuts(bucket[order]):
+        for key, s, e in cuts(bucket[order]):
             o = order[s:e]
-            body = b"".join(texts[names[x]][places[x]:places[x] + counts[x] + depth - 1] for x in o.tolist())
-            for c, x in zip(WINDOW.names, (key, docs[o].tobytes(), gram[o].tobytes(), first[o].astype(np.uint32).tobytes(),
-                                           shape[o].tobytes(), body), strict=True):
-                rows[c].append(x)
+            send(key, OPEN, docs[o], gram[o], first[o], shape[o], bytes_of(docs[o], first[o], shape[o]))
+        docs, first, shape, _ = _read_found(table, HOT)
+        for s in range(0, len(docs), RUNS_AT_ONCE):
+            part = slice(s, s + RUNS_AT_ONCE)
+            (fresh, later), raw = _single_windows(docs[part], first[part], shape[part],
+                                                  bytes_of(docs[part], first[part], shape[part]), depth)
+            if len(later[0]):
+                send(int(later[1][0] % U64(n_buckets)), SETTLED, *later[:4], None)
+            bucket = (K.mix64(fresh[1].copy()) % U64(n_buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            for key, b, e in cuts(bucket[order]):
+                o = order[b:e]
+                send(key, OPEN, *(x[o] for x in fresh[:4]), raw[(fresh[4][o][:, None] + np.arange(depth)).reshape(-1)].tobytes())
         K.trim()
         return pa.Table.from_pydict(rows, schema=WINDOW)
     return run
@@ -378,7 +381,7 @@ def radix_groups(group: np.ndarray, digits, ids: np.ndarray):
 def _slices(gram: np.ndarray, count: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, bool]]:
     """Runs of whole grams with about ``limit`` windows at most, or of one gram that has more (True)."""
     order = np.argsort(gram, kind="stable")
-    heads = [(s, e) for _, s, e in _cuts(gram[order])]
+    heads = [(s, e) for _, s, e in cuts(gram[order])]
     windows = np.concatenate([[0], np.cumsum(count[order])])
     start = 0
     for k, (s, e) in enumerate(heads):
@@ -402,11 +405,7 @@ def _repeated(docs, gram, shape, span, base, raw, runs, place, depth: int):
     def digits(j, index):
         if j * 8 >= depth:
             return None
-        at = start[index] + min(8 * j, depth - 8)
-        word = np.zeros(len(index), U64)
-        for k in range(8):
-            word = (word << U64(8)) | raw[at + k].astype(U64)
-        return word
+        return _word(raw, start[index] + min(8 * j, depth - 8))
     index, number = radix_groups(np.unique(gram[entry], return_inverse=True)[1].reshape(-1) * 256 + first_place[entry] - step,
                                  digits, ids)
     if not len(index):
@@ -424,13 +423,18 @@ def _later_passes(depth: int, n_groups: int):
     in slices of them, so that the memory follows the runs, not their windows.
     """
     def run(table):
+        rows = {c: [] for c in FOUND.names}
+        known = table.filter(pc.equal(table.column("kind"), SETTLED))
+        _found_rows(rows, SETTLED, K.joined(known.column("docs"), DOC), K.joined(known.column("first"), np.uint32),
+                    K.joined(known.column("shape"), SHAPE), None, n_groups)
+        table = table.filter(pc.equal(table.column("kind"), OPEN))
+
         def join(name, t):
             return K.joined(table.column(name), t)
         docs, gram, first, shape, raw = (join("docs", DOC), join("gram", U64), join("first", np.uint32),
                                          join("shape", SHAPE), join("body", np.uint8))
         span = shape["count"].astype(np.int64) + depth - 1
         base = np.cumsum(span) - span
-        rows = {c: [] for c in FOUND.names}
         for runs, alone in _slices(gram, shape["count"].astype(np.int64), WINDOWS_AT_ONCE):
             for place in np.unique(np.concatenate([np.arange(p - c + 1, p + 1) for p, c in set(shape[runs].tolist())])) if alone else [None]:
                 entry, step = _repeated(docs, gram, shape, span, base, raw, runs, place, depth)
@@ -457,10 +461,10 @@ def _cut(depth: int, carry: list[str]):
     def run(table):
         docs, first, shape, _ = _read_found(table, SETTLED)
         at = {}
-        for key, s, e in _cuts(docs):
+        for key, s, e in cuts(docs):
             at[key] = (s, e)
         rows = {c: [] for c in KEPT.names}
-        read = _read_group(table)
+        read = read_group(table)
         for d, valid, body in read:
             spans = []
             if valid and d in at:
@@ -484,7 +488,7 @@ def _cut(depth: int, carry: list[str]):
         out = pa.Table.from_pydict(rows, schema=KEPT)
         if carry and read:
             out = out.append_column("kept_text", pa.array([x.decode("utf-8", "ignore") for x in rows["kept"]], pa.string()))
-            extra = _carried(table)
+            extra = carried_columns(table)
             for c in carry:
                 out = out.append_column(f"carried_{c}", extra.column(f"carried_{c}"))
         elif carry:
@@ -509,14 +513,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(docs.sparkSession, "suffix")
     total = int(bare.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = max(1, math.ceil(total / BUCKET_BYTES))
-    texts = bare.mapInArrow(_texts(n), FOUND_DDL)
+    texts = bare.mapInArrow(pack_texts(n), FOUND_DDL)
     first = scratch.store(bare.mapInArrow(_entries(depth, n), ENTRY_DDL).groupBy("bucket")
                           .applyInArrow(_first_pass(n), FOUND_DDL), "first-pass")
-    windows = texts.unionByName(first.filter(F.col("kind") == OPEN)).groupBy("grp").applyInArrow(_fetch(depth, 4 * n), WINDOW_DDL)
+    windows = texts.unionByName(first.filter(F.col("kind") != SETTLED)).groupBy("grp").applyInArrow(_fetch(depth, 4 * n), WINDOW_DDL)
     later = scratch.store(windows.groupBy("bucket").applyInArrow(_later_passes(depth, n), FOUND_DDL), "later-passes")
     settled = first.filter(F.col("kind") == SETTLED).unionByName(later)
     named = [f"carried_{c}" for c in carry]
-    whole = docs.mapInArrow(_texts(n, named), FOUND_DDL) if carry else texts
+    whole = docs.mapInArrow(pack_texts(n, named), FOUND_DDL) if carry else texts
     ddl = KEPT_DDL + ", kept_text string" * bool(carry) + "".join(f", `carried_{c}` {docs.schema[f'carried_{c}'].dataType.simpleString()}" for c in carry)
     out = whole.unionByName(settled).groupBy("grp").applyInArrow(_cut(depth, carry), ddl)
     if not carry:

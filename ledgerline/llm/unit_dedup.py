@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textkernel as K
+from ledgerline.llm.docgroups import (BUCKET_BYTES, DOC, FLUSH_BYTES, FOUND, FOUND_DDL, TEXT, batch_docs, cuts, groups_of,
+                                      pack_texts, read_group)
 from ledgerline.llm.scratch import rename_clear
-from ledgerline.llm.suffix_dedup import (BUCKET_BYTES, DOC, FLUSH_BYTES, TEXT, _batch_docs, _cuts, _groups, _read_group,
-                                         _texts)
 
 U64 = np.uint64
 SENTENCE_END = np.zeros(256, bool)
@@ -77,9 +77,6 @@ def units_of(raw: np.ndarray, offsets: np.ndarray, unit: str = "sentence"):
 ENTRY = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("docs", pa.binary()), ("digest", pa.binary()),
                    ("second", pa.binary()), ("units", pa.binary())])
 ENTRY_DDL = "bucket int, settled boolean, docs binary, digest binary, second binary, units binary"
-FOUND = pa.schema([("grp", pa.int32()), ("kind", pa.int8()), ("docs", pa.binary()), ("first", pa.binary()),
-                   ("shape", pa.binary()), ("gram", pa.binary()), ("body", pa.binary())])
-FOUND_DDL = "grp int, kind byte, docs binary, first binary, shape binary, gram binary, body binary"
 LATER = 0
 
 
@@ -107,7 +104,7 @@ def _entries(unit: str, n_buckets: int):
                                           units[settled].tobytes()), strict=True):
                 rows[c].append(x)
         bucket = ((digest[order] >> U64(32)) * U64(n_buckets) >> U64(32)).astype(np.int64)
-        for key, s, e in _cuts(bucket):                       # sorted by digest, so by bucket
+        for key, s, e in cuts(bucket):                       # sorted by digest, so by bucket
             o = order[s:e]
             for c, x in zip(ENTRY.names, (key, False, docs[o].tobytes(), digest[o].tobytes(), second[o].tobytes(),
                                           units[o].tobytes()), strict=True):
@@ -117,7 +114,7 @@ def _entries(unit: str, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for b in batches:
-            docs, valid, raw, offsets, _ = _batch_docs(b)
+            docs, valid, raw, offsets, _ = batch_docs(b)
             for i, j in K.slabs(offsets):
                 off = offsets[i:j + 1] - offsets[i]
                 d, *rest = units_of(raw[offsets[i]:offsets[j]], off, unit)
@@ -139,11 +136,11 @@ def _later(n_groups: int):
         rows = {c: [] for c in FOUND.names}
 
         def send(docs, units):
-            group = _groups(docs, n_groups)
+            group = groups_of(docs, n_groups)
             order = np.argsort(group, kind="stable")
-            for key, s, e in _cuts(group[order]):
+            for key, s, e in cuts(group[order]):
                 o = order[s:e]
-                for c, x in zip(FOUND.names, (key, LATER, docs[o].tobytes(), units[o].tobytes(), None, None, None), strict=True):
+                for c, x in zip(FOUND.names, (key, LATER, docs[o].tobytes(), units[o].tobytes(), None, None, None, None), strict=True):
                     rows[c].append(x)
         settled = table.column("settled")
         known, fresh = table.filter(settled), table.filter(pc.invert(settled))
@@ -175,9 +172,9 @@ def _cut(min_words: int):
         once = np.ones(len(docs), bool)                       # a repeated row reports its units again
         once[1:] = (docs[1:] != docs[:-1]) | (units["place"][1:] != units["place"][:-1])
         docs, units = docs[once], units[once]
-        at = {key: (s, e) for key, s, e in _cuts(docs)}
+        at = {key: (s, e) for key, s, e in cuts(docs)}
         rows = {c: [] for c in KEPT.names}
-        for d, valid, body in _read_group(table.filter(pc.equal(table.column("kind"), TEXT))):
+        for d, valid, body in read_group(table.filter(pc.equal(table.column("kind"), TEXT))):
             spans, removed = [], 0
             if valid and d in at:
                 s, e = at[d]
@@ -210,4 +207,4 @@ def remove_repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str
     total = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = max(1, math.ceil(total / BUCKET_BYTES))
     later = docs.mapInArrow(_entries(unit, n), ENTRY_DDL).groupBy("bucket").applyInArrow(_later(n), FOUND_DDL)
-    return docs.mapInArrow(_texts(n), FOUND_DDL).unionByName(later).groupBy("grp").applyInArrow(_cut(min_words), KEPT_DDL)
+    return docs.mapInArrow(pack_texts(n), FOUND_DDL).unionByName(later).groupBy("grp").applyInArrow(_cut(min_words), KEPT_DDL)

@@ -68,3 +68,18 @@ def test_radix_groups_are_the_equal_entries_of_several_ids(entries):
     expected = [s for v in set(value.tolist()) if len(set(ids[value == v].tolist())) > 1
                 for s in [set(np.flatnonzero(value == v).tolist())]]
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected))
+
+
+@pytest.mark.parametrize("pack,bucket,runs", [(2, 5_000, 10_000), (10 ** 9, 3, 7), (4, 3, 50)])
+def test_hot_grams_are_taken_apart(spark, texts, monkeypatch, pack, bucket, runs):
+    """The same result whether grams count as hot in a pack, in a bucket, or in some packs only."""
+    monkeypatch.setattr(S, "HOT_RUNS", pack)
+    monkeypatch.setattr(S, "HOT_IN_BUCKET", bucket)
+    monkeypatch.setattr(S, "RUNS_AT_ONCE", runs)
+    monkeypatch.setattr(S, "FLUSH_BYTES", 4_000)
+    r = np.random.default_rng(8)
+    line = "This line stands in very many documents of the corpus, at the end of some and in the middle of others. "
+    rows = [(i, f"{r.integers(0, 50)} {line}{r.integers(0, 9)} {line if i % 3 else ''}{r.integers(0, 999)}") for i in range(120)]
+    rows += list(texts.items())[:60]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert plain(S.remove_repeats(df)) == sorted(brute.cut_windows(rows), key=str)
