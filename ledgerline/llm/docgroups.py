@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 from ledgerline.llm import textkernel as K
@@ -28,14 +29,14 @@ FOUND_DDL = "grp int, kind byte, docs binary, first binary, shape binary, gram b
 
 
 def batch_docs(b: pa.RecordBatch):
-    ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+    ids = pc.fill_null(b.column("doc_id"), 0).to_numpy()      # filled first: nulls would make floats of the ids
     valid = b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
     raw, offsets = K.text_bytes(b.column("text"))
     view = memoryview(raw)
     variant = np.array([zlib.crc32(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)],
                        np.uint32)
     docs = np.zeros(len(ids), DOC)
-    docs["id"], docs["variant"] = np.where(valid, ids, 0), variant & 0xFFFF
+    docs["id"], docs["variant"] = ids, variant & 0xFFFF
     return docs, valid, raw, offsets, variant
 
 

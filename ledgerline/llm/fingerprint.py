@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,7 +135,7 @@ def _pack(starts_sent):
         parts, held = [], 0
         for b in batches:
             valid = b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            ids = np.where(valid, b.column("doc_id").to_numpy(zero_copy_only=False), 0).astype(np.int64)
+            ids = pc.fill_null(b.column("doc_id"), 0).to_numpy()      # filled first: nulls would make floats of the ids
             raw, offsets = K.text_bytes(b.column("text"))
             for i, j in K.slabs(offsets, FLUSH_BYTES):
                 bodies = [raw[s:e].tobytes() for s, e in zip(offsets[i:j].tolist(), offsets[i + 1:j + 1].tolist(), strict=True)]

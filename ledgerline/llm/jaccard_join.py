@@ -3,12 +3,14 @@
 Two documents link when ``100 * |A and B| >= percent * |A or B|`` over their sets of distinct
 word n-grams. Method:
 
-1. *Signatures*: one row per document with its set size and a 128-bit key of the set. Equal sets
-   form one class; only its smallest id, the representative, joins.
-2. *Global order*: all grams travel packed (numpy arrays per hash bucket, 6 bytes a gram). A bucket
-   counts in how many documents each gram occurs and numbers the shared ones: rare grams first,
-   ties by bucket and hash. Grams of a single document can't be in any intersection; they are
-   only counted. Each shared gram also carries its *hub*, the smallest document that has it.
+1. *Signatures*: one row per document with its set size and the key of the set, a 64-bit sum of its
+   grams' hashes. Documents with equal sets are one vertex, the key, from here on.
+2. *Global order*: the grams of distinct sets travel packed (numpy arrays per hash bucket, 6 bytes a gram). A
+   bucket counts in how many sets each gram occurs and numbers the shared ones: rare grams first,
+   ties by bucket and hash. Grams of a single set can't be in any intersection; they are
+   only counted. Each shared gram also carries its *hub*, the smallest key that has it. A gram that
+   many sets of a pack share (a line that a third of all documents have) is one entry with a count there;
+   its number comes back to the pack, which hands it to its sets.
 3. *Prefixes*: with overlap at least ``percent`` of its size, a partner shares one of the first
    ``size - ceil(percent * size) + 1`` grams of a document in the global order, whose head are the
    unshared ones. A document with too few shared grams is dropped here: it has no partner.
@@ -25,7 +27,7 @@ Grams are compared by 55 or more bits of a 64-bit hash inside a bucket; texts ar
 
 Rows: null or blank texts have the empty set, link with nothing and are their own class; a null
 id takes no part in links and gets a null class; a repeated row is in the class of its first one;
-rows that repeat an id with another text are further sets of the same vertex. Extra columns are
+rows that repeat an id with another text are documents of their own. Extra columns are
 ignored. An empty table gives an empty result.
 """
 
@@ -36,15 +38,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textkernel as K
 from ledgerline.llm.components import components
+from ledgerline.llm.docgroups import cuts
 from ledgerline.llm.scratch import Scratch, rename_clear
 
 GRAMS_PER_BUCKET = 2_000_000      # memory of one bucket task, whatever the corpus size
 GRAMS_PER_FLUSH = 1_500_000       # grams a map task packs before it sends them
+HOT_SETS = 64                     # sets of a pack that share a gram, from which on it is sent with a count
 CHUNK = 256                       # members of a hub that one trie holds
 U64 = np.uint64
 
@@ -52,90 +57,116 @@ U64 = np.uint64
 def _signatures(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, k1, k2 = [], [], []
+            size, k1 = [], []
             for _, _, g, ptr in K.shingle_sets(b.column("text"), n):
                 size.append(np.diff(ptr))
                 k1.append(K.segment_sum(g, ptr))
-                k2.append(K.segment_sum(K.mix64(g ^ U64(0xA5A5A5A5A5A5A5A5)), ptr))
             if size:
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column("doc_id"), "n_grams": np.concatenate(size),
-                    "k1": np.concatenate(k1).view(np.int64), "k2": np.concatenate(k2).view(np.int64)})
+                    "k1": np.concatenate(k1).view(np.int64)})
     return run
 
 
 def signatures(docs: DataFrame, n: int = 5) -> DataFrame:
-    """(doc_id, n_grams, k1, k2) of every row of ``docs(doc_id, text)``."""
-    return docs.mapInArrow(_signatures(n), "doc_id long, n_grams long, k1 long, k2 long")
+    """(doc_id, n_grams, k1) of every row of ``docs(doc_id, text)``."""
+    return docs.mapInArrow(_signatures(n), "doc_id long, n_grams long, k1 long")
 
 
 def _pack_grams(n: int, n_buckets: int):
-    """Grams of distinct sets of a batch, packed by bucket: ids as steps, counts, 48-bit hashes."""
+    """Grams of the distinct sets of a batch, packed by bucket: sets as steps, counts, 48-bit hashes.
+
+    A gram that many sets of the pack share goes to its bucket once, with its count; which sets have
+    it stays with the pack, in a row that only passes through.
+    """
     def flush(parts):
-        ids = np.concatenate([p[0] for p in parts])
-        doc = np.concatenate([np.repeat(np.arange(len(p[0])), np.diff(p[2])) + base
-                              for p, base in zip(parts, np.cumsum([0] + [len(p[0]) for p in parts[:-1]]), strict=True)])
-        g = np.concatenate([p[1] for p in parts])
-        rank = np.empty(len(ids), np.int64)
-        by_id = np.argsort(ids, kind="stable")
-        rank[by_id] = np.arange(len(ids))
-        ids, doc = ids[by_id], rank[doc]
-        bucket = (((g >> U64(32)) * U64(n_buckets)) >> U64(32)).astype(np.int64)
-        order = np.argsort(bucket * len(ids) + doc, kind="stable")
+        keys, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
+        sizes = np.concatenate([np.diff(p[2]) for p in parts])
+        starts = np.concatenate([p[2][:-1] + base for p, base in zip(
+            parts, np.cumsum([0] + [len(p[1]) for p in parts[:-1]]), strict=True)])[first]
+        sizes = sizes[first]
+        doc = np.repeat(np.arange(len(keys)), sizes)
+        g = np.concatenate([p[1] for p in parts])[np.repeat(starts, sizes) + np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
+        rows = {c: [] for c in PACKED.names}
+
+        def send(**values):
+            for c in PACKED.names:
+                rows[c].append(values.get(c))
+
+        def hashes(x):
+            low = K.mix64(x)              # bits independent of those that chose the bucket
+            return {"low": low.astype(np.uint32).tobytes(), "high": (low >> U64(48)).astype(np.uint16).tobytes()}
+        by_gram = np.argsort(g, kind="stable")
+        head = np.flatnonzero(np.concatenate([[True], np.diff(g[by_gram]) != 0]))
+        df = np.diff(np.append(head, len(g)))
+        common = df >= HOT_SETS
+        if common.any():
+            own = by_gram[np.repeat(common, df)]
+            number = int(K.mix64(np.array([K.segment_sum(keys.view(U64), np.array([0, len(keys)]))[0]], U64)).view(np.int64)[0])
+            send(bucket=number % n_buckets, kind=MEMBERS, pack=number, docs=keys[doc[own]].tobytes(), grams=g[own].tobytes())
+            grams, counts = g[by_gram[head[common]]], df[common]
+            least = np.minimum.reduceat(keys[doc[own]], np.cumsum(counts) - counts)
+            bucket = _bucket(grams, n_buckets)
+            for key, s, e in cuts(bucket):                     # grams ascend, so do buckets
+                send(bucket=key, kind=SUMS, pack=number, grams=grams[s:e].tobytes(), counts=counts[s:e].astype(np.uint32).tobytes(),
+                     docs=least[s:e].tobytes(), **hashes(grams[s:e]))
+            rest = np.sort(by_gram[np.repeat(~common, df)])
+            g, doc = g[rest], doc[rest]
+        bucket = _bucket(g, n_buckets)
+        order = np.argsort(bucket * max(len(keys), 1) + doc, kind="stable")
         g, doc, bucket = g[order], doc[order], bucket[order]
-        cut = np.searchsorted(bucket, np.arange(n_buckets + 1))
-        low = K.mix64(g)              # bits independent of those that chose the bucket
-        rows = {"bucket": [], "first": [], "width": [], "steps": [], "counts": [], "low": [], "high": []}
-        for b in range(n_buckets):
-            s, e = cut[b], cut[b + 1]
-            if s == e:
-                continue
+        for b, s, e in cuts(bucket):
             head = np.flatnonzero(np.diff(doc[s:e], prepend=-1))
-            present = ids[doc[s:e][head]]
-            steps = np.diff(present, prepend=present[0])
-            kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if int(steps.max()) <= np.iinfo(t).max)
-            rows["bucket"].append(b)
-            rows["first"].append(int(present[0]))
-            rows["width"].append(np.dtype(kind).itemsize)
-            rows["steps"].append(steps.astype(kind).tobytes())
-            rows["counts"].append(np.diff(np.append(head, e - s)).astype(np.uint32).tobytes())
-            rows["low"].append(low[s:e].astype(np.uint32).tobytes())
-            rows["high"].append((low[s:e] >> U64(48)).astype(np.uint16).tobytes())
+            send(bucket=b, kind=PLAIN, docs=keys[doc[s:e][head]].tobytes(),
+                 counts=np.diff(np.append(head, e - s)).astype(np.uint32).tobytes(), **hashes(g[s:e]))
         return pa.RecordBatch.from_pydict(rows, schema=PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for b in batches:
-            ids_all = b.column("doc_id").to_numpy(zero_copy_only=False)
             valid_all = b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             for i, j, g, ptr in K.shingle_sets(b.column("text"), n):
-                ids, valid = ids_all[i:j], valid_all[i:j]
-                key = K.segment_sum(g, ptr) ^ K.mix64(np.diff(ptr).astype(U64))
-                by = np.lexsort((np.where(valid, ids, 0), key, ~valid))
-                k = key[by]
-                first = np.ones(len(by), bool)
-                first[1:] = k[1:] != k[:-1]
-                keep = np.sort(by[first & valid[by] & (np.diff(ptr)[by] > 0)])
+                keys = K.segment_sum(g, ptr).view(np.int64)
+                keep = np.flatnonzero(valid_all[i:j] & (np.diff(ptr) > 0))
+                keep = keep[np.sort(np.unique(keys[keep], return_index=True)[1])]
                 if not len(keep):
                     continue
-                take = np.concatenate([np.arange(ptr[d], ptr[d + 1]) for d in keep])
-                parts.append((ids[keep].astype(np.int64), g[take],
-                              np.concatenate([[0], np.cumsum(np.diff(ptr)[keep])])))
+                sizes = np.diff(ptr)[keep]
+                to = np.concatenate([[0], np.cumsum(sizes)])
+                take = np.repeat(ptr[keep], sizes) + np.arange(to[-1]) - np.repeat(to[:-1], sizes)
+                parts.append((keys[keep], g[take], to))
                 held += len(take)
                 if held >= GRAMS_PER_FLUSH:
                     yield flush(parts)
                     parts, held = [], 0
+                    K.trim()
         if parts:
             yield flush(parts)
     return run
 
 
-PACKED = pa.schema([("bucket", pa.int32()), ("first", pa.int64()), ("width", pa.int32()), ("steps", pa.binary()),
-                    ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary())])
-PACKED_DDL = "bucket int, first long, width int, steps binary, counts binary, low binary, high binary"
-SHARED = pa.schema([("grp", pa.int32()), ("rep_id", pa.int64()), ("rep_n", pa.int64()), ("docs", pa.binary()),
-                    ("toks", pa.binary()), ("hubs", pa.binary())])
-SHARED_DDL = "grp int, rep_id long, rep_n long, docs binary, toks binary, hubs binary"
+def _bucket(g: np.ndarray, n_buckets: int) -> np.ndarray:
+    return (((g >> U64(32)) * U64(n_buckets)) >> U64(32)).astype(np.int64)
+
+
+PLAIN, SUMS, MEMBERS = 0, 1, 2   # grams of sets; counts of a pack's common grams; the sets that have them
+PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("pack", pa.int64()), ("docs", pa.binary()),
+                    ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("grams", pa.binary())])
+PACKED_DDL = "bucket int, kind byte, pack long, docs binary, counts binary, low binary, high binary, grams binary"
+SHARED = pa.schema([("grp", pa.int32()), ("kind", pa.int8()), ("pack", pa.int64()), ("rep_id", pa.int64()), ("rep_n", pa.int64()),
+                    ("docs", pa.binary()), ("toks", pa.binary()), ("hubs", pa.binary()), ("grams", pa.binary())])
+SHARED_DDL = ("grp int, kind byte, pack long, rep_id long, rep_n long, docs binary, toks binary, hubs binary, "
+              "grams binary")
+
+
+def _shared_rows(rows: dict, doc: np.ndarray, tok: np.ndarray, hub: np.ndarray, n_groups: int) -> None:
+    """(set, gram number, hub) entries as one row for each group of sets."""
+    group = _group_of(doc, n_groups)
+    order = np.argsort(group, kind="stable")
+    for key, s, e in cuts(group[order]):
+        o = order[s:e]
+        for c in SHARED.names:
+            rows[c].append({"grp": key, "kind": PLAIN, "docs": doc[o].tobytes(), "toks": tok[o].tobytes(), "hubs": hub[o].tobytes()}.get(c))
 
 
 def _group_of(ids: np.ndarray, n_groups: int) -> np.ndarray:
@@ -143,40 +174,66 @@ def _group_of(ids: np.ndarray, n_groups: int) -> np.ndarray:
 
 
 def _number_grams(n_groups: int):
-    """One bucket: document frequency, global number and hub of each shared gram, sent to the documents' groups."""
+    """One bucket: document frequency, global number and hub of each shared gram, sent to the groups of the sets."""
     def run(key, table):
         bucket = key[0].as_py()
-        doc, gram = [], []
-        for first, width, steps, counts, low, high in zip(*(table.column(c).to_pylist() for c in (
-                "first", "width", "steps", "counts", "low", "high")), strict=True):
-            ids = np.cumsum(np.frombuffer(steps, f"<u{width}").astype(np.int64)) + first
-            doc.append(np.repeat(ids, np.frombuffer(counts, np.uint32)))
-            gram.append(np.frombuffer(low, np.uint32).astype(U64) | (np.frombuffer(high, np.uint16).astype(U64) << U64(32)))
-        doc, gram = np.concatenate(doc), np.concatenate(gram)
+        rows = {c: [] for c in SHARED.names}
+
+        def of(kind):
+            part = table.filter(pc.equal(table.column("kind"), kind))
+            return part, lambda name, t: K.joined(part.column(name), t)
+
+        def grams_of(join):
+            return join("low", np.uint32).astype(U64) | (join("high", np.uint16).astype(U64) << U64(32))
+        part, _ = of(MEMBERS)                                  # passing through
+        for pack, docs, grams in zip(*(part.column(c).to_pylist() for c in ("pack", "docs", "grams")), strict=True):
+            for c in SHARED.names:
+                rows[c].append({"kind": MEMBERS, "pack": pack, "docs": docs, "grams": grams}.get(c))
+        _, join = of(PLAIN)
+        doc, gram = np.repeat(join("docs", np.int64), join("counts", np.uint32)), grams_of(join)
+        sums, join = of(SUMS)
+        # a common gram of a pack is one entry that counts for all its sets
+        gram = np.concatenate([gram, grams_of(join)])
+        count = np.concatenate([np.ones(len(doc), np.int64), join("counts", np.uint32).astype(np.int64)])
+        n_plain, doc = len(doc), np.concatenate([doc, join("docs", np.int64)])
         order = np.argsort(gram, kind="stable")
-        doc, gram = doc[order], gram[order]
-        head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-        df = np.diff(np.append(head, len(gram)))
-        hub = np.minimum.reduceat(doc, head)
+        g = gram[order]
+        head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
+        entries = np.diff(np.append(head, len(g)))
+        df = np.add.reduceat(count[order], head) if len(g) else entries
+        hub = np.minimum.reduceat(doc[order], head) if len(g) else doc
         # rare first: the class of a gram is the bit length of its frequency
         rank = np.empty(len(head), np.int64)
         rank[np.argsort(df, kind="stable")] = np.arange(len(head))
         number = (np.floor(np.log2(df)).astype(np.int64) << 56) | (np.int64(bucket) << 28) | rank
-        which = np.repeat(np.arange(len(head)), df)
-        shared = df[which] > 1
-        doc, which = doc[shared], which[shared]
-        group = _group_of(doc, n_groups)
-        order = np.argsort(group, kind="stable")
-        doc, which, group = doc[order], which[order], group[order]
-        cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, int)
+        which = np.empty(len(g), np.int64)
+        which[order] = np.repeat(np.arange(len(head)), entries)
+        shared = np.flatnonzero(df[which[:n_plain]] > 1)
+        _shared_rows(rows, doc[shared], number[which[shared]], hub[which[shared]], n_groups)
+        at = n_plain
+        for pack, grams in zip(*(sums.column(c).to_pylist() for c in ("pack", "grams")), strict=True):
+            w = which[at:at + len(grams) // 8]
+            at += len(w)
+            for c in SHARED.names:
+                rows[c].append({"kind": SUMS, "pack": pack, "grams": grams, "toks": number[w].tobytes(), "hubs": hub[w].tobytes()}.get(c))
+        K.trim()
+        return pa.Table.from_pydict(rows, schema=SHARED)
+    return run
+
+
+def _common_grams(n_groups: int):
+    """One pack: the numbers of its common grams, handed to the sets that have them."""
+    def run(table):
         rows = {c: [] for c in SHARED.names}
-        for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(group)], strict=True) if len(cut) else ():
-            rows["grp"].append(int(group[s]))
-            rows["rep_id"].append(None)
-            rows["rep_n"].append(None)
-            rows["docs"].append(doc[s:e].tobytes())
-            rows["toks"].append(number[which[s:e]].tobytes())
-            rows["hubs"].append(hub[which[s:e]].tobytes())
+        kind = table.column("kind").to_pylist()
+        grams, toks, hubs = (np.concatenate([np.frombuffer(x, t) for x, k in zip(table.column(c).to_pylist(), kind, strict=True) if k == SUMS]
+                                            + [np.zeros(0, t)]) for c, t in (("grams", U64), ("toks", np.int64), ("hubs", np.int64)))
+        order = np.argsort(grams, kind="stable")
+        grams, toks, hubs = grams[order], toks[order], hubs[order]
+        for docs, own, k in zip(table.column("docs").to_pylist(), table.column("grams").to_pylist(), kind, strict=True):
+            if k == MEMBERS:
+                at = np.searchsorted(grams, np.frombuffer(own, U64))
+                _shared_rows(rows, np.frombuffer(docs, np.int64), toks[at], hubs[at], n_groups)
         return pa.Table.from_pydict(rows, schema=SHARED)
     return run
 
@@ -193,10 +250,9 @@ def _needed(n: int, percent: int) -> int:
 def _prefixes(percent: int):
     """One group of documents: their shared grams in global order, and the hubs of their prefixes."""
     def run(table):
-        rep_id = table.column("rep_id").to_numpy()
         is_rep = table.column("rep_id").is_valid().to_numpy()
-        size = dict(zip(rep_id[is_rep].astype(np.int64).tolist(),
-                        table.column("rep_n").to_numpy()[is_rep].astype(np.int64).tolist(), strict=True))
+        reps = table.filter(pa.array(is_rep))                  # no nulls: the keys stay 64-bit integers
+        size = dict(zip(reps.column("rep_id").to_pylist(), reps.column("rep_n").to_pylist(), strict=True))
         packed = table.filter(pa.array(~is_rep))
         rows = {c: [] for c in CAND.names}
         if packed.num_rows and size:
@@ -204,6 +260,9 @@ def _prefixes(percent: int):
                              for c in ("docs", "toks", "hubs"))
             order = np.lexsort((tok, doc))
             doc, tok, hub = doc[order], tok[order], hub[order]
+            once = np.ones(len(doc), bool)                    # a set that several packs hold comes from each
+            once[1:] = (doc[1:] != doc[:-1]) | (tok[1:] != tok[:-1])
+            doc, tok, hub = doc[once], tok[once], hub[once]
             cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
             for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(doc)], strict=True):
                 n = size.get(int(doc[s]))
@@ -381,34 +440,37 @@ def _by_chunk(assigned: DataFrame, cand: DataFrame) -> DataFrame:
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                     percent: int = 80) -> DataFrame:
     """Class of every row: (doc_id, n_shingles, component_id); see the module text for all cases."""
-    spark = docs.sparkSession
     docs = rename_clear(docs, {"doc_id": id_col, "text": text_col}).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scratch = Scratch(spark, "jaccard")
+    scratch = Scratch(docs.sparkSession, "jaccard")
     sig = scratch.store(signatures(docs, n), "signatures")
-    reps = sig.filter((F.col("n_grams") > 0) & F.col("doc_id").isNotNull()).groupBy("n_grams", "k1", "k2").agg(
-        F.min("doc_id").alias("rep"))
-    links = link_representatives(scratch, docs, reps, n, percent, int(sig.agg(F.sum("n_grams")).first()[0] or 0))
+    sets = sig.filter((F.col("n_grams") > 0) & F.col("doc_id").isNotNull()).groupBy("k1").agg(
+        F.max("n_grams").alias("n_grams"), F.min("doc_id").alias("least"))
+    links = link_sets(scratch, docs, sets, n, percent, int(sig.agg(F.sum("n_grams")).first()[0] or 0))
     comp = scratch.store(components(scratch, links), "components")
-    named = scratch.store(reps.join(comp, F.col("rep") == F.col("id"), "left")
-                          .select("n_grams", "k1", "k2", F.coalesce("component", "rep").alias("component_id")), "classes")
-    out = sig.join(named, ["n_grams", "k1", "k2"], "left")
+    named = scratch.store(sets.join(comp, F.col("k1") == F.col("id"), "left").select(
+        "k1", "least", F.coalesce("component", "k1").alias("class")), "classes")
+    label = named.groupBy("class").agg(F.min("least").alias("component_id"))
+    labelled = named.join(label, "class").select("k1", "component_id")
+    out = sig.withColumn("k1", F.when(F.col("n_grams") > 0, F.col("k1"))).join(labelled, "k1", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n_grams").alias("n_shingles"), own.alias("component_id"))
 
 
-def link_representatives(scratch: Scratch, docs: DataFrame, reps: DataFrame, n: int, percent: int, total: int) -> DataFrame:
-    """Links (u, v) between representatives that span every class of similar sets."""
+def link_sets(scratch: Scratch, docs: DataFrame, sets: DataFrame, n: int, percent: int, total: int) -> DataFrame:
+    """Links (u, v) between the keys of distinct sets that span every class of similar sets."""
     n_buckets = max(1, math.ceil(total / GRAMS_PER_BUCKET) * 2)
     grams = docs.mapInArrow(_pack_grams(n, n_buckets), PACKED_DDL)
-    shared = grams.groupBy("bucket").applyInArrow(_number_grams(n_buckets), SHARED_DDL)
-    spark = docs.sparkSession
-    # the same grouping of ids as numpy's _group_of, so that sizes meet the packed grams
-    sizes = reps.select(F.col("rep").alias("rep_id"), F.col("n_grams").alias("rep_n")).mapInArrow(
-        _tag_group(n_buckets), SHARED_DDL)
-    cand = scratch.store(shared.unionByName(sizes).groupBy("grp").applyInArrow(_prefixes(percent), CAND_DDL), "candidates")
+    shared = scratch.store(grams.groupBy("bucket").applyInArrow(_number_grams(n_buckets), SHARED_DDL), "shared")
+    common = shared.filter(F.col("kind") != PLAIN).groupBy("pack").applyInArrow(_common_grams(n_buckets), SHARED_DDL)
+    # the same grouping of keys as numpy's _group_of, so that sizes meet the packed grams
+    sizes = sets.select(F.col("k1").alias("rep_id"), F.col("n_grams").alias("rep_n")).mapInArrow(_tag_group(n_buckets), SHARED_DDL)
+    cand = scratch.store(shared.filter(F.col("kind") == PLAIN).unionByName(common).unionByName(sizes)
+                         .groupBy("grp").applyInArrow(_prefixes(percent), CAND_DDL), "candidates")
+    scratch.free(shared)
     at = cand.select(F.explode("hubs").alias("hub"), "doc_id")
-    hubs = at.groupBy("hub").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("pivot")).filter("c > 1").select(
-        "hub", "pivot", F.ceil(F.col("c") / CHUNK).alias("n_chunks"))
+    # stored, so that the join below has two plain sides and splits a hub that is hot
+    hubs = scratch.store(at.groupBy("hub").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("pivot")).filter("c > 1").select(
+        "hub", "pivot", F.ceil(F.col("c") / CHUNK).alias("n_chunks")), "hubs")
     placed = at.join(hubs, "hub").select(
         "hub", "doc_id", "pivot", "n_chunks", F.pmod(F.xxhash64("doc_id"), F.col("n_chunks")).alias("chunk"))
     everywhere = F.when(F.col("doc_id") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)).otherwise(
@@ -433,8 +495,8 @@ def _tag_group(n_groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("rep_id").to_numpy(zero_copy_only=False)
-            none = pa.nulls(b.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_group_of(ids, n_groups).astype(np.int32)), b.column("rep_id"), b.column("rep_n"), none, none, none],
+            columns = {"grp": pa.array(_group_of(ids, n_groups).astype(np.int32)), "kind": pa.array(np.zeros(b.num_rows, np.int8)),
+                       "rep_id": b.column("rep_id"), "rep_n": b.column("rep_n")}
+            yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(b.num_rows, f.type)) for f in SHARED],
                 schema=SHARED)
     return run

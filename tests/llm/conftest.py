@@ -35,6 +35,8 @@ EDGE_ROWS = [
     (None, None),
     (8, LONG),
     (9, LONG + "end"),
+    (2 ** 60 + 1, "ids beyond the integers that doubles hold"),
+    (2 ** 60 + 3, "ids beyond the integers that doubles hold, and a neighbour of one"),
     (10, "naïve café — 東京 🙂 déjà vu naïve café — 東京 🙂 déjà vu and some more words to pass fifty bytes"),
     (11, "x naïve café — 東京 🙂 déjà vu naïve café — 東京 🙂 déjà vu and some more words to pass fifty bytes"),
 ]

@@ -88,3 +88,14 @@ def test_components_of_paths_and_stars(spark):
     got = {r.id: r.component for r in components(Scratch(spark, "t"), spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}, 200: 200, 201: 200}
     assert components(Scratch(spark, "t"), spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@pytest.mark.parametrize("hot", [2, 5])
+def test_common_grams_of_packs(spark, documents, monkeypatch, hot):
+    """The same classes when grams count as common in a pack, over several packs and repeated rows."""
+    monkeypatch.setattr(J, "HOT_SETS", hot)
+    monkeypatch.setattr(J, "GRAMS_PER_FLUSH", 300)
+    rows = [(r.doc_id, r.text) for r in documents.collect()][:120] + [(500 + i, t) for i, t in near_copies(40)]
+    rows += rows[::7] + [(rows[3][0], "the same id with another text " * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted(map(tuple, J.similar_classes(df).collect())) == sorted(brute.classes(rows))
