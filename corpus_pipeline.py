@@ -9,6 +9,12 @@ kept, and all but the last return the columns of ``documents``:
 4. mixing: sources are mixed to 150 % of all words by the weights 3, 1, 2; whole epochs repeat a
    document, and the document at a source's cut keeps the words that are left of the budget.
 5. byte-level BPE: token ids of each text, and the digest of the bytes they decode to.
+
+Rows: null and empty texts score as any other text (by the bias), are similar to nothing, lose nothing, hold
+no words, so the mix doesn't take them, and would have no tokens. Of repeated rows one stays at stage 2; rows
+without an id are in no class and stay, match nothing at stage 3, and share what their places take at stage 4.
+Null languages, sources and lengths pass through; a null source is a source. Extra columns end at stage 3. An
+empty table goes through all stages.
 """
 
 from __future__ import annotations

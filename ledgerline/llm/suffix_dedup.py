@@ -58,8 +58,8 @@ FLUSH_BYTES = 6 << 20           # text bytes a map task packs before it sends th
 SLAB_BYTES = 1 << 18             # text bytes hashed at once
 WINDOWS_AT_ONCE = 200_000        # windows that one later pass sorts together
 RUNS_AT_ONCE = 10_000            # hot runs that are taken apart together
-HOT_RUNS = 64                    # different runs of a gram in one pack that make it hot
-HOT_IN_BUCKET = 5_000            # the same in a bucket
+HOT_RUNS = 256                   # different runs of a gram in one pack that make it hot
+HOT_IN_BUCKET = 20_000           # the same in a bucket
 PLACE_BITS = U64(28)
 
 
