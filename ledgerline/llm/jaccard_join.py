@@ -5,12 +5,12 @@ word n-grams. Method:
 
 1. *Signatures*: one row per document with its set size and the key of the set, a 64-bit sum of its
    grams' hashes. Documents with equal sets are one vertex, the key, from here on.
-2. *Global order*: the grams of distinct sets travel packed (numpy arrays per hash bucket, 6 bytes a gram). A
-   bucket counts in how many sets each gram occurs and numbers the shared ones: rare grams first,
+2. *Global order*: the grams of distinct sets travel packed (numpy arrays per pack and hash bucket, 6 bytes a gram
+   and the set's number in its pack). A bucket counts in how many sets each gram occurs and numbers the shared ones: rare grams first,
    ties by bucket and hash. Grams of a single set can't be in any intersection; they are
-   only counted. Each shared gram also carries its *hub*, the smallest key that has it. A gram that
+   only counted. Each shared gram also carries its *hub*, the smallest set that has it by a hash. A gram that
    many sets of a pack share (a line that a third of all documents have) is one entry with a count there;
-   its number comes back to the pack, which hands it to its sets.
+   numbers come back to the packs, which hand them to their sets.
 3. *Prefixes*: with overlap at least ``percent`` of its size, a partner shares one of the first
    ``size - ceil(percent * size) + 1`` grams of a document in the global order, whose head are the
    unshared ones. A document with too few shared grams is dropped here: it has no partner.
@@ -38,7 +38,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,8 +75,9 @@ def signatures(docs: DataFrame, n: int = 5) -> DataFrame:
 def _pack_grams(n: int, n_buckets: int):
     """Grams of the distinct sets of a batch, packed by bucket: sets as steps, counts, 48-bit hashes.
 
-    A gram that many sets of the pack share goes to its bucket once, with its count; which sets have
-    it stays with the pack, in a row that only passes through.
+    Sets have numbers inside their pack, as few bits as these need travel with the grams; the keys stay with
+    the pack, in a row that only passes through. So does which sets have a gram that many of the pack
+    share: such a gram goes to its bucket once, with its count.
     """
     def flush(parts):
         keys, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
@@ -96,18 +96,18 @@ def _pack_grams(n: int, n_buckets: int):
         def hashes(x):
             low = K.mix64(x)              # bits independent of those that chose the bucket
             return {"low": low.astype(np.uint32).tobytes(), "high": (low >> U64(48)).astype(np.uint16).tobytes()}
+        number = int(K.mix64(np.array([K.segment_sum(keys.view(U64), np.array([0, len(keys)]))[0]], U64)).view(np.int64)[0])
+        send(bucket=number % n_buckets, kind=KEYS, pack=number, docs=keys.tobytes())
         by_gram = np.argsort(g, kind="stable")
         head = np.flatnonzero(np.concatenate([[True], np.diff(g[by_gram]) != 0]))
         df = np.diff(np.append(head, len(g)))
         common = df >= HOT_SETS
         if common.any():
             own = by_gram[np.repeat(common, df)]
-            number = int(K.mix64(np.array([K.segment_sum(keys.view(U64), np.array([0, len(keys)]))[0]], U64)).view(np.int64)[0])
-            send(bucket=number % n_buckets, kind=MEMBERS, pack=number, docs=keys[doc[own]].tobytes(), grams=g[own].tobytes())
+            send(bucket=number % n_buckets, kind=MEMBERS, pack=number, docs=doc[own].astype(np.uint32).tobytes(), grams=g[own].tobytes())
             grams, counts = g[by_gram[head[common]]], df[common]
-            least = np.minimum.reduceat(keys[doc[own]], np.cumsum(counts) - counts)
-            bucket = _bucket(grams, n_buckets)
-            for key, s, e in cuts(bucket):                     # grams ascend, so do buckets
+            least = np.minimum.reduceat(_names(number, doc[own]), np.cumsum(counts) - counts)
+            for key, s, e in cuts(_bucket(grams, n_buckets)):      # grams ascend, so do buckets
                 send(bucket=key, kind=SUMS, pack=number, grams=grams[s:e].tobytes(), counts=counts[s:e].astype(np.uint32).tobytes(),
                      docs=least[s:e].tobytes(), **hashes(grams[s:e]))
             rest = np.sort(by_gram[np.repeat(~common, df)])
@@ -117,8 +117,8 @@ def _pack_grams(n: int, n_buckets: int):
         g, doc, bucket = g[order], doc[order], bucket[order]
         for b, s, e in cuts(bucket):
             head = np.flatnonzero(np.diff(doc[s:e], prepend=-1))
-            send(bucket=b, kind=PLAIN, docs=keys[doc[s:e][head]].tobytes(),
-                 counts=np.diff(np.append(head, e - s)).astype(np.uint32).tobytes(), **hashes(g[s:e]))
+            send(bucket=b, kind=PLAIN, pack=number, docs=_small(np.diff(doc[s:e][head], prepend=0)),
+                 counts=_small(np.diff(np.append(head, e - s))), **hashes(g[s:e]))
         return pa.RecordBatch.from_pydict(rows, schema=PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +149,22 @@ def _bucket(g: np.ndarray, n_buckets: int) -> np.ndarray:
     return (((g >> U64(32)) * U64(n_buckets)) >> U64(32)).astype(np.int64)
 
 
-PLAIN, SUMS, MEMBERS = 0, 1, 2   # grams of sets; counts of a pack's common grams; the sets that have them
+def _small(x: np.ndarray) -> bytes:
+    """Non-negative integers in as few bytes each as the largest needs; the first byte tells how many."""
+    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if int(x.max(initial=0)) <= np.iinfo(t).max)
+    return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
+
+
+def _unsmall(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
+def _names(pack: int, local: np.ndarray) -> np.ndarray:
+    """A hash for each set of a pack, to find the smallest set of a gram by."""
+    return K.mix64(local.astype(U64) + K.mix64(np.array([pack], np.int64).view(U64))).view(np.int64)
+
+
+PLAIN, SUMS, MEMBERS, KEYS = 0, 1, 2, 3      # grams of sets; counts of a pack's common grams; the sets that have them; the sets
 PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("pack", pa.int64()), ("docs", pa.binary()),
                     ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("grams", pa.binary())])
 PACKED_DDL = "bucket int, kind byte, pack long, docs binary, counts binary, low binary, high binary, grams binary"
@@ -173,67 +188,72 @@ def _group_of(ids: np.ndarray, n_groups: int) -> np.ndarray:
     return (K.mix64(ids.astype(np.int64).view(U64) + U64(99)) % U64(n_groups)).astype(np.int64)
 
 
-def _number_grams(n_groups: int):
-    """One bucket: document frequency, global number and hub of each shared gram, sent to the groups of the sets."""
-    def run(key, table):
-        bucket = key[0].as_py()
-        rows = {c: [] for c in SHARED.names}
+def _number_grams(key, table):
+    """One bucket: document frequency, global number and hub of each shared gram, sent back to the packs."""
+    bucket = key[0].as_py()
+    rows = {c: [] for c in SHARED.names}
 
-        def of(kind):
-            part = table.filter(pc.equal(table.column("kind"), kind))
-            return part, lambda name, t: K.joined(part.column(name), t)
-
-        def grams_of(join):
-            return join("low", np.uint32).astype(U64) | (join("high", np.uint16).astype(U64) << U64(32))
-        part, _ = of(MEMBERS)                                  # passing through
-        for pack, docs, grams in zip(*(part.column(c).to_pylist() for c in ("pack", "docs", "grams")), strict=True):
-            for c in SHARED.names:
-                rows[c].append({"kind": MEMBERS, "pack": pack, "docs": docs, "grams": grams}.get(c))
-        _, join = of(PLAIN)
-        doc, gram = np.repeat(join("docs", np.int64), join("counts", np.uint32)), grams_of(join)
-        sums, join = of(SUMS)
-        # a common gram of a pack is one entry that counts for all its sets
-        gram = np.concatenate([gram, grams_of(join)])
-        count = np.concatenate([np.ones(len(doc), np.int64), join("counts", np.uint32).astype(np.int64)])
-        n_plain, doc = len(doc), np.concatenate([doc, join("docs", np.int64)])
+    def send(**values):
+        for c in SHARED.names:
+            rows[c].append(values.get(c))
+    kinds = table.column("kind").to_pylist()
+    packs, docs, counts, lows, highs, grams = (table.column(c).to_pylist() for c in ("pack", "docs", "counts", "low", "high", "grams"))
+    entries = []                                               # (row, local sets or None, grams, how many sets, smallest set)
+    for r, kind in enumerate(kinds):
+        if kind in (MEMBERS, KEYS):                            # passing through
+            send(kind=kind, pack=packs[r], docs=docs[r], grams=grams[r])
+            continue
+        gram = np.frombuffer(lows[r], np.uint32).astype(U64) | (np.frombuffer(highs[r], np.uint16).astype(U64) << U64(32))
+        if kind == PLAIN:
+            local = np.repeat(np.cumsum(_unsmall(docs[r])), _unsmall(counts[r]))
+            entries.append((r, local, gram, np.ones(len(gram), np.int64), _names(packs[r], local)))
+        else:                                                  # a common gram of a pack counts for all its sets
+            entries.append((r, None, gram, np.frombuffer(counts[r], np.uint32).astype(np.int64), np.frombuffer(docs[r], np.int64)))
+    if entries:
+        gram, count, name = (np.concatenate([e[c] for e in entries]) for c in (2, 3, 4))
         order = np.argsort(gram, kind="stable")
         g = gram[order]
-        head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-        entries = np.diff(np.append(head, len(g)))
-        df = np.add.reduceat(count[order], head) if len(g) else entries
-        hub = np.minimum.reduceat(doc[order], head) if len(g) else doc
+        head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        df = np.add.reduceat(count[order], head)
+        hub = np.minimum.reduceat(name[order], head)
         # rare first: the class of a gram is the bit length of its frequency
         rank = np.empty(len(head), np.int64)
         rank[np.argsort(df, kind="stable")] = np.arange(len(head))
         number = (np.floor(np.log2(df)).astype(np.int64) << 56) | (np.int64(bucket) << 28) | rank
         which = np.empty(len(g), np.int64)
-        which[order] = np.repeat(np.arange(len(head)), entries)
-        shared = np.flatnonzero(df[which[:n_plain]] > 1)
-        _shared_rows(rows, doc[shared], number[which[shared]], hub[which[shared]], n_groups)
-        at = n_plain
-        for pack, grams in zip(*(sums.column(c).to_pylist() for c in ("pack", "grams")), strict=True):
-            w = which[at:at + len(grams) // 8]
-            at += len(w)
-            for c in SHARED.names:
-                rows[c].append({"kind": SUMS, "pack": pack, "grams": grams, "toks": number[w].tobytes(), "hubs": hub[w].tobytes()}.get(c))
-        K.trim()
-        return pa.Table.from_pydict(rows, schema=SHARED)
-    return run
+        which[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(g))))
+        at = 0
+        for r, local, gram, _, _ in entries:
+            w = which[at:at + len(gram)]
+            at += len(gram)
+            if local is None:
+                send(kind=SUMS, pack=packs[r], grams=grams[r], toks=number[w].tobytes(), hubs=hub[w].tobytes())
+                continue
+            shared = df[w] > 1
+            if shared.any():
+                w = w[shared]
+                send(kind=PLAIN, pack=packs[r], docs=local[shared].astype(np.uint32).tobytes(), toks=number[w].tobytes(), hubs=hub[w].tobytes())
+    K.trim()
+    return pa.Table.from_pydict(rows, schema=SHARED)
 
 
-def _common_grams(n_groups: int):
-    """One pack: the numbers of its common grams, handed to the sets that have them."""
+def _to_sets(n_groups: int):
+    """One pack: the numbers of its shared grams, under the keys of their sets."""
     def run(table):
         rows = {c: [] for c in SHARED.names}
-        kind = table.column("kind").to_pylist()
-        grams, toks, hubs = (np.concatenate([np.frombuffer(x, t) for x, k in zip(table.column(c).to_pylist(), kind, strict=True) if k == SUMS]
-                                            + [np.zeros(0, t)]) for c, t in (("grams", U64), ("toks", np.int64), ("hubs", np.int64)))
+        kinds = table.column("kind").to_pylist()
+        by = {c: table.column(c).to_pylist() for c in ("docs", "toks", "hubs", "grams")}
+
+        def all_of(column, kind, t):
+            return np.concatenate([np.frombuffer(x, t) for x, k in zip(by[column], kinds, strict=True) if k == kind] + [np.zeros(0, t)])
+        keys = np.frombuffer(by["docs"][kinds.index(KEYS)], np.int64)
+        grams, toks, hubs = all_of("grams", SUMS, U64), all_of("toks", SUMS, np.int64), all_of("hubs", SUMS, np.int64)
         order = np.argsort(grams, kind="stable")
-        grams, toks, hubs = grams[order], toks[order], hubs[order]
-        for docs, own, k in zip(table.column("docs").to_pylist(), table.column("grams").to_pylist(), kind, strict=True):
-            if k == MEMBERS:
-                at = np.searchsorted(grams, np.frombuffer(own, U64))
-                _shared_rows(rows, np.frombuffer(docs, np.int64), toks[at], hubs[at], n_groups)
+        at = order[np.searchsorted(grams[order], all_of("grams", MEMBERS, U64))]
+        local = np.concatenate([all_of("docs", PLAIN, np.uint32), all_of("docs", MEMBERS, np.uint32)])
+        _shared_rows(rows, keys[local], np.concatenate([all_of("toks", PLAIN, np.int64), toks[at]]),
+                     np.concatenate([all_of("hubs", PLAIN, np.int64), hubs[at]]), n_groups)
+        K.trim()
         return pa.Table.from_pydict(rows, schema=SHARED)
     return run
 
@@ -460,13 +480,11 @@ def link_sets(scratch: Scratch, docs: DataFrame, sets: DataFrame, n: int, percen
     """Links (u, v) between the keys of distinct sets that span every class of similar sets."""
     n_buckets = max(1, math.ceil(total / GRAMS_PER_BUCKET) * 2)
     grams = docs.mapInArrow(_pack_grams(n, n_buckets), PACKED_DDL)
-    shared = scratch.store(grams.groupBy("bucket").applyInArrow(_number_grams(n_buckets), SHARED_DDL), "shared")
-    common = shared.filter(F.col("kind") != PLAIN).groupBy("pack").applyInArrow(_common_grams(n_buckets), SHARED_DDL)
+    shared = grams.groupBy("bucket").applyInArrow(_number_grams, SHARED_DDL).groupBy("pack").applyInArrow(
+        _to_sets(n_buckets), SHARED_DDL)
     # the same grouping of keys as numpy's _group_of, so that sizes meet the packed grams
     sizes = sets.select(F.col("k1").alias("rep_id"), F.col("n_grams").alias("rep_n")).mapInArrow(_tag_group(n_buckets), SHARED_DDL)
-    cand = scratch.store(shared.filter(F.col("kind") == PLAIN).unionByName(common).unionByName(sizes)
-                         .groupBy("grp").applyInArrow(_prefixes(percent), CAND_DDL), "candidates")
-    scratch.free(shared)
+    cand = scratch.store(shared.unionByName(sizes).groupBy("grp").applyInArrow(_prefixes(percent), CAND_DDL), "candidates")
     at = cand.select(F.explode("hubs").alias("hub"), "doc_id")
     # stored, so that the join below has two plain sides and splits a hub that is hot
     hubs = scratch.store(at.groupBy("hub").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("pivot")).filter("c > 1").select(
