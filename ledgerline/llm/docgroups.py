@@ -87,6 +87,8 @@ def pack_texts(n_groups: int, carry: list[str] | None = None):
                     K.trim()
         if parts:
             yield flush(parts)
+        parts = b = None                 # an idle worker keeps nothing
+        K.trim()
     return run
 
 

@@ -154,6 +154,8 @@ def _pack(starts_sent):
                     K.trim()
         if parts:
             yield flush(parts)
+        parts = b = None                 # an idle worker keeps nothing
+        K.trim()
     return run
 
 

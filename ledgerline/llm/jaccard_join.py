@@ -142,6 +142,8 @@ def _pack_grams(n: int, n_buckets: int):
                     K.trim()
         if parts:
             yield flush(parts)
+        parts = b = None                 # an idle worker keeps nothing
+        K.trim()
     return run
 
 

@@ -190,12 +190,14 @@ def _entries(depth: int, n_buckets: int):
                 parts.append([docs[i:j][d][keep], gram, whole, first.astype(np.uint32), place.astype(np.uint8),
                               count.astype(np.uint8)])
                 held += int(off[-1])
-                if held >= FLUSH_BYTES:
+                if held >= FLUSH_BYTES * 2 // 3:
                     yield flush(parts)
                     parts, held = [], 0
                     K.trim()
         if parts:
             yield flush(parts)
+        parts = b = None                 # an idle worker keeps nothing
+        K.trim()
     return run
 
 
