@@ -39,19 +39,20 @@ def targets(scratch: Scratch, sizes: DataFrame, weights: list[float], share: flo
     per = scratch.store(place.select("source", "source_size", weight.alias("weight"),
                                      (F.col("source_size") * F.lit(float(most))).alias("cap"))
                         .withColumn("full_at", F.col("cap") / F.col("weight")), "weights")
-    totals = per.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weights")).select(
-        (F.col("words") * F.lit(float(share))).alias("total"), "weights")
+    words, weights_sum = per.agg(F.sum("source_size"), F.sum("weight")).first()
+    if words is None:
+        return per.select("source", "source_size", F.col("cap").alias("target"))
     # sources fill up in order of full_at; the level is the last one that leaves none above its cap
     ranges = range_sorted(scratch, per, ["full_at", "source"])
     swept = running_sums(running_sums(ranges, ["full_at", "source"], "cap", name="cap_before"),
                          ["full_at", "source"], "weight", name="weight_before")
-    level = swept.crossJoin(F.broadcast(totals)).withColumn(  # totals: one row
-        "level", (F.col("total") - F.col("cap_before")) / (F.col("weights") - F.col("weight_before")))
+    level = swept.withColumn("level", (F.lit(float(words) * float(share)) - F.col("cap_before"))
+                             / (F.lit(float(weights_sum)) - F.col("weight_before")))
     # the first source that stays open at its level sets it; of sources that fill up together, that is the highest level
     first = F.struct("full_at", (-F.col("level")).alias("level"))
-    best = level.filter(F.col("full_at") >= F.col("level")).agg(F.min_by("level", first).alias("level"))
-    target = F.least(F.col("cap"), F.coalesce(F.col("weight") * F.col("level"), F.col("cap")))
-    return per.crossJoin(F.broadcast(best)).select("source", "source_size", target.alias("target"))  # best: one row
+    best = level.filter(F.col("full_at") >= F.col("level")).agg(F.min_by("level", first)).first()[0]
+    target = F.col("cap") if best is None else F.least(F.col("cap"), F.col("weight") * F.lit(float(best)))
+    return per.select("source", "source_size", target.alias("target"))
 
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0,
