@@ -97,7 +97,7 @@ def _pack_grams(n: int, n_buckets: int):
             low = K.mix64(x)              # bits independent of those that chose the bucket
             return {"low": low.astype(np.uint32).tobytes(), "high": (low >> U64(48)).astype(np.uint16).tobytes()}
         number = int(K.mix64(np.array([K.segment_sum(keys.view(U64), np.array([0, len(keys)]))[0]], U64)).view(np.int64)[0])
-        send(bucket=number % n_buckets, kind=KEYS, pack=number, docs=keys.tobytes())
+        send(bucket=number % n_buckets, kind=KEYS, pack=number, docs=keys.tobytes(), counts=sizes.astype(np.uint32).tobytes())
         by_gram = np.argsort(g, kind="stable")
         head = np.flatnonzero(np.concatenate([[True], np.diff(g[by_gram]) != 0]))
         df = np.diff(np.append(head, len(g)))
@@ -162,32 +162,17 @@ def _unsmall(data: bytes) -> np.ndarray:
 
 
 def _names(pack: int, local: np.ndarray) -> np.ndarray:
-    """A hash for each set of a pack, to find the smallest set of a gram by."""
-    return K.mix64(local.astype(U64) + K.mix64(np.array([pack], np.int64).view(U64))).view(np.int64)
+    """A 32-bit hash for each set of a pack, to find the smallest set of a gram by (chance meetings only add members)."""
+    return K.mix64(local.astype(U64) + K.mix64(np.array([pack], np.int64).view(U64))).astype(np.uint32)
 
 
 PLAIN, SUMS, MEMBERS, KEYS = 0, 1, 2, 3      # grams of sets; counts of a pack's common grams; the sets that have them; the sets
 PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("pack", pa.int64()), ("docs", pa.binary()),
                     ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("grams", pa.binary())])
 PACKED_DDL = "bucket int, kind byte, pack long, docs binary, counts binary, low binary, high binary, grams binary"
-SHARED = pa.schema([("grp", pa.int32()), ("kind", pa.int8()), ("pack", pa.int64()), ("rep_id", pa.int64()), ("rep_n", pa.int64()),
-                    ("docs", pa.binary()), ("toks", pa.binary()), ("hubs", pa.binary()), ("grams", pa.binary())])
-SHARED_DDL = ("grp int, kind byte, pack long, rep_id long, rep_n long, docs binary, toks binary, hubs binary, "
-              "grams binary")
-
-
-def _shared_rows(rows: dict, doc: np.ndarray, tok: np.ndarray, hub: np.ndarray, n_groups: int) -> None:
-    """(set, gram number, hub) entries as one row for each group of sets."""
-    group = _group_of(doc, n_groups)
-    order = np.argsort(group, kind="stable")
-    for key, s, e in cuts(group[order]):
-        o = order[s:e]
-        for c in SHARED.names:
-            rows[c].append({"grp": key, "kind": PLAIN, "docs": doc[o].tobytes(), "toks": tok[o].tobytes(), "hubs": hub[o].tobytes()}.get(c))
-
-
-def _group_of(ids: np.ndarray, n_groups: int) -> np.ndarray:
-    return (K.mix64(ids.astype(np.int64).view(U64) + U64(99)) % U64(n_groups)).astype(np.int64)
+SHARED = pa.schema([("kind", pa.int8()), ("pack", pa.int64()), ("docs", pa.binary()), ("sizes", pa.binary()),
+                    ("toks", pa.binary()), ("hubs", pa.binary()), ("grams", pa.binary())])
+SHARED_DDL = "kind byte, pack long, docs binary, sizes binary, toks binary, hubs binary, grams binary"
 
 
 def _number_grams(key, table):
@@ -203,14 +188,14 @@ def _number_grams(key, table):
     entries = []                                               # (row, local sets or None, grams, how many sets, smallest set)
     for r, kind in enumerate(kinds):
         if kind in (MEMBERS, KEYS):                            # passing through
-            send(kind=kind, pack=packs[r], docs=docs[r], grams=grams[r])
+            send(kind=kind, pack=packs[r], docs=docs[r], grams=grams[r], sizes=counts[r])
             continue
         gram = np.frombuffer(lows[r], np.uint32).astype(U64) | (np.frombuffer(highs[r], np.uint16).astype(U64) << U64(32))
         if kind == PLAIN:
             local = np.repeat(np.cumsum(_unsmall(docs[r])), _unsmall(counts[r]))
             entries.append((r, local, gram, np.ones(len(gram), np.int64), _names(packs[r], local)))
         else:                                                  # a common gram of a pack counts for all its sets
-            entries.append((r, None, gram, np.frombuffer(counts[r], np.uint32).astype(np.int64), np.frombuffer(docs[r], np.int64)))
+            entries.append((r, None, gram, np.frombuffer(counts[r], np.uint32).astype(np.int64), np.frombuffer(docs[r], np.uint32)))
     if entries:
         gram, count, name = (np.concatenate([e[c] for e in entries]) for c in (2, 3, 4))
         order = np.argsort(gram, kind="stable")
@@ -239,27 +224,6 @@ def _number_grams(key, table):
     return pa.Table.from_pydict(rows, schema=SHARED)
 
 
-def _to_sets(n_groups: int):
-    """One pack: the numbers of its shared grams, under the keys of their sets."""
-    def run(table):
-        rows = {c: [] for c in SHARED.names}
-        kinds = table.column("kind").to_pylist()
-        by = {c: table.column(c).to_pylist() for c in ("docs", "toks", "hubs", "grams")}
-
-        def all_of(column, kind, t):
-            return np.concatenate([np.frombuffer(x, t) for x, k in zip(by[column], kinds, strict=True) if k == kind] + [np.zeros(0, t)])
-        keys = np.frombuffer(by["docs"][kinds.index(KEYS)], np.int64)
-        grams, toks, hubs = all_of("grams", SUMS, U64), all_of("toks", SUMS, np.int64), all_of("hubs", SUMS, np.int64)
-        order = np.argsort(grams, kind="stable")
-        at = order[np.searchsorted(grams[order], all_of("grams", MEMBERS, U64))]
-        local = np.concatenate([all_of("docs", PLAIN, np.uint32), all_of("docs", MEMBERS, np.uint32)])
-        _shared_rows(rows, keys[local], np.concatenate([all_of("toks", PLAIN, np.int64), toks[at]]),
-                     np.concatenate([all_of("hubs", PLAIN, np.int64), hubs[at]]), n_groups)
-        K.trim()
-        return pa.Table.from_pydict(rows, schema=SHARED)
-    return run
-
-
 CAND = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("toks", pa.binary()), ("hubs", pa.list_(pa.int64()))])
 CAND_DDL = "doc_id long, n long, toks binary, hubs array<long>"
 
@@ -270,31 +234,35 @@ def _needed(n: int, percent: int) -> int:
 
 
 def _prefixes(percent: int):
-    """One group of documents: their shared grams in global order, and the hubs of their prefixes."""
+    """One pack: the sets' shared grams in global order, and the hubs of their prefixes; sets with too few go."""
     def run(table):
-        is_rep = table.column("rep_id").is_valid().to_numpy()
-        reps = table.filter(pa.array(is_rep))                  # no nulls: the keys stay 64-bit integers
-        size = dict(zip(reps.column("rep_id").to_pylist(), reps.column("rep_n").to_pylist(), strict=True))
-        packed = table.filter(pa.array(~is_rep))
+        kinds = table.column("kind").to_pylist()
+        by = {c: table.column(c).to_pylist() for c in SHARED.names[2:]}
+
+        def all_of(column, kind, t):
+            return np.concatenate([np.frombuffer(x, t) for x, k in zip(by[column], kinds, strict=True) if k == kind] + [np.zeros(0, t)])
+        at = kinds.index(KEYS)                                # packs of equal sets are equal: any of their rows
+        keys, sizes = np.frombuffer(by["docs"][at], np.int64), np.frombuffer(by["sizes"][at], np.uint32).astype(np.int64)
+        grams, toks, hubs = all_of("grams", SUMS, U64), all_of("toks", SUMS, np.int64), all_of("hubs", SUMS, np.uint32)
+        order = np.argsort(grams, kind="stable")
+        own = order[np.searchsorted(grams[order], all_of("grams", MEMBERS, U64))]
+        doc = np.concatenate([all_of("docs", PLAIN, np.uint32), all_of("docs", MEMBERS, np.uint32)]).astype(np.int64)
+        tok = np.concatenate([all_of("toks", PLAIN, np.int64), toks[own]])
+        hub = np.concatenate([all_of("hubs", PLAIN, np.uint32), hubs[own]])
+        order = np.lexsort((tok, doc))
+        doc, tok, hub = doc[order], tok[order], hub[order]
+        once = np.ones(len(doc), bool)                        # equal packs send their grams again
+        once[1:] = (doc[1:] != doc[:-1]) | (tok[1:] != tok[:-1])
+        doc, tok, hub = doc[once], tok[once], hub[once]
         rows = {c: [] for c in CAND.names}
-        if packed.num_rows and size:
-            doc, tok, hub = (np.concatenate([np.frombuffer(x, np.int64) for x in packed.column(c).to_pylist()])
-                             for c in ("docs", "toks", "hubs"))
-            order = np.lexsort((tok, doc))
-            doc, tok, hub = doc[order], tok[order], hub[order]
-            once = np.ones(len(doc), bool)                    # a set that several packs hold comes from each
-            once[1:] = (doc[1:] != doc[:-1]) | (tok[1:] != tok[:-1])
-            doc, tok, hub = doc[once], tok[once], hub[once]
-            cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-            for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(doc)], strict=True):
-                n = size.get(int(doc[s]))
-                if n is None or e - s < _needed(n, percent):
-                    continue
-                prefix = n - _needed(n, percent) + 1 - (n - (e - s))
-                rows["doc_id"].append(int(doc[s]))
-                rows["n"].append(n)
-                rows["toks"].append(tok[s:e].tobytes())
-                rows["hubs"].append(np.unique(hub[s:s + prefix]).tolist())
+        for d, s, e in cuts(doc):
+            n = int(sizes[d])
+            if e - s < _needed(n, percent):
+                continue
+            prefix = n - _needed(n, percent) + 1 - (n - (e - s))
+            for c, x in zip(CAND.names, (int(keys[d]), n, tok[s:e].tobytes(), np.unique(hub[s:s + prefix]).astype(np.int64)), strict=True):
+                rows[c].append(x)
+        K.trim()
         return pa.Table.from_pydict(rows, schema=CAND)
     return run
 
@@ -467,7 +435,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = scratch.store(signatures(docs, n), "signatures")
     sets = sig.filter((F.col("n_grams") > 0) & F.col("doc_id").isNotNull()).groupBy("k1").agg(
         F.max("n_grams").alias("n_grams"), F.min("doc_id").alias("least"))
-    links = link_sets(scratch, docs, sets, n, percent, int(sig.agg(F.sum("n_grams")).first()[0] or 0))
+    links = link_sets(scratch, docs, n, percent, int(sig.agg(F.sum("n_grams")).first()[0] or 0))
     comp = scratch.store(components(scratch, links), "components")
     named = scratch.store(sets.join(comp, F.col("k1") == F.col("id"), "left").select(
         "k1", "least", F.coalesce("component", "k1").alias("class")), "classes")
@@ -478,15 +446,13 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.col("n_grams").alias("n_shingles"), own.alias("component_id"))
 
 
-def link_sets(scratch: Scratch, docs: DataFrame, sets: DataFrame, n: int, percent: int, total: int) -> DataFrame:
+def link_sets(scratch: Scratch, docs: DataFrame, n: int, percent: int, total: int) -> DataFrame:
     """Links (u, v) between the keys of distinct sets that span every class of similar sets."""
     n_buckets = max(1, math.ceil(total / GRAMS_PER_BUCKET) * 2)
     grams = docs.mapInArrow(_pack_grams(n, n_buckets), PACKED_DDL)
-    shared = grams.groupBy("bucket").applyInArrow(_number_grams, SHARED_DDL).groupBy("pack").applyInArrow(
-        _to_sets(n_buckets), SHARED_DDL)
-    # the same grouping of keys as numpy's _group_of, so that sizes meet the packed grams
-    sizes = sets.select(F.col("k1").alias("rep_id"), F.col("n_grams").alias("rep_n")).mapInArrow(_tag_group(n_buckets), SHARED_DDL)
-    cand = scratch.store(shared.unionByName(sizes).groupBy("grp").applyInArrow(_prefixes(percent), CAND_DDL), "candidates")
+    shared = grams.groupBy("bucket").applyInArrow(_number_grams, SHARED_DDL)
+    # a set that several packs hold is the same candidate in each
+    cand = scratch.store(shared.groupBy("pack").applyInArrow(_prefixes(percent), CAND_DDL).dropDuplicates(["doc_id"]), "candidates")
     at = cand.select(F.explode("hubs").alias("hub"), "doc_id")
     # stored, so that the join below has two plain sides and splits a hub that is hot
     hubs = scratch.store(at.groupBy("hub").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("pivot")).filter("c > 1").select(
@@ -509,14 +475,3 @@ def link_sets(scratch: Scratch, docs: DataFrame, sets: DataFrame, n: int, percen
         second = scratch.store(_by_chunk(index.unionByName(probes), cand).mapInArrow(_probe_chunks(percent), LINKS_DDL), "probes")
         out = out.unionByName(second.select("u", "v"))
     return out
-
-
-def _tag_group(n_groups: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column("rep_id").to_numpy(zero_copy_only=False)
-            columns = {"grp": pa.array(_group_of(ids, n_groups).astype(np.int32)), "kind": pa.array(np.zeros(b.num_rows, np.int8)),
-                       "rep_id": b.column("rep_id"), "rep_n": b.column("rep_n")}
-            yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(b.num_rows, f.type)) for f in SHARED],
-                schema=SHARED)
-    return run
