@@ -20,7 +20,7 @@ from ledgerline import schema as S
 from ledgerline.operators import dedup as D
 from ledgerline.operators import upsert as U
 from ledgerline.operators.rules import RuleSet, default_rules
-from ledgerline.operators.validate import duplicate_warning, validate
+from ledgerline.operators.validate import FAILURES, duplicate_warning, validate
 from ledgerline.plans import runs as R
 from ledgerline.plans.keyjoin import materialize, observed
 from ledgerline.plans.store import TargetStore
@@ -91,12 +91,16 @@ class ReconciliationJob:
                 stage = "validate"
                 order_by = self.order_by or ([ROW] if ROW in raw.columns else None)
                 v = validate(raw, self.rules, id_cols=[ROW] if ROW in raw.columns else (order_by or []))
-                totals = v.summary().first()
-                total, valid = int(totals["total_rows"]), int(totals["valid_rows"])
+                # the counts ride on the job of the first failures, which reads every row once
+                annotated, counts = v.annotated, Observation(f"validate_{pid}")
+                v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(F.size(FAILURES) == 0).alias("valid"))
+                rec["validation_errors"] = self._report_rows(v.failures_top(self.max_errors).collect())
+                v.annotated = annotated
+                m = observed(counts, total=0, valid=0)
+                total, valid = int(m["total"]), int(m["valid"])
                 rec["input_rows"] = total
                 rec["validation_passed"] = valid
                 rec["validation_failed"] = total - valid
-                rec["validation_errors"] = self._report_rows(v.failures_top(self.max_errors).collect())
                 rec["warnings"] = self._warnings(v, raw, expected_checksum)
                 if not order_by:
                     raise ValueError("an explicit row order is needed for keep-first dedup")
@@ -136,11 +140,9 @@ class ReconciliationJob:
         """Merge the batch into the parts of the target that its keys fall into, and publish them."""
         base = self.store.version()
         batch = U.normalize_load(deduped)
-        touched = self.store.parts_of(batch)
-        target = self.store.current(touched)
-        new_store = target is None
-        if new_store:
-            target = self.spark.createDataFrame([], S.TARGET_SCHEMA)
+        new_store = base == 0
+        touched = None if new_store else self.store.parts_of(batch)      # a new table has all its parts to write
+        target = self.spark.createDataFrame([], S.TARGET_SCHEMA) if new_store else self.store.current(touched)
         spec = self.rules.spec(self.store.key)
         # validation already leaves at most one valid row per key when it enforces a non-null unique key
         proven_unique = (spec is not None and spec.unique and not spec.nullable and self.rules.wants("unique")
