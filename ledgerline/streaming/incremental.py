@@ -58,10 +58,13 @@ def start_incremental_load(spark: SparkSession, input_dir: str, job: Reconciliat
                            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty() or _done(spark, job.runs_dir, f"stream_{epoch_id}"):
+        # the query's id lives in its checkpoint: another stream, or one begun anew, has records of its own
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        pipeline_id = f"stream_{stream_id}_{epoch_id}"
+        if batch.isEmpty() or (stream_id and _done(spark, job.runs_dir, pipeline_id)):
             return
         with scratch_owner(spark):
-            job.run(_with_row_order(batch), pipeline_id=f"stream_{epoch_id}")
+            job.run(_with_row_order(batch), pipeline_id=pipeline_id)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_once else writer

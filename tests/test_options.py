@@ -45,6 +45,16 @@ def test_replayed_micro_batch_leaves_same_table(spark, scratch):
     assert table.count() == 200 and table.select("id").distinct().count() == 200
     hist = R.run_history(spark, runs).collect()           # newest first
     assert [(r["rows_loaded"], r["rows_updated"]) for r in hist] == [(0, 200), (200, 0)]
+    assert len({r["pipeline_id"] for r in hist}) == 2 and "None" not in hist[0]["pipeline_id"]
+
+
+def test_a_batch_with_a_record_of_success_is_not_loaded_again(spark, scratch):
+    from ledgerline.streaming.incremental import _done
+    runs = scratch("runs")
+    assert not _done(spark, runs, "stream_a_0")
+    for pid, status in (("stream_a_0", "success"), ("stream_a_1", "failed")):
+        R.write_records(R.record_frame(spark, {"pipeline_id": pid, "status": status}), runs)
+    assert _done(spark, runs, "stream_a_0") and not _done(spark, runs, "stream_a_1") and not _done(spark, runs, "stream_b_0")
 
 
 def test_generator_shuffle_keeps_rows(spark):
