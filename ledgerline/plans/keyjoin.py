@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from ledgerline.session import broadcast_limit, scratch_path
 
 
+ROW_GROUP = 4 << 20      # small row groups: a table that one task wrote can be read by several
+
+
 def _width(field: T.StructField) -> Column:
     dt = field.dataType
     c = F.col(f"`{field.name}`")
@@ -52,7 +55,7 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
     obs = Observation(f"size_{path.rsplit('-', 1)[-1]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("n"),
                           F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0)).alias("b"))
-    observed.write.mode("errorifexists").parquet(path)
+    observed.write.mode("errorifexists").option("parquet.block.size", ROW_GROUP).parquet(path)
     m = obs.get
     return spark.read.schema(df.schema).parquet(path), int(m["n"]), int(m["b"])
 
