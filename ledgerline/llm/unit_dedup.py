@@ -4,8 +4,9 @@ A text is cut into units at line ends (and, for ``unit="sentence"``, after words
 ``.!?``). A unit is normalised by lowering A-Z and treating white space runs as one space; its digest
 is 96 bits over its words. Of equal units the earliest ranked occurrence, the smallest (doc_id,
 place in the text), stays; later ones go, if the run of neighbouring later units that they stand
-in has at least ``min_words`` words, so that short phrases which all texts share stay. Spans are
-byte offsets of the original text; a removed unit takes the white space behind it along.
+in has at least ``min_words`` words: with 1, as the registered query has it, every later unit goes;
+with more, short phrases which all texts share stay. Spans are byte offsets of the original text; a
+removed unit takes the white space behind it along.
 
 Digests travel packed to hash buckets. A map task settles all but the first of equal units among
 the texts it packs together, so a unit that a third of all documents share is one entry for each

@@ -40,3 +40,34 @@ def test_a_planted_passage_goes_and_short_phrases_stay(spark):
     assert bytes(got[3].kept).decode() == rows[2][1]
     with pytest.raises(Exception, match="sentence"):
         U.remove_repeated_units(spark.createDataFrame(rows, "doc_id long, text string"), unit="page").collect()
+
+
+@pytest.mark.parametrize("unit", ["sentence", "line"])
+def test_every_later_unit_goes_without_a_word_minimum(spark, documents, texts, unit):
+    got = {r.doc_id: (bytes(r.kept), [(s.start, s.end) for s in r.spans])
+           for r in U.remove_repeated_units(documents, unit=unit, min_words=1).collect()}
+    seen, expected = set(), {}
+    for i, t in sorted(texts.items()):
+        b, kept = (t or "").encode(), b""
+        us = brute.units(t, unit)
+        spans = []
+        for s, e, w in us:
+            if w in seen:
+                spans = [*spans[:-1], (spans[-1][0], e)] if spans and spans[-1][1] == s else [*spans, (s, e)]
+            seen.add(w)
+        last = 0
+        for s, e in spans:
+            kept, last = kept + b[last:s], e
+        expected[i] = (kept + b[last:], spans)
+    assert got == expected
+
+
+def test_the_query_keeps_no_short_repeated_line(spark, tmp_path):
+    rows = [(1, "Read our terms first.\nA text of its own stands here, for once.\nAll rights reserved"),
+            (2, "Another text, which nobody else has.\nall  rights reserved\nSee above. Yes."),
+            (3, "Read our terms first.\nIt says so. Yes. And one more sentence.\nAll rights reserved\nAll rights reserved")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op1_substring_dedup"](spark, str(tmp_path)).collect()}
+    kept = {1: rows[0][1], 2: "Another text, which nobody else has.\nSee above. Yes.", 3: "It says so. And one more sentence.\n"}
+    assert {i: r.kept_sha256 for i, r in got.items()} == {i: brute.sha(t.encode()) for i, t in kept.items()}
+    assert {i: (r.n_units, r.n_spans) for i, r in got.items()} == {1: (0, 0), 2: (1, 1), 3: (4, 3)}
