@@ -1,7 +1,8 @@
 """A forgiving reader of HTML: block elements as a tree, texts as segments, statistics as arrays.
 
-Only block elements become nodes; inline elements only count (links, tags). Scripts, styles, comments
-and other unread elements are skipped whole, paragraphs, list items and cells end where HTML ends
+Only block elements become nodes; inline elements only count (links, tags). Scripts, styles, comments,
+drawings and other unread elements are skipped whole, the text of formulas, objects and of what stands in for
+a video or canvas is read; paragraphs, list items and cells end where HTML ends
 them, unknown or unclosed tags never fail. A text belongs to its innermost block; a segment ends
 where a block starts or ends, or at a line break element.
 """
@@ -14,11 +15,21 @@ from html import unescape
 
 import numpy as np
 
-# elements whose content is never read
-SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title|math|object|canvas|video|audio)\b"
-                  r"[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-TOKEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|([^<]+)|<[!?/][^>]*>|(<)")
-ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+# attributes as HTML reads them: a quote opens a value only right after "=", an unquoted value ends at white space or ">"
+_WS = r"[ \t\n\f\r]"
+_NAME = r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"
+_VALUE = r"(?>\"[^\"]*\"|'[^']*'|[^ \t\n\f\r>]*)"
+_ATTRIBUTES = rf"(?>(?:(?:{_WS}|/)+|{_NAME}(?:{_WS}*={_WS}*{_VALUE})?)*)"
+_END = rf"(?={_WS}|[/>])"
+# elements whose content is never read; an <svg/> has none, and one that is never closed ends with its tag
+_COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+_UNREAD = (rf"<(?P<unread>script|style|noscript|template|iframe|textarea|select|title){_END}{_ATTRIBUTES}>"
+           rf".*?(?:</(?P=unread){_END}[^>]*>|\Z)")
+_DRAWING = rf"<svg{_END}{_ATTRIBUTES}(?:(?<=/)>|>(?:.*?</svg{_END}[^>]*>|(?P<rest>.*)\Z))"
+_READ = rf"<(?P<close>/?)(?P<name>[a-zA-Z][^ \t\n\f\r/>]*)(?P<attrs>{_ATTRIBUTES})>|(?P<text>[^<]+)|<[!?/][^>]*>|(?P<lone><)"
+TOKEN = re.compile(rf"(?P<skip>{_COMMENT}|{_UNREAD}|{_DRAWING})|{_READ}", re.S | re.I)
+REST = re.compile(rf"(?P<skip>{_COMMENT}|{_UNREAD}|<svg{_END}{_ATTRIBUTES}>)|{_READ}", re.S | re.I)
+ATTRIBUTE = re.compile(rf"({_NAME})(?:{_WS}*={_WS}*({_VALUE}))?")
 WORDS = re.compile(r"[A-Za-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
@@ -50,16 +61,30 @@ newsletter subscribe subscription pagination pager tags tag meta byline skip hid
 def _attributes(text: str) -> tuple[int, int, int]:
     """(good words, bad words, planted label or -1) of an attribute string."""
     good = bad = 0
-    label = -1
-    for name, a, b, c in ATTRIBUTE.findall(text):
-        value = a or b or c
-        if name.lower() == "data-y":
-            label = int(value)
-            continue
-        for w in WORDS.findall(CAMEL.sub(" ", value).lower()):
+    values = {}
+    for name, value in ATTRIBUTE.findall(text):
+        values.setdefault(name.lower(), value)               # the first of a name counts
+    for name in ("class", "id", "role"):
+        for w in WORDS.findall(CAMEL.sub(" ", values.get(name, "")).lower()):
             good += w in GOOD_WORDS
             bad += w in BAD_WORDS
-    return good, bad, label
+    return good, bad, {'"0"': 0, '"1"': 1}.get(values.get("data-y"), -1)
+
+
+def tokens(html: str) -> list[tuple[str, str, str, str]]:
+    """(close, name, attributes, text) of each tag or text; what is not read is a space."""
+    found = []
+    pattern = TOKEN
+    while html:
+        rest = ""
+        for m in pattern.finditer(html):
+            if m["skip"] is not None:
+                found.append(("", "", "", " "))
+                rest = m["rest"] if pattern is TOKEN else ""
+            else:
+                found.append((m["close"], m["name"], m["attrs"], m["text"] or m["lone"]))
+        html, pattern = rest, REST
+    return found
 
 
 class Page:
@@ -71,7 +96,7 @@ class Page:
         self.parent, self.kind, self.good, self.bad, self.label = [-1], [ROOT], [0], [0], [-1]
         self.tags, self.inputs = [0], [0]
         self.segments: list[tuple[int, str, int]] = []       # (node, text, characters in links)
-        self._read(SKIP.sub(" ", html) if "<" in html else html)
+        self._read(html)
 
     def _read(self, html: str) -> None:
         stack = [("html", 0)]
@@ -89,9 +114,8 @@ class Page:
                     segments.append((at, text, min(linked, len(text))))
                 pieces.clear()
                 linked = 0
-        for close, name, attrs, text, lone in TOKEN.findall(html):
-            if text or lone:
-                text = text or lone
+        for close, name, attrs, text in tokens(html):
+            if text:
                 pieces.append(text)
                 if in_link:
                     linked += len(text)

@@ -1,9 +1,11 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import html_extract as H
-from ledgerline.llm.dom import Forest, Page
+from ledgerline.llm.dom import Forest, Page, _attributes
 from ledgerline.llm.gbt import Trees
 from ledgerline.llm.queries import QUERIES
 from tests.conftest import SF01
@@ -45,6 +47,39 @@ def test_texts(trees, html, text):
     assert H.texts_of([html], trees) == [text]
 
 
+@pytest.mark.parametrize("html,text", [
+    (f'<svg class="icon"/><article><p>{S1}</p></article>', S1),
+    (f'<article><svg viewBox="0 0 1 1" /><p>{S1}</p><svg fill=red/><p>{S2}</p></article>', f"{S1}\n{S2}"),
+    (f'<article><svg><path d="M0"><title>no</title></svg ><p>{S1}</p><svg class="open"><p>{S2}</p></article>', f"{S1}\n{S2}"),
+    (f'<article><p>{S1}</p><math/><p>{S2}</p></article>', f"{S1}\n{S2}"),
+    (f"<article><p>{S1} So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p><p>{S2}</p></article>", f"{S1} So x=1 holds.\n{S2}"),
+    (f"<article><object data='a.pdf'/><p>{S1}</p><object data='b.pdf'><p>{S2}</p></object></article>", f"{S1}\n{S2}"),
+    (f"<article><p>{S1}</p><video src=a.mp4 /><audio src=b.mp3 /><canvas id=c /><p>{S2}</p></article>", f"{S1}\n{S2}"),
+    (f"<article><p>{S1}</p><video src=a.mp4><p>{S2}</p></video></article>", f"{S1}\n{S2}"),
+    (f"<article><p title=Don't>{S1}</p><p>It's two. {S2}</p></article>", f"{S1}\nIt's two. {S2}"),
+    (f'<article><p><a href="x"">{S1}</a> "{S2}"</p></article>', f'{S1} "{S2}"'),
+    (f"<article><p class=\"a\"id='b' data-x=a\"b c' title='1 > 0' alt = \"<p>no</p>\" hidden>{S1}</p><p>{S2}</p></article>", f"{S1}\n{S2}"),
+    (f'<article><p title="<!-- <script>">{S1}</p><!--><p>{S2}</p></article>', f"{S1}\n{S2}"),
+    (f"<article><p title='never closed>{S1}</p><p>{S2}</p></article>", f"{S1}\n{S2}"),
+])
+def test_no_text_is_swallowed(html, text):
+    assert H.texts_of([html], None) == [text]
+
+
+def test_attributes_as_html_reads_them():
+    assert _attributes(' class="post"id=menu') == (1, 1, -1)
+    assert _attributes(""" title="class=ad" data-id='menu' aria-role=nav""") == (0, 0, -1)
+    assert _attributes(" class=it's-content class=ad") == (1, 0, -1)
+    assert _attributes(' data-y="12.5"') == (0, 0, -1) and _attributes(' class="c7" data-y="1"') == (0, 0, 1)
+
+
+def test_many_open_drawings_take_linear_time():
+    html = "<article>" + "<svg><p>word</p><p title='a" * 20_000
+    began = time.process_time()
+    Page(html)
+    assert time.process_time() - began < 10
+
+
 def test_rebuilt_pages_that_were_not_trained_on(spark, trees):
     right = wrong = 0
     for p in spark.read.parquet(f"{SF01}/pages.parquet").collect():
