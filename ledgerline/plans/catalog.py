@@ -215,6 +215,13 @@ def q_quick_validate_summary(spark, sf_dir):
     return quick_validate(spark, _ops_csv(spark, sf_dir, ops_planted), AS_OF, default_rules(AS_OF).only(*NOT_UNIQUE))[1]
 
 
+def q_quick_validate_default(spark, sf_dir):
+    """P3 by the default rules: every row of a repeated id is rejected, so each id has one row."""
+    from ledgerline.plans.pipeline import quick_validate
+    rows, _ = quick_validate(spark, _ops_csv(spark, sf_dir, ops_planted), AS_OF)
+    return rows.select("numero_operacion", "fecha_operacion", "monto", "is_duplicate", "content_hash")
+
+
 # ---- queries and aggregates -------------------------------------------------------------------
 def q_table_stats(spark, sf_dir):
     return A.table_stats(deduped_ops(spark, sf_dir))
@@ -452,6 +459,23 @@ def _job(spark, **options):
                              rules=replace(rules, columns=rules.columns + typed), order_by=ORDER_COLS, dedup_strategy="key", **options)
 
 
+def _default_job(spark, **options):
+    """The reference's job: default rules with uniqueness, dedup by content hash, first by row number."""
+    from ledgerline.plans.pipeline import ReconciliationJob
+    return ReconciliationJob(spark, scratch_path(spark, "target"), scratch_path(spark, "runs"), as_of=AS_OF, **options)
+
+
+def q_pipeline_default_rows(spark, sf_dir):
+    """P1 on a CSV by the defaults: all rows of the planted copies' ids are rejected."""
+    return _default_job(spark).run(_ops_csv(spark, sf_dir, ops_planted), pipeline_id="etl_default").target.drop("id")
+
+
+def q_pipeline_default_parquet_rows(spark, sf_dir):
+    """The same on Parquet input."""
+    job = _default_job(spark, input_format="parquet")
+    return job.run(_ops_parquet(spark, sf_dir, ops_planted), pipeline_id="etl_default_parquet").target.drop("id")
+
+
 def q_parquet_row_index(spark, sf_dir):
     from ledgerline.sources.parquet import scan_parquet
     scanned = scan_parquet(spark, _ops_parquet(spark, sf_dir))
@@ -635,4 +659,7 @@ QUERIES = {
     "target_schema": q_target_schema,
     "exact_duplicates": q_exact_duplicates,
     "report_header": q_report_header,
+    "quick_validate_default": q_quick_validate_default,
+    "pipeline_default_rows": q_pipeline_default_rows,
+    "pipeline_default_parquet_rows": q_pipeline_default_parquet_rows,
 }

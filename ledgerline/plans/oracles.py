@@ -436,3 +436,9 @@ SELECT l_linenumber, CAST(min(length(large)) AS INTEGER) AS shortest_text, CAST(
        max(CAST(small AS VARCHAR)) AS small_text, CAST(count_if(NOT suffixed) AS BIGINT) AS numbers,
        sum(CAST(small AS DECIMAL(38,10)))::DOUBLE AS small_total
 FROM v GROUP BY l_linenumber"""
+
+# ---- the default rules, uniqueness included, and dedup by hash over the planted operations ----------------
+ORACLES["pipeline_default_rows"] = ORACLES["pipeline_default_parquet_rows"] = ORACLES["target_schema"].replace(OPS_CTE, PLANTED_CTE)
+ORACLES["quick_validate_default"] = f"""{WITH_BASE},\n{SCORED},\n{VALID},\n{HASHED},
+ranked2 AS (SELECT *, row_number() OVER (PARTITION BY numero_operacion ORDER BY {ORDER_SQL}) AS rn FROM hashed)
+SELECT numero_operacion, fecha_operacion, monto, rn > 1 AS is_duplicate, content_hash FROM ranked2""".replace(OPS_CTE, PLANTED_CTE)

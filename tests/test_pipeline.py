@@ -403,3 +403,14 @@ def test_first_failures_match_global_top_k(spark, scratch, k):
     v = validate(C.scan_csv(spark, src), default_rules("2001-02-01 00:00:00"), id_cols=[C.ROW])
     want = [{"row": r[C.ROW], "column": r["column"], "error": r["error"]} for r in v.failures_top(k).collect()]
     assert got == want and len(got) == k
+
+
+@pytest.mark.parametrize("key", ["pipeline_default_rows", "pipeline_default_parquet_rows", "quick_validate_default"])
+def test_a_registered_query_rejects_all_rows_of_a_repeated_id(spark, key):
+    from ledgerline.plans.catalog import QUERIES
+    from ledgerline.sources.fixtures import ops_planted
+    from tests.conftest import SF001
+    repeated = {r.numero_operacion for r in ops_planted(spark, SF001).groupBy("numero_operacion").count().filter("count > 1").collect()}
+    got = [r.numero_operacion for r in QUERIES[key](spark, SF001).select("numero_operacion").collect()]
+    kept = {r.numero_operacion for r in QUERIES["pipeline_final_rows"](spark, SF001).select("numero_operacion").collect()}
+    assert len(got) == len(set(got)) and set(got) == kept - repeated and kept & repeated
