@@ -4,7 +4,7 @@ Five stages, each by one operator of ``ledgerline.llm``. A stage gets all rows t
 kept, and all but the last return the columns of ``documents``:
 
 1. toxicity: documents with a toxicity score of 0.7 or more go; labels come from the ``labels`` table.
-2. n-gram Jaccard join: of documents linked by 5-word shingles at 0.8 or more, the smallest id stays.
+2. n-gram Jaccard join: of documents linked by 5-word shingles at 0.8 or more, the smallest (id, text digest) stays.
 3. suffix-array dedup: bytes of 50-byte windows of earlier documents are cut out of the texts.
 4. mixing: sources are mixed to 150 % of all words by the weights 3, 1, 2; whole epochs repeat a
    document, and the document at a source's cut keeps the words that are left of the budget.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, toxicity
-from ledgerline.llm.jaccard_join import similar_classes
+from ledgerline.llm.jaccard_join import similar_classes, text_digest
 from ledgerline.llm.mixing import WORD, mix
 from ledgerline.llm.queries import read
 from ledgerline.llm.scratch import Scratch
@@ -32,6 +32,7 @@ from ledgerline.llm.suffix_dedup import remove_repeats
 
 TOXIC = 0.7
 WEIGHTS = [3, 1, 2]
+DIGEST = "_text_digest"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -42,11 +43,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of similar ones; documents without an id are in no class and stay."""
+    """One document of each class of similar ones, the smallest by (id, digest of its text).
+
+    Documents without an id are in no class and stay; dissimilar texts under one id are documents of their own.
+    """
     ship(spark)
-    classes = similar_classes(docs)
-    stay = classes.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    classes = similar_classes(docs, keyed=True).filter(F.col("doc_id") == F.col("component_id"))
+    # texts without shingles are classes of their own
+    blank = F.when(F.col("class").isNull(), F.col("digest"))
+    stay = classes.groupBy("doc_id", "class", blank.alias("blank")).agg(F.min("digest").alias(DIGEST)).select("doc_id", DIGEST)
+    named = docs.withColumn(DIGEST, text_digest("text")).join(stay, ["doc_id", DIGEST], "left_semi").dropDuplicates(
+        ["doc_id", DIGEST]).select(*docs.columns)
     return named.unionByName(docs.filter(F.col("doc_id").isNull()))
 
 

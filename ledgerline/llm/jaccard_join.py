@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textkernel as K
@@ -61,15 +61,21 @@ def _signatures(n: int):
                 size.append(np.diff(ptr))
                 k1.append(K.segment_sum(g, ptr))
             if size:
+                own = {"digest": b.column("digest")} if "digest" in b.schema.names else {}
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column("doc_id"), "n_grams": np.concatenate(size),
-                    "k1": np.concatenate(k1).view(np.int64)})
+                    "k1": np.concatenate(k1).view(np.int64), **own})
     return run
 
 
 def signatures(docs: DataFrame, n: int = 5) -> DataFrame:
-    """(doc_id, n_grams, k1) of every row of ``docs(doc_id, text)``."""
-    return docs.mapInArrow(_signatures(n), "doc_id long, n_grams long, k1 long")
+    """(doc_id, n_grams, k1) of every row of ``docs(doc_id, text)``, and its digest if it has one."""
+    return docs.mapInArrow(_signatures(n), "doc_id long, n_grams long, k1 long" + ", digest string" * ("digest" in docs.columns))
+
+
+def text_digest(text: str) -> Column:
+    """What tells texts under one id apart; a null is a text of its own."""
+    return F.coalesce(F.md5(F.col(text)), F.lit(""))
 
 
 def _pack_grams(n: int, n_buckets: int):
@@ -428,11 +434,15 @@ def _by_chunk(assigned: DataFrame, cand: DataFrame) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-                    percent: int = 80) -> DataFrame:
-    """Class of every row: (doc_id, n_shingles, component_id); see the module text for all cases."""
+                    percent: int = 80, keyed: bool = False) -> DataFrame:
+    """Class of every row: (doc_id, n_shingles, component_id); see the module text for all cases.
+
+    With ``keyed`` also the key of the class (null for the empty set) and the digest of the text, as several
+    classes can have the same smallest id where ids repeat.
+    """
     docs = rename_clear(docs, {"doc_id": id_col, "text": text_col}).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scratch = Scratch(docs.sparkSession, "jaccard")
-    sig = scratch.store(signatures(docs, n), "signatures")
+    sig = scratch.store(signatures(docs.withColumn("digest", text_digest("text")) if keyed else docs, n), "signatures")
     sets = sig.filter((F.col("n_grams") > 0) & F.col("doc_id").isNotNull()).groupBy("k1").agg(
         F.max("n_grams").alias("n_grams"), F.min("doc_id").alias("least"))
     links = link_sets(scratch, docs, n, percent, int(sig.agg(F.sum("n_grams")).first()[0] or 0))
@@ -440,10 +450,11 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = scratch.store(sets.join(comp, F.col("k1") == F.col("id"), "left").select(
         "k1", "least", F.coalesce("component", "k1").alias("class")), "classes")
     label = named.groupBy("class").agg(F.min("least").alias("component_id"))
-    labelled = named.join(label, "class").select("k1", "component_id")
+    key = ["class"] if keyed else []
+    labelled = named.join(label, "class").select("k1", "component_id", *key)
     out = sig.withColumn("k1", F.when(F.col("n_grams") > 0, F.col("k1"))).join(labelled, "k1", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n_grams").alias("n_shingles"), own.alias("component_id"))
+    return out.select("doc_id", F.col("n_grams").alias("n_shingles"), own.alias("component_id"), *key, *["digest"] * keyed)
 
 
 def link_sets(scratch: Scratch, docs: DataFrame, n: int, percent: int, total: int) -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import os
 import shutil
 import subprocess
@@ -99,3 +100,16 @@ def test_all_eleven_queries_are_registered():
     names = [k for k in E.queries() if k.startswith("op") and k[2].isdigit()]
     assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_dissimilar_texts_under_one_id_stay(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(1, a), (5, a + " end"), (5, b), (5, b + " end"), (5, b + " end"), (5, c), (7, c), (8, ""), (8, None), (8, ""),
+            (8, a), (9, b), (None, a), (3, "one of its own")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    got = stage("ngram_jaccard")(spark, docs, SF001)
+    first_b = min((b, b + " end"), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert got.columns == COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, a), (5, first_b), (5, c), (8, ""), (8, None), (None, a), (3, "one of its own")], key=str)
