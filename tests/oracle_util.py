@@ -19,6 +19,11 @@ def duck(sf_dir):
     return con
 
 
+def collected(df):
+    """All rows as Python objects: toPandas makes floats of long columns with nulls."""
+    return pd.DataFrame([tuple(r) for r in df.collect()], columns=df.columns, dtype=object)
+
+
 def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT:
         return None
