@@ -83,3 +83,66 @@ reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, edges
 SELECT w.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
 FROM w LEFT JOIN sizes USING (doc_id) JOIN reach USING (doc_id) GROUP BY w.doc_id
 """
+
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM d),
+use AS (SELECT doc, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM use GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+langs AS (SELECT lang, coalesce(v, 0)::HUGEINT AS v, coalesce(total, 0)::HUGEINT AS total
+          FROM (SELECT DISTINCT lang FROM groups) LEFT JOIN (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang) USING (lang)),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM use SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+prices AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.total + l.v) AS p, 1 + (1000000000 * (kept.n::HUGEINT + 1)) // (l.total + l.v) AS lang_p
+  FROM totals g JOIN langs l USING (lang) JOIN kept USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM prices a JOIN prices b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+above AS (SELECT lang, source, term AS item, (p - lang_p) * (p - lang_p) // lang_p AS value FROM prices WHERE n > 0 AND p > lang_p),
+parts AS (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' AS part FROM above),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+# DuckDB has no CRC-32: its table of 256 remainders, and a fold over the bytes of each distinct (document, run)
+SPELLING = r"""
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS k, i AS c FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+remainders AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+') AS runs FROM documents),
+r AS (SELECT doc, translate(unnest(runs), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM d),
+each AS (SELECT doc, run, count(*) AS n FROM r GROUP BY doc, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(doc || ':' || run))),
+                                   lambda k: ('0x' || substr(hex(encode(doc || ':' || run)), 2 * k + 1, 2))::BIGINT)),
+                             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM each, remainders),
+typed AS (SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word FROM hashed),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(length(word)))::INTEGER AS k FROM v),
+gaps AS (SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest FROM places),
+near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT gaps.word, gaps.n, v.word, v.n FROM gaps JOIN v ON v.word = rest
+  UNION SELECT v.word, v.n, gaps.word, gaps.n FROM gaps JOIN v ON v.word = rest),
+best AS (
+  SELECT word, n, near AS form, near_n AS form_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place FROM near),
+forms AS (SELECT word, n_near, CASE WHEN form_n >= 10 * n THEN form END AS form, CASE WHEN form_n >= 10 * n THEN form_n END AS form_n FROM best WHERE place = 1),
+chain AS (
+  SELECT word, word AS place FROM v
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.place WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, place AS root FROM chain WHERE place NOT IN (SELECT word FROM forms WHERE form IS NOT NULL))
+SELECT word, form, root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n FROM v JOIN roots USING (word) LEFT JOIN forms USING (word)
+"""

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, html_extract, oracles, quality, toxicity
+from ledgerline.llm import bpe, html_extract, oracles, quality, spelling, toxicity
+from ledgerline.llm.divergence import divergences
 from ledgerline.llm.fingerprint import edited_fingerprints
 from ledgerline.llm.jaccard_join import similar_classes
 from ledgerline.llm.mixing import mix
 from ledgerline.llm.ship import ship
+from ledgerline.llm.simhash import near_classes
 from ledgerline.llm.suffix_dedup import remove_repeats
 from ledgerline.llm.topk_search import top_k
 from ledgerline.llm.unit_dedup import remove_repeated_units
@@ -99,6 +101,33 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_classes(read(spark, sf_dir, "documents"))
 
 
+def with_typos(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(word) of every lower-cased run of the texts; a run in 31, by a hash of it and its document, lacks a code point."""
+    run = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"),
+                      F.explode(spelling.runs(F.col("text"), min_chars)).alias("run")).withColumn("run", spelling.lowered(F.col("run")))
+    h = F.crc32(F.concat("doc", F.lit(":"), "run").cast("binary"))
+    hashed = run.select("run", h.alias("h")).withColumn("k", (F.col("h") % F.char_length("run")).cast("int"))
+    return hashed.select(F.when(F.col("h") % 31 == 0, F.concat(F.expr("substring(run, 1, k)"), F.expr("substring(run, k + 2)")))
+                         .otherwise(F.col("run")).alias("word"))
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 7 or more letters with their near words, their far more frequent form and the end of its chain."""
+    words = with_typos(read(spark, sf_dir, "documents"), min_chars=7)
+    return spelling.variant_groups(spelling.vocabulary(words, min_chars=7, min_count=2), ratio=10)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the term use of each source lies from the other sources of its language, and by which terms from all of it."""
+    return divergences(read(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of 3-word shingles, and the classes of those at most two bits apart."""
+    return near_classes(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_near")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
@@ -110,6 +139,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLES: dict[str, str] = {
@@ -117,4 +149,6 @@ ORACLES: dict[str, str] = {
     "op5_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op6_mix_sources": oracles.MIX,
     "op10_ngram_jaccard": oracles.JACCARD,
+    "op11_spelling_variants": oracles.SPELLING,
+    "op12_source_divergence": oracles.DIVERGENCE,
 }
