@@ -4,31 +4,131 @@ The scan never infers types: every column is read as text, pandas' missing-value
 NULL, and the declared types are applied later by the rules (lenient ``try_cast``). Columns are those of
 the first header; a file with other columns, or the same in another order, fails the scan. A row
 with too many or too few fields fails the scan as well, unless the malformed rows are asked for:
-then each comes with its raw text and no values, and validation rejects it. Line breaks inside
-quotes are part of the value, so a file is read by one task; ``multi_line=False`` splits files
-that are known to have none. The file position of each row (pandas' default index) is rebuilt without a
-global sort: one pass counts the rows of every file split, a running sum over that small
-per-split table gives each split's first row number, and each row adds its offset inside the split.
+then each comes with its raw text and no values, and validation rejects it.
+
+Line breaks inside quotes are part of the value, and a file is read in ranges all the same. A first pass follows the
+lines of each range from both states that it may begin in (inside a quoted value or not) and counts the records under
+each (``csvranges.py``); running compositions over the table of ranges, one row each, settle the states and give each
+range the number of its first record, pandas' default index, without a global sort. The second pass
+gives the records of each range with their numbers to Spark's CSV parser (``from_csv``). Only records that begin in
+one range and end in another are put together by a shuffle, from their pieces. Lines end in LF or CR LF, by the first
+line of each file.
+
+``multi_line=False`` is for files that are known to have no line breaks in quotes: Spark's reader splits them by lines, and
+``row_numbers`` numbers the rows by a count of each split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.text import null_tokens_to_null
 from ledgerline.operators.validate import MALFORMED
-from ledgerline.plans.keyjoin import join_on_keys
+from ledgerline.plans.keyjoin import join_on_keys, materialize, sized_side
+from ledgerline.sources import csvranges
 
 ROW = "row"
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ORDER_TAGS = ["_file", "_block", "_pos"]
 
 
-def _scan(spark: SparkSession, path: str, multi_line: bool, malformed: bool) -> tuple[DataFrame, list[str]]:
+# -- files in ranges -------------------------------------------------------------------------------
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """The physical lines of the files, in order, with the range that each begins in."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        # ranges must not change between two passes when executors come or go
+        spark.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def _placed(summaries: DataFrame) -> DataFrame:
+    """The state at the beginning of each range, the number of its first record and its header, from their summaries."""
+    order = Window.partitionBy("_file").orderBy("_block")
+    before, to_here = (order.rowsBetween(Window.unboundedPreceding, k) for k in (-1, 0))
+    # a range keeps the state, swaps it or decides it; the state before a range is the last decided one, swapped since
+    swap = (F.col("closed_end") & ~F.col("open_end")).cast("int")
+    decided = F.when(F.col("closed_end") == F.col("open_end"), F.struct(F.col("closed_end").alias("state"), F.col("swaps")))
+    df = summaries.withColumn("swaps", F.sum(swap).over(to_here)).withColumn("last", F.last(decided, ignorenulls=True).over(before))
+    swapped = (F.col("swaps") - swap - F.coalesce("last.swaps", F.lit(0))) % 2 == 1
+    df = df.withColumn("open", F.coalesce("last.state", F.lit(False)) != swapped).withColumn(
+        "crlf", F.coalesce(F.max(F.col("head").endswith("\r")).over(Window.partitionBy("_file")), F.lit(False)))
+    per_state = [F.col(f"{x}_records") - F.when(F.col("crlf"), F.col(f"{x}_cr")).otherwise(0) for x in ("open", "closed")]
+    df = df.withColumn("records", F.when(F.col("open"), per_state[0]).otherwise(per_state[1]))
+    df = df.withColumn("header", ((F.coalesce(F.sum("records").over(before), F.lit(0)) == 0) & (F.col("records") > 0)).cast("int"))
+    # this window has no partitions: it runs over one row for each range of the input
+    every = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn("first_row", F.coalesce(F.sum(F.col("records") - F.col("header")).over(every), F.lit(0))).select(
+        "_file", "_block", "open", "first_row", "header", "crlf", "head")
+
+
+def _from_csv(text: Column, names: list[str], malformed: str) -> Column:
+    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*names, malformed])
+    return F.from_csv(text, ddl, {"escape": '"', "columnNameOfCorruptRecord": malformed, "mode": "PERMISSIVE"})
+
+
+def _check_headers(ranges: DataFrame, width: int) -> None:
+    """Fail if a file's header does not end in its first range, or is not that of the other files."""
+    late = ranges.filter((F.col("header") == 1) & F.col("head").isNull()).limit(1).collect()
+    if late:
+        raise ValueError(f"the header of {late[0]['_file']} does not end within the first range of the file")
+    heads = ranges.filter("header = 1").select("_file", F.regexp_replace("head", "\r$", "").alias("head"))
+    cr = heads.filter(F.col("head").rlike("\r[^\n]")).limit(1).collect()
+    if cr:
+        raise ValueError(f"lines of {cr[0]['_file']} end in CR alone")
+    fields = _from_csv(F.lower("head"), [f"c{k}" for k in range(width)], "more").alias("names")
+    kinds = heads.select("_file", fields).groupBy("names").agg(F.min("_file").alias("file")).orderBy("file").limit(2).collect()
+    if len(kinds) > 1:
+        raise ValueError(f"the header of {kinds[1]['file']} is not that of {kinds[0]['file']}")
+
+
+def _parsed(rows: DataFrame, names: list[str], null_tokens: list[str] | None, malformed: bool, pieces: bool = False) -> DataFrame:
+    """The values of records ``rows(_text, row, _crlf)``; pieces of records wait as they are.
+
+    As with Spark's reader of whole files, CR LF inside quotes becomes LF where lines end in CR LF, but not in raw text.
+    """
+    whole = F.col("_piece").isNull() if pieces else F.lit(True)
+    text = F.when(F.col("_crlf"), F.replace("_text", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("_text"))
+    df = rows.select(F.struct("row", "_text", "_crlf", *["_piece"] * pieces).alias("_own"),
+                     _from_csv(F.when(whole, text), names, MALFORMED).alias("_in"))
+    good = F.col("_in")[MALFORMED].isNull()
+    raw = F.when(~good, F.col("_own._text"))
+    bad = F.lit(None) if malformed else F.raise_error(F.concat(F.lit("MALFORMED_RECORD: "), raw))
+    values = [F.when(good, null_tokens_to_null(F.col("_in")[c], null_tokens)).otherwise(bad.cast("string")).alias(c) for c in names]
+    return df.select(*values, *([raw.alias(MALFORMED)] if malformed else []), F.col("_own.row").alias("_row"),
+                     *[F.when(F.col("_own._piece").isNotNull(), F.col(f"_own.{c}")).alias(c) for c in ("_text", "_crlf", "_piece") if pieces])
+
+
+def _scan_ranges(spark: SparkSession, path: str, null_tokens: list[str] | None, malformed: bool) -> DataFrame:
+    """Values and row number (``_row``) of every record; see the module text."""
+    names = spark.read.options(header=True, multiLine=True, escape='"').csv(path).columns
+    lines = _lines(spark, path)
+    summaries = materialize(lines.mapInArrow(csvranges.summaries, csvranges.SUMMARIES_DDL))[0]
+    ranges = materialize(_placed(summaries))[0]
+    _check_headers(ranges, len(names))
+    crossing = bool(ranges.filter("open").limit(1).collect())
+    ranges, small = sized_side(ranges.drop("head"))
+    if not small:                # some 100 bytes a range: beyond the broadcast limit the lines meet their range in a shuffle
+        lines = lines.withColumn("_pos", F.monotonically_increasing_id())
+    told = join_on_keys(lines, ranges, ["_file", "_block"], how="left", small=small)
+    if not small:
+        told = told.repartition("_file", "_block").sortWithinPartitions("_file", "_block", "_pos").drop("_pos")
+    rows = told.mapInArrow(csvranges.records, csvranges.RECORDS_DDL)
+    if not crossing:
+        return _parsed(rows, names, null_tokens, malformed)
+    # the pieces of records that cross ranges are stored beside the parsed rows, and put together by row
+    stored = materialize(_parsed(rows, names, null_tokens, malformed, pieces=True))[0]
+    pieces = stored.filter(F.col("_piece").isNotNull()).groupBy(F.col("_row").alias("row")).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("_piece", "_text"))), lambda x: x["_text"]), "\n").alias("_text"), F.first("_crlf").alias("_crlf"))
+    return stored.filter(F.col("_piece").isNull()).drop("_text", "_crlf", "_piece").unionByName(_parsed(pieces, names, null_tokens, malformed))
+
+
+# -- files split by lines --------------------------------------------------------------------------
+def _scan(spark: SparkSession, path: str, malformed: bool) -> tuple[DataFrame, list[str]]:
     """All columns as text, and their names; malformed rows fail or come with their raw text."""
-    options = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
+    options = {"header": True, "escape": '"', "enforceSchema": False}
     names = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     if malformed:
@@ -38,11 +138,10 @@ def _scan(spark: SparkSession, path: str, multi_line: bool, malformed: bool) ->
     return raw, names
 
 
-def scan_csv_tagged(spark: SparkSession, path: str, null_tokens: list[str] | None = None,
-                    multi_line: bool = True, malformed: bool = False) -> DataFrame:
-    """One pass: all columns as text plus the file-order tags (file path, split start, position in
-    the scan). Ordering by the tags is file order; ``row_numbers`` turns them into 0-based rows."""
-    raw, names = _scan(spark, path, multi_line, malformed)
+def scan_csv_tagged(spark: SparkSession, path: str, null_tokens: list[str] | None = None, malformed: bool = False) -> DataFrame:
+    """One pass over files without line breaks in quotes: all columns as text plus the file-order tags (file path, split
+    start, position in the scan). Ordering by the tags is file order; ``row_numbers`` turns them into 0-based rows."""
+    raw, names = _scan(spark, path, malformed)
     good = F.col(MALFORMED).isNull() if malformed else F.lit(True)
     cols = [F.when(good, null_tokens_to_null(F.col(f"`{c}`"), null_tokens)).alias(c) for c in names]
     return raw.select(*cols, *([F.col(MALFORMED)] if malformed else []), F.col("_metadata.file_path").alias("_file"),
@@ -71,10 +170,16 @@ def scan_csv(spark: SparkSession, path: str, null_tokens: list[str] | None = Non
              multi_line: bool = True, malformed: bool = False) -> DataFrame:
     """All columns as strings, missing tokens as NULL, plus the 0-based file position ``row``.
 
-    Several files are numbered in (path, offset) order, as if concatenated. The files are read twice
-    (split counts, then rows); the whole job writes the tagged rows once and numbers those.
+    Several files are numbered in (path, offset) order, as if concatenated; headers and blank lines have no number. The
+    files are read twice (states and counts of the ranges, then rows). If records cross ranges, the rows are written to the
+    checkpoint folder on the way.
     """
-    tagged = scan_csv_tagged(spark, path, null_tokens, multi_line, malformed)
+    if multi_line:
+        rows = _scan_ranges(spark, path, null_tokens, malformed)
+        if not row_index:
+            return rows.drop("_row")
+        return rows.withColumn(ROW, F.col("_row")).drop("_row")
+    tagged = scan_csv_tagged(spark, path, null_tokens, malformed)
     if not row_index:
         return tagged.drop(*ORDER_TAGS)
     return row_numbers(tagged, tagged).drop(*ORDER_TAGS)
