@@ -1,8 +1,8 @@
 """Command line for spark-submit: ``python -m ledgerline <command> ...``.
 
-    run       validate, deduplicate and upsert one input (CSV or Parquet) into the target store
+    run       validate, deduplicate and upsert one input (CSV or Parquet) into the target table
     report    write the report tables (header, KPIs, distribution, sample) of recorded runs
-    reset     drop the target store
+    reset     drop the target table
     generate  write a synthetic operations file (copies and errors included) as CSV
 """
 
@@ -20,14 +20,14 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     r = sub.add_parser("run", help="run the reconciliation job on one input")
     r.add_argument("input")
-    r.add_argument("--target", required=True, help="target store folder")
+    r.add_argument("--target", required=True, help="target table: a catalog name or a folder")
     r.add_argument("--runs", required=True, help="run-record folder")
     r.add_argument("--output", help="folder for the deduplicated CSV copy (default: beside the target)")
     r.add_argument("--format", choices=["csv", "parquet"], help="input format (default: by extension)")
     r.add_argument("--as-of", help="timestamp for the future-date rule and the load stamp (default: now)")
     r.add_argument("--checksum", type=float, help="expected control total of the amounts")
     r.add_argument("--pipeline-id")
-    r.add_argument("--parts", type=int, default=16, help="folders of a new target; a load rewrites those its keys fall into")
+    r.add_argument("--parts", type=int, default=16, help="buckets of a new target; a load rewrites those in which it updates rows")
     g = sub.add_parser("generate", help="write a synthetic operations CSV")
     g.add_argument("output")
     g.add_argument("--rows", type=int, default=10_000)
@@ -40,7 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     rep.add_argument("--target", required=True)
     rep.add_argument("--output", required=True)
     rep.add_argument("--pipeline-id", help="one run (default: all)")
-    rs = sub.add_parser("reset", help="drop the target store")
+    rs = sub.add_parser("reset", help="drop the target table")
     rs.add_argument("--target", required=True)
     return p
 
@@ -64,18 +64,18 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     elif args.command == "report":
         from ledgerline.plans import runs as R
         from ledgerline.plans.pipeline import build_report, write_report
-        from ledgerline.plans.store import TargetStore
+        from ledgerline.plans.target import TargetTable
         runs = R.run_history(spark, args.runs)
         if args.pipeline_id:
             runs = R.run_by_id(runs, args.pipeline_id)
-        target = TargetStore(spark, args.target).current()
+        target = TargetTable(spark, args.target).current()
         if target is None:
-            raise SystemExit("target store does not exist")
+            raise SystemExit("target table does not exist")
         write_report(build_report(runs, target, ["numero_operacion"]), args.output)
         out = {"written": args.output}
     else:
-        from ledgerline.plans.store import TargetStore
-        TargetStore(spark, args.target).drop()
+        from ledgerline.plans.target import TargetTable
+        TargetTable(spark, args.target).drop()
         out = {"dropped": args.target}
     print(json.dumps(out, default=str))
     return out

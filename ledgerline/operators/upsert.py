@@ -111,19 +111,7 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
     when the matched keys are, else ``shuffle``; each can also be forced.
     """
     cols = _target_columns(target)
-    batch = prepare_batch(batch, key, on_duplicate, order_by)
-    stamp = _ts(load_time)
-    src_cols = {}
-    for c in cols:
-        if c == "id":
-            continue
-        if c == "fecha_carga":
-            src_cols[c] = stamp.alias(c)
-        elif c in batch.columns:
-            src_cols[c] = F.col(c).cast(target.schema[c].dataType).alias(c)
-        else:
-            src_cols[c] = F.lit(None).cast(target.schema[c].dataType).alias(c)
-    src = batch.select(*src_cols.values(), F.monotonically_increasing_id().alias("__seq"))
+    src = shape_batch(target, prepare_batch(batch, key, on_duplicate, order_by), key, load_time)
     if target_empty:
         # first load: every row is an insert; no join. The ids are written by this one write job,
         # which commits one attempt per partition, so they stay unique without writing the batch first
@@ -139,6 +127,26 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
         max_id = target.agg(F.max("id").alias("m")).first()["m"]
     base_id = (max_id if max_id is not None else 0) + 1
     limit = broadcast_limit(target.sparkSession) if broadcast_bytes is None else broadcast_bytes
+    return merge_staged(target, src, key, cols, base_id, nbytes, limit, strategy)
+
+
+def shape_batch(target: DataFrame, batch: DataFrame, key: str, load_time=None) -> DataFrame:
+    """The batch in the target's columns (but the id; missing ones NULL, load stamp set), its rows numbered by ``__seq``."""
+    src_cols = []
+    for c in _target_columns(target):
+        if c == "fecha_carga":
+            src_cols.append(_ts(load_time).alias(c))
+        elif c != "id":
+            found = F.col(c) if c in batch.columns else F.lit(None)
+            src_cols.append(found.cast(target.schema[c].dataType).alias(c))
+    return batch.select(*src_cols, F.monotonically_increasing_id().alias("__seq"))
+
+
+def merge_staged(target: DataFrame, src: DataFrame, key: str, cols: list[str], base_id: int, nbytes: int, limit: int,
+                 strategy: str = "auto") -> DataFrame:
+    """The merged rows of a target and a stored, shaped batch of ``nbytes`` with one row per key."""
+    if strategy not in ("auto", "broadcast", "keyed", "shuffle"):
+        raise ValueError(f"Unknown upsert strategy: {strategy}")
     small = limit > 0 and nbytes <= limit
     if strategy == "broadcast" and not small:
         raise ValueError(f"the batch has {nbytes} bytes; a broadcast takes at most {limit}")
@@ -148,8 +156,6 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
         merged = _merge_keyed(target, src, key, cols, base_id, limit)
         if merged is not None:
             return merged
-    if strategy not in ("auto", "keyed", "shuffle"):
-        raise ValueError(f"Unknown upsert strategy: {strategy}")
     return _merge_shuffle(target, src, key, cols, base_id)
 
 

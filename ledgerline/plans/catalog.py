@@ -522,16 +522,56 @@ def q_pipeline_warnings(spark, sf_dir):
     return spark.createDataFrame([(w,) for w in rec["warnings"]], "message string")
 
 
+def _whole_sides(spark, sf_dir):
+    """The two sides of the upsert without rows that lack a required column."""
+    whole = F.col("fecha_operacion").isNotNull() & F.col("cuenta_origen").isNotNull()
+    return (side.filter(whole) for side in upsert_sides(spark, sf_dir))
+
+
+def _target_table(spark, rows=None):
+    from ledgerline.plans.target import TargetTable
+    table = TargetTable(spark, scratch_path(spark, "target"))
+    if rows is not None:
+        table.insert(rows)
+    return table
+
+
 def q_target_keys(spark, sf_dir):
-    """S4 on the store: the keys of a target that was loaded twice."""
-    from ledgerline.plans.store import TargetStore
-    whole = F.col("fecha_operacion").isNotNull() & F.col("cuenta_origen").isNotNull()      # required columns
-    target, batch = (side.filter(whole) for side in upsert_sides(spark, sf_dir))
-    store = TargetStore(spark, scratch_path(spark, "target"))
-    store.publish(target)
-    base, touched = store.version(), store.parts_of(batch)
-    store.publish(U.upsert_merge(store.current(touched), batch, load_time=AS_OF, max_id=store.max_id()), parts=touched, base=base)
-    return store.keys()
+    """S4 on the table: the keys of a target that was loaded twice."""
+    target, batch = _whole_sides(spark, sf_dir)
+    table = _target_table(spark, target)
+    table.load(batch, load_time=AS_OF)
+    return table.keys()
+
+
+def q_target_merge(spark, sf_dir, strategy="auto"):
+    """K5, K6 on the table: matched rows updated in their buckets, others appended."""
+    target, batch = _whole_sides(spark, sf_dir)
+    table = _target_table(spark, target)
+    table.load(batch, load_time=AS_OF, strategy=strategy)
+    return table.current().drop("id")
+
+
+def q_target_merge_bucketed(spark, sf_dir):
+    """The same by the join that reads the table bucket by bucket."""
+    return q_target_merge(spark, sf_dir, "shuffle")
+
+
+def q_target_append(spark, sf_dir):
+    """K4 on the table: only rows with new keys go in."""
+    target, batch = _whole_sides(spark, sf_dir)
+    table = _target_table(spark, target)
+    table.load(batch, load_time=AS_OF, update=False)
+    return table.current().drop("id")
+
+
+def q_target_reset(spark, sf_dir):
+    """K7, K2: a target that was dropped and created anew holds the batch alone."""
+    target, batch = _whole_sides(spark, sf_dir)
+    table = _target_table(spark, target)
+    table.drop()
+    table.load(batch, load_time=AS_OF)
+    return table.current().drop("id")
 
 
 def q_value_edges(spark, sf_dir):
@@ -554,15 +594,12 @@ def q_value_edges(spark, sf_dir):
 
 def q_target_schema(spark, sf_dir):
     """K2 + K6: create the target with its fixed schema, load the deduplicated rows, read it back."""
-    from ledgerline.plans.store import TargetStore
-    store = TargetStore(spark, scratch_path(spark, "target"))
-    target = store.create()
+    store = _target_table(spark)
+    store.create()
     batch = U.normalize_load(deduped_ops(spark, sf_dir)).withColumn("is_duplicate", F.lit(0))
-    store.publish(U.upsert_merge(target, batch, load_time=AS_OF, max_id=store.max_id()), base=store.version(), assert_key=False)
+    store.load(batch, load_time=AS_OF)
     # a second load of a part of the rows changes nothing but their stamp
-    again = batch.filter("l_orderkey % 5 = 0")
-    touched = store.parts_of(again)
-    store.publish(U.upsert_merge(store.current(touched), again, load_time=AS_OF, max_id=store.max_id()), parts=touched, base=store.version())
+    store.load(batch.filter("l_orderkey % 5 = 0"), load_time=AS_OF)
     return store.current().drop("id")
 
 
@@ -652,6 +689,10 @@ QUERIES = {
     "pipeline_csv_copy": q_pipeline_csv_copy,
     "pipeline_warnings": q_pipeline_warnings,
     "target_keys": q_target_keys,
+    "target_merge": q_target_merge,
+    "target_merge_bucketed": q_target_merge_bucketed,
+    "target_append": q_target_append,
+    "target_reset": q_target_reset,
     "value_edges": q_value_edges,
     "quick_validate_summary": q_quick_validate_summary,
     "find_duplicates_sorted": q_find_duplicates_sorted,

@@ -429,6 +429,13 @@ ORACLES["pipeline_csv_copy"] = _by_key(PIPE) + f"""SELECT {', '.join(
 ORACLES["pipeline_warnings"] = _planted(ORACLES["validation_warnings"])
 ORACLES["target_keys"] = UPSERT_BASE + """SELECT numero_operacion FROM merged
 WHERE fecha_operacion IS NOT NULL AND cuenta_origen IS NOT NULL"""
+_WHOLE = "fecha_operacion IS NOT NULL AND cuenta_origen IS NOT NULL"      # required columns
+ORACLES["target_merge"] = ORACLES["target_merge_bucketed"] = UPSERT_BASE + f"SELECT * EXCLUDE (id, action) FROM merged WHERE {_WHOLE}"
+ORACLES["target_append"] = UPSERT_BASE + f"""SELECT {', '.join(TARGET_COLS)} FROM tgt WHERE {_WHOLE}
+UNION ALL SELECT {', '.join(c for c in TARGET_COLS).replace('fecha_carga', f"TIMESTAMP '{AS_OF}' AS fecha_carga")} FROM bat
+WHERE {_WHOLE} AND numero_operacion NOT IN (SELECT numero_operacion FROM tgt WHERE {_WHOLE})"""
+ORACLES["target_reset"] = UPSERT_BASE + f"""SELECT {', '.join(TARGET_COLS).replace('fecha_carga', f"TIMESTAMP '{AS_OF}' AS fecha_carga")}
+FROM bat WHERE {_WHOLE}"""
 ORACLES["value_edges"] = """
 WITH v AS (SELECT l_linenumber, CAST(l_extendedprice * 1e4 AS VARCHAR) AS large, l_linenumber / 8192.0::DOUBLE AS small,
                   l_partkey % 3 = 0 AS suffixed FROM lineitem)

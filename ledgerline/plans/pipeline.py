@@ -2,9 +2,9 @@
 
 One plan for every input size. The input is parsed once and written once, as columns, to the shared
 checkpoint folder; uniqueness (a key-only scan), the failure report and the valid rows read that table.
-The deduplicated rows are written once too; the CSV copy and the load read them. A load rewrites
-only the parts of the target that its keys fall into and publishes them after they are written, so
-a failure anywhere leaves the previous table live; the run record is saved on success and on failure (P2).
+The deduplicated rows are written once too; the CSV copy and the load read them. A load appends new
+keys to the target table and rewrites only the buckets in which it updates rows, as its last step, so a failure before or in a
+statement leaves the table as it was; the run record is saved on success and on failure (P2).
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from ledgerline.operators.rules import RuleSet, default_rules
 from ledgerline.operators.validate import FAILURES, duplicate_warning, validate
 from ledgerline.plans import runs as R
 from ledgerline.plans.keyjoin import materialize, observed
-from ledgerline.plans.store import TargetStore
+from ledgerline.plans.target import TargetTable
 from ledgerline.session import scratch_owner
-from ledgerline.sources.csv import MALFORMED, ORDER_TAGS, ROW, row_numbers, scan_csv, scan_csv_tagged, write_csv
+from ledgerline.sources.csv import MALFORMED, ROW, scan_csv, write_csv
 from ledgerline.sources.parquet import scan_parquet
 
 
@@ -37,17 +37,18 @@ class RunResult:
 
 
 class ReconciliationJob:
-    """Configured job; ``run`` processes one input (path or frame) into the target store.
+    """Configured job; ``run`` processes one input (path or frame) into the target table.
 
-    ``target_parts``: folders of a new target; each load rewrites those that its keys fall into.
+    ``target``: a catalog table's name, or a folder. ``target_parts``: buckets of a new table; a load rewrites those in which
+    it updates rows.
     """
 
-    def __init__(self, spark: SparkSession, target_root: str, runs_dir: str, rules: RuleSet | None = None,
+    def __init__(self, spark: SparkSession, target: str, runs_dir: str, rules: RuleSet | None = None,
                  as_of=None, order_by: list[str] | None = None, max_errors: int = 100,
                  dedup_strategy: str = "hash", key_columns: list[str] | None = None,
                  input_format: str | None = None, target_parts: int = 16, multi_line: bool = True):
         self.spark = spark
-        self.store = TargetStore(spark, target_root, parts=target_parts)
+        self.store = TargetTable(spark, target, parts=target_parts)
         self.runs_dir = runs_dir
         self.as_of = as_of
         self.rules = rules or default_rules(as_of)
@@ -65,8 +66,7 @@ class ReconciliationJob:
         fmt = self.input_format or ("parquet" if str(source).rstrip("/").endswith(".parquet") else "csv")
         if fmt == "parquet":
             return materialize(scan_parquet(self.spark, source))[0]
-        tagged = materialize(scan_csv_tagged(self.spark, source, multi_line=self.multi_line, malformed=True))[0]
-        return row_numbers(tagged, tagged).drop(*ORDER_TAGS)
+        return materialize(scan_csv(self.spark, source, multi_line=self.multi_line, malformed=True))[0]
 
     @staticmethod
     def _report_rows(top: list) -> list[dict]:
@@ -137,24 +137,12 @@ class ReconciliationJob:
         return [r["message"] for f in found for r in f.collect()]
 
     def _load(self, deduped: DataFrame, pid: str) -> dict:
-        """Merge the batch into the parts of the target that its keys fall into, and publish them."""
-        base = self.store.version()
-        batch = U.normalize_load(deduped)
-        new_store = base == 0
-        touched = None if new_store else self.store.parts_of(batch)      # a new table has all its parts to write
-        target = self.spark.createDataFrame([], S.TARGET_SCHEMA) if new_store else self.store.current(touched)
+        """Insert the batch's new keys into the target and update the others."""
         spec = self.rules.spec(self.store.key)
         # validation already leaves at most one valid row per key when it enforces a non-null unique key
         proven_unique = (spec is not None and spec.unique and not spec.nullable and self.rules.wants("unique")
                          and self.rules.wants("not_null"))
-        merged = U.upsert_merge(target, batch, load_time=self.as_of, max_id=self.store.max_id(),
-                                check_keys=not proven_unique, target_empty=new_store)
-        obs = Observation(f"load_{pid}")
-        merged = merged.observe(obs, F.count_if(F.col(U.ACTION) == "inserted").alias("inserted"),
-                                F.count_if(F.col(U.ACTION) == "updated").alias("updated"))
-        self.store.publish(merged, parts=touched, base=base, assert_key=False)
-        m = observed(obs, inserted=0, updated=0)
-        return {"inserted": int(m["inserted"]), "updated": int(m["updated"])}
+        return self.store.load(U.normalize_load(deduped), load_time=self.as_of, check_keys=not proven_unique)
 
     def _finish(self, rec: dict) -> None:
         end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

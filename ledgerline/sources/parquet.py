@@ -1,4 +1,6 @@
-"""Parquet input for the job, with the same positional ``row`` index as the CSV scan.
+"""Parquet input for the job, and what the files' footers know.
+
+The scan has the same positional ``row`` index as the CSV scan.
 
 Parquet files carry each row's position inside the file (``_metadata.row_index``), so the index is
 exact whatever the split layout: rows per file are counted, a running sum over that per-file table
@@ -7,8 +9,9 @@ exact whatever the split layout: rows per file are counted, a running sum over t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.plans.keyjoin import join_on_keys
 
@@ -31,3 +34,14 @@ def scan_parquet(spark: SparkSession, path: str, row_index: bool = True) -> Data
     offsets = files.select("__file", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__off"))
     joined = join_on_keys(tagged, offsets, ["__file"], how="inner")
     return joined.select(*[F.col(f"`{c}`") for c in raw.columns], (F.col("__off") + F.col("__ri")).alias(ROW))
+
+
+def footer_aggregates(spark: SparkSession, path: str, schema: T.StructType, *aggregates: Column) -> DataFrame:
+    """Counts, and minima and maxima of numbers, of Parquet files from their footers: no data page is read.
+
+    In a session of its own, whose Parquet reader takes aggregates: other aggregates give the same values from the data.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.schema(schema).parquet(path).agg(*aggregates)

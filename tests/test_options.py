@@ -8,7 +8,7 @@ from ledgerline.operators import aggregates as A
 from ledgerline.operators import dedup as D
 from ledgerline.plans import runs as R
 from ledgerline.plans.pipeline import ReconciliationJob
-from ledgerline.plans.store import TargetStore
+from ledgerline.plans.target import TargetTable
 from ledgerline.sources import csv as C
 from ledgerline.sources import generator as G
 
@@ -41,7 +41,7 @@ def test_replayed_micro_batch_leaves_same_table(spark, scratch):
     for ckpt in (scratch("ckpt-a"), scratch("ckpt-b")):          # second stream replays the same file
         q = start_incremental_load(spark, landing, job, ckpt, trigger_once=True)
         q.awaitTermination(300)
-    table = TargetStore(spark, target).current()
+    table = TargetTable(spark, target).current()
     assert table.count() == 200 and table.select("id").distinct().count() == 200
     hist = R.run_history(spark, runs).collect()           # newest first
     assert [(r["rows_loaded"], r["rows_updated"]) for r in hist] == [(0, 200), (200, 0)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.plans import runs as R
 from ledgerline.plans.pipeline import ReconciliationJob, build_report, quick_validate, write_report
-from ledgerline.plans.store import TargetStore
+from ledgerline.plans.target import NullInRequiredColumn, TargetTable
 from ledgerline.sources import csv as C
 from ledgerline.sources import generator as G
 from ledgerline.sources.jdbc import read_table, write_table
@@ -57,7 +57,7 @@ def test_failure_leaves_target_and_records_run(spark, scratch):
     broken = ReconciliationJob(spark, target, runs, as_of="2001-02-01 00:00:00", order_by=["missing_column"])
     with pytest.raises(Exception):
         broken.run(bad, pipeline_id="bad")
-    assert TargetStore(spark, target).current().count() == first
+    assert TargetTable(spark, target).current().count() == first
     rec = R.run_by_id(R.run_history(spark, runs), "bad").first()
     assert rec["status"] == "failed" and rec["error_message"]
 
@@ -112,13 +112,13 @@ def test_incremental_stream(spark, scratch):
     job = ReconciliationJob(spark, target, runs, as_of="2001-02-01 00:00:00")
     q = start_incremental_load(spark, landing + "/a", job, scratch("ckpt"), trigger_once=True)
     q.awaitTermination(300)
-    assert TargetStore(spark, target).current().count() == 300
+    assert TargetTable(spark, target).current().count() == 300
     assert R.run_history(spark, runs).count() == 1
 
 
 def test_store_create_keys_publish_drop(spark, scratch):
     from ledgerline import schema as S
-    store = TargetStore(spark, scratch("store"))
+    store = TargetTable(spark, scratch("store"))
     assert store.current() is None and store.keys().count() == 0
     t = store.create()
     assert [(f.name, f.dataType) for f in t.schema] == [(f.name, f.dataType) for f in S.TARGET_SCHEMA]
@@ -168,21 +168,15 @@ def test_loading_flow_like_the_reference_script(spark, scratch):
     from ledgerline.operators import upsert as U
     from ledgerline.plans.catalog import AS_OF, deduped_ops
     from tests.conftest import SF001
-    store = TargetStore(spark, scratch("target"))
+    store = TargetTable(spark, scratch("target"))
     batch = U.normalize_load(deduped_ops(spark, SF001)).withColumn("is_duplicate", F.lit(0))
-    target = store.create()
-    first = U.upsert_merge(target, batch, load_time=AS_OF, max_id=store.max_id())
-    c1 = U.upsert_counts(first).first()
-    store.publish(first)
-    assert (c1["rows_inserted"], c1["rows_updated"]) == (2951, 0)
+    store.create()
+    assert store.load(batch, load_time=AS_OF) == {"inserted": 2951, "updated": 0}
     stats = A.table_stats(store.current()).first()
     assert stats["total_rows"] == 2951 and abs(stats["total_amount"] - 156651964.32) < 1e-6
     assert A.query_filtered(store.current(), None, limit=5, order_by=["id"]).count() == 5
     hundred = A.report_sample(batch, ["numero_operacion"], 100)
-    second = U.upsert_merge(store.current(), hundred, load_time=AS_OF, max_id=store.max_id())
-    c2 = U.upsert_counts(second).first()
-    assert (c2["rows_inserted"], c2["rows_updated"], c2["rows_kept"]) == (0, 100, 2851)
-    store.publish(second)
+    assert store.load(hundred, load_time=AS_OF) == {"inserted": 0, "updated": 100}
     assert store.current().count() == 2951
 
 
@@ -196,7 +190,7 @@ def test_command_line(spark, scratch):
     main(["report", "--runs", runs, "--target", target, "--output", rep], spark=spark)
     assert spark.read.option("header", True).csv(f"{rep}/kpis").count() == 7
     main(["reset", "--target", target], spark=spark)
-    assert not TargetStore(spark, target).exists()
+    assert not TargetTable(spark, target).exists()
 
 
 def test_header_only_input(spark, scratch):
@@ -209,99 +203,78 @@ def test_header_only_input(spark, scratch):
     job = ReconciliationJob(spark, scratch("target"), scratch("runs"), as_of=AS_OF)
     rec = job.run(folder, pipeline_id="empty").record
     assert (rec["status"], rec["input_rows"], rec["rows_loaded"], rec["validation_errors"]) == ("success", 0, 0, [])
-    assert TargetStore(spark, job.store.root).current().count() == 0
+    assert TargetTable(spark, job.store.root).current().count() == 0
 
 
 def _part_files(store):
-    """{part: its files} of the live table."""
-    out = {}
-    for p, folder in store.manifest()["folders"].items():
-        local = f"{store.root}/{folder}".removeprefix("file:")
-        out[int(p)] = sorted((f, os.stat(f"{local}/{f}").st_mtime_ns) for f in os.listdir(local) if f.endswith(".parquet"))
+    """{part: its files} of a target in a folder."""
+    local, out = f"{store.folder}/buckets-{store.part_count()}".removeprefix("file:"), {}
+    for folder in os.listdir(local):
+        if folder.startswith("_part="):
+            names = [f for f in os.listdir(f"{local}/{folder}") if f.endswith(".parquet")]
+            out[int(folder[6:])] = sorted((f, os.stat(f"{local}/{folder}/{f}").st_mtime_ns) for f in names)
     return out
 
 
-def test_a_load_rewrites_only_the_parts_it_touches(spark, scratch):
+def _batch_of(rows):
+    return rows.drop("id", "fecha_carga", "is_duplicate").withColumn("row", F.monotonically_increasing_id()).withColumn(
+        "fecha_operacion", F.date_format("fecha_operacion", "yyyy-MM-dd HH:mm:ss"))
+
+
+def test_a_load_rewrites_only_buckets_with_updates_and_appends_the_rest(spark, scratch):
     src = _generated_csv(spark, scratch, 800)
     job = ReconciliationJob(spark, scratch("pt"), scratch("pr"), as_of="2001-02-01 00:00:00", target_parts=8)
     first = job.run(src, pipeline_id="b1").record
-    before = _part_files(job.store)
+    before, ids = _part_files(job.store), {r.numero_operacion: r.id for r in job.store.current().collect()}
     assert len(before) == 8
-    one = job.store.current([3]).limit(5).drop("id", "fecha_carga", "is_duplicate").withColumn("row", F.monotonically_increasing_id())
-    again = job.run(one.withColumn("fecha_operacion", F.date_format("fecha_operacion", "yyyy-MM-dd HH:mm:ss")), pipeline_id="b2").record
-    assert (again["rows_loaded"], again["rows_updated"]) == (0, 5)
+    known = job.store.current([3]).limit(5)
+    new = job.store.current([0, 1, 2, 3, 4]).limit(60).withColumn("numero_operacion", F.regexp_replace("numero_operacion", "OP-0", "OP-9"))
+    again = job.run(_batch_of(known.unionByName(new)), pipeline_id="b2").record
+    assert (again["rows_loaded"], again["rows_updated"]) == (60, 5)
     after = _part_files(job.store)
-    assert {p for p in before if before[p] != after[p]} == {3}
-    assert job.store.current().count() == first["rows_loaded"]
+    # every file but those of bucket 3 is still there; files with new keys stand beside them
+    assert {p for p in before if not set(before[p]) <= set(after[p])} == {3} and sum(map(len, after.values())) > sum(map(len, before.values()))
+    rows = job.store.current().collect()
+    assert len(rows) == first["rows_loaded"] + 60 == len({r.id for r in rows}) == len({r.numero_operacion for r in rows})
+    assert all(ids[r.numero_operacion] == r.id for r in rows if r.numero_operacion in ids)
 
 
-def test_old_folders_are_freed(spark, scratch):
+def test_overwritten_buckets_keep_no_old_files(spark, scratch):
     src = _generated_csv(spark, scratch, 300)
     job = ReconciliationJob(spark, scratch("ft"), scratch("fr"), as_of="2001-02-01 00:00:00", target_parts=2)
+    sizes = []
     for k in range(4):
         job.run(src, pipeline_id=f"f{k}")
-    local = job.store.root.removeprefix("file:")
-    assert len([f for f in os.listdir(local) if f.startswith("load=")]) == 2         # the live one and the one before
-    assert len([f for f in os.listdir(local) if f.startswith("_MANIFEST.")]) == 2
+        sizes.append(sum(map(len, _part_files(job.store).values())))
+    assert sizes[1] == sizes[2] == sizes[3]
 
 
-@pytest.mark.parametrize("step", ["write", "manifest", "rename"])
-def test_a_failure_at_any_step_leaves_the_table(spark, scratch, monkeypatch, step):
+@pytest.mark.parametrize("updates", [True, False])
+def test_a_statement_that_fails_leaves_the_table(spark, scratch, monkeypatch, updates):
     src = _generated_csv(spark, scratch, 300)
     job = ReconciliationJob(spark, scratch("st"), scratch("sr"), as_of="2001-02-01 00:00:00", target_parts=2)
     rows = job.run(src, pipeline_id="s1").record["rows_loaded"]
     old = sorted(map(str, job.store.current().collect()))
+    source = src if updates else _batch_of(job.store.current().withColumn("numero_operacion", F.regexp_replace("numero_operacion", "OP-0", "OP-9")))
+    real = TargetTable._write
 
-    def boom(*a, **k):
-        raise RuntimeError("lost")
+    def half(self, frame, parts, overwrite, deal):
+        # tasks fail after others have written their files
+        lost = F.when(F.pmod(F.hash("numero_operacion"), F.lit(7)) == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("canal"))
+        return real(self, frame.withColumn("canal", lost), parts, overwrite, deal)
     with monkeypatch.context() as m:
-        if step == "write":
-            m.setattr(TargetStore, "publish", boom)
-        elif step == "manifest":
-            m.setattr(TargetStore, "_write_manifest", boom)
-        else:
-            # the manifest is on disk under its temporary name, but never gets its own
-            real = TargetStore._write_manifest
-
-            def half(self, man):
-                tmp = f"{self.root}/.{man['version']}".removeprefix("file:")
-                with open(tmp, "w") as f:
-                    f.write("{")
-                boom()
-            assert real
-            m.setattr(TargetStore, "_write_manifest", half)
-        with pytest.raises(RuntimeError):
-            job.run(src, pipeline_id="s2")
+        m.setattr(TargetTable, "_write", half)
+        with pytest.raises(Exception, match="lost"):
+            job.run(source, pipeline_id="s2")
     rec = R.run_by_id(R.run_history(spark, job.runs_dir), "s2").first()
     assert (rec["status"], rec["load_failed"]) == ("failed", rows)
-    store = TargetStore(spark, job.store.root)
+    store = TargetTable(spark, job.store.root)
     assert sorted(map(str, store.current().collect())) == old
-    assert job.run(src, pipeline_id="s3").record["rows_updated"] == rows and store.current().count() == rows
-
-
-def test_two_writers_lose_no_update(spark, scratch):
-    from ledgerline.operators import upsert as U
-    from ledgerline.plans.catalog import AS_OF as NOW
-    from ledgerline.plans.catalog import deduped_ops
-    from ledgerline.plans.store import StaleTarget
-    from tests.conftest import SF001
-    store, other = (TargetStore(spark, scratch("two"), parts=2) for _ in range(1)), None
-    store = next(store)
-    other = TargetStore(spark, store.root, parts=2)
-    batch = U.normalize_load(deduped_ops(spark, SF001)).withColumn("is_duplicate", F.lit(0))
-    store.publish(U.upsert_merge(store.create(), batch, load_time=NOW, max_id=0), base=store.version())
-    base = other.version()
-    merged = U.upsert_merge(other.current(), batch.limit(10), load_time=NOW, max_id=other.max_id())
-    store.publish(U.upsert_merge(store.current(), batch.limit(20), load_time=NOW, max_id=store.max_id()), base=store.version())
-    with pytest.raises(StaleTarget):
-        other.publish(merged, base=base)
-    with pytest.raises(StaleTarget):                          # and if both get as far as the rename
-        other._write_manifest({**other.manifest(), "version": other.version()})
-    assert store.current().count() == batch.count()
+    again = job.run(source, pipeline_id="s3").record
+    assert (again["rows_updated"], again["rows_loaded"]) == ((rows, 0) if updates else (0, rows))
 
 
 def test_required_columns_are_enforced(spark, scratch):
-    from ledgerline.plans.store import NullInRequiredColumn
     src = _generated_csv(spark, scratch, 300)
     folder = scratch("nocanal")
     spark.read.option("header", True).csv(src).drop("canal").write.option("header", True).csv(folder)
@@ -309,7 +282,7 @@ def test_required_columns_are_enforced(spark, scratch):
     with pytest.raises(NullInRequiredColumn, match="canal"):
         job.run(folder, pipeline_id="n1")
     rec = R.run_by_id(R.run_history(spark, job.runs_dir), "n1").first()
-    assert rec["status"] == "failed" and rec["load_failed"] > 0 and job.store.current() is None
+    assert rec["status"] == "failed" and rec["load_failed"] > 0 and job.store.current().count() == 0
 
 
 @pytest.mark.parametrize("files", [1, 3, 7])
