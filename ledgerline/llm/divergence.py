@@ -43,7 +43,7 @@ from ledgerline.plans.keyjoin import join_on_keys
 SCALE = 1_000_000_000
 SLICE_TERMS = 20_000              # kept terms of a slice
 BLOCK_GROUPS = 8                  # groups of a block
-HELD = 300_000                    # (group, term) counts that a map task holds before it sends them
+HELD = 400_000                    # (group, term) counts that a map task holds before it sends them
 # letters and all that is not ASCII make terms; A-Z are lowered
 TERM_BYTES = bytes(c if c >= 0x80 or chr(c).islower() else c + 32 if chr(c).isupper() else 0x20 for c in range(256))
 
@@ -55,16 +55,20 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        rows = [(g, t, n, docs[g][t]) for g, c in counts.items() for t, n in c.items()] + [(g, None, 0, 0) for g in counts]
+        columns: list[list] = [[], [], [], [], []]
+        for group, c in counts.items():
+            size, d = len(c), docs[group]
+            for x, column in zip((
+                    pa.repeat(pa.scalar(group[0], pa.string()), size + 1), pa.repeat(pa.scalar(group[1], pa.string()), size + 1),
+                    pa.array([*c, None], pa.binary()).cast(pa.string()),
+                    np.fromiter((*c.values(), 0), np.int64, size + 1), np.fromiter((*map(d.__getitem__, c), 0), np.int64, size + 1)), columns, strict=True):
+                column.append(x)
         counts.clear()
         docs.clear()
-        for k in range(0, len(rows), 50_000):
-            groups, terms, n, d = zip(*rows[k:k + 50_000], strict=True)
-            yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([g[0] for g in groups], pa.string()), "source": pa.array([g[1] for g in groups], pa.string()),
-                "term": pa.array([None if t is None else t.decode("utf-8") for t in terms], pa.string()),
-                "n": pa.array(n, pa.int64()), "docs": pa.array(d, pa.int64())})
-        rows = None
+        if columns[0]:
+            table = pa.table([pa.chunked_array(x) for x in columns], names=["lang", "source", "term", "n", "docs"])
+            yield from table.combine_chunks().to_batches(max_chunksize=50_000)
+        columns = table = None
         K.trim()
 
     for b in batches:
@@ -76,10 +80,9 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if group not in counts:
                 counts[group], docs[group] = Counter(), Counter()
             own, before = counts[group], len(counts[group])
-            found = Counter(bytes(view[s:e]).translate(TERM_BYTES).split(b" "))
-            found.pop(b"", None)
+            found = bytes(view[s:e]).translate(TERM_BYTES).split()
             own.update(found)
-            docs[group].update(found.keys())
+            docs[group].update(set(found))
             held += len(own) - before
             if held >= HELD:
                 yield from flush()
