@@ -6,12 +6,12 @@ which travels once, compressed together with the other texts of its group and ma
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 
 from ledgerline.llm import textkernel as K
@@ -19,7 +19,7 @@ from ledgerline.llm import textkernel as K
 U64 = np.uint64
 BUCKET_BYTES = 8 << 20           # text bytes behind one bucket or document group
 FLUSH_BYTES = 6 << 20            # text bytes a map task packs before it sends them
-DOC = np.dtype([("id", "<i8"), ("variant", "<u2")])        # a row: its id and 16 bits of its text
+DOC = np.dtype([("id", "<i8"), ("variant", "<u8")])        # a row: its id and 64 bits of its text
 TEXT = 2                         # kind of the rows that hold texts; operators choose kinds for what they found
 
 # texts, and what was found about them, by group of documents
@@ -28,15 +28,19 @@ FOUND = pa.schema([("grp", pa.int32()), ("kind", pa.int8()), ("docs", pa.binary(
 FOUND_DDL = "grp int, kind byte, docs binary, first binary, shape binary, gram binary, body binary, carried binary"
 
 
+def text_name(text) -> int:
+    """64 bits that tell the texts of one id apart."""
+    return xxhash.xxh3_64_intdigest(text)
+
+
 def batch_docs(b: pa.RecordBatch):
     ids = pc.fill_null(b.column("doc_id"), 0).to_numpy()      # filled first: nulls would make floats of the ids
     valid = b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
     raw, offsets = K.text_bytes(b.column("text"))
     view = memoryview(raw)
-    variant = np.array([zlib.crc32(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)],
-                       np.uint32)
+    variant = np.array([text_name(view[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], U64)
     docs = np.zeros(len(ids), DOC)
-    docs["id"], docs["variant"] = ids, variant & 0xFFFF
+    docs["id"], docs["variant"] = ids, variant
     return docs, valid, raw, offsets, variant
 
 
@@ -76,7 +80,7 @@ def pack_texts(n_groups: int, carry: list[str] | None = None):
         parts, held = [], 0
         for b in batches:
             docs, valid, raw, offsets, variant = batch_docs(b)
-            group = np.where(valid, groups_of(docs, n_groups), variant % n_groups)
+            group = np.where(valid, groups_of(docs, n_groups), (variant % U64(n_groups)).astype(np.int64))
             for i, j in K.slabs(offsets, FLUSH_BYTES):
                 bodies = [raw[s:e].tobytes() for s, e in zip(offsets[i:j].tolist(), offsets[i + 1:j + 1].tolist(), strict=True)]
                 parts.append((docs[i:j], group[i:j], bodies, valid[i:j], b.select(carry).slice(i, j - i) if carry else None))

@@ -146,3 +146,33 @@ chain AS (
 roots AS (SELECT word, place AS root FROM chain WHERE place NOT IN (SELECT word FROM forms WHERE form IS NOT NULL))
 SELECT word, form, root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n FROM v JOIN roots USING (word) LEFT JOIN forms USING (word)
 """
+
+UNIT_DEDUP = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS (SELECT doc_id, regexp_extract_all(text, '(?:[^\x20\x09-\x0D]*[^\x20\x09-\x0D.!?][\x20\x09\x0B-\x0D]+)*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS us FROM d),
+each AS (SELECT doc_id, unnest(range(len(us))) AS k, us FROM found),
+named AS (
+  SELECT doc_id, k, us[k + 1] AS unit,
+         translate(array_to_string(regexp_extract_all(us[k + 1], '[^\x20\x09-\x0D]+'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS name,
+         len(regexp_extract_all(us[k + 1], '[^\x20\x09-\x0D]+')) AS words
+  FROM each),
+placed AS (
+  SELECT *, coalesce(sum(CASE WHEN contains(unit, chr(10)) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line,
+         row_number() OVER (PARTITION BY name ORDER BY doc_id, k) > 1 AS later
+  FROM named),
+lines AS (SELECT doc_id, line, string_agg(name, ' ' ORDER BY k) AS name FROM placed GROUP BY doc_id, line),
+later_lines AS (SELECT doc_id, line, row_number() OVER (PARTITION BY name ORDER BY doc_id, line) > 1 AS later_line FROM lines),
+runs AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM placed WHERE later),
+long AS (SELECT doc_id, k, sum(words) OVER (PARTITION BY doc_id, run) >= 10 AS in_run FROM runs),
+marked AS (
+  SELECT placed.doc_id, placed.k, unit, coalesce(in_run, FALSE) OR later_line AS goes
+  FROM placed JOIN later_lines USING (doc_id, line) LEFT JOIN long ON long.doc_id = placed.doc_id AND long.k = placed.k),
+spanned AS (SELECT *, goes AND NOT coalesce(lag(goes) OVER (PARTITION BY doc_id ORDER BY k), FALSE) AS begins FROM marked),
+cut AS (
+  SELECT doc_id, count_if(goes) AS n_units, count_if(begins) AS n_spans, coalesce(sum(strlen(unit)) FILTER (WHERE goes), 0) AS n_removed,
+         coalesce(string_agg(unit, '' ORDER BY k) FILTER (WHERE NOT goes), '') AS kept
+  FROM spanned GROUP BY doc_id)
+SELECT doc_id, strlen(text)::BIGINT AS n_bytes, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(regexp_extract(text, '^[\x20\x09-\x0D]*') || coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""

@@ -23,11 +23,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes left of each document once units that an earlier place of the corpus has are removed, however short.
-
-    Units are sentences of lines: of a later line every sentence is a later one, so whole repeated lines go with them.
-    """
-    out = remove_repeated_units(read(spark, sf_dir, "documents"), min_words=1)
+    """Bytes left of each document once lines that an earlier place of the corpus has, and passages of sentences, are removed."""
+    out = remove_repeated_units(read(spark, sf_dir, "documents"), unit="line+sentence")
     return out.select("doc_id", "n_bytes", "n_units", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
@@ -145,6 +142,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": oracles.UNIT_DEDUP,
     "op4_topk_search": oracles.TOP_K,
     "op5_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op6_mix_sources": oracles.MIX,

@@ -1,12 +1,17 @@
 """Substring dedup by unit hashing: lines, or the sentences of lines, kept once in the whole corpus.
 
-A text is cut into units at line ends (and, for ``unit="sentence"``, after words that end in one of
-``.!?``). A unit is normalised by lowering A-Z and treating white space runs as one space; its digest
+A text is cut into units: lines, or sentences, which end at line ends and after words that end in one of ``.!?``. A
+unit is normalised by lowering A-Z and treating white space runs as one space; its digest
 is 96 bits over its words. Of equal units the earliest ranked occurrence, the smallest (doc_id,
-place in the text), stays; later ones go, if the run of neighbouring later units that they stand
-in has at least ``min_words`` words: with 1, as the registered query has it, every later unit goes;
-with more, short phrases which all texts share stay. Spans are byte offsets of the original text; a
-removed unit takes the white space behind it along.
+place in the text), stays, and later ones go:
+
+* ``unit="line"`` or ``"sentence"``: if the run of neighbouring later units that they stand in has at least
+  ``min_words`` words; with 1, every later unit goes.
+* ``unit="line+sentence"``, which the registered query uses: every later line goes, however short, and passages
+  pasted inside lines go as runs of later sentences of at least ``min_words`` words. Lines are compared with lines,
+  and a short sentence ("Yes.") of a line that stands nowhere else stays.
+
+Spans are byte offsets of the original text; a removed unit takes the white space behind it along.
 
 Digests travel packed to hash buckets. A map task settles all but the first of equal units among
 the texts it packs together, so a unit that a third of all documents share is one entry for each
@@ -37,6 +42,8 @@ from ledgerline.llm.scratch import rename_clear
 U64 = np.uint64
 SENTENCE_END = np.zeros(256, bool)
 SENTENCE_END[[ord(c) for c in ".!?"]] = True
+LINES = 1 << 31                  # places of lines, where sentences are units too
+LINE_SALT = U64(0x6C696E65)       # and what keeps their digests apart
 UNIT = np.dtype([("start", "<u4"), ("end", "<u4"), ("place", "<u4"), ("words", "<u4")])
 
 
@@ -75,6 +82,15 @@ def units_of(raw: np.ndarray, offsets: np.ndarray, unit: str = "sentence"):
     return d, digest, second, out
 
 
+def all_units(raw: np.ndarray, offsets: np.ndarray, unit: str):
+    """``units_of``, of lines and sentences for ``unit="line+sentence"``."""
+    if unit != "line+sentence":
+        return units_of(raw, offsets, unit)
+    sentences, (d, digest, second, lines) = units_of(raw, offsets, "sentence"), units_of(raw, offsets, "line")
+    lines["place"] += np.uint32(LINES)
+    return tuple(np.concatenate(x) for x in zip(sentences, (d, K.mix64(digest ^ LINE_SALT), second, lines), strict=True))
+
+
 ENTRY = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("docs", pa.binary()), ("digest", pa.binary()),
                    ("second", pa.binary()), ("units", pa.binary())])
 ENTRY_DDL = "bucket int, settled boolean, docs binary, digest binary, second binary, units binary"
@@ -118,7 +134,7 @@ def _entries(unit: str, n_buckets: int):
             docs, valid, raw, offsets, _ = batch_docs(b)
             for i, j in K.slabs(offsets):
                 off = offsets[i:j + 1] - offsets[i]
-                d, *rest = units_of(raw[offsets[i]:offsets[j]], off, unit)
+                d, *rest = all_units(raw[offsets[i]:offsets[j]], off, unit)
                 ok = valid[i:j][d]
                 parts.append((docs[i:j][d][ok], *(x[ok] for x in rest)))
                 held += int(off[-1])
@@ -165,6 +181,19 @@ KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_units", p
 KEPT_DDL = "doc_id long, n_bytes long, n_units long, kept binary, spans array<struct<start:long,end:long>>"
 
 
+def _going(u: np.ndarray, lines: np.ndarray, min_words: int) -> np.ndarray:
+    """Of a document's later units those that go: in runs of enough words, or in a later line (all whose sentences are later)."""
+    if not len(u):
+        return u
+    head = np.flatnonzero(np.concatenate([[True], np.diff(u["place"].astype(np.int64)) != 1]))
+    words = np.add.reduceat(u["words"].astype(np.int64), head)
+    goes = np.repeat(words >= min_words, np.diff(np.append(head, len(u))))
+    if len(lines):
+        own = np.searchsorted(lines["start"], u["start"], side="right") - 1
+        goes |= (own >= 0) & (u["end"] <= lines["end"][np.maximum(own, 0)])
+    return u[goes]
+
+
 def _cut(min_words: int):
     """One group of documents: cut the runs of later units that are long enough."""
     def run(table):
@@ -182,14 +211,13 @@ def _cut(min_words: int):
             if valid and d in at:
                 s, e = at[d]
                 u = units[s:e]
+                whole = u["place"] >= LINES
+                u = _going(u[~whole], u[whole], min_words)
                 place = u["place"].astype(np.int64)
-                head = np.flatnonzero(np.concatenate([[True], np.diff(place) != 1]))
-                stop = np.append(head[1:], len(u))
-                words = np.add.reduceat(u["words"].astype(np.int64), head)
-                for a, b, w in zip(head.tolist(), stop.tolist(), words.tolist(), strict=True):
-                    if w >= min_words:
-                        spans.append((int(u["start"][a]), int(u["end"][b - 1])))
-                        removed += b - a
+                head = np.flatnonzero(np.concatenate([[True], np.diff(place) != 1])) if len(u) else []
+                for a, b in zip(head, [*head[1:], len(u)], strict=True) if len(u) else ():
+                    spans.append((int(u["start"][a]), int(u["end"][b - 1])))
+                removed = len(u)
             kept, last = [], 0
             for a, b in spans:
                 kept.append(body[last:a])

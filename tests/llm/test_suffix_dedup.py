@@ -83,3 +83,14 @@ def test_hot_grams_are_taken_apart(spark, texts, monkeypatch, pack, bucket, runs
     rows += list(texts.items())[:60]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert plain(S.remove_repeats(df)) == sorted(brute.cut_windows(rows), key=str)
+
+
+def test_rows_are_told_apart_by_their_whole_texts(spark):
+    """Two texts under one id whose CRC-32 agree in 16 bits: no byte of the unrelated one goes."""
+    import zlib
+    a = "the passage that both of the related documents hold, long enough to be found. " * 2
+    one = "alpha " + a
+    b = next(t for t in (f"unrelated {k} {a[::-1]}" for k in range(1 << 20)) if zlib.crc32(t.encode()) & 0xFFFF == zlib.crc32(one.encode()) & 0xFFFF)
+    rows = [(1, a), (2, one), (2, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert plain(S.remove_repeats(df)) == sorted(brute.cut_windows(rows), key=str)
