@@ -35,12 +35,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import textkernel as K
 from ledgerline.llm.scratch import Scratch, rename_clear
+from ledgerline.plans.keyjoin import join_on_keys
 
 U64 = np.uint64
 RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS_PER_BLOCK = 2               # of 64 bits
-SLICE_BLOCKS = 1 << 15            # blocks of a slice: 256 KB
+SLICE_BLOCKS = 1 << 13            # blocks of a slice: 64 KB
 ROUND_BYTES = 64 << 20            # filter slices in one broadcast
 SLAB = 1 << 19                    # probes hashed at a time
 WORDS_PER_TASK = 20_000           # words that one task probes
@@ -118,42 +119,43 @@ def _mask(h: np.ndarray) -> np.ndarray:
     return (one << (h & low)) | (one << ((h >> U64(6)) & low)) | (one << ((h >> U64(12)) & low)) | (one << ((h >> U64(18)) & low))
 
 
-def _build(table):
+def _build(slice_blocks: int):
     """One slice of the filter of a length."""
-    blocks, part = int(table.column("blocks")[0].as_py()), int(table.column("part")[0].as_py())
-    h = table.column("h").to_numpy().astype(np.int64).view(U64)
-    first = part * SLICE_BLOCKS
-    bits = np.zeros(min(SLICE_BLOCKS, blocks - first), U64)
-    np.bitwise_or.at(bits, (_block(h, blocks) - U64(first)).astype(np.int64), _mask(h))
-    out = table.slice(0, 1).select(["chars", "blocks", "part"])
-    return out.append_column("bits", pa.array([bits.tobytes()], pa.binary()))
+    def run(table):
+        blocks, first = int(table.column("blocks")[0].as_py()), int(table.column("part")[0].as_py()) * slice_blocks
+        h = table.column("h").to_numpy().astype(np.int64).view(U64)
+        bits = np.zeros(min(slice_blocks, blocks - first), U64)
+        np.bitwise_or.at(bits, (_block(h, blocks) - U64(first)).astype(np.int64), _mask(h))
+        return table.slice(0, 1).select(["chars", "blocks"]).append_column("first", pa.array([first], pa.int64())).append_column(
+            "bits", pa.array([bits.tobytes()], pa.binary()))
+    return run
 
 
 def _blocks_of(words: Column) -> Column:
     return F.ceil(words / WORDS_PER_BLOCK)
 
 
-def filters(vocab: DataFrame) -> DataFrame:
-    """(chars, blocks, part, bits): the slices of the blocked Bloom filters of ``vocab(word, h, chars)``."""
+def filters(vocab: DataFrame, slice_blocks: int) -> DataFrame:
+    """(chars, blocks, first, bits): the slices of the blocked Bloom filters of ``vocab(word, h, chars)``."""
     sizes = vocab.groupBy("chars").agg(_blocks_of(F.count(F.lit(1))).cast("long").alias("blocks"))
     upper = F.shiftrightunsigned("h", 32)
-    # a row for each distinct length: far fewer than words
-    placed = vocab.select("chars", "h").join(sizes, "chars").withColumn(
-        "part", F.floor(F.shiftrightunsigned(upper * F.col("blocks"), 32) / SLICE_BLOCKS).cast("int"))
-    return placed.groupBy("chars", "part").applyInArrow(_build, "chars int, blocks long, part int, bits binary")
+    # a row for each distinct length, measured and broadcast: words go to their slices, not to their lengths
+    placed = join_on_keys(vocab.select("chars", "h"), sizes, ["chars"], how="inner").withColumn(
+        "part", F.floor(F.shiftrightunsigned(upper * F.col("blocks"), 32) / slice_blocks).cast("int"))
+    return placed.groupBy("chars", "part").applyInArrow(_build(slice_blocks), "chars int, blocks long, first long, bits binary")
 
 
 def _rounds(spark, built: DataFrame) -> Iterator[list]:
     """The filter slices, by length, in rounds of at most ``ROUND_BYTES``; only one round is on the driver at a time."""
-    sizes = built.select("chars", "part", F.octet_length("bits").alias("size")).orderBy("chars", "part").collect()
+    sizes = built.select("chars", "first", F.octet_length("bits").alias("size")).orderBy("chars", "first").collect()
     at = 0
     while at < len(sizes):
         end, held = at, 0
         while end < len(sizes) and (end == at or held + sizes[end].size <= ROUND_BYTES):
             held += sizes[end].size
             end += 1
-        key, first, last = F.struct("chars", "part"), sizes[at], sizes[end - 1]
-        low, high = (F.struct(F.lit(x.chars).alias("chars"), F.lit(x.part).alias("part")) for x in (first, last))
+        key, ends = F.struct("chars", "first"), (sizes[at], sizes[end - 1])
+        low, high = (F.struct(F.lit(x.chars).alias("chars"), F.lit(x.first).cast("long").alias("first")) for x in ends)
         yield built.filter((key >= low) & (key <= high)).collect()
         at = end
 
@@ -168,8 +170,8 @@ class _Filter:
 
     def __init__(self, rows: list[tuple]):
         parts: dict[int, list] = {}
-        for chars, blocks, part, bits in sorted(rows, key=lambda r: (r[0], r[2])):
-            parts.setdefault(chars, [blocks, part * SLICE_BLOCKS, []])[2].append(np.frombuffer(bits, U64))
+        for chars, blocks, first, bits in sorted(rows, key=lambda r: (r[0], r[2])):
+            parts.setdefault(chars, [blocks, first, []])[2].append(np.frombuffer(bits, U64))
         self.of = {chars: (blocks, first, np.concatenate(bits)) for chars, (blocks, first, bits) in parts.items()}
 
     def holds(self, chars: int, h: np.ndarray) -> np.ndarray:
@@ -183,7 +185,7 @@ class _Filter:
         return here[bits[block[here]] & mask == mask]
 
 
-def _probe(shared, alphabet: list[int]):
+def _probe(shared, alphabet: list[int], slab: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = _Filter(shared.value)
         codes = np.array(alphabet, np.int64)
@@ -208,7 +210,7 @@ def _probe(shared, alphabet: list[int]):
                 hit = bloom.holds(size - 1, h)
                 found.append((h[hit], first[hit], np.full(len(hit), -1)))
                 # replacements by a larger code point
-                step = max(1, SLAB // max(len(codes), 1))
+                step = max(1, slab // max(len(codes), 1))
                 for k in range(0, len(at), step):
                     some = at[k:k + step]
                     which, code = np.nonzero(codes[None, :] > flat[some].astype(np.int64)[:, None])
@@ -228,13 +230,13 @@ def near_words(scratch: Scratch, vocab: DataFrame) -> DataFrame:
     """(id, word, n, near_id, near, near_n): every pair of near words of ``vocab(id, word, n, chars, h)``, once."""
     spark = vocab.sparkSession
     alphabet = sorted(ord(r[0]) for r in vocab.select(F.explode(F.split("word", ""))).filter("col <> ''").distinct().collect())
-    built = scratch.store(filters(vocab), "filters")
+    built = scratch.store(filters(vocab, SLICE_BLOCKS), "filters")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-vocab.count() // WORDS_PER_TASK))
     words = vocab.select("id", "word").repartition(tasks, "id")
     found = None
     for rows in _rounds(spark, built):
-        shared = spark.sparkContext.broadcast([(r.chars, r.blocks, r.part, bytes(r.bits)) for r in rows])
-        positives = scratch.store(words.mapInArrow(_probe(shared, alphabet), FOUND_DDL), "positives")
+        shared = spark.sparkContext.broadcast([(r.chars, r.blocks, r.first, bytes(r.bits)) for r in rows])
+        positives = scratch.store(words.mapInArrow(_probe(shared, alphabet, SLAB), FOUND_DDL), "positives")
         shared.destroy()
         found = positives if found is None else found.unionByName(positives)
     if found is None:

@@ -103,7 +103,7 @@ def test_filter_has_no_false_negatives_and_few_positives():
     h = S.word_hashes(words)
     blocks = -(-len(h) // S.WORDS_PER_BLOCK)
     table = pa.table({"chars": [5] * len(h), "blocks": [blocks] * len(h), "part": [0] * len(h), "h": h.view(np.int64)})
-    bits = S._build(table).column("bits")[0].as_py()
+    bits = S._build(S.SLICE_BLOCKS)(table).column("bits")[0].as_py()
     f = S._Filter([(5, blocks, 0, bits)])
     assert len(f.holds(5, h)) == len(h)
     other = S.word_hashes(pa.array([f"v{k}x" for k in range(20000)]))
