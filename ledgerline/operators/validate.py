@@ -8,6 +8,7 @@ rule; uniqueness is the only rule that needs other rows and is attached from a p
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ledgerline.operators.rules import RuleSet, default_rules, row_rules, typed
 from ledgerline.plans.keyjoin import join_on_keys
 
 FAILURES = "_failures"
+FAILED = "_failed"
 MALFORMED = "_malformed_row"            # raw text of rows that the CSV scan could not split
 
 
@@ -52,7 +54,11 @@ def _unique_flag(df: DataFrame, spec, raw_type, rules: RuleSet, flag: str) -> Da
 
 
 def annotate(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """The input with one more column, ``_failures``: every (column, error) the row breaks."""
+    """The input with ``_failed``, whether the row breaks a rule, and ``_failures``, every (column, error) it breaks.
+
+    ``_failed`` is one boolean expression inside the generated code. ``_failures`` filters an array, which Spark
+    evaluates outside of it, expression by expression: it is only worked out for rows that fail.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     checks: list[tuple] = []
     for spec in rules.columns:
@@ -72,12 +78,13 @@ def annotate(df: DataFrame, rules: RuleSet) -> DataFrame:
         bad = F.col(MALFORMED).isNotNull()
         checks = [(~bad & cond, c, e) for cond, c, e in checks] + [(bad, MALFORMED, S.MSG_MALFORMED_ROW)]
     item = T.StructType([T.StructField("column", T.StringType()), T.StructField("error", T.StringType())])
-    if checks:
-        arr = F.filter(F.array(*[F.when(cond, F.struct(F.lit(c).alias("column"), F.lit(e).alias("error")))
-                                 for cond, c, e in checks]), lambda x: x.isNotNull())
-    else:
-        arr = F.array().cast(T.ArrayType(item))
-    return df.withColumn(FAILURES, arr).drop(*flags)
+    none = F.array().cast(T.ArrayType(item))
+    if not checks:
+        return df.withColumns({FAILED: F.lit(False), FAILURES: none}).drop(*flags)
+    failed = reduce(lambda a, b: a | b, [cond for cond, _, _ in checks])
+    found = F.filter(F.array(*[F.when(cond, F.struct(F.lit(c).alias("column"), F.lit(e).alias("error")))
+                               for cond, c, e in checks]), lambda x: x.isNotNull())
+    return df.withColumns({FAILED: failed, FAILURES: F.when(failed, found).otherwise(none)}).drop(*flags)
 
 
 def missing_columns(df: DataFrame, rules: RuleSet) -> list[str]:
@@ -108,15 +115,15 @@ class Validation:
 
     def valid(self) -> DataFrame:
         """Rows with no failure, declared columns coerced to their types."""
-        return self.typed_view(self.annotated.filter(F.size(FAILURES) == 0).drop(FAILURES))
+        return self.typed_view(self.annotated.filter(~F.col(FAILED)).drop(FAILED, FAILURES))
 
     def rejected(self) -> DataFrame:
         """Rows with at least one failure, raw values kept, failures attached."""
-        return self.annotated.filter(F.size(FAILURES) > 0)
+        return self.annotated.filter(FAILED).drop(FAILED)
 
     def failures(self) -> DataFrame:
         """V11 + V13: one row per (row, column, error); schema-level ones have null row ids."""
-        rows = (self.annotated.select(*self.id_cols, F.explode(FAILURES).alias("_f"))
+        rows = (self.annotated.filter(FAILED).select(*self.id_cols, F.explode(FAILURES).alias("_f"))
                 .select(*self.id_cols, F.col("_f.column").alias("column"), F.col("_f.error").alias("error")))
         if not self.missing:
             return rows
@@ -140,7 +147,7 @@ class Validation:
     def summary(self) -> DataFrame:
         """Total, valid, invalid, success_rate (0 when empty), in one aggregation."""
         agg = self.annotated.agg(F.count(F.lit(1)).alias("total_rows"),
-                                 F.count_if(F.size(FAILURES) == 0).alias("valid_rows"))
+                                 F.count_if(~F.col(FAILED)).alias("valid_rows"))
         return agg.select(
             "total_rows", "valid_rows",
             (F.col("total_rows") - F.col("valid_rows")).alias("invalid_rows"),

@@ -20,7 +20,7 @@ from ledgerline import schema as S
 from ledgerline.operators import dedup as D
 from ledgerline.operators import upsert as U
 from ledgerline.operators.rules import RuleSet, default_rules
-from ledgerline.operators.validate import FAILURES, duplicate_warning, validate
+from ledgerline.operators.validate import FAILED, duplicate_warning, validate
 from ledgerline.plans import runs as R
 from ledgerline.plans.keyjoin import materialize, observed
 from ledgerline.plans.target import TargetTable
@@ -93,7 +93,7 @@ class ReconciliationJob:
                 v = validate(raw, self.rules, id_cols=[ROW] if ROW in raw.columns else (order_by or []))
                 # the counts ride on the job of the first failures, which reads every row once
                 annotated, counts = v.annotated, Observation(f"validate_{pid}")
-                v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(F.size(FAILURES) == 0).alias("valid"))
+                v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(~F.col(FAILED)).alias("valid"))
                 rec["validation_errors"] = self._report_rows(v.failures_top(self.max_errors).collect())
                 v.annotated = annotated
                 m = observed(counts, total=0, valid=0)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schema as S
 from ledgerline.functions.text import percent_text, seconds_text, thousands_text
-from ledgerline.operators.validate import FAILURES
+from ledgerline.operators.validate import FAILED, FAILURES
 
 SCALAR_FIELDS = [f.name for f in S.RUN_SCHEMA.fields if f.name not in ("validation_errors", "warnings")]
 
@@ -173,7 +173,7 @@ def runs_from_batches(validation, batch_col: str, started, errors_per_run: int =
     from ledgerline.functions.hashing import content_hash_column
     annotated = validation.annotated
     typed_all = validation.typed_view(annotated)
-    valid = F.size(FAILURES) == 0
+    valid = ~F.col(FAILED)
     h = F.when(valid, content_hash_column(typed_all.schema, S.HASH_SOURCE_COLUMNS))
     per_hash = (typed_all.select(batch_col, valid.alias("__v"), h.alias("__h"), F.size(FAILURES).alias("__f"))
                 .groupBy(batch_col, "__h").agg(F.count(F.lit(1)).alias("__n"), F.count_if("__v").alias("__nv"),

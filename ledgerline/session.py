@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a row's rules make one generated method that HotSpot doesn't compile beyond 8,000 bytes of code (it would run it
+    # interpreted, three times slower): Spark then splits the expressions into smaller methods instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
