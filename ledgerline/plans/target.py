@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import contextlib
 import hashlib
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schema as S
 from ledgerline.operators import upsert as U
-from ledgerline.plans.keyjoin import materialize
+from ledgerline.plans.keyjoin import materialize, observed
 from ledgerline.session import broadcast_limit
 from ledgerline.sources.parquet import footer_aggregates
 
@@ -143,19 +144,22 @@ class TargetTable:
         with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             out.write.insertInto(self.name, overwrite=overwrite)
 
-    def _check_required(self, rows: DataFrame) -> None:
+    @staticmethod
+    def _stored(rows: DataFrame) -> tuple[DataFrame, int, int]:
+        """The rows, written to the checkpoint folder, with their number and bytes; fails if a required column lacks a value."""
         required = [f.name for f in S.TARGET_SCHEMA if not f.nullable and f.name in rows.columns]
-        found = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
-        nulls = [c for c in required if found[c]]
-        if nulls:
-            raise NullInRequiredColumn(f"no value in required columns {nulls}")
+        nulls = Observation(f"required_{uuid.uuid4().hex}")
+        stored = materialize(rows.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required]))
+        found = observed(nulls, **dict.fromkeys(required, 0))
+        missing = [c for c in required if found[c]]
+        if missing:
+            raise NullInRequiredColumn(f"no value in required columns {missing}")
+        return stored
 
     def insert(self, rows: DataFrame) -> None:
         """Append rows of the whole target schema as they are (an initial load); their keys must be new and unique."""
         self.create()
-        rows = materialize(rows)[0]
-        self._check_required(rows)
-        self._write(rows, self.part_count(), overwrite=False, deal=True)
+        self._write(self._stored(rows)[0], self.part_count(), overwrite=False, deal=True)
 
     def load(self, batch: DataFrame, load_time=None, check_keys: bool = True, update: bool = True, strategy: str = "auto") -> dict:
         """K4-K6: insert the rows with new keys and, with ``update``, update the others; returns {"inserted", "updated"}.
@@ -164,16 +168,15 @@ class TargetTable:
         keys repeats (``check_keys``) or a required column lacks a value.
         """
         fresh = not self.exists()
-        target, parts = self.create(), self.part_count()
+        target, described = self.create(), self._described()
+        parts = int(described.get("Num Buckets", 1))
         columns = [f.name for f in S.TARGET_SCHEMA]
-        src = U.shape_batch(target, batch, self.key, load_time).withColumn(PART, self._part_of(parts))
-        src, total, nbytes = materialize(src)
+        src, total, nbytes = self._stored(U.shape_batch(target, batch, self.key, load_time).withColumn(PART, self._part_of(parts)))
         if check_keys:
             U.check_unique_batch(src, self.key)
-        self._check_required(src)
-        base_id = (self.max_id() or 0) + 1
-        if self._described().get("Provider", "parquet").lower() in ROW_LEVEL:
-            return self._merge_into(src, base_id)
+        if described.get("Provider", "parquet").lower() in ROW_LEVEL:
+            return self._merge_into(src)
+        base_id = (0 if fresh else self.max_id() or 0) + 1
         matched = {} if fresh else self._matched(src)
         touched, known = sorted(matched), sum(matched.values())
         if not update:
@@ -205,7 +208,8 @@ class TargetTable:
                 f"WHEN NOT MATCHED THEN INSERT ({', '.join(f'`{c}`' for c in [*columns, PART])}) "
                 f"VALUES ({', '.join(f's.`{c}`' for c in [*columns, PART])})")
 
-    def _merge_into(self, src: DataFrame, base_id: int) -> dict:
+    def _merge_into(self, src: DataFrame) -> dict:
+        base_id = (self.spark.table(self.name).agg(F.max("id")).first()[0] or 0) + 1
         known = sum(self._matched(src).values())
         stage = f"{self.name.replace('.', '_')}_stage"
         src.withColumn("id", F.lit(base_id) + F.col("__seq")).createOrReplaceTempView(stage)

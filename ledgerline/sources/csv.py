@@ -20,13 +20,16 @@ line of each file.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.text import null_tokens_to_null
 from ledgerline.operators.validate import MALFORMED
-from ledgerline.plans.keyjoin import join_on_keys, materialize, sized_side
+from ledgerline.plans.keyjoin import join_on_keys, materialize, observed
+from ledgerline.session import broadcast_limit
 from ledgerline.sources import csvranges
 
 ROW = "row"
@@ -69,19 +72,29 @@ def _from_csv(text: Column, names: list[str], malformed: str) -> Column:
     return F.from_csv(text, ddl, {"escape": '"', "columnNameOfCorruptRecord": malformed, "mode": "PERMISSIVE"})
 
 
-def _check_headers(ranges: DataFrame, width: int) -> None:
-    """Fail if a file's header does not end in its first range, or is not that of the other files."""
-    late = ranges.filter((F.col("header") == 1) & F.col("head").isNull()).limit(1).collect()
-    if late:
-        raise ValueError(f"the header of {late[0]['_file']} does not end within the first range of the file")
-    heads = ranges.filter("header = 1").select("_file", F.regexp_replace("head", "\r$", "").alias("head"))
-    cr = heads.filter(F.col("head").rlike("\r[^\n]")).limit(1).collect()
-    if cr:
-        raise ValueError(f"lines of {cr[0]['_file']} end in CR alone")
-    fields = _from_csv(F.lower("head"), [f"c{k}" for k in range(width)], "more").alias("names")
-    kinds = heads.select("_file", fields).groupBy("names").agg(F.min("_file").alias("file")).orderBy("file").limit(2).collect()
-    if len(kinds) > 1:
-        raise ValueError(f"the header of {kinds[1]['file']} is not that of {kinds[0]['file']}")
+def _checked(ranges: DataFrame, width: int) -> tuple[DataFrame, bool, bool]:
+    """The stored table of ranges, whether it may be broadcast, and whether a record crosses ranges: one job in all.
+
+    Fails if a file's header does not end in its first range, or is not that of the other files.
+    """
+    head, first = F.regexp_replace("head", "\r$", ""), F.col("header") == 1
+    fields = _from_csv(F.lower(head), [f"c{k}" for k in range(width)], "more")
+    names = F.when(first & F.col("head").isNotNull(), F.to_json(fields))
+    facts = Observation(f"ranges_{uuid.uuid4().hex}")
+    told = ranges.withColumn("_names", names).observe(
+        facts, F.max(F.when(first & F.col("head").isNull(), F.col("_file"))).alias("late"),
+        F.max(F.when(first & head.rlike("\r[^\n]"), F.col("_file"))).alias("cr"), F.min("_names").alias("least"), F.max("_names").alias("most"),
+        F.max_by("_file", "_names").alias("other"), F.max("open").alias("open"))
+    stored, _, size = materialize(told.drop("head", "_names"))
+    found = observed(facts, late=None, cr=None, least=None, most=None, other=None, open=None)
+    if found["late"]:
+        raise ValueError(f"the header of {found['late']} does not end within the first range of the file")
+    if found["cr"]:
+        raise ValueError(f"lines of {found['cr']} end in CR alone")
+    if found["least"] != found["most"]:
+        raise ValueError(f"the header of {found['other']} is not that of the other files")
+    limit = broadcast_limit(ranges.sparkSession)
+    return stored, 0 < size <= limit or size == 0, bool(found["open"])
 
 
 def _parsed(rows: DataFrame, names: list[str], null_tokens: list[str] | None, malformed: bool, pieces: bool = False) -> DataFrame:
@@ -105,11 +118,7 @@ def _scan_ranges(spark: SparkSession, path: str, null_tokens: list[str] | None,
     """Values and row number (``_row``) of every record; see the module text."""
     names = spark.read.options(header=True, multiLine=True, escape='"').csv(path).columns
     lines = _lines(spark, path)
-    summaries = materialize(lines.mapInArrow(csvranges.summaries, csvranges.SUMMARIES_DDL))[0]
-    ranges = materialize(_placed(summaries))[0]
-    _check_headers(ranges, len(names))
-    crossing = bool(ranges.filter("open").limit(1).collect())
-    ranges, small = sized_side(ranges.drop("head"))
+    ranges, small, crossing = _checked(_placed(lines.mapInArrow(csvranges.summaries, csvranges.SUMMARIES_DDL)), len(names))
     if not small:                # some 100 bytes a range: beyond the broadcast limit the lines meet their range in a shuffle
         lines = lines.withColumn("_pos", F.monotonically_increasing_id())
     told = join_on_keys(lines, ranges, ["_file", "_block"], how="left", small=small)
