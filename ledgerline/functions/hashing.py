@@ -17,27 +17,65 @@ DOUBLE_NULL_TEXT = "nan"
 TIMESTAMP_NULL_TEXT = "NaT"
 
 
-def double_text(c: Column) -> Column:
-    """Text of a double as Python's ``str`` prints it.
+def _let(value: Column, body) -> Column:
+    """``body`` over a value that is worked out once, however often it is named."""
+    return F.transform(F.array(value), body)[0]
 
-    Spark prints the same shortest digits, but as ``1.23456789E7`` outside 1e-3..1e7. The digits and the
-    exponent are taken from its scientific form and put together in Python's layout.
-    """
-    spark_text = F.abs(c).cast("string")
-    # digits without the point, and the exponent of the first digit
-    scientific = spark_text.contains("E")
-    mantissa = F.substring_index(spark_text, "E", 1)
-    exponent = F.substring_index(spark_text, "E", -1).try_cast("int")
-    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
-    n = F.length(digits)
-    point = exponent + 1                                    # digits before the point
+
+def _shortest(c: Column, digits: Column, exponent: Column, sizes=(15, 16, 17)) -> Column:
+    """The fewest of so many digits that read back as the same double: struct(digits, exponent of the first one)."""
+    n, tries = F.length(digits), []
+    for k in sizes:
+        unit = F.rpad(F.lit("1"), F.greatest(n - k, F.lit(0)) + 1, F.lit("0")).cast("decimal(20,0)")
+        half = F.call_function("div", unit, F.lit(2).cast("decimal(20,0)"))
+        whole = digits.cast("decimal(20,0)")
+        low, up = F.call_function("div", whole, unit), whole + half
+        near = F.call_function("div", up, unit)
+        near = near - F.when((up % unit == 0) & (unit > 1), near % 2).otherwise(0)       # a half to even
+        for rounded in (near, low + low + 1 - near):            # the nearer one, and the other neighbour
+            text = rounded.cast("string")
+            first = exponent + F.length(text) - k               # a carry makes one digit more
+            back = F.concat(F.substring(text, 1, 1), F.lit("."), F.substring(text, 2, 20), F.lit("E"), first.cast("string")).try_cast("double")
+            tries.append(F.when((n > k) & (back == c), F.struct(F.regexp_replace(text, "0+$", "").alias("digits"), first.alias("exponent"))))
+    return F.coalesce(*tries, F.struct(digits.alias("digits"), exponent.alias("exponent")))
+
+
+def _layout(digits: Column, exponent: Column) -> Column:
+    """Python's layout of a number's digits and the exponent of the first one: plain from 1e-4 up to 1e16."""
+    n, point = F.length(digits), exponent + 1                   # digits before the point
     plain = (F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
              .when(point >= n, F.concat(digits, F.repeat(F.lit("0"), point - n), F.lit(".0")))
              .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, n))))
     power = F.concat(F.when(n > 1, F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), n)))
                      .otherwise(digits), F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
                      F.lpad(F.abs(exponent).cast("string"), F.greatest(F.length(F.abs(exponent).cast("string")), F.lit(2)), F.lit("0")))
-    text = F.when(scientific & (exponent >= -4) & (exponent < 16), plain).when(scientific, power).otherwise(spark_text)
+    return F.when((exponent >= -4) & (exponent < 16), plain).otherwise(power)
+
+
+def double_text(c: Column) -> Column:
+    """Text of a double as Python's ``str`` prints it: the shortest digits that read back equal, in Python's layout.
+
+    Spark prints ``1.23456789E7`` outside 1e-3..1e7, and for some doubles of more than 15 digits more of them than it
+    must. Digits and exponent are taken from its scientific form; where there are many, the fewest that do are sought.
+    """
+    size = F.abs(c)
+    spark_text = size.cast("string")
+    mantissa = F.substring_index(spark_text, "E", 1)
+    exponent = F.substring_index(spark_text, "E", -1).try_cast("int")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
+    # a plain text as digits and exponent: those before the point, or the zeros behind it
+    small = F.regexp_replace(digits, "^0+", "")
+    at = F.when(size >= 1, F.instr(spark_text, ".") - 2).otherwise(F.length(small) - F.length(digits))
+    scientific, many = spark_text.contains("E"), F.length(spark_text) > 16
+    # an integer below 2^63 has all its digits at hand, and the smallest doubles have fewer than the JVM prints
+    integer = size.between(2.0 ** 53, 2.0 ** 63 - 1024)
+    exact = F.when(integer, size).cast("bigint").cast("string")
+    parts = F.when(integer, F.struct(exact.alias("digits"), (F.length(exact) - 1).alias("exponent"))).when(scientific, F.struct(digits.alias("digits"), exponent.alias("exponent"))).otherwise(F.struct(small.alias("digits"), at.alias("exponent")))
+
+    def sought(sizes):
+        return _let(_let(parts, lambda p: _shortest(size, p["digits"], p["exponent"], sizes)), lambda p: _layout(p["digits"], p["exponent"]))
+    tiny = (size > 0) & (size < 2.3e-308)
+    text = F.when(tiny, sought(range(1, 18))).when(many, sought((15, 16, 17))).when(scientific, _layout(digits, exponent)).otherwise(spark_text)
     negative = (c < 0) | (c.cast("string").startswith("-"))
     return (F.when(F.isnan(c), F.lit("nan")).when(spark_text == "Infinity", F.when(negative, F.lit("-inf")).otherwise(F.lit("inf")))
             .otherwise(F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), text)))

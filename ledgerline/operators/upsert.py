@@ -26,6 +26,7 @@ from ledgerline.plans.keyjoin import materialize
 from ledgerline.session import broadcast_limit
 
 ACTION = "_action"
+SEQ = "__seq"                     # distinct numbers of a batch's rows; new ids follow them
 
 
 def _ts(value) -> Column:
@@ -131,7 +132,10 @@ def upsert_merge(target: DataFrame, batch: DataFrame, key: str = S.KEY_COLUMN, l
 
 
 def shape_batch(target: DataFrame, batch: DataFrame, key: str, load_time=None) -> DataFrame:
-    """The batch in the target's columns (but the id; missing ones NULL, load stamp set), its rows numbered by ``__seq``."""
+    """The batch in the target's columns (but the id; missing ones NULL, load stamp set), its rows numbered by ``__seq``.
+
+    A batch that is stored with such a column keeps it.
+    """
     src_cols = []
     for c in _target_columns(target):
         if c == "fecha_carga":
@@ -139,7 +143,8 @@ def shape_batch(target: DataFrame, batch: DataFrame, key: str, load_time=None) -
         elif c != "id":
             found = F.col(c) if c in batch.columns else F.lit(None)
             src_cols.append(found.cast(target.schema[c].dataType).alias(c))
-    return batch.select(*src_cols, F.monotonically_increasing_id().alias("__seq"))
+    seq = F.col(SEQ) if SEQ in batch.columns else F.monotonically_increasing_id()
+    return batch.select(*src_cols, seq.alias(SEQ))
 
 
 def merge_staged(target: DataFrame, src: DataFrame, key: str, cols: list[str], base_id: int, nbytes: int, limit: int,

@@ -493,6 +493,15 @@ def q_parse_dates_lenient(spark, sf_dir):
     return C.parse_dates_lenient(ops(spark, sf_dir), S.DATE_COLUMN).select(*ORDER_COLS)
 
 
+def q_parse_dates_voted(spark, sf_dir):
+    """S2 by vote: three layouts in one column, which settles on that of most values."""
+    day = F.col("l_shipdate").cast("date")
+    text = (F.when(F.col("l_linenumber") == 1, F.date_format(day, "yyyy-MM-dd")).when(F.col("l_linenumber") == 2, F.date_format(day, "MM/dd/yyyy"))
+            .when(F.col("l_linenumber") == 7, F.lit("no date")).otherwise(F.date_format(day, "dd/MM/yyyy")))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", text.alias("fecha"))
+    return C.parse_dates_voted(li, "fecha")
+
+
 def q_write_csv_roundtrip(spark, sf_dir):
     folder = scratch_path(spark, "dedup-csv")
     C.write_csv(deduped_ops(spark, sf_dir), folder)
@@ -684,6 +693,7 @@ QUERIES = {
     "parquet_row_index": q_parquet_row_index,
     "pipeline_parquet_rows": q_pipeline_parquet_rows,
     "parse_dates_lenient": q_parse_dates_lenient,
+    "parse_dates_voted": q_parse_dates_voted,
     "write_csv_roundtrip": q_write_csv_roundtrip,
     "pipeline_final_rows": q_pipeline_final_rows,
     "pipeline_csv_copy": q_pipeline_csv_copy,

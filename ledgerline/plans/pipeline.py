@@ -107,12 +107,14 @@ class ReconciliationJob:
                 stage = "dedup"
                 clean = D.with_content_hash(v.valid().drop(MALFORMED))
                 deduped, _ = D.deduplicate(clean, self.dedup_strategy, order_by, self.key_columns)
-                deduped, kept, _ = materialize(deduped.drop(ROW).withColumn("is_duplicate", F.lit(0)))
+                # the write also fixes the numbers that new ids follow
+                deduped = deduped.drop(ROW).withColumns({"is_duplicate": F.lit(0), U.SEQ: F.monotonically_increasing_id()})
+                deduped, kept, size = materialize(deduped)
                 rec["duplicates_found"] = rec["duplicates_removed"] = valid - kept
                 stage = "copy"
-                write_csv(deduped, output_dir or f"{self.store.root}-csv/{pid}")
+                write_csv(deduped.drop(U.SEQ), output_dir or f"{self.store.root}-csv/{pid}")
                 stage = "load"
-                loaded = self._load(deduped, pid)
+                loaded = self._load(deduped, (kept, size))
                 rec["rows_loaded"] = loaded["inserted"]
                 rec["rows_updated"] = loaded["updated"]
                 rec["status"] = "success"
@@ -136,13 +138,15 @@ class ReconciliationJob:
             found.append(duplicate_warning(counts))
         return [r["message"] for f in found for r in f.collect()]
 
-    def _load(self, deduped: DataFrame, pid: str) -> dict:
-        """Insert the batch's new keys into the target and update the others."""
+    def _load(self, deduped: DataFrame, stored: tuple[int, int]) -> dict:
+        """Insert the new keys of the stored rows into the target and update the others."""
         spec = self.rules.spec(self.store.key)
         # validation already leaves at most one valid row per key when it enforces a non-null unique key
-        proven_unique = (spec is not None and spec.unique and not spec.nullable and self.rules.wants("unique")
-                         and self.rules.wants("not_null"))
-        return self.store.load(U.normalize_load(deduped), load_time=self.as_of, check_keys=not proven_unique)
+        not_null = {c.name for c in self.rules.columns if not c.nullable and self.rules.wants("not_null")}
+        proven_unique = spec is not None and spec.unique and spec.name in not_null and self.rules.wants("unique")
+        # a valid row has a value in these columns, and one of its type if types are checked
+        proven = not_null if self.rules.wants("coerce") else ()
+        return self.store.load(U.normalize_load(deduped), load_time=self.as_of, check_keys=not proven_unique, stored=stored, proven=proven)
 
     def _finish(self, rec: dict) -> None:
         end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -145,9 +146,18 @@ class TargetTable:
             out.write.insertInto(self.name, overwrite=overwrite)
 
     @staticmethod
-    def _stored(rows: DataFrame) -> tuple[DataFrame, int, int]:
+    def _required(rows: DataFrame, proven: Iterable[str] = ()) -> list[str]:
+        """Required columns that may lack a value; fails if one isn't there at all."""
+        required = [f.name for f in S.TARGET_SCHEMA if not f.nullable and f.name != "id"]
+        absent = [c for c in required if c not in rows.columns]
+        if absent:
+            raise NullInRequiredColumn(f"no value in required columns {absent}")
+        return [c for c in required if c not in set(proven)]
+
+    def _stored(self, rows: DataFrame, required: list[str]) -> tuple[DataFrame, int, int]:
         """The rows, written to the checkpoint folder, with their number and bytes; fails if a required column lacks a value."""
-        required = [f.name for f in S.TARGET_SCHEMA if not f.nullable and f.name in rows.columns]
+        if not required:
+            return materialize(rows)
         nulls = Observation(f"required_{uuid.uuid4().hex}")
         stored = materialize(rows.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required]))
         found = observed(nulls, **dict.fromkeys(required, 0))
@@ -159,19 +169,27 @@ class TargetTable:
     def insert(self, rows: DataFrame) -> None:
         """Append rows of the whole target schema as they are (an initial load); their keys must be new and unique."""
         self.create()
-        self._write(self._stored(rows)[0], self.part_count(), overwrite=False, deal=True)
+        rows = self._stored(rows, [*self._required(rows), "id"])[0]
+        self._write(rows, self.part_count(), overwrite=False, deal=True)
 
-    def load(self, batch: DataFrame, load_time=None, check_keys: bool = True, update: bool = True, strategy: str = "auto") -> dict:
+    def load(self, batch: DataFrame, load_time=None, check_keys: bool = True, update: bool = True, strategy: str = "auto",
+             stored: tuple[int, int] | None = None, proven: Iterable[str] = ()) -> dict:
         """K4-K6: insert the rows with new keys and, with ``update``, update the others; returns {"inserted", "updated"}.
 
         The batch is written once to the checkpoint folder, which fixes the ids of new rows; nothing is changed if one of its
-        keys repeats (``check_keys``) or a required column lacks a value.
+        keys repeats (``check_keys``) or a required column lacks a value. ``stored``: the rows and bytes of a batch that is a
+        stored table with its rows numbered (``__seq``), which isn't written again. ``proven``: columns known to have values.
         """
         fresh = not self.exists()
         target, described = self.create(), self._described()
         parts = int(described.get("Num Buckets", 1))
         columns = [f.name for f in S.TARGET_SCHEMA]
-        src, total, nbytes = self._stored(U.shape_batch(target, batch, self.key, load_time).withColumn(PART, self._part_of(parts)))
+        required = self._required(batch, proven)
+        src = U.shape_batch(target, batch, self.key, load_time).withColumn(PART, self._part_of(parts))
+        if stored and U.SEQ in batch.columns and not required:
+            total, nbytes = stored
+        else:
+            src, total, nbytes = self._stored(src, required)
         if check_keys:
             U.check_unique_batch(src, self.key)
         if described.get("Provider", "parquet").lower() in ROW_LEVEL:
@@ -189,7 +207,7 @@ class TargetTable:
             self._write(merged, parts, overwrite=True, deal=False)
             src = None if every else src.filter(~F.col(PART).isin(touched))
         if src is not None and total > known:
-            new = src.withColumn("id", F.lit(base_id) + F.col("__seq"))
+            new = src.withColumn("id", F.lit(base_id) + F.col(U.SEQ))
             self._write(new, parts, overwrite=False, deal=True)
         return {"inserted": total - known, "updated": known if update else 0}
 
@@ -212,7 +230,7 @@ class TargetTable:
         base_id = (self.spark.table(self.name).agg(F.max("id")).first()[0] or 0) + 1
         known = sum(self._matched(src).values())
         stage = f"{self.name.replace('.', '_')}_stage"
-        src.withColumn("id", F.lit(base_id) + F.col("__seq")).createOrReplaceTempView(stage)
+        src.withColumn("id", F.lit(base_id) + F.col(U.SEQ)).createOrReplaceTempView(stage)
         try:
             self.spark.sql(self.merge_sql(stage))
         finally:

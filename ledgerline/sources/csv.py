@@ -204,6 +204,48 @@ def parse_dates_lenient(df: DataFrame, column: str, formats: list[str] | None =
     return df.withColumn(column, parsed)
 
 
+# layouts that the vote knows, the first of a tie first, and the shape of their texts
+DATE_LAYOUTS = {
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$", "yyyy-MM-dd": r"^\d{4}-\d\d-\d\d$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$",
+    "dd/MM/yyyy HH:mm:ss": r"^\d\d/\d\d/\d{4} \d\d:\d\d:\d\d$", "dd/MM/yyyy HH:mm": r"^\d\d/\d\d/\d{4} \d\d:\d\d$",
+    "dd/MM/yyyy": r"^\d\d/\d\d/\d{4}$", "MM/dd/yyyy HH:mm:ss": r"^\d\d/\d\d/\d{4} \d\d:\d\d:\d\d$",
+    "MM/dd/yyyy HH:mm": r"^\d\d/\d\d/\d{4} \d\d:\d\d$", "MM/dd/yyyy": r"^\d\d/\d\d/\d{4}$",
+    "dd-MM-yyyy": r"^\d\d-\d\d-\d{4}$", "dd.MM.yyyy": r"^\d\d\.\d\d\.\d{4}$", "yyyy/MM/dd": r"^\d{4}/\d\d/\d\d$", "yyyyMMdd": r"^\d{8}$",
+}
+
+
+def _by_layout(c: Column, layout: str, shape: str | None) -> Column:
+    parsed = F.try_to_timestamp(c, F.lit(layout))
+    return F.when(c.rlike(shape), parsed) if shape else parsed
+
+
+def date_votes(df: DataFrame, column: str, layouts: list[str] | None = None) -> DataFrame:
+    """(layout, place, votes): how many values of a text column each layout reads; one pass over that column."""
+    names = list(DATE_LAYOUTS) if layouts is None else list(layouts)
+    c = F.trim(F.col(f"`{column}`"))
+    counts = df.agg(*[F.count(_by_layout(c, n, DATE_LAYOUTS.get(n))).alias(f"v{k}") for k, n in enumerate(names)])
+    votes = F.explode(F.array(*[F.struct(F.lit(n).alias("layout"), F.lit(k).alias("place"), F.col(f"v{k}").alias("votes"))
+                                for k, n in enumerate(names)]))
+    return counts.select(votes.alias("v")).select("v.*")
+
+
+def date_layout(df: DataFrame, column: str, layouts: list[str] | None = None) -> str | None:
+    """The layout that reads most values of a text column, the first in the list of a tie; None if none reads any.
+
+    It can be given to a rule set: ``ColumnSpec(column, "timestamp", formats=(layout,))``.
+    """
+    best = date_votes(df, column, layouts).filter("votes > 0").orderBy(F.desc("votes"), "place").first()
+    return best["layout"] if best else None
+
+
+def parse_dates_voted(df: DataFrame, column: str, layouts: list[str] | None = None) -> DataFrame:
+    """S2 for layouts that nobody named: the column settles on one layout by vote, and is read by it alone; the rest is NULL."""
+    layout = date_layout(df, column, layouts)
+    parsed = F.lit(None).cast("timestamp") if layout is None else _by_layout(F.trim(F.col(f"`{column}`")), layout, DATE_LAYOUTS.get(layout))
+    return df.withColumn(column, parsed)
+
+
 def write_csv(df: DataFrame, directory: str, mode: str = "overwrite") -> None:
     """K1: header + one CSV part per partition; timestamps with six fraction digits."""
     (df.write.mode(mode).option("header", True).option("timestampFormat", CSV_TIMESTAMP_FORMAT)
