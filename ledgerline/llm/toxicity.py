@@ -25,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def _feature_sets(column) -> Iterator[np.ndarray]:
         f, doc = word_features(raw[off[0]:off[-1]], off - off[0], BITS)
         key = np.unique((doc << BITS) | f)
         cut = np.searchsorted(key >> BITS, np.arange(j - i + 1))
-        key &= (1 << BITS) - 1
+        key = (key & ((1 << BITS) - 1)).astype(np.uint32)
         for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
             yield key[s:e]
 
@@ -69,9 +70,11 @@ def _feature_sets(column) -> Iterator[np.ndarray]:
 def _learn_shard(l1: float, epochs: int):
     """One shard of the sample, in the order of its hashes: gradient sums by coordinate."""
     def run(table):
-        table = table.sort_by([("draw", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
-        sets = list(_feature_sets(table.column("text")))
-        labels = table.column("toxic").to_pylist()
+        # sets of features in that order, made without a second copy of the texts
+        order = pc.sort_indices(table, [("draw", "ascending"), ("doc_id", "ascending"), ("text", "ascending")]).to_pylist()
+        sets, labels = list(_feature_sets(table.column("text"))), table.column("toxic").to_pylist()
+        K.trim()
+        sets, labels = [sets[k] for k in order], [labels[k] for k in order]
         m = Ftrl(BITS, alpha=ALPHA, l1=l1)
         for _ in range(epochs):
             for f, y in zip(sets, labels, strict=True):
