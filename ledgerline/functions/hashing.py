@@ -22,22 +22,25 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _shortest(c: Column, digits: Column, exponent: Column, sizes=(15, 16, 17)) -> Column:
+def _shortest(c: Column, digits: Column, exponent: Column, sizes: Column) -> Column:
     """The fewest of so many digits that read back as the same double: struct(digits, exponent of the first one)."""
-    n, tries = F.length(digits), []
-    for k in sizes:
+    n = F.length(digits)
+
+    def rounded(k):
+        """The digits at size k: the nearer neighbour, a half to even, and the other one."""
         unit = F.rpad(F.lit("1"), F.greatest(n - k, F.lit(0)) + 1, F.lit("0")).cast("decimal(20,0)")
-        half = F.call_function("div", unit, F.lit(2).cast("decimal(20,0)"))
         whole = digits.cast("decimal(20,0)")
-        low, up = F.call_function("div", whole, unit), whole + half
-        near = F.call_function("div", up, unit)
-        near = near - F.when((up % unit == 0) & (unit > 1), near % 2).otherwise(0)       # a half to even
-        for rounded in (near, low + low + 1 - near):            # the nearer one, and the other neighbour
-            text = rounded.cast("string")
-            first = exponent + F.length(text) - k               # a carry makes one digit more
-            back = F.concat(F.substring(text, 1, 1), F.lit("."), F.substring(text, 2, 20), F.lit("E"), first.cast("string")).try_cast("double")
-            tries.append(F.when((n > k) & (back == c), F.struct(F.regexp_replace(text, "0+$", "").alias("digits"), first.alias("exponent"))))
-    return F.coalesce(*tries, F.struct(digits.alias("digits"), exponent.alias("exponent")))
+        up = whole + F.call_function("div", unit, F.lit(2).cast("decimal(20,0)"))
+        low, near = F.call_function("div", whole, unit), F.call_function("div", up, unit)
+        near = near - F.when((up % unit == 0) & (unit > 1), near % 2).otherwise(0)
+        return _let(F.struct(low.alias("low"), near.alias("near")), lambda x: F.array(x["near"], x["low"] + x["low"] + 1 - x["near"]))
+
+    def same(k, text):
+        first = exponent + F.length(text) - k               # a carry makes one digit more
+        back = F.concat(F.substring(text, 1, 1), F.lit("."), F.substring(text, 2, 20), F.lit("E"), first.cast("string")).try_cast("double")
+        return F.when((n > k) & (back == c), F.struct(F.regexp_replace(text, "0+$", "").alias("digits"), first.alias("exponent")))
+    tries = F.flatten(F.transform(sizes, lambda k: F.transform(rounded(k), lambda r: same(k, r.cast("string")))))
+    return F.coalesce(F.get(F.filter(tries, lambda x: x.isNotNull()), F.lit(0)), F.struct(digits.alias("digits"), exponent.alias("exponent")))
 
 
 def _layout(digits: Column, exponent: Column) -> Column:
@@ -71,11 +74,11 @@ def double_text(c: Column) -> Column:
     integer = size.between(2.0 ** 53, 2.0 ** 63 - 1024)
     exact = F.when(integer, size).cast("bigint").cast("string")
     parts = F.when(integer, F.struct(exact.alias("digits"), (F.length(exact) - 1).alias("exponent"))).when(scientific, F.struct(digits.alias("digits"), exponent.alias("exponent"))).otherwise(F.struct(small.alias("digits"), at.alias("exponent")))
-
-    def sought(sizes):
-        return _let(_let(parts, lambda p: _shortest(size, p["digits"], p["exponent"], sizes)), lambda p: _layout(p["digits"], p["exponent"]))
     tiny = (size > 0) & (size < 2.3e-308)
-    text = F.when(tiny, sought(range(1, 18))).when(many, sought((15, 16, 17))).when(scientific, _layout(digits, exponent)).otherwise(spark_text)
+    sizes = F.when(tiny, F.sequence(F.lit(1), F.lit(17))).otherwise(F.array(*map(F.lit, (15, 16, 17))))
+    fewest = _let(parts, lambda p: _shortest(size, p["digits"], p["exponent"], sizes))
+    sought = _let(fewest, lambda p: _layout(p["digits"], p["exponent"]))
+    text = F.when(tiny | many, sought).when(scientific, _layout(digits, exponent)).otherwise(spark_text)
     negative = (c < 0) | (c.cast("string").startswith("-"))
     return (F.when(F.isnan(c), F.lit("nan")).when(spark_text == "Infinity", F.when(negative, F.lit("-inf")).otherwise(F.lit("inf")))
             .otherwise(F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), text)))

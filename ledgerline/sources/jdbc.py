@@ -1,11 +1,16 @@
-"""External database read/write through Spark's JDBC source.
+"""External database read/write through Spark's JDBC source (K10), and the staged load (K6).
 
 Equality filters and column selections on the returned frame are pushed into the database query
-by Spark; writes go out in parallel batches with the target column types stated.
+by Spark; writes go out in parallel batches with the target column types stated. A staged load writes the batch to a
+table of its own, in parallel; then one MERGE inside the database, in one transaction, updates matched rows and
+inserts the others, and the stage is dropped, also when the merge fails.
 """
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Column types for CREATE TABLE on the database side (lengths are the target's column limits)
@@ -51,3 +56,69 @@ def write_table(df: DataFrame, url: str, table: str, mode: str = "append", prope
     for k, v in (properties or {}).items():
         writer = writer.option(k, v)
     writer.mode(mode).save()
+
+
+@contextlib.contextmanager
+def _connection(spark: SparkSession, url: str, properties: dict):
+    """A connection of the driver process; committed at the end of the block, rolled back if it fails."""
+    jvm = spark._jvm
+    props = jvm.java.util.Properties()
+    for k, v in properties.items():
+        props.setProperty(k, str(v))
+    name = properties.get("driver") or jvm.java.sql.DriverManager.getDriver(url).getClass().getName()
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    connection = loader.loadClass(name).getDeclaredConstructor(None).newInstance(None).connect(url, props)
+    connection.setAutoCommit(False)
+    try:
+        yield connection
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def _execute(connection, sql: str, query: bool = False) -> int:
+    """Rows that a statement changed, or the one number that a query gives."""
+    statement = connection.createStatement()
+    try:
+        if not query:
+            return statement.executeUpdate(sql)
+        result = statement.executeQuery(sql)
+        result.next()
+        return result.getInt(1)
+    finally:
+        statement.close()
+
+
+def merge_sql(table: str, stage: str, columns: list[str], key: str, updated: list[str], quote: str = '"') -> str:
+    """One MERGE of a stage into a table: matched rows take the updated columns, others are inserted."""
+    def q(c):
+        return f"{quote}{c}{quote}"
+    return (f"MERGE INTO {table} AS t USING {stage} AS s ON t.{q(key)} = s.{q(key)} "
+            f"WHEN MATCHED THEN UPDATE SET {', '.join(f'{q(c)} = s.{q(c)}' for c in updated)} "
+            f"WHEN NOT MATCHED THEN INSERT ({', '.join(map(q, columns))}) VALUES ({', '.join(f's.{q(c)}' for c in columns)})")
+
+
+def merge_table(df: DataFrame, url: str, table: str, key: str, properties: dict | None = None, updated: list[str] | None = None,
+                column_types: str | None = TARGET_DDL_TYPES, batch_size: int = 10_000, quote: str = '"') -> dict:
+    """K6: upsert a frame into a database table by key; returns {"inserted", "updated"}.
+
+    ``updated``: the columns that matched rows take (all but the key). Keys must not repeat in the frame: the database refuses
+    the merge then, as it does for a row that breaks a constraint, and the table is as before.
+    """
+    properties, spark = dict(properties or {}), df.sparkSession
+    stage = f"stage_{uuid.uuid4().hex[:12]}"
+    columns = df.columns
+    sql = merge_sql(table, stage, columns, key, [c for c in columns if c != key] if updated is None else updated, quote)
+    try:
+        write_table(df, url, stage, "errorifexists", properties, column_types, batch_size)
+        with _connection(spark, url, properties) as connection:
+            both = f"SELECT count(*) FROM {table} t JOIN {stage} s ON t.{quote}{key}{quote} = s.{quote}{key}{quote}"
+            matched, total = _execute(connection, both, query=True), _execute(connection, f"SELECT count(*) FROM {stage}", query=True)
+            _execute(connection, sql)
+        return {"inserted": total - matched, "updated": matched}
+    finally:
+        with contextlib.suppress(Exception), _connection(spark, url, properties) as connection:     # there may be none
+            _execute(connection, f"DROP TABLE {stage}")

