@@ -10,6 +10,7 @@ where a block starts or ends, or at a line break element.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -44,6 +45,7 @@ BLOCKS = {"p": PARAGRAPH, "ul": LIST, "ol": LIST, "li": LIST, "dl": LIST, "dt":
 # an open element of these is ended by a start tag of the given ones
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"},
         "tbody": {"td", "th", "tr", "tbody", "thead"}, "tfoot": {"td", "th", "tr", "tbody", "thead"}}
+ENDED = {name: [own for own, by in ENDS.items() if name in by] for by in ENDS.values() for name in by}
 # what such an implied end doesn't reach through
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"},
          "tbody": {"table"}, "tfoot": {"table"}}
@@ -57,9 +59,18 @@ overlay dialog comment comments commentlist reply replies respond discussion dis
 newsletter subscribe subscription pagination pager tags tag meta byline skip hidden print contentinfo complementary""".split())
 
 
-@lru_cache(maxsize=20_000)
 def _attributes(text: str) -> tuple[int, int, int]:
     """(good words, bad words, planted label or -1) of an attribute string."""
+    return _read_attributes(text)[:3]
+
+
+def _attributes_of(text: str) -> tuple[int, int, int, bool]:
+    """The same and whether it marks the article, remembered for short strings."""
+    return _remembered(text) if len(text) <= 200 else _read_attributes(text)
+
+
+def _read_attributes(text: str) -> tuple[int, int, int, bool]:
+    """(good words, bad words, planted label or -1, whether it marks the article) of an attribute string."""
     good = bad = 0
     values = {}
     for name, value in ATTRIBUTE.findall(text):
@@ -68,7 +79,11 @@ def _attributes(text: str) -> tuple[int, int, int]:
         for w in WORDS.findall(CAMEL.sub(" ", values.get(name, "")).lower()):
             good += w in GOOD_WORDS
             bad += w in BAD_WORDS
-    return good, bad, {'"0"': 0, '"1"': 1}.get(values.get("data-y"), -1)
+    mark = values.get("role", "").strip("\"' ").lower() == "main" or "articlebody" in values.get("itemprop", "").lower()
+    return good, bad, {'"0"': 0, '"1"': 1}.get(values.get("data-y"), -1), mark
+
+
+_remembered = lru_cache(maxsize=20_000)(_read_attributes)
 
 
 def tokens(html: str) -> list[tuple[str, str, str, str]]:
@@ -99,7 +114,7 @@ class Page:
         self._read(html)
 
     def _read(self, html: str) -> None:
-        stack = [("html", 0)]
+        stack, is_open = [("html", 0)], Counter()            # open elements, and how many of each name
         at, in_link, pieces, linked = 0, False, [], 0
         parent, kind, tags, inputs, segments = self.parent, self.kind, self.tags, self.inputs, self.segments
 
@@ -135,31 +150,32 @@ class Page:
                         inputs[at] += 1
                 continue
             if name in ("html", "body"):                     # one of each, whatever the markup says
-                if not close and attrs:
-                    good, bad, _ = _attributes(attrs)
                 continue
             flush()
             in_link = False
             if close:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
+                while is_open[name]:                         # an end tag of nothing that is open ends nothing
+                    last = stack.pop()[0]
+                    is_open[last] -= 1
+                    if last == name:
                         break
                 at = stack[-1][1]
                 continue
             # implied ends: a block ends an open paragraph; items and cells end their like
             if stack[-1][0] == "p":
                 stack.pop()
-            for k in range(len(stack) - 1, 0, -1):
+                is_open["p"] -= 1
+            for k in range(len(stack) - 1, 0, -1) if any(is_open[x] for x in ENDED.get(name, ())) else ():
                 own = stack[k][0]
                 if name in ENDS.get(own, ()):
+                    is_open.subtract(x[0] for x in stack[k:])
                     del stack[k:]
                     break
                 if own in HOLDS.get(name, ()) or name not in HOLDS:
                     break
-            good, bad, label = _attributes(attrs) if attrs else (0, 0, -1)
+            good, bad, label, mark = _attributes_of(attrs) if attrs else (0, 0, -1, False)
             parent.append(stack[-1][1])
-            kind.append(block)
+            kind.append(ARTICLE if mark and block == PART else block)
             self.good.append(good)
             self.bad.append(bad)
             self.label.append(label)
@@ -167,6 +183,7 @@ class Page:
             inputs.append(int(name == "button"))
             at = len(parent) - 1
             stack.append((name, at))
+            is_open[name] += 1
         flush()
 
 

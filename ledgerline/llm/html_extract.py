@@ -5,11 +5,13 @@ words, its place (depth, siblings, position in the page), its own text and its s
 density, links, punctuation, inputs), its siblings and its parent.
 
 *Learning.* No page is labelled, so labels are made from a bounded sample of pages, drawn by a hash of
-their id (about ``MAX_PAGES``), whatever the table's size. Pages that mark their article (article,
-main, role=main, itemprop) give weak labels: its blocks are text, what stands outside it or in a part
-marked as something else is not. Each such page is also rebuilt in other shapes (containers and
+their id (about ``MAX_PAGES``), whatever the table's size, among the pages that mark their article (article,
+main, role=main, itemprop=articleBody). The marks give weak labels: the article's blocks are text, what stands outside it or in a
+part marked as something else is not. Each such page is also rebuilt in other shapes (containers and
 class names of other kinds or none, menus, sidebars, notices, adverts, forms, reader comments), with the
-labels known; so the trees learn from density, links and place, not from one tag.
+labels known; so the trees learn from density, links and place, not from one tag. If no page of the table marks its
+article, the blocks that rules take for text (outside menus, forms and badly named parts) are
+rebuilt in these shapes, and the trees learn from the rebuilt pages alone.
 
 *Decoding.* Each node is text or not; a node that is dropped drops its whole subtree, so a kept node
 never stands in a dropped one. Of all such labellings the most probable one is found exactly, by
@@ -20,8 +22,8 @@ that a node holds.
 blocks (a line break element ends one too) follow in page order, joined by one line feed.
 
 Rows: null or empty html gives the empty text; text without any markup is one block; null urls, null ids
-(not drawn for the sample) and repeated rows pass through; extra columns are ignored. A table whose
-pages give no training nodes is decoded by the marks alone. An empty table gives an empty result.
+(not drawn for the sample) and repeated rows pass through; extra columns are ignored. Pages without any text
+give no training nodes, and trees that weren't learned leave the rules to decide. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -91,6 +93,11 @@ def marked(f: Forest) -> tuple[np.ndarray, np.ndarray]:
     return kept, has[f.page] if len(f.kind) else np.zeros(0, bool)
 
 
+def _by_rule(f: Forest) -> np.ndarray:
+    """Labels of pages without marks: what stands in no menu, form or badly named part."""
+    return ~f.down((f.kind == EDGE) | (f.kind == FORM) | (f.bad > f.good))
+
+
 def _planted(f: Forest) -> np.ndarray:
     """Labels of rebuilt pages: the nearest planted label above, and what leads to a text."""
     label = f.label.copy()
@@ -187,19 +194,23 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         originals = [Page(h) for h in b.column("html").to_pylist() if h]
         forest = Forest(originals)
         label, known = marked(forest)
-        rebuilt = []
+        label = np.where(known, label, _by_rule(forest)) if len(label) else label
+        rebuilt, from_marks = [], []
         for p in range(len(originals)):
             mine = np.flatnonzero(forest.segment_page == p)
-            if not len(mine) or not known[forest.first[p]]:
+            if not len(mine):
                 continue
             keep = label[forest.segment_node[mine]]
             inside = [forest.texts[k] for k in mine[keep]]
             outside = [forest.texts[k] for k in mine[~keep]]
             seed = zlib.crc32(" ".join(inside)[:2000].encode())
             rebuilt.extend(Page(rebuild(inside, outside, seed + v)) for v in range(VARIANTS) if inside)
+            from_marks.extend([bool(known[forest.first[p]])] * VARIANTS if inside else [])
         other = Forest(rebuilt)
-        for f, y, ok in ((forest, label, known), (other, _planted(other) if len(other.kind) else label[:0], np.ones(len(other.kind), bool))):
-            if not len(f.kind):
+        by_mark = np.array(from_marks, bool)[other.page] if rebuilt else np.zeros(0, bool)
+        planted = _planted(other) if len(other.kind) else label[:0]
+        for f, y, ok, marks in ((forest, label, known, True), (other, planted, by_mark, True), (other, planted, ~by_mark, False)):
+            if not ok.any():
                 continue
             x = features(f)
             size = np.bincount(f.page)
@@ -208,17 +219,27 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = ok & (place % step == 0) & (f.parent >= 0)
             weight = 1 + np.log1p(f.chars) + 0.3 * np.log1p(f.up(f.chars))
             yield pa.RecordBatch.from_pydict({
-                "n": pa.array([int(take.sum())], pa.int64()), "x": [x[take].astype(np.float32).tobytes()],
+                "n": pa.array([int(take.sum())], pa.int64()), "marks": pa.array([marks]), "x": [x[take].astype(np.float32).tobytes()],
                 "y": [y[take].astype(np.uint8).tobytes()], "weight": [weight[take].astype(np.float32).tobytes()]})
 
 
+# pages that may mark their article; the nodes decide
+MAY_MARK = r"(?i)<(article|main)[\s>/]|role\s*=\s*[\"']?\s*main|itemprop\s*=[^>]*articlebody"
+
+
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = MAX_PAGES) -> Trees | None:
-    """Learn from a bounded sample of pages; None if no page marks its article."""
+    """Learn from a bounded sample of the pages that mark their article, or of all if none does; None without any text."""
     pages = rename_clear(pages, {"page_id": id_col, "html": html_col}).filter(F.col("page_id").isNotNull())
-    n = pages.count()
+    may = F.coalesce(F.col("html").rlike(MAY_MARK), F.lit(False))
+    n, n_marked = pages.agg(F.count(F.lit(1)), F.count_if(may)).first()
     draw = F.pmod(F.xxhash64(F.col("page_id").cast("string")), F.lit(1 << 30))
-    sample = pages.filter(draw < int(min(1.0, max_pages / max(n, 1)) * (1 << 30))).select("html")
-    got = sample.mapInArrow(_training, "n long, x binary, y binary, weight binary").collect()   # bounded: MAX_PAGES * MAX_NODES * shapes
+
+    def learned_from(some: DataFrame, size: int) -> list:
+        sample = some.filter(draw < int(min(1.0, max_pages / max(size, 1)) * (1 << 30))).select("html")
+        return sample.mapInArrow(_training, "n long, marks boolean, x binary, y binary, weight binary").collect()   # bounded: MAX_PAGES * MAX_NODES * shapes
+    got = [r for r in learned_from(pages.filter(may), n_marked) if r.marks] if n_marked else []
+    if not sum(r.n for r in got):
+        got = learned_from(pages, n)
     rows = sum(r.n for r in got)
     if not rows:
         return None
@@ -255,7 +276,7 @@ def texts_of(htmls: list[str | None], trees: Trees | None) -> list[str]:
         odds = trees.predict(features(f))
     else:
         label, known = marked(f)
-        odds = np.where(known, np.where(label, 4.0, -4.0), np.where(f.down((f.kind == EDGE) | (f.kind == FORM) | (f.bad > f.good)), -4.0, 4.0))
+        odds = np.where(np.where(known, label, _by_rule(f)), 4.0, -4.0) if len(label) else np.zeros(0)
     kept = decode(f, odds)
     out: list[list[str]] = [[] for _ in htmls]
     for page, node, text in zip(f.segment_page.tolist(), f.segment_node.tolist(), f.texts, strict=True):

@@ -138,3 +138,60 @@ def test_trees_learn_a_rule():
     y = ((x[:, 0] > 0.5) ^ (x[:, 3] > 0.3)).astype(float)
     t = Trees(n_trees=30).fit(x[:3000], y[:3000], np.ones(3000))
     assert ((t.predict(x[3000:]) > 0) == (y[3000:] > 0)).mean() > 0.95
+
+
+PLAIN = """<html><body><div><ul><li><a href="/">Home</a></li><li><a href="/n">News {k}</a></li><li><a href="/s">Sport</a></li><li><a href="/c">Contact</a></li></ul></div>
+<div><div><h1>Headline {k} of the day</h1><p>{a}</p><p>{b}</p></div></div><div>&copy; Site {k}</div></body></html>"""
+
+
+def plain_pages(n):
+    words = "water market council school garden letter winter report machine valley people office number season history river music bridge".split()
+
+    def sentence(k):
+        r = np.random.default_rng(k)
+        return " ".join(" ".join(r.choice(words, 9)).capitalize() + "." for _ in range(6))
+    return [(k, "u", PLAIN.format(k=k, a=sentence(k), b=sentence(1000 + k))) for k in range(n)]
+
+
+def test_a_table_without_marks_is_still_learned(spark):
+    rows = plain_pages(60)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    trees = H.fit(df)
+    assert trees is not None
+    good = 0
+    for (_, _, html), r in zip(rows, H.extract(df, trees).orderBy("page_id").collect(), strict=True):
+        wanted = html.split("<p>")[1].split("</p>")[0], html.split("<p>")[2].split("</p>")[0]
+        assert all(w in r.text for w in wanted)
+        good += "Sport" not in r.text
+    assert good > 50                                         # the plain menu goes, by its links
+
+
+def test_role_and_itemprop_mark_an_article():
+    f = Forest([Page(f"<div>{x}<p>{S1}</p></div><div>other</div>") for x in ("", "")] + [
+        Page(f'<div role="main"><p>{S1}</p></div><div>other</div>'), Page(f"<div itemprop='articleBody'><p>{S1}</p></div><div>other</div>"),
+        Page(f"<section role=main><p>{S1}</p></section>"), Page(f'<div class="main"><p>{S1}</p></div>'), Page(f"<main><p>{S1}</p></main>")])
+    kept, known = H.marked(f)
+    assert [bool(known[k]) for k in f.first] == [False, False, True, True, True, False, True]
+    assert [t for n, t in zip(f.segment_node, f.texts, strict=True) if kept[n]] == [S1] * 4
+
+
+def test_marked_pages_are_sampled_wherever_they_are(spark):
+    rows = plain_pages(300) + [(1000 + k, "u", h.replace("<div><div><h1>", "<div><div role='main'><h1>")) for k, _, h in plain_pages(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert df.filter(F.col("html").rlike(H.MAY_MARK)).count() == 3
+    assert H.fit(df, max_pages=40) is not None
+
+
+def test_stray_end_tags_and_deep_pages_take_linear_time():
+    import time
+
+    def took(n):
+        t = time.process_time()
+        page = Page("<div>" * n + "</p></li></td>" * n + "text" + "<ul>" + "<div>" * n + "<li>a</li>" * n)
+        assert [s[1] for s in page.segments][:2] == ["text", "a"]
+        return time.process_time() - t
+    took(500)
+    assert took(16_000) < 30 * max(took(2_000), 0.004)
+    # an end tag ends what it names, whatever is open in it; one of nothing that is open ends nothing
+    page = Page("<div><p>one</p></p></section>two<ul><li>three<div>four</ul>five</div>six")
+    assert [s[1] for s in page.segments] == ["one", "two", "three", "four", "five", "six"]
