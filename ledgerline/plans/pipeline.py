@@ -105,7 +105,9 @@ class ReconciliationJob:
                 if not order_by:
                     raise ValueError("an explicit row order is needed for keep-first dedup")
                 stage = "dedup"
-                clean = D.with_content_hash(v.valid().drop(MALFORMED))
+                clean = v.valid().drop(MALFORMED)
+                if self.dedup_strategy != "hash":                # which hashes by itself
+                    clean = D.with_content_hash(clean)
                 deduped, _ = D.deduplicate(clean, self.dedup_strategy, order_by, self.key_columns)
                 # the write also fixes the numbers that new ids follow
                 deduped = deduped.drop(ROW).withColumns({"is_duplicate": F.lit(0), U.SEQ: F.monotonically_increasing_id()})

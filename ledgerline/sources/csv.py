@@ -39,12 +39,18 @@ ORDER_TAGS = ["_file", "_block", "_pos"]
 
 # -- files in ranges -------------------------------------------------------------------------------
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """The physical lines of the files, in order, with the range that each begins in."""
+    """The physical lines of the files, in order, with the key of their file and the place of the range that each begins in."""
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         # ranges must not change between two passes when executors come or go
         spark.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
     return spark.read.option("lineSep", "\n").text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+        F.col("value").alias("line"), F.xxhash64("_metadata.file_path").alias("_key"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(_key, _file, _same) of every file; no file is opened. A path beside every line would cost more than the line."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"))
+    return files.groupBy(F.xxhash64("_file").alias("_key")).agg(F.min("_file").alias("_file"), F.count(F.lit(1)).alias("_same"))
 
 
 def _placed(summaries: DataFrame) -> DataFrame:
@@ -64,7 +70,7 @@ def _placed(summaries: DataFrame) -> DataFrame:
     # this window has no partitions: it runs over one row for each range of the input
     every = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn("first_row", F.coalesce(F.sum(F.col("records") - F.col("header")).over(every), F.lit(0))).select(
-        "_file", "_block", "open", "first_row", "header", "crlf", "head")
+        "_key", "_file", "_same", "_block", "open", "first_row", "header", "crlf", "head")
 
 
 def _from_csv(text: Column, names: list[str], malformed: str) -> Column:
@@ -84,9 +90,11 @@ def _checked(ranges: DataFrame, width: int) -> tuple[DataFrame, bool, bool]:
     told = ranges.withColumn("_names", names).observe(
         facts, F.max(F.when(first & F.col("head").isNull(), F.col("_file"))).alias("late"),
         F.max(F.when(first & head.rlike("\r[^\n]"), F.col("_file"))).alias("cr"), F.min("_names").alias("least"), F.max("_names").alias("most"),
-        F.max_by("_file", "_names").alias("other"), F.max("open").alias("open"))
-    stored, _, size = materialize(told.drop("head", "_names"))
-    found = observed(facts, late=None, cr=None, least=None, most=None, other=None, open=None)
+        F.max_by("_file", "_names").alias("other"), F.max("open").alias("open"), F.max("_same").alias("same"))
+    stored, _, size = materialize(told.select("_key", "_block", "open", "first_row", "header", "crlf"))
+    found = observed(facts, late=None, cr=None, least=None, most=None, other=None, open=None, same=None)
+    if (found["same"] or 1) > 1:
+        raise ValueError("two files have one key: rename one")
     if found["late"]:
         raise ValueError(f"the header of {found['late']} does not end within the first range of the file")
     if found["cr"]:
@@ -118,12 +126,13 @@ def _scan_ranges(spark: SparkSession, path: str, null_tokens: list[str] | None,
     """Values and row number (``_row``) of every record; see the module text."""
     names = spark.read.options(header=True, multiLine=True, escape='"').csv(path).columns
     lines = _lines(spark, path)
-    ranges, small, crossing = _checked(_placed(lines.mapInArrow(csvranges.summaries, csvranges.SUMMARIES_DDL)), len(names))
-    if not small:                # some 100 bytes a range: beyond the broadcast limit the lines meet their range in a shuffle
+    summaries = lines.mapInArrow(csvranges.summaries, csvranges.SUMMARIES_DDL).join(_files(spark, path), "_key")
+    ranges, small, crossing = _checked(_placed(summaries), len(names))
+    if not small:                # some 40 bytes a range: beyond the broadcast limit the lines meet their range in a shuffle
         lines = lines.withColumn("_pos", F.monotonically_increasing_id())
-    told = join_on_keys(lines, ranges, ["_file", "_block"], how="left", small=small)
+    told = join_on_keys(lines, ranges, ["_key", "_block"], how="left", small=small)
     if not small:
-        told = told.repartition("_file", "_block").sortWithinPartitions("_file", "_block", "_pos").drop("_pos")
+        told = told.repartition("_key", "_block").sortWithinPartitions("_key", "_block", "_pos").drop("_pos")
     rows = told.mapInArrow(csvranges.records, csvranges.RECORDS_DDL)
     if not crossing:
         return _parsed(rows, names, null_tokens, malformed)

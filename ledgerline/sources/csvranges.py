@@ -30,46 +30,52 @@ FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"(?:[^",][^,]*+)?+|(?:[^",][^,]*+)?+)'
 CLOSES = re.compile(rf"(?:{FIELD},)*+{FIELD}")                                             # from the beginning of a record
 CLOSES_OPEN = re.compile(rf'[^"]*+(?:""[^"]*+)*+"(?:[^",][^,]*+)?+(?:,{FIELD})*+')         # from inside a quoted value
 
-SUMMARIES_DDL = ("_file string, _block long, closed_end boolean, open_end boolean, closed_records long, open_records long, "
+SUMMARIES_DDL = ("_key long, _block long, closed_end boolean, open_end boolean, closed_records long, open_records long, "
                  "closed_cr long, open_cr long, head string")
 RECORDS_DDL = "_text string, row long, _piece long, _crlf boolean"
 
 
 def states_before(lines: pa.Array, begin: tuple[bool, ...]) -> list[np.ndarray]:
-    """For each state at the beginning: whether a quoted value is open before each line, and after the last one."""
+    """For each state at the beginning: whether a quoted value is open before each line, and after the last one.
+
+    States that have met stay together: from there on a line is read once for all of them.
+    """
     quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+    reads = (CLOSES.fullmatch, CLOSES_OPEN.fullmatch)
+    chains = [[state] for state in begin]
     texts = lines.take(pa.array(quoted)).to_pylist()
-    from_closed = np.fromiter((CLOSES.fullmatch(t) is None for t in texts), bool, len(texts))
-    from_open = np.fromiter((CLOSES_OPEN.fullmatch(t) is None for t in texts), bool, len(texts))
-    # the state after a line: that of the last line that decides it, turned by the lines since that swap it
-    swaps = np.cumsum(from_closed & ~from_open)
-    last = np.maximum.accumulate(np.where(from_closed == from_open, np.arange(len(texts)), -1))
-    at = np.maximum(last, 0)
+    met = len(set(begin)) == 1
+    for k, t in enumerate(texts):
+        if met:                                               # the rest of the lines, for one state
+            state, rest = chains[0][-1], []
+            for t in texts[k:]:
+                state = reads[state](t) is None
+                rest.append(state)
+            for chain in chains:
+                chain.extend(rest)
+            break
+        for chain in chains:
+            chain.append(reads[chain[-1]](t) is None)
+        met = len({chain[-1] for chain in chains}) == 1
     passed = np.searchsorted(quoted, np.arange(len(lines) + 1))           # quoted lines before each line
-    out = []
-    for state in begin:
-        decided = np.where(last >= 0, from_closed[at], state) if len(texts) else np.zeros(0, bool)
-        turned = (swaps - np.where(last >= 0, swaps[at], 0)) % 2 == 1 if len(texts) else decided
-        out.append(np.concatenate([[state], decided ^ turned])[passed])
-    return out
+    return [np.array(chain, bool)[passed] for chain in chains]
 
 
 def _segments(b: pa.RecordBatch) -> Iterator[tuple[int, int]]:
     """Runs of lines of one range."""
-    block = b.column("_block").to_numpy()
-    file = b.column("_file").dictionary_encode().indices.to_numpy()
-    cut = np.flatnonzero((block[1:] != block[:-1]) | (file[1:] != file[:-1])) + 1
+    key, block = b.column("_key").to_numpy(), b.column("_block").to_numpy()
+    cut = np.flatnonzero((block[1:] != block[:-1]) | (key[1:] != key[:-1])) + 1
     yield from zip([0, *cut.tolist()], [*cut.tolist(), len(block)], strict=True) if len(block) else ()
 
 
 def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each range of (line, _file, _block): what it does to both states, and its records under each.
+    """A row for each range of (line, _key, _block), a file's key and the range's place in it: what it does to both states, and its records under each.
 
     ``*_cr`` counts, among the records, lines of a single carriage return: blank ones where lines end in CR LF.
     ``head`` is the first record of a file's first range, the header, with its line break's carriage return.
     """
     now = None
-    schema = pa.schema([("_file", pa.string()), ("_block", pa.int64()), ("closed_end", pa.bool_()), ("open_end", pa.bool_()),
+    schema = pa.schema([("_key", pa.int64()), ("_block", pa.int64()), ("closed_end", pa.bool_()), ("open_end", pa.bool_()),
                         *[(c, pa.int64()) for c in ("closed_records", "open_records", "closed_cr", "open_cr")], ("head", pa.string())])
 
     def ended():
@@ -78,11 +84,11 @@ def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         lines = b.column("line")
         for s, e in _segments(b):
-            file, block = b.column("_file")[s].as_py(), b.column("_block")[s].as_py()
-            if now is None or (now["_file"], now["_block"]) != (file, block):
+            file, block = b.column("_key")[s].as_py(), b.column("_block")[s].as_py()
+            if now is None or (now["_key"], now["_block"]) != (file, block):
                 if now is not None:
                     yield ended()
-                now = {"_file": file, "_block": block, "closed_end": False, "open_end": True, "closed_records": 0,
+                now = {"_key": file, "_block": block, "closed_end": False, "open_end": True, "closed_records": 0,
                        "open_records": 0, "closed_cr": 0, "open_cr": 0, "head": None, "lines": []}
             part = lines.slice(s, e - s)
             blank = pc.equal(part, "").to_numpy(zero_copy_only=False)
@@ -129,13 +135,13 @@ def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         lines = b.column("line")
         for s, e in _segments(b):
-            own = (b.column("_file")[s].as_py(), b.column("_block")[s].as_py())
+            own = (b.column("_key")[s].as_py(), b.column("_block")[s].as_py())
             if own != key:
                 if held is not None:                         # it goes on in the next range
                     yield out(["\n".join(held)], [row], key[1], ended=False)
                 first = {c: b.column(c)[s].as_py() for c in ("open", "first_row", "header", "crlf")}
                 if first["open"] is None:
-                    raise RangesChanged(f"{own} was not a range when the files were first read")
+                    raise RangesChanged(f"there was no range at {own[1]} when the files were first read")
                 key, state, row = own, first["open"], first["first_row"] - 1 - first["header"]
                 held, whole = ([], False) if state else (None, True)
             part = lines.slice(s, e - s)
@@ -162,10 +168,14 @@ def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row += len(closed) + (held is not None)
             if len(numbers) and numbers[0] < first["first_row"]:
                 closed, ends, numbers = closed[1:], ends[1:], numbers[1:]                  # the header
-            if (ends - closed == 1).all():
-                yield out(part.take(pa.array(closed, pa.int64())), numbers, None)
-            else:
-                each = part.to_pylist()
-                yield out([each[i] if j == i + 1 else "\n".join(each[i:j]) for i, j in zip(closed.tolist(), ends.tolist(), strict=True)], numbers, None)
+            one = ends - closed == 1                         # the others are few, or the text is theirs
+            if one.any():
+                yield out(part.take(pa.array(closed[one], pa.int64())), numbers[one], None)
+            if not one.all():
+                closed, ends, numbers = closed[~one], ends[~one], numbers[~one]
+                size = ends - closed
+                each = part.take(pa.array(np.repeat(closed - np.cumsum(size) + size, size) + np.arange(size.sum()))).to_pylist()
+                cut = np.cumsum(size).tolist()
+                yield out(["\n".join(each[i:j]) for i, j in zip([0, *cut[:-1]], cut, strict=True)], numbers, None)
     if held is not None:
         yield out(["\n".join(held)], [row], key[1], ended=False)

@@ -42,7 +42,7 @@ def by_ranges(lines, cuts, batch):
     block = np.zeros(len(lines), np.int64)
     for c in bounds:
         block[c:] = 10 * c
-    frame = pa.RecordBatch.from_pydict({"line": pa.array(lines, pa.string()), "_file": pa.array(["f"] * len(lines), pa.string()), "_block": block})
+    frame = pa.RecordBatch.from_pydict({"line": pa.array(lines, pa.string()), "_key": np.full(len(lines), 7), "_block": block})
     batches = [frame.slice(k, batch) for k in range(0, len(lines), batch)]
     ranges = [r for b in X.summaries(iter(batches)) for r in b.to_pylist()]
     state, first, told = False, 0, {}
