@@ -95,10 +95,10 @@ def test_the_rest_works_without_this_subpackage(tmp_path):
     assert "['ops" not in out.stdout and "[]" in out.stdout
 
 
-def test_all_eleven_queries_are_registered():
+def test_all_fourteen_queries_are_registered():
     import __spark_entry__ as E
     names = [k for k in E.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
