@@ -432,10 +432,10 @@ WHERE fecha_operacion IS NOT NULL AND cuenta_origen IS NOT NULL"""
 ORACLES["parse_dates_voted"] = """
 WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%d') WHEN 2 THEN strftime(l_shipdate, '%m/%d/%Y')
              WHEN 7 THEN 'no date' ELSE strftime(l_shipdate, '%d/%m/%Y') END AS t FROM lineitem),
-layouts(place, layout) AS (VALUES (1, '%Y-%m-%d'), (2, '%d/%m/%Y'), (3, '%m/%d/%Y')),
-votes AS (SELECT place, layout, count(try_strptime(t, layout)) AS votes FROM v, layouts GROUP BY place, layout),
-best AS (SELECT layout FROM votes ORDER BY votes DESC, place LIMIT 1)
-SELECT l_orderkey, l_linenumber, l_partkey, try_strptime(t, layout) AS fecha FROM v, best"""
+read AS (SELECT *, try_strptime(t, '%Y-%m-%d') AS d1, try_strptime(t, '%d/%m/%Y') AS d2, try_strptime(t, '%m/%d/%Y') AS d3 FROM v),
+votes AS (SELECT 1 AS place, count(d1) AS votes FROM read UNION ALL SELECT 2, count(d2) FROM read UNION ALL SELECT 3, count(d3) FROM read),
+best AS (SELECT place FROM votes ORDER BY votes DESC, place LIMIT 1)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE place WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END AS fecha FROM read, best"""
 _WHOLE = "fecha_operacion IS NOT NULL AND cuenta_origen IS NOT NULL"      # required columns
 ORACLES["target_merge"] = ORACLES["target_merge_bucketed"] = UPSERT_BASE + f"SELECT * EXCLUDE (id, action) FROM merged WHERE {_WHOLE}"
 ORACLES["target_append"] = UPSERT_BASE + f"""SELECT {', '.join(TARGET_COLS)} FROM tgt WHERE {_WHOLE}
