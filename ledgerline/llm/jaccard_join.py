@@ -20,7 +20,8 @@ word n-grams. Method:
    remaining lengths can't reach the needed overlap or all its sets already share the probe's
    class. A hub with many members (a third of all rows may be near copies) is cut into chunks,
    each of which gets the hub's pivot document; members that don't join the pivot's class are
-   then probed against every other chunk, so no link is lost and no task holds an unbounded group.
+   then probed against every other chunk, so no link is lost. A chunk holds a bounded number of sets; the probes that come to
+   it are as many as the hub has such members.
 5. *Classes*: connected components of the links (large-star / small-star).
 
 Grams are compared by 55 or more bits of a 64-bit hash inside a bucket; texts are never cut.
