@@ -2,22 +2,25 @@
 
 Each row gets an ``array<struct<column, error>>`` of its failures, built from one ``when`` per
 rule; uniqueness is the only rule that needs other rows and is attached from a per-key table
-(see ``plans.keyjoin``). Valid rows are those with an empty array, and come out typed.
+(see ``plans.keyjoin``). Before that join the other rules are worked out to one bit each, so that it
+moves what its reader asks for, and not every column that a rule looks at. Valid rows are those with
+an empty array, and come out typed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schema as S
 from ledgerline.operators.dedup import order_value
 from ledgerline.operators.rules import RuleSet, default_rules, row_rules, typed
-from ledgerline.plans.keyjoin import join_on_keys
+from ledgerline.plans.keyjoin import join_on_keys, materialize, sized_side
 
 FAILURES = "_failures"
 FAILED = "_failed"
@@ -30,61 +33,87 @@ def _money_text(total):
     return F.regexp_replace(text, r"(\.\d\d\d*?)0*$", "$1")
 
 
-def _unique_flag(df: DataFrame, spec, raw_type, rules: RuleSet, flag: str) -> DataFrame:
-    """Add boolean ``flag``: the row breaks uniqueness of ``spec.name`` (null keys never do)."""
+def _unique_key(rows: DataFrame, spec) -> tuple[DataFrame, str]:
+    """The rows with the typed values of a column that must be unique, and their name: its own, if it has its type already."""
+    raw_type = rows.schema[spec.name].dataType
+    if raw_type == S.SPARK_TYPES[spec.dtype]:
+        return rows, spec.name
     key = f"__ukey_{spec.name}"
-    keyed = df.withColumn(key, typed(F.col(spec.name), raw_type, spec.dtype, spec.formats))
-    present = keyed.filter(F.col(key).isNotNull())
-    if rules.unique_mode == "keep_first":
-        if not rules.order_by:
-            raise ValueError("unique_mode='keep_first' needs order_by")
-        order = order_value(keyed, list(rules.order_by))
-        stats = (present.groupBy(key)
-                 .agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__first"))
-                 .filter(F.col("__n") > 1).select(key, "__first"))
-        joined = join_on_keys(keyed, stats, [key])
-        flagged = joined.withColumn(flag, F.col("__first").isNotNull() & ~order.eqNullSafe(F.col("__first")))
-        return flagged.drop("__first", key)
-    if rules.unique_mode != "reject_all":
-        raise ValueError(f"Unknown unique_mode: {rules.unique_mode}")
-    stats = (present.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-             .filter(F.col("__n") > 1).select(key, F.lit(True).alias(flag)))
-    joined = join_on_keys(keyed, stats, [key])
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop(key)
-
+    return rows.withColumn(key, typed(F.col(spec.name), raw_type, spec.dtype, spec.formats)), key
 
-def annotate(df: DataFrame, rules: RuleSet) -> DataFrame:
-    """The input with ``_failed``, whether the row breaks a rule, and ``_failures``, every (column, error) it breaks.
 
-    ``_failed`` is one boolean expression inside the generated code. ``_failures`` filters an array, which Spark
-    evaluates outside of it, expression by expression: it is only worked out for rows that fail.
-    """
+def _unique_flag(df: DataFrame, spec, rules: RuleSet, flag: str) -> Callable[[DataFrame], DataFrame]:
+    """What adds boolean ``flag`` to rows of ``df``: the row breaks uniqueness of ``spec.name`` (null keys never do)."""
+    if rules.unique_mode not in ("reject_all", "keep_first"):
+        raise ValueError(f"Unknown unique_mode: {rules.unique_mode}")
+    if rules.unique_mode == "keep_first" and not rules.order_by:
+        raise ValueError("unique_mode='keep_first' needs order_by")
+    keyed, key = _unique_key(df, spec)
+    counts = keyed.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__ukey"))
+    if rules.unique_mode == "keep_first":
+        order = order_value(df, list(rules.order_by))
+        stats = counts.agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__first"))
+        broken = F.col("__first").isNotNull() & ~order.eqNullSafe(F.col("__first"))
+    else:
+        stats = counts.agg(F.count(F.lit(1)).alias("__n")).withColumn("__first", F.lit(True))
+        broken = F.coalesce(F.col("__first"), F.lit(False))
+    stats, small = sized_side(stats.filter(F.col("__n") > 1).select("__ukey", "__first"))
+
+    def add(rows: DataFrame) -> DataFrame:
+        rows, own = _unique_key(rows, spec)
+        joined = join_on_keys(rows, stats.withColumnRenamed("__ukey", own), [own], small=small)
+        return joined.withColumn(flag, broken).drop("__first", *([own] if own != spec.name else []))
+    return add
+
+
+def _checks(df: DataFrame, rules: RuleSet) -> list[tuple[Column, str, str]]:
+    """(failed?, column, error) of every rule that a row breaks by itself; last that the scan could not split it."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    checks: list[tuple] = []
-    for spec in rules.columns:
-        if spec.name not in types:
-            continue
-        checks.extend(row_rules(spec, F.col(spec.name), types[spec.name], rules))
-    flags = []
-    if rules.wants("unique"):
-        for spec in rules.columns:
-            if spec.unique and spec.name in types:
-                flag = f"__dup_{spec.name}"
-                df = _unique_flag(df, spec, types[spec.name], rules, flag)
-                flags.append(flag)
-                checks.append((F.col(flag), spec.name, S.MSG_UNIQUE))
+    checks = [c for spec in rules.columns if spec.name in types
+              for c in row_rules(spec, F.col(spec.name), types[spec.name], rules)]
     if MALFORMED in types:
-        # a row that the scan could not split: nothing else of it can be judged
+        # nothing else of such a row can be judged
         bad = F.col(MALFORMED).isNotNull()
         checks = [(~bad & cond, c, e) for cond, c, e in checks] + [(bad, MALFORMED, S.MSG_MALFORMED_ROW)]
+    return checks
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def _with_failures(df: DataFrame, failed: Column, checks: list[tuple[Column, str, str]]) -> DataFrame:
+    """The rows with ``_failed``, one boolean expression inside the generated code, and ``_failures``, which filters an array.
+
+    Spark evaluates that outside of the generated code, expression by expression: it is only worked out for rows that fail.
+    """
     item = T.StructType([T.StructField("column", T.StringType()), T.StructField("error", T.StringType())])
     none = F.array().cast(T.ArrayType(item))
-    if not checks:
-        return df.withColumns({FAILED: F.lit(False), FAILURES: none}).drop(*flags)
-    failed = reduce(lambda a, b: a | b, [cond for cond, _, _ in checks])
     found = F.filter(F.array(*[F.when(cond, F.struct(F.lit(c).alias("column"), F.lit(e).alias("error")))
                                for cond, c, e in checks]), lambda x: x.isNotNull())
-    return df.withColumns({FAILED: failed, FAILURES: F.when(failed, found).otherwise(none)}).drop(*flags)
+    return df.withColumns({FAILED: failed, FAILURES: F.when(failed, found).otherwise(none) if checks else none})
+
+
+class Marks:
+    """The rules that a row breaks by itself, beside it: whether it breaks any, and which, as bits of long columns."""
+
+    BROKEN, BITS = "__broken", 62
+
+    def __init__(self, df: DataFrame, rules: RuleSet):
+        checks = _checks(df, rules)
+        bits = [F.when(cond, F.lit(1 << k % self.BITS)).otherwise(F.lit(0)).cast("long") for k, (cond, _, _) in enumerate(checks)]
+        words = [bits[k:k + self.BITS] for k in range(0, len(bits), self.BITS)]
+        failed = _any([cond for cond, _, _ in checks])
+        marked = {f"__rules{k}": F.when(failed, reduce(lambda a, b: a.bitwiseOR(b), w)).otherwise(F.lit(0).cast("long")) for k, w in enumerate(words)}
+        self.columns = [self.BROKEN, *marked]
+        self.rows = df.withColumns({self.BROKEN: failed, **marked})
+        self.checks = [(F.col(f"__rules{k // self.BITS}").bitwiseAND(F.lit(1 << k % self.BITS)) != 0, c, e)
+                       for k, (_, c, e) in enumerate(checks)]
+
+
+def annotate(df: DataFrame, rules: RuleSet) -> DataFrame:
+    """The input with ``_failed``, whether the row breaks a rule, and ``_failures``, every (column, error) it breaks."""
+    return validate(df, rules).annotated
 
 
 def missing_columns(df: DataFrame, rules: RuleSet) -> list[str]:
@@ -100,18 +129,17 @@ class Validation:
     rules: RuleSet
     id_cols: list[str]
     missing: list[str] = field(default_factory=list)
+    marks: Marks | None = None                                        # what each row breaks by itself
+    judged: Callable[[DataFrame], DataFrame] | None = None            # what adds the failures to rows that have their marks
 
     def typed_view(self, df: DataFrame) -> DataFrame:
         """``df`` with every declared column coerced to its type (NULL where it does not convert)."""
-        types = {f.name: f.dataType for f in df.schema.fields}
-        cols = []
-        for name in df.columns:
-            spec = self.rules.spec(name)
-            if spec is not None:
-                cols.append(typed(F.col(name), types[name], spec.dtype, spec.formats).alias(name))
-            else:
-                cols.append(F.col(name))
-        return df.select(*cols)
+        return df.select(*[self.typed_column(df, name).alias(name) for name in df.columns])
+
+    def typed_column(self, df: DataFrame, name: str) -> Column:
+        """A column of ``df``, coerced to its declared type if it has one."""
+        spec = self.rules.spec(name)
+        return F.col(name) if spec is None else typed(F.col(name), df.schema[name].dataType, spec.dtype, spec.formats)
 
     def valid(self) -> DataFrame:
         """Rows with no failure, declared columns coerced to their types."""
@@ -177,12 +205,35 @@ class Validation:
 
 
 def validate(df: DataFrame, rules: RuleSet | None = None, id_cols: list[str] | None = None,
-             as_of=None) -> Validation:
-    """Validate ``df`` against ``rules`` (default: the operations rule set)."""
+             as_of=None, store: bool = False) -> Validation:
+    """Validate ``df`` against ``rules`` (default: the operations rule set).
+
+    With ``store`` the rows are written to the checkpoint folder with their marks, so that row rules are worked out once.
+    """
     rules = rules or default_rules(as_of)
     if id_cols is None:
         id_cols = ["row"] if "row" in df.columns else []
-    return Validation(annotate(df, rules), rules, list(id_cols), missing_columns(df, rules))
+    unique = [s for s in rules.columns if s.unique and s.name in df.columns and rules.wants("unique")]
+    missing = missing_columns(df, rules)
+    if not unique and not store:
+        checks = _checks(df, rules)
+        return Validation(_with_failures(df, _any([cond for cond, _, _ in checks]), checks), rules, list(id_cols), missing)
+    marks = Marks(df, rules)
+    if store:
+        marks.rows = materialize(marks.rows)[0]
+    flags = {f"__dup_{s.name}": s for s in unique}
+    adders = [_unique_flag(marks.rows, s, rules, flag) for flag, s in flags.items()]
+    whole = F.col(MALFORMED).isNull() if MALFORMED in df.columns else F.lit(True)
+    repeated = [(whole & F.col(flag), s.name, S.MSG_UNIQUE) for flag, s in flags.items()]
+    rest = len(marks.checks) - (MALFORMED in df.columns)             # that a row could not be split comes last
+    checks = marks.checks[:rest] + repeated + marks.checks[rest:]
+
+    def judged(rows: DataFrame) -> DataFrame:
+        for add in adders:
+            rows = add(rows)
+        failed = _any([F.col(Marks.BROKEN), *[cond for cond, _, _ in repeated]])
+        return _with_failures(rows, failed, checks).drop(*flags, *marks.columns)
+    return Validation(judged(marks.rows), rules, list(id_cols), missing, marks, judged)
 
 
 def duplicate_warning(n_duplicates: DataFrame, column: str = "duplicates") -> DataFrame:

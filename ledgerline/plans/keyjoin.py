@@ -4,8 +4,9 @@ Per-key facts (group size, first row of a group) are computed with a hash aggreg
 aggregation on the map side shrinks a hot key to one row per input partition before the
 shuffle, so one key holding a third of all rows costs nothing extra there. The small per-key
 table is written as parquet to the shared checkpoint folder (cuts lineage, survives executor
-loss), its real byte size is observed during that write, and only then is it broadcast. Above the limit the join is a plain
-shuffle join; AQE's skew-join split then cuts a hot key's row partition into pieces.
+loss), its real byte size is observed during that write, and only then is it broadcast. Above the limit the rows are shuffled
+and meet a hash table of their partition's keys: rows are not sorted, so they do not spill. AQE's skew-join split cuts a hot
+key's row partition into pieces.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from ledgerline.session import broadcast_limit, scratch_path
 
 
 ROW_GROUP = 4 << 20      # small row groups: a table that one task wrote can be read by several
+HASHED = 16 << 20        # measured bytes of a shuffle partition that may become a hash table in memory
 
 
 def _width(field: T.StructField) -> Column:
@@ -55,16 +57,23 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
     obs = Observation(f"size_{path.rsplit('-', 1)[-1]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("n"),
                           F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0)).alias("b"))
-    observed.write.mode("errorifexists").option("parquet.block.size", ROW_GROUP).parquet(path)
+    observed.write.mode("errorifexists").option("parquet.block.size", ROW_GROUP).option("compression", "zstd").parquet(path)
     m = obs.get
     return spark.read.schema(df.schema).parquet(path), int(m["n"]), int(m["b"])
 
 
+def hashable(df: DataFrame, nbytes: int) -> DataFrame:
+    """A measured side of a shuffle join: hashed by partition if its partitions are small, else sorted."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("shuffle_hash") if nbytes <= parts * HASHED else df
+
+
 def sized_side(df: DataFrame) -> tuple[DataFrame, bool]:
     """Materialise a per-key table and say whether it is proven small enough to broadcast."""
     saved, _, nbytes = materialize(df)
     limit = broadcast_limit(df.sparkSession)
-    return saved, (limit > 0 and nbytes <= limit)
+    small = limit > 0 and nbytes <= limit
+    return saved if small else hashable(saved, nbytes), small
 
 
 def join_on_keys(rows: DataFrame, stats: DataFrame, keys: list[str], how: str = "left",
