@@ -172,10 +172,15 @@ def runs_from_batches(validation, batch_col: str, started, errors_per_run: int =
     """
     from ledgerline.functions.hashing import content_hash_column
     annotated = validation.annotated
-    typed_all = validation.typed_view(annotated)
+    # where uniqueness is judged by a join, the hash is worked out before it: the join moves the hash and not its columns
+    rows = annotated if validation.marks is None else validation.marks.rows
+    clean = ~F.col(FAILED if validation.marks is None else validation.marks.BROKEN)
+    source = {f"__t{k}": validation.typed_column(rows, c) for k, c in enumerate(c for c in S.HASH_SOURCE_COLUMNS if c in rows.columns)}
+    rows = rows.withColumns({"__batch": validation.typed_column(rows, batch_col), **source})
+    rows = rows.withColumn("__h", F.when(clean, content_hash_column(rows.schema, list(source)))).drop(*source)
+    judged = rows if validation.marks is None else validation.judged(rows)
     valid = ~F.col(FAILED)
-    h = F.when(valid, content_hash_column(typed_all.schema, S.HASH_SOURCE_COLUMNS))
-    per_hash = (typed_all.select(batch_col, valid.alias("__v"), h.alias("__h"), F.size(FAILURES).alias("__f"))
+    per_hash = (judged.select(F.col("__batch").alias(batch_col), valid.alias("__v"), F.when(valid, F.col("__h")).alias("__h"), F.size(FAILURES).alias("__f"))
                 .groupBy(batch_col, "__h").agg(F.count(F.lit(1)).alias("__n"), F.count_if("__v").alias("__nv"),
                                                F.sum("__f").alias("__nf")))
     counts = per_hash.groupBy(batch_col).agg(
