@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ledgerline import schema as S
 from ledgerline.functions.hashing import content_hash_column
-from ledgerline.plans.keyjoin import join_on_keys
+from ledgerline.plans.keyjoin import join_on_keys, materialize
 
 STRATEGIES = ("hash", "key")
 MERGE_STRATEGIES = ("first", "last", "max", "min", "sum")
@@ -54,10 +54,22 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str], unique_order
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def dedup_hash(df: DataFrame, order_by: list[str], unique_order: bool = False, **hash_opts) -> DataFrame:
-    """D3: content-hash dedup, keep first."""
-    hashed = with_content_hash(df, **hash_opts)
-    return keep_first(hashed, [hash_opts.get("out", S.HASH_COLUMN)], order_by, unique_order)
+def keep_first_stored(df: DataFrame, keys: list[str], order_by: list[str]) -> tuple[DataFrame, int, int]:
+    """``keep_first`` where few keys or none are expected to repeat: (stored rows, their number, bytes).
+
+    The rows are written once and their keys counted, which moves the keys alone; only if one repeats are the rows themselves
+    shuffled, and the first of each key written again.
+    """
+    stored, rows, size = materialize(df)
+    if key_counts(stored, keys).first()["final_count"] == rows:
+        return stored, rows, size
+    return materialize(keep_first(stored, keys, order_by))
+
+
+def dedup_hash(df: DataFrame, order_by: list[str], unique_order: bool = False, rare: bool = False, **hash_opts) -> DataFrame:
+    """D3: content-hash dedup, keep first. ``rare``: copies are few or none, as where a unique key is part of the hash."""
+    hashed, keys = with_content_hash(df, **hash_opts), [hash_opts.get("out", S.HASH_COLUMN)]
+    return keep_first_stored(hashed, keys, order_by)[0] if rare else keep_first(hashed, keys, order_by, unique_order)
 
 
 def dedup_key(df: DataFrame, order_by: list[str], keys: list[str] | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """The reconciliation job (P1-P4): extract -> validate -> dedup -> CSV copy -> upsert -> run record.
 
-One plan for every input size. The input is parsed once and written once, as columns, to the shared
-checkpoint folder; uniqueness (a key-only scan), the failure report and the valid rows read that table.
+One plan for every input size. The input is parsed once and written once, as columns and the row rules that
+it breaks, to the shared checkpoint folder; uniqueness (a key-only scan), the failure report and the valid rows read that table.
 The deduplicated rows are written once too; the CSV copy and the load read them. A load appends new
 keys to the target table and rewrites only the buckets in which it updates rows, as its last step, so a failure before or in a
 statement leaves the table as it was; the run record is saved on success and on failure (P2).
@@ -60,13 +60,13 @@ class ReconciliationJob:
         self.multi_line = multi_line
 
     def _extract(self, source) -> DataFrame:
-        """The input as a stored table with its row numbers (a frame keeps its own ``row``, if any)."""
+        """The input with its row numbers (a frame keeps its own ``row``, if any)."""
         if isinstance(source, DataFrame):
-            return materialize(source)[0]
+            return source
         fmt = self.input_format or ("parquet" if str(source).rstrip("/").endswith(".parquet") else "csv")
         if fmt == "parquet":
-            return materialize(scan_parquet(self.spark, source))[0]
-        return materialize(scan_csv(self.spark, source, multi_line=self.multi_line, malformed=True))[0]
+            return scan_parquet(self.spark, source)
+        return scan_csv(self.spark, source, multi_line=self.multi_line, malformed=True)
 
     @staticmethod
     def _report_rows(top: list) -> list[dict]:
@@ -90,7 +90,7 @@ class ReconciliationJob:
                 raw = self._extract(source)
                 stage = "validate"
                 order_by = self.order_by or ([ROW] if ROW in raw.columns else None)
-                v = validate(raw, self.rules, id_cols=[ROW] if ROW in raw.columns else (order_by or []))
+                v = validate(raw, self.rules, id_cols=[ROW] if ROW in raw.columns else (order_by or []), store=True)
                 # the counts ride on the job of the first failures, which reads every row once
                 annotated, counts = v.annotated, Observation(f"validate_{pid}")
                 v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(~F.col(FAILED)).alias("valid"))
@@ -101,17 +101,20 @@ class ReconciliationJob:
                 rec["input_rows"] = total
                 rec["validation_passed"] = valid
                 rec["validation_failed"] = total - valid
-                rec["warnings"] = self._warnings(v, raw, expected_checksum)
+                rec["warnings"] = self._warnings(v, expected_checksum)
                 if not order_by:
                     raise ValueError("an explicit row order is needed for keep-first dedup")
                 stage = "dedup"
-                clean = v.valid().drop(MALFORMED)
-                if self.dedup_strategy != "hash":                # which hashes by itself
-                    clean = D.with_content_hash(clean)
-                deduped, _ = D.deduplicate(clean, self.dedup_strategy, order_by, self.key_columns)
+                clean = D.with_content_hash(v.valid().drop(MALFORMED))
                 # the write also fixes the numbers that new ids follow
-                deduped = deduped.drop(ROW).withColumns({"is_duplicate": F.lit(0), U.SEQ: F.monotonically_increasing_id()})
-                deduped, kept, size = materialize(deduped)
+                clean = clean.withColumns({"is_duplicate": F.lit(0), U.SEQ: F.monotonically_increasing_id()})
+                if self.dedup_strategy == "hash" and self._proven_unique():       # the hash holds the key
+                    deduped, kept, size = D.keep_first_stored(clean, [S.HASH_COLUMN], order_by)
+                    deduped = deduped.drop(ROW)
+                else:
+                    deduped, _ = D.deduplicate(clean.drop(U.SEQ), self.dedup_strategy, order_by, self.key_columns)
+                    deduped = deduped.drop(ROW).withColumn(U.SEQ, F.monotonically_increasing_id())
+                    deduped, kept, size = materialize(deduped)
                 rec["duplicates_found"] = rec["duplicates_removed"] = valid - kept
                 stage = "copy"
                 write_csv(deduped.drop(U.SEQ), output_dir or f"{self.store.root}-csv/{pid}")
@@ -131,24 +134,30 @@ class ReconciliationJob:
         self._finish(rec)
         return RunResult(rec, self.store.current())
 
-    def _warnings(self, v, raw: DataFrame, expected: float | None) -> list[str]:
+    def _warnings(self, v, expected: float | None) -> list[str]:
         """Checksum mismatch of the valid rows, and the number of repeated operation ids of the input."""
-        key = self.store.key
+        key, raw = self.store.key, v.marks.rows
         found = [v.checksum_warnings(expected)] if expected is not None else []
         if key in raw.columns:
             counts = D.key_counts(raw, [key]).select((F.col("total_input") - F.col("final_count")).alias("duplicates"))
             found.append(duplicate_warning(counts))
         return [r["message"] for f in found for r in f.collect()]
 
+    def _required(self) -> set[str]:
+        """Columns that have a value in every valid row."""
+        return {c.name for c in self.rules.columns if not c.nullable and self.rules.wants("not_null")}
+
+    def _proven_unique(self) -> bool:
+        """Validation already leaves at most one valid row per key when it enforces a non-null unique key."""
+        spec = self.rules.spec(self.store.key)
+        return spec is not None and spec.unique and spec.name in self._required() and self.rules.wants("unique")
+
     def _load(self, deduped: DataFrame, stored: tuple[int, int]) -> dict:
         """Insert the new keys of the stored rows into the target and update the others."""
-        spec = self.rules.spec(self.store.key)
-        # validation already leaves at most one valid row per key when it enforces a non-null unique key
-        not_null = {c.name for c in self.rules.columns if not c.nullable and self.rules.wants("not_null")}
-        proven_unique = spec is not None and spec.unique and spec.name in not_null and self.rules.wants("unique")
+        not_null = self._required()
         # a valid row has a value in these columns, and one of its type if types are checked
         proven = not_null if self.rules.wants("coerce") else ()
-        return self.store.load(U.normalize_load(deduped), load_time=self.as_of, check_keys=not proven_unique, stored=stored, proven=proven)
+        return self.store.load(U.normalize_load(deduped), load_time=self.as_of, check_keys=not self._proven_unique(), stored=stored, proven=proven)
 
     def _finish(self, rec: dict) -> None:
         end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -160,8 +169,7 @@ class ReconciliationJob:
 
 def quick_validate(spark: SparkSession, csv_path: str, as_of=None, rules: RuleSet | None = None) -> tuple[DataFrame, DataFrame]:
     """Scan, validate, flag duplicate ids and hash; returns (rows, summary)."""
-    raw = materialize(scan_csv(spark, csv_path, malformed=True))[0]
-    v = validate(raw, rules or default_rules(as_of), id_cols=[ROW])
+    v = validate(scan_csv(spark, csv_path, malformed=True), rules or default_rules(as_of), id_cols=[ROW], store=True)
     rows = D.with_content_hash(D.flag_duplicates(v.valid().drop(MALFORMED), [ROW]))
     return rows, v.summary()
 
