@@ -255,7 +255,7 @@ def parse_dates_voted(df: DataFrame, column: str, layouts: list[str] | None = No
     return df.withColumn(column, parsed)
 
 
-def write_csv(df: DataFrame, directory: str, mode: str = "overwrite") -> None:
-    """K1: header + one CSV part per partition; timestamps with six fraction digits."""
-    (df.write.mode(mode).option("header", True).option("timestampFormat", CSV_TIMESTAMP_FORMAT)
-     .option("escape", '"').csv(directory))
+def write_csv(df: DataFrame, directory: str, mode: str = "overwrite", compression: str | None = None, rows_per_file: int = 0) -> None:
+    """K1: header + one CSV part per partition, or more of ``rows_per_file`` each; timestamps with six fraction digits."""
+    (df.write.mode(mode).option("header", True).option("timestampFormat", CSV_TIMESTAMP_FORMAT).option("maxRecordsPerFile", rows_per_file)
+     .option("escape", '"').csv(directory, compression=compression))
