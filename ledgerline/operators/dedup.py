@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ledgerline import schema as S
 from ledgerline.functions.hashing import content_hash_column
-from ledgerline.plans.keyjoin import join_on_keys, materialize
+from ledgerline.plans.keyjoin import Stored, join_on_keys, materialize, materialize_by
 
 STRATEGIES = ("hash", "key")
 MERGE_STRATEGIES = ("first", "last", "max", "min", "sum")
@@ -60,10 +60,17 @@ def keep_first_stored(df: DataFrame, keys: list[str], order_by: list[str]) -> tu
     The rows are written once and their keys counted, which moves the keys alone; only if one repeats are the rows themselves
     shuffled, and the first of each key written again.
     """
-    stored, rows, size = materialize(df)
-    if key_counts(stored, keys).first()["final_count"] == rows:
-        return stored, rows, size
-    return materialize(keep_first(stored, keys, order_by))
+    return keep_first_dealt(df, keys, order_by)[:3]
+
+
+def keep_first_dealt(df: DataFrame, keys: list[str], order_by: list[str], deal_by: str | None = None, parts: int | None = None) -> Stored:
+    """``keep_first_stored``, the stored rows dealt by a column for their reader."""
+    def save(frame):
+        return materialize_by(frame, deal_by, parts) if deal_by in frame.columns else Stored(*materialize(frame))
+    stored = save(df)
+    if key_counts(stored.frame, keys).first()["final_count"] == stored.rows:
+        return stored
+    return save(keep_first(stored.frame, keys, order_by))
 
 
 def dedup_hash(df: DataFrame, order_by: list[str], unique_order: bool = False, rare: bool = False, **hash_opts) -> DataFrame:

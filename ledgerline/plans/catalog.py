@@ -18,7 +18,7 @@ from ledgerline.operators.rules import ColumnSpec, RuleSet, default_rules, great
 from ledgerline.operators.validate import Validation, duplicate_warning, validate
 from ledgerline.operators import upsert as U
 from ledgerline.plans import runs as R
-from ledgerline.plans.keyjoin import materialize
+from ledgerline.plans.keyjoin import materialize, materialize_by
 from ledgerline.session import scratch_path
 from ledgerline.sources import csv as C
 from ledgerline.sources.fixtures import AS_OF, ORDER_COLS, ops, ops_planted
@@ -282,7 +282,8 @@ TARGET_LOADED = "2000-06-01 00:00:00"
 
 def upsert_sides(spark, sf_dir):
     """Key-deduped ops, each in the target (l_orderkey % 3 <> 0), the batch (% 3 <> 1, with monto + 1) or both."""
-    base = D.keep_first(ops(spark, sf_dir).filter(F.col(S.KEY_COLUMN).isNotNull()), [S.KEY_COLUMN], ORDER_COLS)
+    dealt = materialize_by(ops(spark, sf_dir).filter(F.col(S.KEY_COLUMN).isNotNull()), S.KEY_COLUMN).frame
+    base = D.keep_first(dealt, [S.KEY_COLUMN], ORDER_COLS)
     norm, _, _ = materialize(U.normalize_load(base))      # shared by both sides: computed and stored once
     tgt = (norm.filter(F.col("l_orderkey") % 3 != 0)
            .withColumn("fecha_carga", F.lit(TARGET_LOADED).cast("timestamp"))

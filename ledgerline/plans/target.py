@@ -29,12 +29,15 @@ from pyspark.sql import functions as F
 
 from ledgerline import schema as S
 from ledgerline.operators import upsert as U
-from ledgerline.plans.keyjoin import materialize, observed
+from ledgerline.plans.keyjoin import Stored, bucket_count, materialize_by, observed
 from ledgerline.session import broadcast_limit
 from ledgerline.sources.parquet import footer_aggregates
 
 PART = "_part"
 ROW_LEVEL = ("delta", "iceberg", "hudi")          # providers whose tables take MERGE INTO
+SORTED = 256 << 20          # measured bytes of a bucket's new rows that one task may sort
+LEAST_PARTS = 16            # buckets of a new table, if none are asked for
+FEW = 32                    # buckets whose files stay large if every task writes to all of them
 
 
 class NullInRequiredColumn(ValueError):
@@ -52,12 +55,12 @@ def _setting(spark: SparkSession, key: str, value: str):
 
 
 class TargetTable:
-    """``parts``: buckets of a new table (choose them so that one stays near a gigabyte); an existing one keeps its own."""
+    """``parts``: buckets of a new table, by default as many as its first load takes to sort one in memory; an existing one keeps its own."""
 
-    def __init__(self, spark: SparkSession, target: str, key: str = S.KEY_COLUMN, parts: int = 16):
-        if parts < 1:
+    def __init__(self, spark: SparkSession, target: str, key: str = S.KEY_COLUMN, parts: int | None = None):
+        if parts is not None and parts < 1:
             raise ValueError("parts must be at least 1")
-        self.spark, self.key, self._new_parts = spark, key, parts
+        self.spark, self.key, self._asked, self._new_parts = spark, key, parts, parts or LEAST_PARTS
         self.folder = target.rstrip("/") if "/" in target else None
         self.name = f"ledgerline_{hashlib.md5(self.folder.encode()).hexdigest()[:20]}" if self.folder else target
 
@@ -108,6 +111,13 @@ class TargetTable:
     def part_count(self) -> int:
         return int(self._described()["Num Buckets"]) if self.exists() else self._new_parts
 
+    def parts_for(self, rows: DataFrame) -> int:
+        """The buckets of the table, or those that it is to get if these rows are its first."""
+        if self.exists():
+            return self.part_count()
+        self._new_parts = self._asked or max(LEAST_PARTS, bucket_count(rows))
+        return self._new_parts
+
     @property
     def root(self) -> str:
         """The folder of the table; its runs' CSV copies go beside it."""
@@ -145,6 +155,13 @@ class TargetTable:
         with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             out.write.insertInto(self.name, overwrite=overwrite)
 
+    def _append(self, rows: DataFrame, parts: int, stored: Stored) -> None:
+        """Append rows of a stored table. If it is dealt into the buckets, none is shuffled: they are read bucket by bucket, a file each, or,
+        where that would be much to sort, file by file."""
+        small = stored.bytes <= SORTED * parts
+        with _setting(self.spark, "spark.sql.sources.bucketing.autoBucketedScan.enabled", "false" if small else "true"):
+            self._write(rows, parts, overwrite=False, deal=not (stored.dealt and (small or parts <= FEW)))
+
     @staticmethod
     def _required(rows: DataFrame, proven: Iterable[str] = ()) -> list[str]:
         """Required columns that may lack a value; fails if one isn't there at all."""
@@ -154,12 +171,12 @@ class TargetTable:
             raise NullInRequiredColumn(f"no value in required columns {absent}")
         return [c for c in required if c not in set(proven)]
 
-    def _stored(self, rows: DataFrame, required: list[str]) -> tuple[DataFrame, int, int]:
-        """The rows, written to the checkpoint folder, with their number and bytes; fails if a required column lacks a value."""
+    def _stored(self, rows: DataFrame, required: list[str], parts: int) -> Stored:
+        """The rows, written to the checkpoint folder in the table's buckets; fails if a required column lacks a value."""
         if not required:
-            return materialize(rows)
+            return materialize_by(rows, self.key, parts, unique=True)
         nulls = Observation(f"required_{uuid.uuid4().hex}")
-        stored = materialize(rows.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required]))
+        stored = materialize_by(rows.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required]), self.key, parts, unique=True)
         found = observed(nulls, **dict.fromkeys(required, 0))
         missing = [c for c in required if found[c]]
         if missing:
@@ -168,28 +185,30 @@ class TargetTable:
 
     def insert(self, rows: DataFrame) -> None:
         """Append rows of the whole target schema as they are (an initial load); their keys must be new and unique."""
+        parts = self.parts_for(rows)
         self.create()
-        rows = self._stored(rows, [*self._required(rows), "id"])[0]
-        self._write(rows, self.part_count(), overwrite=False, deal=True)
+        stored = self._stored(rows, [*self._required(rows), "id"], parts)
+        self._append(stored.frame, parts, stored)
 
     def load(self, batch: DataFrame, load_time=None, check_keys: bool = True, update: bool = True, strategy: str = "auto",
-             stored: tuple[int, int] | None = None, proven: Iterable[str] = ()) -> dict:
+             stored: Stored | None = None, proven: Iterable[str] = ()) -> dict:
         """K4-K6: insert the rows with new keys and, with ``update``, update the others; returns {"inserted", "updated"}.
 
         The batch is written once to the checkpoint folder, which fixes the ids of new rows; nothing is changed if one of its
-        keys repeats (``check_keys``) or a required column lacks a value. ``stored``: the rows and bytes of a batch that is a
-        stored table with its rows numbered (``__seq``), which isn't written again. ``proven``: columns known to have values.
+        keys repeats (``check_keys``) or a required column lacks a value. ``stored``: the table that holds a batch stored with its
+        rows numbered (``__seq``), which isn't written again. ``proven``: columns known to have values.
         """
         fresh = not self.exists()
+        self.parts_for(batch)
         target, described = self.create(), self._described()
         parts = int(described.get("Num Buckets", 1))
         columns = [f.name for f in S.TARGET_SCHEMA]
         required = self._required(batch, proven)
         src = U.shape_batch(target, batch, self.key, load_time).withColumn(PART, self._part_of(parts))
-        if stored and U.SEQ in batch.columns and not required:
-            total, nbytes = stored
-        else:
-            src, total, nbytes = self._stored(src, required)
+        if not (stored and U.SEQ in batch.columns and not required):
+            stored = self._stored(src, required, parts)
+            src = stored.frame
+        total, nbytes = stored.rows, stored.bytes
         if check_keys:
             U.check_unique_batch(src, self.key)
         if described.get("Provider", "parquet").lower() in ROW_LEVEL:
@@ -208,7 +227,7 @@ class TargetTable:
             src = None if every else src.filter(~F.col(PART).isin(touched))
         if src is not None and total > known:
             new = src.withColumn("id", F.lit(base_id) + F.col(U.SEQ))
-            self._write(new, parts, overwrite=False, deal=True)
+            self._append(new, parts, stored)
         return {"inserted": total - known, "updated": known if update else 0}
 
     def _matched(self, src: DataFrame) -> dict[int, int]:

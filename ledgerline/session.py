@@ -87,15 +87,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Byte limit for a side we broadcast after measuring it (the session's own threshold)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    text = str(raw).strip().lower()
+    return max(0, bytes_of(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")))
+
+
+def bytes_of(size) -> int:
+    """A size of the session's settings (``10MB``, ``64k``, ``1024``) in bytes."""
+    text = str(size).strip().lower()
     mult = 1
     for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
         if text.endswith(suffix):
             text, mult = text[: -len(suffix)], m
             break
-    value = int(float(text) * mult)
-    return value if value > 0 else 0
+    return int(float(text) * mult)
 
 
 class _Owner(threading.local):
