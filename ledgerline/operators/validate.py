@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ledgerline import schema as S
 from ledgerline.operators.dedup import order_value
 from ledgerline.operators.rules import RuleSet, default_rules, row_rules, typed
-from ledgerline.plans.keyjoin import join_on_keys, materialize, sized_side
+from ledgerline.plans.keyjoin import join_on_keys, materialize, materialize_by, sized_side
 
 FAILURES = "_failures"
 FAILED = "_failed"
@@ -205,10 +205,11 @@ class Validation:
 
 
 def validate(df: DataFrame, rules: RuleSet | None = None, id_cols: list[str] | None = None,
-             as_of=None, store: bool = False) -> Validation:
+             as_of=None, store: bool = False, deal_by: str | None = None) -> Validation:
     """Validate ``df`` against ``rules`` (default: the operations rule set).
 
-    With ``store`` the rows are written to the checkpoint folder with their marks, so that row rules are worked out once.
+    With ``store`` the rows are written to the checkpoint folder with their marks, so that row rules are worked out once; dealt by
+    ``deal_by``, if it is there, so that uniqueness or dedup by it doesn't shuffle them.
     """
     rules = rules or default_rules(as_of)
     if id_cols is None:
@@ -220,7 +221,7 @@ def validate(df: DataFrame, rules: RuleSet | None = None, id_cols: list[str] | N
         return Validation(_with_failures(df, _any([cond for cond, _, _ in checks]), checks), rules, list(id_cols), missing)
     marks = Marks(df, rules)
     if store:
-        marks.rows = materialize(marks.rows)[0]
+        marks.rows = materialize_by(marks.rows, deal_by).frame if deal_by in df.columns else materialize(marks.rows)[0]
     flags = {f"__dup_{s.name}": s for s in unique}
     adders = [_unique_flag(marks.rows, s, rules, flag) for flag, s in flags.items()]
     whole = F.col(MALFORMED).isNull() if MALFORMED in df.columns else F.lit(True)

@@ -57,7 +57,8 @@ def valid_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deduped_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid rows, content-hash deduplicated (keep first by row order)."""
-    return D.dedup_hash(valid_ops(spark, sf_dir), ORDER_COLS, rare=True)
+    v = validate(ops(spark, sf_dir), default_rules(AS_OF), id_cols=ORDER_COLS, store=True, deal_by=S.KEY_COLUMN)
+    return D.dedup_hash(v.valid(), ORDER_COLS, rare=True)
 
 
 # ---- validation ---------------------------------------------------------------------------------

@@ -53,6 +53,16 @@ def test_too_many_files_and_nested_columns_stay_undealt(spark, monkeypatch):
     assert not stored.dealt and stored.frame.count() == 50
 
 
+def test_validation_of_dealt_rows_moves_no_rows(spark, no_broadcast):  # noqa: F811
+    rows = _ops(spark)
+    v = validate(rows, default_rules(AS_OF), id_cols=["row"], store=True, deal_by=S.KEY_COLUMN)
+    wanted = validate(rows, default_rules(AS_OF), id_cols=["row"])
+    moved = _shuffled_columns(v.valid())
+    assert len(moved) == 1 and "__k0" in moved[0]            # the table of repeated keys alone
+    assert sorted(map(str, v.valid().collect())) == sorted(map(str, wanted.valid().collect()))
+    assert sorted(map(str, v.failures().collect())) == sorted(map(str, wanted.failures().collect()))
+
+
 def _whole(spark, lo, hi, amount):
     return _ops(spark, 250).filter(F.col("row").between(lo, hi - 1)).withColumns({"fecha_operacion": F.lit("2000-01-01").cast("timestamp"), "monto": F.lit(float(amount)),
                              "cuenta_origen": F.lit("100-0000001-1-01"), "is_duplicate": F.lit(0), "content_hash": F.lit("h")})
