@@ -22,7 +22,7 @@ from ledgerline.operators import upsert as U
 from ledgerline.operators.rules import RuleSet, default_rules
 from ledgerline.operators.validate import FAILED, duplicate_warning, validate
 from ledgerline.plans import runs as R
-from ledgerline.plans.keyjoin import materialize, observed
+from ledgerline.plans.keyjoin import Stored, materialize_by, observed
 from ledgerline.plans.target import TargetTable
 from ledgerline.session import scratch_owner
 from ledgerline.sources.csv import MALFORMED, ROW, scan_csv, write_csv
@@ -39,14 +39,14 @@ class RunResult:
 class ReconciliationJob:
     """Configured job; ``run`` processes one input (path or frame) into the target table.
 
-    ``target``: a catalog table's name, or a folder. ``target_parts``: buckets of a new table; a load rewrites those in which
-    it updates rows.
+    ``target``: a catalog table's name, or a folder. ``target_parts``: buckets of a new table, by default by the size of its first load;
+    a load rewrites those in which it updates rows.
     """
 
     def __init__(self, spark: SparkSession, target: str, runs_dir: str, rules: RuleSet | None = None,
                  as_of=None, order_by: list[str] | None = None, max_errors: int = 100,
                  dedup_strategy: str = "hash", key_columns: list[str] | None = None,
-                 input_format: str | None = None, target_parts: int = 16, multi_line: bool = True):
+                 input_format: str | None = None, target_parts: int | None = None, multi_line: bool = True):
         self.spark = spark
         self.store = TargetTable(spark, target, parts=target_parts)
         self.runs_dir = runs_dir
@@ -90,7 +90,8 @@ class ReconciliationJob:
                 raw = self._extract(source)
                 stage = "validate"
                 order_by = self.order_by or ([ROW] if ROW in raw.columns else None)
-                v = validate(raw, self.rules, id_cols=[ROW] if ROW in raw.columns else (order_by or []), store=True)
+                v = validate(raw, self.rules, id_cols=[ROW] if ROW in raw.columns else (order_by or []), store=True,
+                             deal_by=(self.key_columns or [self.store.key])[0])
                 # the counts ride on the job of the first failures, which reads every row once
                 annotated, counts = v.annotated, Observation(f"validate_{pid}")
                 v.annotated = annotated.observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(~F.col(FAILED)).alias("valid"))
@@ -106,20 +107,20 @@ class ReconciliationJob:
                     raise ValueError("an explicit row order is needed for keep-first dedup")
                 stage = "dedup"
                 clean = D.with_content_hash(v.valid().drop(MALFORMED))
+                parts = self.store.parts_for(clean)
                 # the write also fixes the numbers that new ids follow
                 clean = clean.withColumns({"is_duplicate": F.lit(0), U.SEQ: F.monotonically_increasing_id()})
                 if self.dedup_strategy == "hash" and self._proven_unique():       # the hash holds the key
-                    deduped, kept, size = D.keep_first_stored(clean, [S.HASH_COLUMN], order_by)
-                    deduped = deduped.drop(ROW)
+                    stored = D.keep_first_dealt(clean, [S.HASH_COLUMN], order_by, self.store.key, parts)
                 else:
                     deduped, _ = D.deduplicate(clean.drop(U.SEQ), self.dedup_strategy, order_by, self.key_columns)
-                    deduped = deduped.drop(ROW).withColumn(U.SEQ, F.monotonically_increasing_id())
-                    deduped, kept, size = materialize(deduped)
+                    stored = materialize_by(deduped.drop(ROW).withColumn(U.SEQ, F.monotonically_increasing_id()), self.store.key, parts)
+                deduped, kept = stored.frame.drop(ROW), stored.rows
                 rec["duplicates_found"] = rec["duplicates_removed"] = valid - kept
                 stage = "copy"
                 write_csv(deduped.drop(U.SEQ), output_dir or f"{self.store.root}-csv/{pid}")
                 stage = "load"
-                loaded = self._load(deduped, (kept, size))
+                loaded = self._load(deduped, stored)
                 rec["rows_loaded"] = loaded["inserted"]
                 rec["rows_updated"] = loaded["updated"]
                 rec["status"] = "success"
@@ -152,7 +153,7 @@ class ReconciliationJob:
         spec = self.rules.spec(self.store.key)
         return spec is not None and spec.unique and spec.name in self._required() and self.rules.wants("unique")
 
-    def _load(self, deduped: DataFrame, stored: tuple[int, int]) -> dict:
+    def _load(self, deduped: DataFrame, stored: Stored) -> dict:
         """Insert the new keys of the stored rows into the target and update the others."""
         not_null = self._required()
         # a valid row has a value in these columns, and one of its type if types are checked
@@ -169,7 +170,7 @@ class ReconciliationJob:
 
 def quick_validate(spark: SparkSession, csv_path: str, as_of=None, rules: RuleSet | None = None) -> tuple[DataFrame, DataFrame]:
     """Scan, validate, flag duplicate ids and hash; returns (rows, summary)."""
-    v = validate(scan_csv(spark, csv_path, malformed=True), rules or default_rules(as_of), id_cols=[ROW], store=True)
+    v = validate(scan_csv(spark, csv_path, malformed=True), rules or default_rules(as_of), id_cols=[ROW], store=True, deal_by=S.KEY_COLUMN)
     rows = D.with_content_hash(D.flag_duplicates(v.valid().drop(MALFORMED), [ROW]))
     return rows, v.summary()
 
