@@ -108,12 +108,13 @@ class ReconciliationJob:
                 stage = "dedup"
                 clean = D.with_content_hash(v.valid().drop(MALFORMED))
                 parts = self.store.parts_for(clean)
+                first = [*order_by, *[c for c in (ROW,) if c in raw.columns and c not in order_by]]       # of tied rows, the first in the file
                 # the write also fixes the numbers that new ids follow
                 clean = clean.withColumns({"is_duplicate": F.lit(0), U.SEQ: F.monotonically_increasing_id()})
                 if self.dedup_strategy == "hash" and self._proven_unique():       # the hash holds the key
-                    stored = D.keep_first_dealt(clean, [S.HASH_COLUMN], order_by, self.store.key, parts)
+                    stored = D.keep_first_dealt(clean, [S.HASH_COLUMN], first, self.store.key, parts)
                 else:
-                    deduped, _ = D.deduplicate(clean.drop(U.SEQ), self.dedup_strategy, order_by, self.key_columns)
+                    deduped, _ = D.deduplicate(clean.drop(U.SEQ), self.dedup_strategy, first, self.key_columns)
                     stored = materialize_by(deduped.drop(ROW).withColumn(U.SEQ, F.monotonically_increasing_id()), self.store.key, parts)
                 deduped, kept = stored.frame.drop(ROW), stored.rows
                 rec["duplicates_found"] = rec["duplicates_removed"] = valid - kept

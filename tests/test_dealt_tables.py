@@ -10,7 +10,9 @@ from ledgerline.operators import upsert as U
 from ledgerline.operators.rules import default_rules
 from ledgerline.operators.validate import validate
 from ledgerline.plans import keyjoin as K
+from ledgerline.plans.pipeline import ReconciliationJob
 from ledgerline.plans.target import TargetTable
+from ledgerline.sources.csv import scan_csv, write_csv
 from tests.test_moved_bytes import AS_OF, _ops, _plan, no_broadcast  # noqa: F401
 
 
@@ -104,3 +106,16 @@ def test_upsert_sides_shuffle_no_rows(spark, no_broadcast, monkeypatch):  # noqa
     monkeypatch.setattr(C, "materialize", lambda df: seen.append(_plan(df)) or real(df))
     C.upsert_sides(spark, "/root/testdata/sf0.001")
     assert len(seen) == 1 and "Window" in seen[0] and "Exchange" not in seen[0]
+
+
+def test_of_tied_rows_the_job_keeps_the_first_of_the_file(spark, scratch):
+    rows = _ops(spark, 240).withColumns({"monto": F.lit("5.5"), "cuenta_origen": F.lit("100-0000001-1-01"), "tie": F.lit(1), "descripcion": F.col("row").cast("string"),
+                                         "numero_operacion": F.format_string("OP-%08d", F.col("row") % 60)}).drop("lote")
+    folder = scratch("tied")
+    write_csv(rows.repartition(5).sortWithinPartitions("row").drop("row"), folder)
+    numbered = {r["descripcion"]: r["row"] for r in scan_csv(spark, folder).collect()}
+    rules = default_rules(AS_OF).only(*C.NOT_UNIQUE)
+    job = ReconciliationJob(spark, scratch("tt"), scratch("tr"), as_of=AS_OF, rules=rules, order_by=["tie"], dedup_strategy="key")
+    kept = {r[S.KEY_COLUMN]: r["descripcion"] for r in job.run(folder, pipeline_id="tied").target.collect()}
+    wanted = {f"OP-{k:08d}": min((str(i) for i in range(k, 240, 60)), key=numbered.get) for k in range(60)}
+    assert kept == wanted
