@@ -1,14 +1,19 @@
-"""Byte-level BPE encoding by backtracking over longest matches, and decoding.
+"""Byte-level BPE encoding by merges of many pieces at once, and decoding.
 
 The vocabulary is a rank file (one ``base64(token) rank`` a line); merging the lowest rank first
-is reproduced exactly, without merging. Bytes map to Latin-1 characters, so one Aho-Corasick
-automaton finds the longest token at every place of a piece. Encoding then walks the piece:
-it takes the longest match that fits the token before it, falls back to shorter tokens, and steps
+is reproduced exactly. The distinct pieces of about a megabyte of text that are not remembered are
+merged side by side, one column of an array each: a round finds the lowest rank of every column,
+merges there and looks up the two pairs that changed in a hash table of token pairs. Pieces that
+were in use lately are remembered (two generations, bounded in number and length; this only saves
+time).
+
+Long pieces are encoded alone, by backtracking over longest matches, in linear time: bytes map to
+Latin-1 characters, so one Aho-Corasick automaton finds the longest token at every place. The walk
+takes the longest match that fits the token before it, falls back to shorter tokens, and steps
 back over a token when none fits. Two tokens fit when the merges leave their two byte strings as
 exactly these two tokens; a token sequence whose neighbours all fit is *the* encoding of its bytes,
 so each place of a piece can fail only once and the walk is linear. Whether two tokens fit is
-remembered for each pair, and whole pieces are remembered too (both memories are bounded and
-only save time).
+remembered for each pair (bounded too).
 
 Texts are split by the tokenizer's pattern first; each match is encoded separately, without
 special tokens. The vocabulary's path is a parameter; the driver reads the file and broadcasts it
@@ -33,16 +38,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.scratch import rename_clear
+from ledgerline.llm.textkernel import BASE, slabs, text_bytes
 
-PIECES_KEPT = 200_000            # pieces a worker remembers
+PIECES_KEPT = 100_000            # pieces of a generation that a worker remembers
 PAIRS_KEPT = 1_000_000           # token pairs a worker remembers
-ROWS_PER_BATCH = 512             # rows handed back to Spark at once
+LONG = 64                        # bytes from which a piece is encoded alone, characters from which it is not remembered
+COLUMNS = 2048                   # pieces merged side by side
+FEW = 16                         # pieces too few for that
+NONE = 1 << 40                   # rank of a pair that is no token
 
 
 def parse_ranks(blob: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in blob.splitlines() if line)}
 
 
+class TokenPairs:
+    """Hash table of the token pairs that merge: open addressing, many pairs looked up at once."""
+
+    FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+    def __init__(self, ranks: dict[bytes, int]):
+        rows = [(ranks[t[:k]] << 32 | ranks[t[k:]], i) for t, i in ranks.items()
+                for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+        keys = np.array([key for key, _ in rows], np.uint64)
+        found = np.array([i for _, i in rows], np.int64)
+        bits = max(4, (4 * len(rows)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, self.FREE), np.full(1 << bits, NONE)
+        at, left = self._home(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] == self.FREE]
+            self.keys[at[free]] = keys[free]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & self.last
+        self.ranks[at] = found
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * BASE) >> self.shift).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the token that each pair makes, else ``NONE``; a token of -1 is none."""
+        keys = (a << 32 | b).view(np.uint64)
+        at = self._home(keys)
+        there = self.keys[at]
+        out = self.ranks[at]
+        other = np.flatnonzero(there != keys)
+        out[other] = NONE
+        other = other[there[other] != self.FREE]
+        while len(other):
+            at[other] = (at[other] + 1) & self.last
+            there = self.keys[at[other]]
+            same = other[there == keys[other]]
+            out[same] = self.ranks[at[same]]
+            other = other[(there != keys[other]) & (there != self.FREE)]
+        return out
+
+
 class BytePairCoder:
     """Encoder and decoder of one vocabulary."""
 
@@ -63,7 +114,11 @@ class BytePairCoder:
         self.matches.make_automaton()
         self.shorter = {i: next((made[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in made), None)
                         for t, i in made.items()}
-        self.pieces = _Pieces(self)
+        self.unmade = ranks.keys() - made.keys()
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.pairs = TokenPairs(ranks)
+        self.pieces: dict[str, bytes] = {}           # packed ids of pieces seen lately
+        self.older: dict[str, bytes] = {}            # and of the generation before
 
     def merge(self, piece: bytes) -> list[int]:
         """The definition: merge the pair of lowest rank, leftmost first, until none is left."""
@@ -119,9 +174,96 @@ class BytePairCoder:
                 at -= size[before]
                 token = shorter[before]
 
+    def merge_together(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` of the byte strings raw[start:start + size], all at once: (ids end to end, number of ids of each).
+
+        Column i holds string i, a row each place; the row after the last stands for both ends of every
+        string. ``best`` has the rank of the pair that starts at a place and, in its lowest bits, the place.
+        """
+        n, w = len(starts), int(sizes.max())
+        bits = w.bit_length()
+        places = np.arange(w)[:, None]
+        inside = places < sizes
+        token = np.full((w + 1, n), -1)
+        token[:w][inside] = self.byte_ids[raw[(starts + places)[inside]]]
+        best = np.full((w + 1, n), NONE << bits)
+        best[:w] = self.pairs.find(token[:-1].ravel(), token[1:].ravel()).reshape(w, n) << bits | places
+        after, before = np.empty((w + 1, n), np.int64), np.empty((w + 1, n), np.int64)
+        after[:w], after[w] = np.where(places + 1 < sizes, places + 1, w), w
+        before[1:], before[0] = places, w
+        rows = best[:w]
+        token_, best_, after_, before_ = token.ravel(), best.ravel(), after.ravel(), before.ravel()
+        while True:
+            lowest = rows.min(axis=0)
+            on = np.flatnonzero(lowest < NONE << bits)
+            if not len(on):
+                break
+            rank = lowest[on]
+            place = rank & ((1 << bits) - 1)
+            rank >>= bits
+            here = place * n + on
+            right = after_[here] * n + on
+            beyond = after_[right]
+            left = before_[here]
+            token_[here], token_[right], best_[right] = rank, -1, NONE << bits
+            after_[here] = beyond
+            beyond = beyond * n + on
+            before_[beyond] = place
+            best_[here] = self.pairs.find(rank, token_[beyond]) << bits | place
+            start = left * n + on
+            best_[start] = self.pairs.find(token_[start], rank) << bits | left
+        whole = token[:w].T
+        alive = whole >= 0
+        return whole[alive], alive.sum(axis=1)
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of each piece."""
+        raw, offsets = text_bytes(pa.array(pieces, pa.large_string()))
+        sizes = np.diff(offsets)
+        order = np.argsort(sizes, kind="stable")
+        short = int(np.searchsorted(sizes[order], LONG)) if len(pieces) >= FEW else 0
+        out: list[bytes] = [b""] * len(pieces)
+        for at in range(0, short, COLUMNS):
+            rows = order[at:min(at + COLUMNS, short)]
+            ids, counts = self.merge_together(raw, offsets[rows], sizes[rows])
+            packed = ids.astype("<u4").tobytes()
+            ends = np.cumsum(counts) * 4
+            for i, start, end in zip(rows.tolist(), (ends - counts * 4).tolist(), ends.tolist(), strict=True):
+                out[i] = packed[start:end]
+        alone = order[short:].tolist()
+        if self.unmade:
+            alone += [i for i in order[:short].tolist() if pieces[i].encode() in self.unmade]
+        for i in alone:
+            ids = self.encode_piece(pieces[i].encode())
+            out[i] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def _packed(self, split: list[list[str]]) -> list[bytes]:
+        """Packed ids of each list of pieces, end to end."""
+        if len(self.pieces) >= PIECES_KEPT:
+            self.older, self.pieces = self.pieces, {}
+        pieces, older = self.pieces, self.older
+        new = set().union(*split).difference(pieces)
+        pieces.update((p, older[p]) for p in new if p in older)
+        todo = [p for p in new if p not in pieces]
+        pieces.update(zip(todo, self.encode_pieces(todo), strict=True))
+        out = [b"".join(map(pieces.__getitem__, s)) for s in split]
+        for p in todo:
+            if len(p) >= LONG:
+                del pieces[p]
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts, each as little-endian unsigned 32-bit integers; null counts as empty."""
+        split = [self.split(t) if t else [] for t in texts]
+        if len(split) == 1:          # may be long
+            s = split[0]
+            return [b"".join(self._packed([s[k:k + PIECES_KEPT]])[0] for k in range(0, len(s), PIECES_KEPT))]
+        return self._packed(split)
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         try:
@@ -130,20 +272,6 @@ class BytePairCoder:
             raise ValueError(f"id {e.args[0]} is not in the vocabulary") from None
 
 
-class _Pieces(dict):
-    """Packed ids of pieces seen lately."""
-
-    def __init__(self, coder: BytePairCoder):
-        self.coder = coder
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= PIECES_KEPT:
-            self.clear()
-        ids = self.coder.encode_piece(piece.encode("utf-8"))
-        packed = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return packed
-
-
 _CODERS: dict[tuple[int, str], BytePairCoder] = {}
 
 
@@ -173,9 +301,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(blob.value, pattern)
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS_PER_BATCH):
-                b = whole.slice(at, ROWS_PER_BATCH)
-                ids = [coder.encode(t) if t else b"" for t in b.column("text").to_pylist()]
+            for i, j in slabs(text_bytes(whole.column("text"))[1]):
+                b = whole.slice(i, j - i)
+                ids = coder.encode_all(b.column("text").to_pylist())
                 cols = {"doc_id": b.column("doc_id"), "ids": pa.array(ids, pa.binary())}
                 if decoded:
                     cols["decoded"] = pa.array([coder.decode(x) for x in ids], pa.binary())

@@ -69,6 +69,48 @@ def test_backtracking_gives_the_merges_of_any_vocabulary(extra, text):
         assert coder.encode_piece(piece) == ([ranks[piece]] if piece in ranks else coder.merge(piece))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.binary(min_size=2, max_size=4).filter(lambda b: set(b) <= set(b"abc")), st.just(0), max_size=12),
+       st.lists(st.text(alphabet="abc", min_size=1, max_size=90), min_size=1, max_size=40, unique=True))
+def test_many_pieces_at_once_are_merged_as_one_is(extra, pieces):
+    ranks = {bytes([b]): b for b in range(256)} | {t: 256 + k for k, t in enumerate(extra)}
+    coder = bpe.BytePairCoder(ranks, r"\S+")
+    want = [[ranks[p.encode()]] if p.encode() in ranks else coder.merge(p.encode()) for p in pieces]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode_pieces(pieces)] == want
+
+
+def new_words(n, seed=1):
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzéßñ中д"))
+    return ["".join(rng.choice(letters, k)) for k in rng.integers(3, 16, n)]
+
+
+def test_new_pieces_are_not_encoded_one_by_one(monkeypatch):
+    """Encoding each unseen piece in Python made most of the seconds of ``op9_byte_bpe``."""
+    coder, alone = bpe.BytePairCoder(CODER.ranks, V.PATTERN), []
+    one = coder.encode_piece
+    monkeypatch.setattr(coder, "encode_piece", lambda piece: alone.append(piece) or one(piece))
+    text = " ".join([*new_words(5_000), "x" * 200, "x" * 200])
+    assert coder.encode(text) == reference(text)
+    assert alone == [b" " + b"x" * 200]
+    assert " " + "x" * 200 not in coder.pieces
+
+
+def test_forgotten_pieces(monkeypatch):
+    """A piece in use stays known over a change of generation; memory stays bounded, also in one long text."""
+    monkeypatch.setattr(bpe, "PIECES_KEPT", 100)
+    coder, asked = bpe.BytePairCoder(CODER.ranks, V.PATTERN), []
+    many = coder.encode_pieces
+    monkeypatch.setattr(coder, "encode_pieces", lambda pieces: asked.extend(pieces) or many(pieces))
+    for k in range(20):
+        texts = [" often " + " ".join(new_words(40, seed=k)), None, "", " often"]
+        assert coder.encode_all(texts) == [reference(t) for t in texts]
+    assert asked.count(" often") == 1
+    long = " ".join(new_words(3_000, seed=50))
+    assert coder.encode(long) == reference(long)
+    assert max(len(coder.pieces), len(coder.older)) <= 200
+
+
 def test_errors():
     with pytest.raises(ValueError, match="vocabulary"):
         CODER.decode(np.array([10 ** 6], "<u4").tobytes())
