@@ -11,7 +11,9 @@ id among the entries that tie with the k-th score. At the end each query has an
 A block only reports digits down to its own k-th entry: lower ones can't hold the global k-th. So a
 query gets at most k counts from a block and pass, whatever the ties; nothing grows with the number
 of equal vectors. Queries and candidates meet block by block on an equi-join of slot numbers; no
-block, histogram or result is collected. Scores are computed in doubles when they are exact
+block, histogram or result is collected, and none passes through the driver as a broadcast: Spark
+sizes a side of a join without the copies that ``explode`` makes of it, so all joins here are
+sort-merge joins, whatever the session's broadcast limit. Scores are computed in doubles when they are exact
 (|score| < 2^53), else in Python integers, saturating at the range of a long.
 
 Rows: a vector that is null, or holds null or non-finite components, takes no part. Vectors of
@@ -155,6 +157,11 @@ def _pack_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                              names=[*block.schema.names, "state"])
 
 
+def _merged(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A sort-merge join: neither side is broadcast, however small Spark takes it to be."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _passes(bound: float) -> list[int]:
     """Shifts of the passes over keys of absolute value up to ``bound``: coarse to single values."""
     top = max(int(bound), 1).bit_length()
@@ -183,10 +190,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
 
     def pairs(state: DataFrame) -> DataFrame:
         """Every block of candidates next to every block of queries that ``state`` holds."""
-        packed = q.join(state, "id").repartition(max(1, -(-n_queries // QUERY_BLOCK))).mapInArrow(
+        packed = _merged(q, state, "id").repartition(max(1, -(-n_queries // QUERY_BLOCK))).mapInArrow(
             _pack_queries, "q_ids binary, q_width int, q binary, state binary")
         slot = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_slots - 1).cast("long")))
-        return slotted.join(packed.withColumn("slot", slot), "slot")
+        # the join holds the right side's rows of a slot: a few blocks of candidates, not all queries
+        return _merged(packed.withColumn("slot", slot), slotted, "slot")
 
     def refine(state: DataFrame, stage: str, bound: float, name: str) -> DataFrame:
         """Locate the key of rank ``need``: the state with ``low`` = that key, and the entries that tie with it."""
@@ -197,13 +205,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
             total = counts.groupBy("query_id", "digit").agg(F.sum("n").alias("n"))
             best_first = W.partitionBy("query_id").orderBy(F.desc("digit"))
             total = total.withColumn("upto", F.sum("n").over(best_first.rowsBetween(W.unboundedPreceding, 0)))
-            found = total.join(state.select(F.col("id").alias("query_id"), "need"), "query_id").filter(
-                (F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need"))).select(
-                F.col("query_id").alias("id"), (F.col("need") - F.col("upto") + F.col("n")).alias("left"), "digit", "n")
             # without such a digit, a query has fewer entries than it needs; it stays out and takes all
-            state = scratch.store(state.select("id", "score").join(found, "id").select(
-                "id", F.col("left").alias("need"), "score", F.col("digit").alias("low"), F.col("n").alias("ties")),
-                f"{name}-{bits}")
+            found = _merged(total.withColumnRenamed("query_id", "id"), state.select("id", "need", "score"), "id").filter(
+                (F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
+            state = scratch.store(found.select(
+                "id", (F.col("need") - F.col("upto") + F.col("n")).alias("need"), "score", F.col("digit").alias("low"),
+                F.col("n").alias("ties")), f"{name}-{bits}")
             last = bits
         return state
 
@@ -212,7 +219,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
     kth = refine(start, "score", (q_norm or 0.0) * (c_norm or 0.0) + 1, "score")
     tied = kth.filter("ties > need").select("id", "need", F.col("low").alias("score"), none.alias("low"))
     last_id = refine(tied, "id", c_id or 0.0, "id").select("id", F.bitwise_not("low").alias("last_id"))
-    limits = q.select("id").join(kth.select("id", F.col("low").alias("kth")), "id", "left").join(last_id, "id", "left").select(
+    kth_of_all = _merged(q.select("id"), kth.select("id", F.col("low").alias("kth")), "id", "left")
+    limits = _merged(kth_of_all, last_id, "id", "left").select(
         "id", F.lit(k).cast("long").alias("need"), F.coalesce("kth", F.lit(-LONG).cast("long")).alias("score"),
         F.coalesce("last_id", F.lit(LONG - 1).cast("long")).alias("low"))
     best = pairs(limits).mapInArrow(_select, "query_id long, vec_id long, score long")

@@ -60,6 +60,35 @@ def test_few_candidates_and_empty(spark):
         K.top_k(df, df, k=0)
 
 
+def test_nothing_is_broadcast(spark, monkeypatch):
+    """Queries are copied to each slot: a join that broadcasts them sends them through the driver as often."""
+    monkeypatch.setattr(K, "BLOCK", 5)
+    monkeypatch.setattr(K, "QUERY_BLOCK", 3)
+    plans, store = [], K.Scratch.store
+
+    def ran(df):
+        rows = df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    def stored(self, df, name):
+        ran(df)
+        return store(self, df, name)
+    monkeypatch.setattr(K.Scratch, "store", stored)
+    r = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in r.normal(size=4).round(1)]) for i in range(60)] + [(100 + i, [0.5] * 4) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = {0, 7, 100, 101}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100MB")
+    try:
+        got = ran(K.top_k(df, df.filter(F.col("vec_id").isin(*queries)), k=9))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(map(tuple, got)) == brute(rows, queries, 9)
+    assert "SortMergeJoin" in plans[-1] and not [p for p in plans if "Broadcast" in p]
+
+
 def test_scores_beyond_doubles_are_exact():
     a = np.array([[2.0 ** 30 + 1, 3.0]])
     b = np.array([[2.0 ** 30 + 1, 5.0]])
